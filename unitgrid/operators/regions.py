@@ -18,7 +18,7 @@ NATURAL_M2, NATURAL_LONG_M2, LONG_ASPECT = 12000.0, 8000.0, 4.0
 ASPECT_EPS = 1e-6
 
 IMG = "image_id"
-_BUCKET = 64
+LABEL_BASE = 1 << 31      # labels are row * LABEL_BASE + column of the first pixel
 
 
 def runs(mask, axis="row"):
@@ -65,49 +65,88 @@ def dilate(mask):
 
 # --- components ------------------------------------------------------------------------------------
 
-def _run_nodes(mask):
-    """Row runs with an id that orders by (row, first column); unique within an image."""
-    return (runs(mask).withColumn("id", F.col("line").cast("long") * F.lit(1 << 31) + F.col("p0"))
-            .select(IMG, "id", F.col("line").cast("long").alias("line"), F.col("p0").cast("long").alias("p0"),
-                    F.col("p1").cast("long").alias("p1")))
-
-
-def _run_edges(nodes, conn):
-    """Touching runs of neighbouring rows, both directions; joined on column buckets of each row."""
+def _tile_labels(rows, starts, ends, width, reach):
+    """Index of the first run of each run's component inside one tile; runs come in row order."""
+    span = width + 4
+    first = np.searchsorted(rows * span + ends, (rows + 1) * span + starts - reach, side="left")
+    last = np.searchsorted(rows * span + starts, (rows + 1) * span + ends + reach, side="right")
+    count = np.maximum(last - first, 0)
+    u = np.repeat(np.arange(len(rows)), count)
+    v = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+    label = np.arange(len(rows))
+    while True:
+        a, b = label[u], label[v]
+        if np.array_equal(a, b):
+            return label
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
+def _tile_runs(mask, conn, tile):
+    """Row runs inside tiles, labelled within their tile: one shuffle of bounded blocks."""
     reach = 1 if conn == 8 else 0
-    cut = lambda lo, hi: F.explode(F.sequence(F.floor(lo / _BUCKET), F.floor(hi / _BUCKET)))
-    upper = nodes.select(IMG, F.col("id").alias("a"), (F.col("line") + 1).alias("line"),
-                         (F.col("p0") - reach).alias("a0"), (F.col("p1") + reach).alias("a1")
-                         ).withColumn("_b", cut(F.col("a0"), F.col("a1")))
-    lower = nodes.select(IMG, F.col("id").alias("b"), "line", "p0", "p1").withColumn("_b", cut(F.col("p0"), F.col("p1")))
-    owner = F.floor(F.greatest("a0", "p0") / _BUCKET)
-    pairs = (upper.join(lower, [IMG, "line", "_b"])
-             .filter((F.col("a0") <= F.col("p1")) & (F.col("p0") <= F.col("a1")) & (F.col("_b") == owner)))
+
+    def label_tile(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        image, tr, tc = key
+        top, left = int(tr) * tile, int(tc) * tile
+        block = np.zeros((tile, tile + 2), dtype=np.int8)
+        block[pdf["row"].to_numpy() - top, pdf["col"].to_numpy() - left + 1] = 1
+        turn = np.diff(block, axis=1)
+        rows, starts = np.nonzero(turn == 1)
+        ends = np.nonzero(turn == -1)[1] - 1
+        ids = (rows + top) * LABEL_BASE + starts + left
+        return pd.DataFrame({IMG: image, "line": rows + top, "p0": starts + left, "p1": ends + left,
+                             "label": ids[_tile_labels(rows, starts, ends, tile, reach)]})
+
+    at = lambda c: F.floor(F.col(c) / tile)
+    cells = mask.select(F.col(IMG).cast("string").alias(IMG), F.col("row").cast("long").alias("row"),
+                        F.col("col").cast("long").alias("col"), at("row").alias("_tr"), at("col").alias("_tc"))
+    return cells.groupBy(IMG, "_tr", "_tc").applyInPandas(
+        label_tile, f"{IMG} string, line long, p0 long, p1 long, label long")
+
+
+def _border_edges(runs_, conn, tile):
+    """Pairs of tile labels that touch across a tile border, both directions."""
+    line, lo, hi = F.col("line"), F.col("p0"), F.col("p1")
+    edge_row = (line % tile).isin(0, tile - 1)
+    cols = (F.when(edge_row, F.sequence(lo, hi))
+            .otherwise(F.array_compact(F.array(F.when(lo % tile == 0, lo), F.when(hi % tile == tile - 1, hi)))))
+    rim = (runs_.filter(edge_row | (lo % tile == 0) | (hi % tile == tile - 1))
+           .select(IMG, F.col("line").alias("row"), F.explode(F.array_distinct(cols)).alias("col"), "label"))
+    steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if conn == 8 else [])
+    near = F.explode(F.array(*[F.struct((F.col("row") + dr).alias("row"), (F.col("col") + dc).alias("col"))
+                               for dr, dc in steps])).alias("n")
+    pairs = (rim.select(IMG, F.col("label").alias("a"), near).select(IMG, "a", "n.row", "n.col")
+             .join(rim.withColumnRenamed("label", "b"), [IMG, "row", "col"]).filter("a <> b"))
     both = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
                              F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
-    return pairs.select(IMG, both.alias("e")).select(IMG, "e.u", "e.v")
+    return pairs.select(IMG, both.alias("e")).select(IMG, "e.u", "e.v").distinct()
 
 
-def component_runs(mask, conn=8, max_rounds=60):
-    """Row runs with the smallest run id of their component as label.
+def component_runs(mask, conn=8, tile=512, max_rounds=60):
+    """Row runs (split at tile borders) with the first run of their component as label.
 
-    Nodes are runs, not pixels. Each round hooks every node's parent to the smallest grandparent among
-    its neighbours and jumps pointers, so rounds grow with the logarithm of a component's extent. State
-    is written out after each round; only a changed-rows count reaches the driver.
+    Tiles are labelled on their own; only labels that touch across tile borders enter the iterative
+    part. There, each round hooks every node's parent to the smallest grandparent among its neighbours
+    and jumps pointers, so rounds grow with the logarithm of a component's extent. State is written out
+    after each round; only a changed-rows flag reaches the driver.
     """
-    nodes = materialize(_run_nodes(mask), "runs")
-    edges = materialize(_run_edges(nodes, conn), "edges")
-    touched = edges.select(IMG, F.col("u").alias("id")).distinct()
-    state = materialize(touched.select(IMG, "id", F.col("id").alias("f"), F.col("id").alias("gf")), "labels")
+    labelled = materialize(_tile_runs(mask, conn, tile), "runs")
+    edges = materialize(_border_edges(labelled, conn, tile), "edges")
+    if not edges.take(1):
+        return labelled
+    nodes = edges.select(IMG, F.col("u").alias("id")).distinct()
+    state = materialize(nodes.select(IMG, "id", F.col("id").alias("f"), F.col("id").alias("gf")), "labels")
     for _ in range(max_rounds):
         state = _hook(state, edges)
         if not state.filter("moved").take(1):
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    labels = state.select(IMG, "id", F.col("gf").alias("l"))
-    return nodes.join(labels, [IMG, "id"], "left").select(
-        IMG, "line", "p0", "p1", F.coalesce("l", "id").alias("label"))
+    final = state.select(IMG, F.col("id").alias("label"), F.col("gf").alias("_l"))
+    return labelled.join(final, [IMG, "label"], "left").select(
+        IMG, "line", "p0", "p1", F.coalesce("_l", "label").alias("label"))
 
 
 def _hook(state, edges):
@@ -129,8 +168,8 @@ def _hook(state, edges):
 
 def label_name(label):
     """Row and first column of the run that names a component."""
-    return (F.floor(label / F.lit(1 << 31)).cast("long").alias("label_row"),
-            (label % F.lit(1 << 31)).cast("long").alias("label_col"))
+    return (F.floor(label / F.lit(LABEL_BASE)).cast("long").alias("label_row"),
+            (label % F.lit(LABEL_BASE)).cast("long").alias("label_col"))
 
 
 def components(mask, conn=8):
@@ -155,9 +194,9 @@ def region_props(labelled):
     the label to keep the sums small.
     """
     n = (F.col("p1") - F.col("p0") + 1).cast("double")
-    top = F.floor(F.col("label") / F.lit(1 << 31))
+    top = F.floor(F.col("label") / F.lit(LABEL_BASE))
     r = (F.col("line") - top).cast("double")
-    base = F.col("label") % F.lit(1 << 31)
+    base = F.col("label") % F.lit(LABEL_BASE)
     a, b = (F.col("p0") - base).cast("double"), (F.col("p1") - base).cast("double")
     sum_c = n * (a + b) / 2
     squares = lambda k: k * (k + 1) * (2 * k + 1) / 6
@@ -173,7 +212,7 @@ def region_props(labelled):
     minor = 4 * F.sqrt(F.greatest((vr + vc) / 2 - root, F.lit(0.0)))
     row0, col0 = label_name(F.col("label"))
     return (s.select(IMG, "label", row0, col0, F.col("n").cast("long").alias("area"), (mr + F.floor(
-        F.col("label") / F.lit(1 << 31))).alias("centre_row"), (mc + F.col("label") % F.lit(1 << 31)).alias("centre_col"),
+        F.col("label") / F.lit(LABEL_BASE))).alias("centre_row"), (mc + F.col("label") % F.lit(LABEL_BASE)).alias("centre_col"),
         major.alias("major_axis"), minor.alias("minor_axis"))
         .withColumn("aspect", F.col("major_axis") / (F.col("minor_axis") + ASPECT_EPS)))
 

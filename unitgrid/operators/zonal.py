@@ -33,22 +33,22 @@ def composite(obs, by, bands, how="median"):
 def composite_wide(obs, by, bands):
     """Exact median of arbitrary doubles without gathering a pixel's values in one task.
 
-    Values are counted per (pixel, band, value), ranked by a running count inside value ranges that
-    were cut from the data, and the one or two middle values are averaged.
+    Values are counted per (pixel, band, value), ranked by a running count in a global range sort, and
+    the one or two middle values are averaged.
     """
     from unitgrid.operators.ordering import running_sum
     long = (obs.select(*by, *[F.col(b).cast("double").alias(b) for b in bands])
-            .unpivot(list(by), list(bands), "_band", "_v").filter(F.col("_v").isNotNull()))
-    counts = long.groupBy(*by, "_band", "_v").agg(F.count("*").alias("_c"))
+            .unpivot(list(by), list(bands), "_band", "_x").filter(F.col("_x").isNotNull()))
+    counts = long.groupBy(*by, "_band", "_x").agg(F.count("*").alias("_c"))
     group = [*by, "_band"]
-    ranked = running_sum(counts, [*group, "_v"], F.col("_c"), "_end")
+    ranked = running_sum(counts, [*group, "_x"], F.col("_c"), "_end")
     spans = ranked.groupBy(*group).agg(F.sum("_c").alias("_n"), F.max("_end").alias("_last"))
     end = F.col("_end") - (F.col("_last") - F.col("_n"))
     start = end - F.col("_c")
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
     mid = ranked.join(spans, group).groupBy(*group).agg(
-        F.max(F.when((low > start) & (low <= end), F.col("_v"))).alias("_lo"),
-        F.max(F.when((high > start) & (high <= end), F.col("_v"))).alias("_hi"))
+        F.max(F.when((low > start) & (low <= end), F.col("_x"))).alias("_lo"),
+        F.max(F.when((high > start) & (high <= end), F.col("_x"))).alias("_hi"))
     wide = mid.groupBy(*by).agg(*[F.max(F.when(F.col("_band") == b, (F.col("_lo") + F.col("_hi")) / 2)).alias(b)
                                   for b in bands])
     return obs.select(*by).distinct().join(wide, list(by), "left")

@@ -79,12 +79,11 @@ def plan_evidence(plan, year=S.YEAR):
 
 def read_polygons(spark, path, gid="GID_3", lines=False):
     """GeoJSON files to edges. `lines` reads one feature per line, which splits large files over tasks."""
-    feature = "properties:map<string,string>,geometry:string"
     if lines:
-        features = spark.read.json(path, schema=f"struct<{feature}>")
+        features = spark.read.json(path, schema="properties map<string,string>, geometry string")
     else:
-        features = (spark.read.json(path, multiLine=True, schema=f"struct<features:array<struct<{feature}>>>")
-                    .select(F.inline("features")))
+        features = (spark.read.json(path, multiLine=True, schema="features array<struct<"
+                                    "properties:map<string,string>,geometry:string>>").select(F.inline("features")))
     return polygon_edges(features.select(F.col("properties")[gid].alias("gid"), "geometry").filter("gid <> ''"))
 
 
