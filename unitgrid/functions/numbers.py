@@ -65,13 +65,15 @@ def growth_pct(current, previous):
 def quantise(c, scale=10000):
     """Round half-even to a scaled int16 value, clipped; NULL becomes the nodata code."""
     q = F.rint(col(c).cast("double") * F.lit(float(scale)))
-    clipped = F.least(F.greatest(q, F.lit(float(-INT16_LIMIT))), F.lit(float(INT16_LIMIT)))
-    return F.coalesce(null_if_nan(clipped), F.lit(float(INT16_NODATA))).cast("short")
+    low, high = F.lit(float(-INT16_LIMIT)), F.lit(float(INT16_LIMIT))
+    return (F.when(q.isNull() | F.isnan(q), F.lit(float(INT16_NODATA)))
+            .when(q < low, low).when(q > high, high).otherwise(q).cast("short"))
 
 
 def overflows(c, scale=10000):
     """True where quantise had to clip."""
-    return F.coalesce(F.abs(F.rint(col(c).cast("double") * F.lit(float(scale)))) > INT16_LIMIT, F.lit(False))
+    q = F.abs(F.rint(col(c).cast("double") * F.lit(float(scale))))
+    return F.coalesce((q > INT16_LIMIT) & ~F.isnan(q), F.lit(False))
 
 
 def dequantise(c, scale=10000):

@@ -175,9 +175,13 @@ def _zero_flags(sources):
 
 def _state_columns(kind, year):
     """(state, error) columns of an index table that carries its _zero_* flag."""
-    required = [m for m in S.METRICS[kind] if m != S.GROWTH]
-    all_empty = reduce(lambda a, b: a & b, [F.col(m).isNull() for m in S.METRICS[kind]])
-    broken = reduce(lambda a, b: a | b, [F.col(m).isNull() if m == "TIME" else ~is_finite(m) for m in required])
+    def hole(m):
+        plain = f"`{m}` IS NULL"
+        if S.metric_type(m).typeName() != "double":
+            return plain
+        return f"{plain} OR isnan(`{m}`) OR abs(`{m}`) = double('inf')"
+    all_empty = F.expr(" AND ".join(f"`{m}` IS NULL" for m in S.METRICS[kind]))
+    broken = F.expr(" OR ".join(hole(m) for m in S.METRICS[kind] if m != S.GROWTH))
     zero = F.coalesce(F.col(f"_zero_{kind}_indices"), F.lit(False))
     wrong_time = F.lit(False)
     if kind == "night":
@@ -220,29 +224,29 @@ def _image_states(images):
     return images.groupBy("gid_3", "month").agg(*picks)
 
 
-def progress(admin, day, night, images, sources, previous=None, year=S.YEAR):
+def progress(admin, day, night, images, sources, previous=None, year=S.YEAR, check=True):
     """State of the four fields per unit and month.
 
-    `day` and `night` are normalised tables. Every input is reduced to one row per (gid, month) and
-    joined on that key, so the shuffles share one partitioning.
+    `day` and `night` are index tables, checked like in `normalize`. Every input has one row per
+    (gid, month) and is joined on that key, so the shuffles share one partitioning.
     """
     key = ["gid_3", "month"]
-    zeros = _zero_flags(sources)
-    table = month_grid(admin, year).join(zeros, key, "left").join(_image_states(images), key, "left")
+    table = month_grid(admin, year).join(_zero_flags(sources), key, "left").join(_image_states(images), key, "left")
     for kind, frame in (("day", day), ("night", night)):
-        state, error = _state_columns(kind, year)
-        states = (frame.join(zeros, key, "left")
-                  .select(*key, state.alias(f"{kind}_indices"), error.alias(f"{kind}_indices_error")))
-        table = table.join(states, key, "left")
+        if check:
+            enforce(normalize_violations(frame, admin, kind, year), f"{kind} table")
+        metrics = drop_exact(_keyed(frame, kind)).filter(F.col("year") == year)
+        table = table.join(metrics.select(*key, *S.METRICS[kind]), key, "left")
+    states = {}
     for kind in ("day", "night"):
+        states[f"{kind}_indices"], states[f"{kind}_indices_error"] = _state_columns(kind, year)
         field, image = f"{kind}_image", F.col(f"_img_{kind}")
         waiting = F.coalesce(image["state"], F.lit("pending")) == "pending"
         empty = waiting & F.coalesce(F.col(f"_zero_{field}"), F.lit(False))
-        table = table.withColumns({
-            field: F.when(empty, "no_source").otherwise(F.coalesce(image["state"], F.lit("pending"))),
-            field + "_error": F.when(empty, "").otherwise(
-                F.when(image.isNull(), S.MSG_NO_IMAGE).otherwise(F.coalesce(image["error"], F.lit("")))),
-        })
+        states[field] = F.when(empty, "no_source").otherwise(F.coalesce(image["state"], F.lit("pending")))
+        states[field + "_error"] = (F.when(empty, "").when(image.isNull(), S.MSG_NO_IMAGE)
+                                    .otherwise(F.coalesce(image["error"], F.lit(""))))
+    table = table.withColumns(states)
     if previous is not None:
         before = previous.select("gid_3", "year", "month", *[F.col(c).alias(f"_p_{c}")
                                                              for f in S.FIELDS for c in (f, f + "_error")])

@@ -87,7 +87,7 @@ def _tile_runs(mask, conn, tile):
     """Row runs inside tiles, labelled within their tile: one shuffle of bounded blocks."""
     reach = 1 if conn == 8 else 0
 
-    def label_tile(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def label_tile(key, pdf):
         image, tr, tc = key
         top, left = int(tr) * tile, int(tc) * tile
         block = np.zeros((tile, tile + 2), dtype=np.int8)
@@ -287,7 +287,7 @@ def skeleton(mask, tile=256, passes=16, max_rounds=200):
     halo = 2 * passes
     schema = f"{IMG} string, row long, col long, _open boolean"
 
-    def thin_tile(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def thin_tile(key, pdf):
         image, tr, tc = key
         r0, c0, side = int(tr) * tile - halo, int(tc) * tile - halo, tile + 2 * halo
         grid = np.zeros((side, side), dtype=bool)

@@ -197,18 +197,18 @@ def _(v):
 
 
 _WATER = (_small_sql("v_water", 4, 4, "clean") + "," + components_sql("clean", 8) + "," + _PROPS.format(comp="comp")
-          + f""", body AS (SELECT *, area * {PIXEL_M2} >= 12000 OR (major / (minor + 1e-6) >= 4 AND area * {PIXEL_M2} >= 8000) AS "natural" FROM props)""")
+          + f""", body AS (SELECT *, area * {PIXEL_M2} >= 12000 OR (major / (minor + 1e-6) >= 4 AND area * {PIXEL_M2} >= 8000) AS is_natural FROM props)""")
 
 
-@query("j7_classify_water", _WATER + f" SELECT image_id, {_LABEL}, area, "natural" FROM body", ["v_water"])
+@query("j7_classify_water", _WATER + f" SELECT image_id, {_LABEL}, area, is_natural AS \"natural\" FROM body", ["v_water"])
 def _(v):
     return regions.classify_water(v.water, PIXEL_M2).select("image_id", "label_row", "label_col", "area", "natural")
 
 
 @query("j7_water_metrics", _WATER + f""" SELECT image_id, CAST(sum(area) AS BIGINT) AS water_pixels, round(sum(area) * {PIXEL_M2} / 1e4, 6) AS water_area_ha,
-    round(coalesce(sum(area) FILTER (WHERE "natural"), 0) * {PIXEL_M2} / 1e4, 6) AS water_natural_ha,
-    round(coalesce(sum(area) FILTER (WHERE NOT "natural"), 0) * {PIXEL_M2} / 1e4, 6) AS water_aquaculture_ha,
-    count(*) FILTER (WHERE "natural") AS water_natural_bodies, count(*) FILTER (WHERE NOT "natural") AS water_aquaculture_bodies FROM body GROUP BY image_id""", ["v_water"])
+    round(coalesce(sum(area) FILTER (WHERE is_natural), 0) * {PIXEL_M2} / 1e4, 6) AS water_natural_ha,
+    round(coalesce(sum(area) FILTER (WHERE NOT is_natural), 0) * {PIXEL_M2} / 1e4, 6) AS water_aquaculture_ha,
+    count(*) FILTER (WHERE is_natural) AS water_natural_bodies, count(*) FILTER (WHERE NOT is_natural) AS water_aquaculture_bodies FROM body GROUP BY image_id""", ["v_water"])
 def _(v):
     return rounded(regions.water_metrics(v.water, PIXEL_M2))
 

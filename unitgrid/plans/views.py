@@ -68,7 +68,7 @@ class Views:
     @cached_property
     def day(self):
         return self.month.select("gid_3", "year", "month",
-                                 *[(F.col("val") * k).alias(m) for m, k in DAY_FACTORS.items()])
+                                 *[F.expr(f"val * {k} AS {m}") for m, k in DAY_FACTORS.items()])
 
     @cached_property
     def px(self):

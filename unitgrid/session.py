@@ -15,6 +15,7 @@ def local_session(cpus="8", app="unitgrid", shuffle_partitions=None):
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoint"))
         .config("spark.local.dir", os.path.join(scratch, "local"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from unitgrid.operators.contract import apply_updates
+from unitgrid.operators.keys import keep_last
 from unitgrid.schema import TERMINAL
 from unitgrid.session import scratch_path
 
@@ -39,10 +40,11 @@ def stream_log(spark, folder, schema, max_files=64):
     return parsed.filter(F.col("r.gid_3").isNotNull()).select("r.*")
 
 
-def drain(stream, mode, label):
-    """Process everything available and return the last complete result as a table.
+def drain(stream, mode, label, key=()):
+    """Process everything available and return the result as a table.
 
-    In complete mode each batch carries the whole result, in append mode the batches add up.
+    Complete mode: the last batch carries the whole result. Append mode: the batches add up. Update
+    mode: the newest batch of each `key` counts.
     """
     spark = stream.sparkSession
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, label + "-state")
@@ -61,6 +63,9 @@ def drain(stream, mode, label):
     query.awaitTermination()
     if "id" not in last:
         return spark.createDataFrame([], stream.schema)
+    if mode == "update":
+        rows = spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
+        return keep_last(rows, list(key), ["batch"]).select(*stream.columns)
     return spark.read.schema(stream.schema).parquet(f"{out}/batch={last['id']}")
 
 
