@@ -15,7 +15,7 @@ def adm(spark):
 
 def progress(spark, adm, day=None, night=None, imgs=None, src=None, previous=None):
     return C.progress(adm, records(spark, "day") if day is None else day, records(spark, "night") if night is None else night,
-                      images(spark) if imgs is None else imgs, sources(spark) if src is None else src, previous, check=False)
+                      images(spark) if imgs is None else imgs, sources(spark) if src is None else src, previous)
 
 
 def test_legacy_columns_names_and_natural_order(spark, adm):
@@ -61,18 +61,25 @@ def test_duplicates_domain_and_unknown_ids(spark, adm):
     rows = records(spark)
     assert C.normalize(rows.union(rows), adm, "day").count() == 24
     conflict = rows.filter("MONTH = 1").withColumn("BLUE_mean", F.lit(100.0))
-    with pytest.raises(C.ContractError, match="conflict"):
-        C.normalize(rows.union(conflict), adm, "day")
+    with pytest.raises(Exception, match="conflict at"):
+        C.normalize(rows.union(conflict), adm, "day").collect()
+    hole = rows.filter("MONTH = 1").withColumn("BSI_mean", F.lit(None).cast("double"))
+    with pytest.raises(Exception, match="conflict at"):
+        C.normalize(rows.union(hole), adm, "day").collect()
     for column, value in (("YEAR", 2023), ("MONTH", 13), ("GID_3", "unknown")):
-        with pytest.raises(C.ContractError):
-            C.normalize(rows.withColumn(column, F.when(F.col("MONTH") == 1, value).otherwise(F.col(column))), adm, "day")
+        wrong = rows.withColumn(column, F.when(F.col("MONTH") == 1, value).otherwise(F.col(column)))
+        for complete in (True, False):
+            with pytest.raises(Exception, match="unknown gid" if column == "GID_3" else "domain at"):
+                C.normalize(wrong, adm, "day", complete=complete).collect()
+        assert C.normalize_violations(wrong, adm, "day").count() > 0
+    assert C.normalize_violations(rows, adm, "day").count() == 0
 
 
 def test_text_metrics_must_be_numbers(spark, adm):
     rows = records(spark).withColumn("BLUE_mean", F.when(F.col("MONTH") == 2, "x1").when(F.col("MONTH") == 3, "NaN")
                                      .otherwise("1e2"))
-    with pytest.raises(C.ContractError, match="BLUE_mean"):
-        C.normalize(rows, adm, "day")
+    with pytest.raises(Exception, match="number at"):
+        C.normalize(rows, adm, "day").collect()
     good = C.normalize(rows.filter("MONTH <> 2"), adm, "day")
     assert at(good, GIDS[0], 3).BLUE_mean is None and at(good, GIDS[0], 4).BLUE_mean == 100.0
 

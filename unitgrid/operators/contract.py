@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from unitgrid import schema as S
 from unitgrid.functions.numbers import as_double, is_bad_number, is_finite, is_numeric
 from unitgrid.functions.text import natural_key, time_stamp
-from unitgrid.operators.keys import complete_grid, drop_exact, duplicate_keys, enrich_admin, month_grid, unknown_keys
+from unitgrid.operators.keys import drop_exact, duplicate_keys, enrich_admin, month_grid, unknown_keys
 
 
 class ContractError(ValueError):
@@ -45,12 +45,24 @@ def unify_aliases(df):
                          for new, at in _alias_groups(df.columns).items()])
 
 
+def _has_two_spellings(df):
+    return any(len(at) > 1 for at in _alias_groups(df.columns).values())
+
+
+def _clashes(columns):
+    """(name, differs) for every pair of spellings, over columns renamed to _c0, _c1, ..."""
+    return [(new, F.coalesce(F.col(f"_c{at[0]}").cast("string") != F.col(f"_c{i}").cast("string"), F.lit(False)))
+            for new, at in _alias_groups(columns).items() for i in at[1:]]
+
+
+def _alias_clash(columns):
+    return reduce(lambda a, b: a | b, [differs for _, differs in _clashes(columns)])
+
+
 def alias_conflicts(df):
     """Rows in which two spellings of one column hold different values."""
     flat = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
-    pairs = [(new, at[0], i) for new, at in _alias_groups(df.columns).items() for i in at[1:]]
-    bad = [F.when(F.col(f"_c{a}").cast("string") != F.col(f"_c{b}").cast("string"), F.lit(new))
-           for new, a, b in pairs]
+    bad = [F.when(differs, F.lit(new)) for new, differs in _clashes(df.columns)]
     found = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
     return _tagged(flat.filter(F.size(found) > 0), "alias", F.array_join(found, ","))
 
@@ -75,11 +87,15 @@ def conform(df, kind):
                        for f in S.index_schema(kind)])
 
 
+def _outside(year):
+    number = lambda c: F.col(c).cast("string").try_cast("double")
+    return (F.col("gid_3").isNull() | ~F.coalesce(number("year") == year, F.lit(False))
+            | ~F.coalesce(number("month").isin(*[float(m) for m in range(1, 13)]), F.lit(False)))
+
+
 def domain_violations(df, year):
     """Rows with a blank gid or outside the year and its months."""
-    bad = (F.col("gid_3").isNull() | ~F.coalesce(F.col("year").cast("double") == year, F.lit(False))
-           | ~F.coalesce(F.col("month").cast("double").isin(*[float(m) for m in range(1, 13)]), F.lit(False)))
-    return _tagged(df.filter(bad), "domain", F.concat_ws("/", "gid_3", F.col("year").cast("string"),
+    return _tagged(df.filter(_outside(year)), "domain", F.concat_ws("/", "gid_3", F.col("year").cast("string"),
                                                          F.col("month").cast("string")))
 
 
@@ -113,39 +129,88 @@ def _numeric(kind):
     return [m for m in S.METRICS[kind] if m != "TIME"]
 
 
-def _keyed(df, kind):
+def guard(bad, message):
+    """Filter condition that stops the job at the first bad row; costs no pass of its own."""
+    return F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+
+
+def _typed(df, kind):
     """Key and metric columns with their final types."""
     df = unify_aliases(df)
     lacking = set(S.KEY) - set(df.columns)
     if lacking:
         raise ContractError(f"table lacks {sorted(lacking)}")
-    present = set(df.columns)
-    metrics = [m for m in S.METRICS[kind] if m in present]
-    df = strict_double(df.select(*S.KEY, *metrics), [m for m in metrics if m != "TIME"])
-    return df.select(F.col("gid_3").cast("string").alias("gid_3"),
-                     *[as_double(df, c).cast("long").alias(c) for c in ("year", "month")],
-                     *[(F.col(m) if m in present else F.lit(None)).cast(S.metric_type(m)).alias(m)
-                       for m in S.METRICS[kind]])
+    metrics = [m for m in S.METRICS[kind] if m in df.columns]
+    out = strict_double(df.select(*S.KEY, *metrics), [m for m in metrics if m != "TIME"])
+    return out.select(F.col("gid_3").cast("string").alias("gid_3"),
+                      *[as_double(df, c).cast("long").alias(c) for c in ("year", "month")],
+                      *[(F.col(m) if m in metrics else F.lit(None)).cast(S.metric_type(m)).alias(m)
+                        for m in S.METRICS[kind]])
+
+
+def _row_problems(df, kind, year):
+    """Array of the checks a raw row fails: alias, domain, number."""
+    flat = unify_aliases(df)
+    texts = [m for m in _numeric(kind) if m in flat.columns and not is_numeric(flat, m)]
+    bad_text = reduce(lambda a, b: a | b, [is_bad_number(m) for m in texts], F.lit(False))
+    return F.array_compact(F.array(F.when(_outside(year), "domain"), F.when(bad_text, "number")))
+
+
+def _collapsed(df, kind, year):
+    """One row per (gid_3, month): exact duplicates collapse, conflicting ones stop the job.
+
+    The group-by combines before the shuffle and leaves rows placed by (gid_3, month) for the joins
+    that follow. NULL takes part as NaN (text: as the empty text), so NULL against a value is a conflict.
+    """
+    if _has_two_spellings(df):
+        flat = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+        df = flat.filter(guard(_alias_clash(df.columns), F.lit("alias: two spellings disagree"))).toDF(*df.columns)
+    flat = unify_aliases(df)
+    where = F.concat_ws("/", *[F.col(c).cast("string") for c in S.KEY if c in flat.columns])
+    lacking = set(S.KEY) - set(flat.columns)
+    if lacking:
+        raise ContractError(f"table lacks {sorted(lacking)}")
+    problems = _row_problems(flat, kind, year)
+    rows = _typed(flat.filter(guard(F.size(problems) > 0, F.concat(F.array_join(problems, ","), F.lit(" at "), where))), kind)
+    fill = {m: "''" if m == "TIME" else "double('NaN')" for m in S.METRICS[kind]}
+    lows = [F.expr(f"min(coalesce(`{m}`, {fill[m]})) AS `_lo_{m}`") for m in S.METRICS[kind]]
+    highs = [F.expr(f"max(coalesce(`{m}`, {fill[m]})) AS `_hi_{m}`") for m in S.METRICS[kind]]
+    clash = F.expr(" OR ".join(f"`_lo_{m}` <> `_hi_{m}`" for m in S.METRICS[kind]))
+    grouped = rows.groupBy("gid_3", "month").agg(*lows, *highs).filter(
+        guard(clash, F.concat(F.lit("conflict at "), F.concat_ws("/", "gid_3", F.col("month").cast("string")))))
+    return grouped.select("gid_3", F.lit(year).cast("long").alias("year"), "month",
+                          *[F.expr(f"nullif(`_lo_{m}`, {fill[m]})").cast(S.metric_type(m)).alias(m)
+                            for m in S.METRICS[kind]])
 
 
 def normalize_violations(df, admin, kind, year=S.YEAR):
-    """Everything that makes an index table unacceptable, in one DataFrame (check, detail)."""
+    """Everything that makes an index table unacceptable, as (check, detail) rows.
+
+    Row rules need one scan; unknown gids and conflicting duplicates one aggregation each.
+    """
     flat = unify_aliases(df)
-    keyed = drop_exact(_keyed(df, kind))
-    parts = [alias_conflicts(df), domain_violations(flat, year), bad_numbers(flat, _numeric(kind)),
-             _tagged(unknown_keys(flat, admin), "unknown", F.col("gid_3")),
-             _tagged(duplicate_keys(keyed, S.KEY), "conflict", F.concat_ws("/", "gid_3", "month"))]
+    rows = drop_exact(_typed(df, kind))
+    where = F.concat_ws("/", "gid_3", F.col("year").cast("string"), F.col("month").cast("string"))
+    broken = flat.select(F.explode(_row_problems(flat, kind, year)).alias("check"), where.alias("detail"))
+    parts = [broken, _tagged(unknown_keys(flat, admin), "unknown", F.col("gid_3")),
+             _tagged(duplicate_keys(rows, S.KEY), "conflict", F.concat_ws("/", "gid_3", "month"))]
+    if _has_two_spellings(df):
+        parts.append(alias_conflicts(df))
     return reduce(lambda a, b: a.union(b), parts)
 
 
-def normalize(df, admin, kind, year=S.YEAR, complete=True, check=True):
-    """Contract table: names by gid, exact duplicates collapsed, twelve rows per unit if `complete`."""
-    if check:
-        enforce(normalize_violations(df, admin, kind, year), f"{kind} table")
-    keyed = drop_exact(_keyed(df, kind))
-    if complete:
-        keyed = complete_grid(keyed, admin, year)
-    return conform(enrich_admin(keyed, admin), kind)
+def normalize(df, admin, kind, year=S.YEAR, complete=True):
+    """Contract table: names by gid, exact duplicates collapsed, twelve rows per unit if `complete`.
+
+    Broken rows, conflicting duplicates and unknown gids stop the job while it runs: all rules are part
+    of the one plan. `normalize_violations` lists them instead.
+    """
+    rows = _collapsed(df, kind, year)
+    unknown = lambda marker: guard(F.col(marker).isNull(), F.concat(F.lit("unknown gid "), F.col("gid_3")))
+    if not complete:
+        return conform(enrich_admin(rows, admin).filter(unknown("gid_1")), kind)
+    grid = month_grid(admin, year, columns=S.ADMIN_COLUMNS)
+    return conform(grid.join(rows.drop("year"), ["gid_3", "month"], "full").filter(unknown("gid_1")), kind)
 
 
 def natural_sorted(df):
@@ -204,13 +269,13 @@ def metric_states(table, kind, sources, year=S.YEAR):
     return _with_states(table, kind, _zero_flags(sources), year).select(*S.KEY, "state", "error")
 
 
-def merge_valid(old, incoming, admin, kind, sources, year=S.YEAR, check=True):
+def merge_valid(old, incoming, admin, kind, sources, year=S.YEAR):
     """Incoming rows replace only rows that are not done or source-less; valid old values stay."""
-    prior = _with_states(normalize(old, admin, kind, year, True, check), kind, _zero_flags(sources), year)
-    new = normalize(incoming, admin, kind, year, False, check)
-    new = new.select(*S.KEY, F.lit(True).alias("_new"), *[F.col(m).alias(f"_n_{m}") for m in S.METRICS[kind]])
+    prior = _with_states(normalize(old, admin, kind, year), kind, _zero_flags(sources), year)
+    new = normalize(incoming, admin, kind, year, complete=False)
+    new = new.select("gid_3", "month", F.lit(True).alias("_new"), *[F.col(m).alias(f"_n_{m}") for m in S.METRICS[kind]])
     replace = ~F.col("state").isin(*S.TERMINAL) & F.col("_new").isNotNull()
-    merged = prior.join(new, S.KEY, "left").withColumns(
+    merged = prior.join(new, ["gid_3", "month"], "left").withColumns(
         {m: F.when(replace, F.col(f"_n_{m}")).otherwise(F.col(m)) for m in S.METRICS[kind]})
     return conform(merged, kind)
 
@@ -224,19 +289,18 @@ def _image_states(images):
     return images.groupBy("gid_3", "month").agg(*picks)
 
 
-def progress(admin, day, night, images, sources, previous=None, year=S.YEAR, check=True):
+def progress(admin, day, night, images, sources, previous=None, year=S.YEAR):
     """State of the four fields per unit and month.
 
     `day` and `night` are index tables, checked like in `normalize`. Every input has one row per
     (gid, month) and is joined on that key, so the shuffles share one partitioning.
     """
     key = ["gid_3", "month"]
-    table = month_grid(admin, year).join(_zero_flags(sources), key, "left").join(_image_states(images), key, "left")
+    table = month_grid(admin, year, columns=S.ADMIN_COLUMNS).join(_zero_flags(sources), key, "left").join(_image_states(images), key, "left")
     for kind, frame in (("day", day), ("night", night)):
-        if check:
-            enforce(normalize_violations(frame, admin, kind, year), f"{kind} table")
-        metrics = drop_exact(_keyed(frame, kind)).filter(F.col("year") == year)
-        table = table.join(metrics.select(*key, *S.METRICS[kind]), key, "left")
+        rows = _collapsed(frame, kind, year).select(*key, *S.METRICS[kind])
+        table = table.join(rows, key, "full").filter(
+            guard(F.col("gid_1").isNull(), F.concat(F.lit("unknown gid "), F.col("gid_3"))))
     states = {}
     for kind in ("day", "night"):
         states[f"{kind}_indices"], states[f"{kind}_indices_error"] = _state_columns(kind, year)
@@ -256,7 +320,6 @@ def progress(admin, day, night, images, sources, previous=None, year=S.YEAR, che
             note = F.coalesce(F.nullif(F.col(f"_p_{f}_error"), F.lit("")), F.lit(S.MSG_INTERRUPTED))
             table = table.withColumns({f + "_error": F.when(cut, note).otherwise(F.col(f + "_error")),
                                        f: F.when(cut, "failed").otherwise(F.col(f))})
-    table = enrich_admin(table, admin)
     return table.select(*S.PREFIX, *[c for f in S.FIELDS for c in (f, f + "_error")])
 
 

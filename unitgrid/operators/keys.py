@@ -46,10 +46,10 @@ def enrich_admin(df, admin):
     return df.select(*own).join(admin.select(*ADMIN_COLUMNS), "gid_3", "left")
 
 
-def month_grid(units, year, months=range(1, 13)):
+def month_grid(units, year, months=range(1, 13), columns=("gid_3",)):
     """Every unit with every month of a year."""
     every = F.explode(F.array(*[F.lit(m).cast("long") for m in months]))
-    return units.select("gid_3", F.lit(year).cast("long").alias("year"), every.alias("month"))
+    return units.select(*columns, F.lit(year).cast("long").alias("year"), every.alias("month"))
 
 
 def complete_grid(df, units, year, months=range(1, 13)):

@@ -251,7 +251,8 @@ def industrial_metrics(mask, pixel_area_m2):
 # --- roads -------------------------------------------------------------------------------------------
 
 def road_corridor(mask, height, width):
-    """Opened road mask without objects below ten pixels."""
+    """Opened road mask without objects below ten pixels. The mask is read twice, so it is written once."""
+    mask = materialize(mask.select(IMG, "row", "col"), "road")
     return remove_small(materialize(open_lines(mask, height, width), "opened"), MIN_ROAD, conn=4)
 
 

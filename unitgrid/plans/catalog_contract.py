@@ -279,7 +279,7 @@ def _old_new(v):
     LEFT JOIN new n USING (gid_3, year, month) JOIN v_admin USING (gid_3)""", ["v_night", "v_admin", "v_evidence"])
 def _(v):
     old, new = _old_new(v)
-    return contract.merge_valid(old, new, v.admin, "night", v.evidence, YEAR, check=False)
+    return contract.merge_valid(old, new, v.admin, "night", v.evidence, YEAR)
 
 
 @query("d6_evidence_lookup", """SELECT m.gid_3, m.month, e."count" FROM v_month m
@@ -653,12 +653,12 @@ _LATE = "SELECT * REPLACE (CASE WHEN month = 6 THEN 'x' ELSE \"TIME\" END AS \"T
 def _(v):
     broken = v.night.withColumns({"TIME": F.when(F.col("month") == 6, "x").otherwise(F.col("TIME")),
                                   "TNL": F.when(F.col("month") != 7, F.col("TNL"))})
-    full = contract.normalize(broken, v.admin, "night", YEAR, True, check=False)
+    full = contract.normalize(broken, v.admin, "night", YEAR)
     return contract.metric_states(full, "night", v.evidence, YEAR)
 
 
 def _progress(v):
-    return contract.progress(v.admin, v.day, v.night, v.images, v.evidence, None, YEAR, check=False)
+    return contract.progress(v.admin, v.day, v.night, v.images, v.evidence, None, YEAR)
 
 
 def _progress_sql(previous=False):
@@ -702,7 +702,7 @@ def _previous(v):
     CASE WHEN night_image = 'pending' AND month % 2 = 0 THEN '{S.MSG_INTERRUPTED}' ELSE night_image_error END AS night_image_error
     FROM pr""", _PROGRESS_VIEWS)
 def _(v):
-    table = contract.progress(v.admin, v.day, v.night, v.images, v.evidence, _previous(v), YEAR, check=False)
+    table = contract.progress(v.admin, v.day, v.night, v.images, v.evidence, _previous(v), YEAR)
     return table.select("gid_3", "month", "day_image", "day_image_error", "night_image", "night_image_error")
 
 

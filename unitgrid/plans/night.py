@@ -3,13 +3,13 @@
 from unitgrid.operators import contract, zonal
 
 
-def night_index_table(pixels, area, admin, year, check=False):
+def night_index_table(pixels, area, admin, year):
     """Pixels (gid_3, month, avg_rad, cf_cvg) and scene counts (gid_3, month, area_ha, n) to the night table.
 
     All shuffles are on gid_3 and month; the reductions combine before them.
     """
     long = area.join(zonal.night_zonal(pixels, ["gid_3", "month"]), ["gid_3", "month"])
-    return contract.normalize(zonal.night_table(long, year), admin, "night", year, True, check)
+    return contract.normalize(zonal.night_table(long, year), admin, "night", year)
 
 
 def night_from_export(wide, admin, year, check=True):
@@ -18,4 +18,4 @@ def night_from_export(wide, admin, year, check=True):
     long = zonal.unpivot_months(wide, ["gid_3", "area_ha"], ["n", *NIGHT_EXPORT_KEYS])
     if check:
         contract.enforce(zonal.missing_counts(long), "night export without avg_rad_count")
-    return contract.normalize(zonal.night_table(long, year), admin, "night", year, True, check)
+    return contract.normalize(zonal.night_table(long, year), admin, "night", year)

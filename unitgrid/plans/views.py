@@ -236,8 +236,8 @@ class Views:
 
     @cached_property
     def day_full(self):
-        return contract.normalize(self.day, self.admin, "day", YEAR, True, check=False)
+        return contract.normalize(self.day, self.admin, "day", YEAR)
 
     @cached_property
     def night_full(self):
-        return contract.normalize(self.night, self.admin, "night", YEAR, True, check=False)
+        return contract.normalize(self.night, self.admin, "night", YEAR)
