@@ -9,7 +9,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from unitgrid.functions.numbers import ratio
-from unitgrid.session import materialize
+from unitgrid.session import materialize, ship_by_value
+
+ship_by_value(__name__)
 
 # Sizes and limits of the region rules.
 LINE_LENGTH = 5

@@ -1,9 +1,11 @@
 """Session defaults and the shared scratch folder used to cut long lineages."""
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import SparkSession
 
 
@@ -26,6 +28,11 @@ def local_session(cpus="8", app="unitgrid", shuffle_partitions=None):
     return spark
 
 
+def ship_by_value(module_name):
+    """Send a module's functions to the executors with the job, so they need no installed package."""
+    register_pickle_by_value(sys.modules[module_name])
+
+
 def scratch_root(spark):
     """Shared folder for intermediate tables: the session's `spark.checkpoint.dir`.
 

@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StatefulProcessor
 from unitgrid.operators.contract import apply_updates
 from unitgrid.operators.keys import keep_last
 from unitgrid.schema import TERMINAL
-from unitgrid.session import scratch_path
+from unitgrid.session import scratch_path, ship_by_value
+
+ship_by_value(__name__)
 
 # Fixed value: a file untouched for this long is complete.
 QUIET = "15 minutes"
