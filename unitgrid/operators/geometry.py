@@ -110,13 +110,18 @@ def clip_pixels(pixels, spans, bucket=256):
 
 
 def cut_windows(pixels, boxes, spans, bands, bucket=256):
-    """Full pixel window of each polygon; bands outside the polygon are blanked."""
+    """Full pixel window of each polygon; bands outside the polygon are blanked.
+
+    The spans of a row do not overlap, so the left join on (gid, row) matches a pixel at most once.
+    """
     cut = boxes.withColumn("_row", F.explode(F.sequence(F.col("r0").cast("long"), F.col("r1").cast("long") - 1)))
     frames = cut.select("gid", F.col("_row").alias("row"), F.col("c0").cast("long").alias("c0"),
                         (F.col("c1") - 1).cast("long").alias("c1"))
     framed = clip_pixels(pixels, frames, bucket)
-    inside = clip_pixels(pixels.select("row", "col").distinct(), spans, bucket).withColumn("inside", F.lit(True))
-    out = framed.join(inside, ["gid", "row", "col"], "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
+    runs = spans.select(F.col("gid").alias("_g"), F.col("row").alias("_r"), F.col("c0").alias("_c0"), F.col("c1").alias("_c1"))
+    here = ((F.col("gid") == F.col("_g")) & (F.col("row") == F.col("_r"))
+            & F.col("col").between(F.col("_c0"), F.col("_c1")))
+    out = framed.join(runs, here, "left").withColumn("inside", F.col("_g").isNotNull()).drop("_g", "_r", "_c0", "_c1")
     return out.withColumns({b: F.when(F.col("inside"), F.col(b)) for b in bands})
 
 

@@ -62,10 +62,11 @@ def zonal_stats(pixels, by, bands):
     return pixels.groupBy(*by).agg(*aggs)
 
 
-def night_zonal(pixels, by, radiance="avg_rad", coverage="cf_cvg", sensor="VIIRS"):
-    """All night reductions of a zone in one aggregation."""
+def night_zonal(pixels, by, radiance="avg_rad", coverage="cf_cvg", sensor="VIIRS", extra=()):
+    """All night reductions of a zone, and any `extra` aggregates, in one aggregation."""
     lit = is_lit(radiance, sensor)
     return pixels.groupBy(*by).agg(
+        *extra,
         F.sum(radiance).alias("avg_rad_sum"), F.avg(radiance).alias("avg_rad_mean"),
         F.stddev_pop(radiance).alias("avg_rad_stdDev"), F.min(radiance).alias("avg_rad_min"),
         F.max(radiance).alias("avg_rad_max"), F.count(radiance).alias("avg_rad_count"),

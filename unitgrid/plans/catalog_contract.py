@@ -767,8 +767,7 @@ _NIGHT_SQL = f"SELECT {_PFX}, {_NIGHT} FROM ({completed('v_night')}) JOIN v_admi
 
 @query("night_index_table", _NIGHT_SQL, ["v_grid", "v_night", "v_admin"])
 def night_flagship(v):
-    scenes_of = v.px.groupBy("gid_3", "month").agg(F.max("area_ha").alias("area_ha"), F.count("*").cast("double").alias("n"))
-    return rounded(night_index_table(v.px, scenes_of, v.admin, YEAR))
+    return rounded(night_index_table(v.px, v.admin, YEAR))
 
 
 @query("night_from_export", _NIGHT_SQL, ["v_grid", "v_night", "v_admin"])

@@ -1,14 +1,24 @@
 """Night-light indices from pixels to the contract table, in one job."""
 
+from pyspark.sql import functions as F
+
 from unitgrid.operators import contract, zonal
 
 
-def night_index_table(pixels, area, admin, year):
-    """Pixels (gid_3, month, avg_rad, cf_cvg) and scene counts (gid_3, month, area_ha, n) to the night table.
+def night_long(pixels, scenes=None):
+    """Reductions per unit and month with the unit's area and the number of scenes, in one aggregation.
 
-    All shuffles are on gid_3 and month; the reductions combine before them.
+    pixels: gid_3, month, area_ha, avg_rad, cf_cvg and, if `scenes` is given, that scene id column;
+    without it every row counts as a scene.
     """
-    long = area.join(zonal.night_zonal(pixels, ["gid_3", "month"]), ["gid_3", "month"])
+    n = F.count("*") if scenes is None else F.count_distinct(scenes)
+    return zonal.night_zonal(pixels, ["gid_3", "month"],
+                             extra=[F.max("area_ha").alias("area_ha"), n.cast("double").alias("n")])
+
+
+def night_index_table(pixels, admin, year, scenes=None):
+    """Pixels to the night table. The reductions combine before the one shuffle of the pixels."""
+    long = night_long(pixels, scenes)
     return contract.normalize(zonal.night_table(long, year), admin, "night", year)
 
 

@@ -12,6 +12,7 @@ from unitgrid import schema as S
 from unitgrid.functions import spectral
 from unitgrid.functions.grid import METRES_PER_DEGREE
 from unitgrid.operators import contract, geometry, keys, zonal
+from unitgrid.plans.night import night_long
 from unitgrid.plans.sqlviews import BAND_EXPRESSIONS, DAY_FACTORS, HEXAGON, YEAR
 from unitgrid.sources.readers import parse_image_names
 
@@ -79,9 +80,7 @@ class Views:
 
     @cached_property
     def long(self):
-        scenes = self.px.groupBy("gid_3", "month").agg(F.max("area_ha").alias("area_ha"),
-                                                       F.count("*").cast("double").alias("n"))
-        return scenes.join(zonal.night_zonal(self.px, ["gid_3", "month"]), ["gid_3", "month"])
+        return night_long(self.px)
 
     @cached_property
     def night(self):
