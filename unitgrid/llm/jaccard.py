@@ -10,9 +10,9 @@ through are opened. Here the tokens are 5-word shingles (64-bit hashes) and ever
    dealt over several blocks, by another dealing each time. Inside a block all links are found exactly. Links make
    provisional components.
 3. *Matrix.* Tokens that occur in one component only are of no use to further links, and nodes left with too few
-   others are done. The rest, split by component into groups of bounded size, gives the matrix rows (token,
-   group). A node probes it with its rarest tokens, as many as a linked set cannot all miss, for groups of larger
-   components; in each group found, the bound is checked against the union, and members are compared exactly.
+   others are done. The rest, in groups of one least token and of bounded size, gives the matrix rows (token,
+   group). A node probes it with its rarest tokens, as many as a linked set cannot all miss, for groups that hold
+   greater components; in each group found, the bound is checked against the union, then members are compared.
    The new links, and so the components, are complete: every pair of nodes was in one component already, or
    excluded by a bound, or compared.
 
@@ -266,7 +266,7 @@ def open_groups(percent):
         hit = _linked(_overlaps(q[opened[row]], q_len, m, m_len), qn[opened], mn, percent)
         a = queries.column("component").to_numpy()[opened]
         x, y = np.nonzero(hit)
-        pairs = np.unique(np.stack([a[x], members.column("gc").to_numpy()[y]]), axis=1) if len(x) else np.zeros((2, 0), np.int64)
+        pairs = np.unique(np.stack([a[x], members.column("m_component").to_numpy()[y]]), axis=1) if len(x) else np.zeros((2, 0), np.int64)
         return pa.table([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], names=names)
     return run
 
@@ -279,26 +279,31 @@ def _dealt(df, key, column, slots):
 
 
 def matrix_links(rest, percent):
-    """Links between different components among `rest` (node, component, n, tokens), by the token-group matrix."""
+    """Links between different components among `rest` (node, component, n, tokens), by the token-group matrix.
+
+    Groups are nodes of one least token, in parts of bounded size. Of two components the one that is less by (size,
+    number) asks, so a group is asked only by nodes of less components than its greatest.
+    """
     sizes = rest.groupBy("component").agg(F.count(F.lit(1)).alias("csize"))
-    rest = materialize(_dealt(rest.join(sizes, "component"), "component", "part", BLOCK), "groups")
-    cells = rest.select("component", "csize", "part", F.explode("tokens").alias("token")).distinct()
+    least = F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(3)))).alias("key")
+    placed = _dealt(rest.select("node", "component", least).join(sizes, "component"), "key", "part", BLOCK)
+    placed = placed.select("node", F.struct("csize", "component").alias("rank"), F.xxhash64("key", "part").alias("group"))
+    rest = materialize(rest.join(placed, "node"), "groups")
+    tops = rest.groupBy("group").agg(F.max("rank").alias("top"))
+    cells = rest.select("group", F.explode("tokens").alias("token")).distinct()
     weight = cells.groupBy("token").agg(F.count(F.lit(1)).alias("groups"))
     spare = F.expr(f"n - CAST(ceil({percent} * n / 100) AS INT) - (n - size(tokens)) + 1")
-    prefix = (rest.select("node", "component", "csize", spare.alias("probes"), F.explode("tokens").alias("token")).join(weight, "token")
-              .groupBy("node", "component", "csize", "probes").agg(F.array_sort(F.collect_list(F.struct("groups", "token"))).alias("order"))
-              .select("node", "component", "csize", F.explode(F.expr("transform(slice(order, 1, CAST(probes AS INT)), x -> x.token)")).alias("token")))
-    there = cells.select(F.col("component").alias("gc"), F.col("csize").alias("gsize"), F.col("part").alias("gpart"), "token")
-    found = (prefix.join(there, (prefix.token == there.token) & F.expr("component <> gc AND (csize < gsize OR csize = gsize AND component < gc)"))
-             .select("node", "gc", "gpart").distinct())
-    found = materialize(_dealt(found.withColumn("group", F.xxhash64("gc", "gpart")), "group", "slot", 4 * BLOCK), "found")
-    asked = found.join(rest.select("node", "component", "n", "tokens"), "node").select("gc", "gpart", "slot", "component", "n", "tokens")
-    slots = found.select("gc", "gpart", "slot").distinct()
-    members = rest.select(F.col("component").alias("gc"), F.col("part").alias("gpart"), F.col("n").alias("m_n"), F.col("tokens").alias("m_tokens"))
-    offered = slots.join(members, ["gc", "gpart"])
-    offered = offered.select(F.col("gc").alias("gc"), F.col("gpart").alias("m_part"), F.col("slot").alias("m_slot"), "m_n", "m_tokens")
-    asked = asked.select(F.col("gc").alias("q_gc"), F.col("gpart").alias("q_part"), F.col("slot").alias("q_slot"), "component", "n", "tokens")
-    return asked.groupBy("q_gc", "q_part", "q_slot").cogroup(offered.groupBy("gc", "m_part", "m_slot")).applyInArrow(open_groups(percent), "a long, b long")
+    prefix = (rest.select("node", "rank", spare.alias("probes"), F.explode("tokens").alias("token")).join(weight, "token")
+              .groupBy("node", "rank", "probes").agg(F.array_sort(F.collect_list(F.struct("groups", "token"))).alias("order"))
+              .select("node", "rank", F.explode(F.expr("transform(slice(order, 1, CAST(probes AS INT)), x -> x.token)")).alias("token")))
+    there = cells.join(tops, "group").select("group", "top", F.col("token").alias("cell"))
+    found = prefix.join(there, (prefix.token == there.cell) & (prefix.rank < there.top)).select("node", "group").distinct()
+    found = materialize(_dealt(found, "group", "slot", 4 * BLOCK), "found")
+    asked = found.join(rest.select("node", "component", "n", "tokens"), "node")
+    asked = asked.select(F.col("group").alias("q_group"), F.col("slot").alias("q_slot"), "component", "n", "tokens")
+    members = rest.select("group", F.col("component").alias("m_component"), F.col("n").alias("m_n"), F.col("tokens").alias("m_tokens"))
+    offered = found.select("group", "slot").distinct().join(members, "group")
+    return asked.groupBy("q_group", "q_slot").cogroup(offered.groupBy("group", "slot")).applyInArrow(open_groups(percent), "a long, b long")
 
 
 def components(docs, id="doc_id", text="text", shingle=5, percent=80):
