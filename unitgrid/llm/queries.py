@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from unitgrid.llm import jaccard, substrings
+from unitgrid.llm import bpe, chat, jaccard, substrings, wumanber
 from unitgrid.llm.common import table
 
+WORD_BPE = "word_bpe_49k.json"
+
 QUERIES, ORACLES = {}, {}
 
 
@@ -17,6 +19,31 @@ def _sha(column):
     return F.sha2(F.encode(column, "UTF-8"), 256)
 
 
+def vocabulary_path():
+    import public_tokenizers
+    return public_tokenizers.path(WORD_BPE)
+
+
+@query
+def op2_bpe(spark, sf_dir):
+    tables = bpe.vocabulary(spark, vocabulary_path())
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tables).select("doc_id", "n_tokens", "ids")
+    decoded = bpe.decode(encoded, tables)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), _sha("decoded").alias("decoded_sha256"))
+
+
+@query
+def op5_chat_format(spark, sf_dir):
+    probe = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
+    out = chat.formatted(rows.unionByName(extra))
+    back = out.select("conv_id", "formatted", chat.read_back(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"))
+    spelled = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), _sha(spelled).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), _sha("loss").alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 @query
 def op7_ngram_jaccard(spark, sf_dir):
     return jaccard.components(table(spark, sf_dir, "documents"))
@@ -26,3 +53,10 @@ def op7_ngram_jaccard(spark, sf_dir):
 def op9_substring_dedup(spark, sf_dir):
     found = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
+
+
+@query
+def op10_benchmark_decontamination(spark, sf_dir):
+    found = wumanber.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), _sha(F.array_join("items", ",")).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
