@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from unitgrid.llm import bpe, chat, jaccard, substrings, wumanber
+from unitgrid.llm import bpe, chat, jaccard, linecrf, maintext, nearest_toxic, substrings, wumanber
 from unitgrid.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -32,6 +32,37 @@ def op2_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), _sha("decoded").alias("decoded_sha256"))
 
 
+def _fold(parts):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def quality_model(spark, docs, sf_dir):
+    labels = table(spark, sf_dir, "labels").filter(_fold(4) != 2).select("doc_id", "quality")
+    return linecrf.train(docs.select("doc_id", "text"), labels, "quality")
+
+
+@query
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = linecrf.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                         "line_quality", "n_lines", "n_good_lines")
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(_fold(5) != 0).select("doc_id", "toxic")
+    scored = nearest_toxic.score(docs, nearest_toxic.train(docs, labels))
+    return scored.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+@query
+def op8_main_text(spark, sf_dir):
+    found = maintext.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op5_chat_format(spark, sf_dir):
     probe = "</s>[INST] ok [/INST]"
