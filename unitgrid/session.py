@@ -60,4 +60,16 @@ def materialize(df, label="step"):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables):
+    """Delete tables that `materialize` returned; nothing may read them any more."""
+    for df in tables:
+        path = getattr(df, "scratch_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
