@@ -1,43 +1,70 @@
-"""Documents to training tokens: quality, near duplicates, repeated passages, benchmark passages, tokens."""
+"""Documents to training tokens: quality, near duplicates, repeated passages, benchmark passages, tokens.
+
+Every stage takes what its predecessor kept, as a table written in the shared folder. A document goes if its quality is
+rejected, if it is not the one its group of near duplicates keeps, if repeated passages are all it had, or if it holds a
+window of a benchmark item. Repeated passages go from the texts of the others.
+"""
 
 from pyspark.sql import functions as F
 
-from unitgrid.llm import jaccard, substrings
+from unitgrid.llm import bpe, jaccard, linecrf, queries, substrings, wumanber
+from unitgrid.llm.common import table
 from unitgrid.session import materialize
 
 
+def good_quality(spark, docs, sf_dir):
+    """Keep documents with a quality score of 0.7 or more; those without text score like any and are kept or go by it."""
+    scored = linecrf.score(docs, queries.quality_model(spark, docs, sf_dir))
+    return scored.filter("score >= 0.7").select(*docs.columns)
+
+
 def one_of_each_group(spark, docs, sf_dir):
     """Keep one document of each group of near duplicates: the one whose doc_id names the group.
 
-    Documents without words are in no group and stay. Rows that repeat a doc_id are one document; one of them stays.
+    Documents without words are in no group and stay, and so do documents without a doc_id. Rows that repeat a doc_id of a
+    group are one document; one of them stays.
     """
-    groups = materialize(jaccard.components(docs), "groups")
-    grouped = groups.filter("n_shingles > 0")
-    kept = grouped.filter("doc_id = component_id")
-    again = kept.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    wordless = groups.filter("n_shingles = 0").select("doc_id")
-    chosen = docs.join(kept.select("doc_id").unionByName(wordless).distinct(), "doc_id", "left_semi")
-    nameless = docs.filter("doc_id IS NULL")
-    single = chosen.join(again, "doc_id", "left_anti")
-    several = chosen.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(several).unionByName(nameless).select(*docs.columns)
+    groups = jaccard.components(docs)
+    kept = groups.filter("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    gone = groups.filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
+    again = kept.filter("copies > 1").select("doc_id")
+    rest = docs.join(gone.join(kept, "doc_id", "left_anti").unionByName(again), "doc_id", "left_anti")
+    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return rest.unionByName(once).select(*docs.columns)
 
 
 def without_repeats(spark, docs, sf_dir):
-    """Remove words that windows of 35 words repeated anywhere cover; documents of which nothing stays go."""
-    found = substrings.dedup(docs)
-    out = found.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")))
-    return out
+    """Remove words inside windows of 35 words that start anywhere else too; a document of which no word stays goes."""
+    found = substrings.dedup(docs, layout=True).filter("n_removed < n_words OR n_words = 0")
+    changed = found.withColumnRenamed("kept_text", "text")
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return changed.select(*docs.columns)
+
+
+def without_benchmark(spark, docs, sf_dir):
+    """Keep documents that hold no window of a benchmark item."""
+    return wumanber.find(docs, table(spark, sf_dir, "benchmark")).filter("n_hit = 0").select(*docs.columns)
+
 
+def tokens(spark, docs, sf_dir):
+    """Encode every text; ids are little-endian unsigned 32-bit numbers, and decoded_sha256 tells what they decode to."""
+    tables = bpe.vocabulary(spark, queries.vocabulary_path())
+    encoded = bpe.encode(docs, tables).drop("text")
+    decoded = bpe.decode(encoded, tables)
+    return decoded.withColumn("decoded_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256)).drop("decoded")
 
-STAGES = []
+
+STAGES = [("quality", good_quality), ("near_duplicates", one_of_each_group), ("substrings", without_repeats),
+          ("decontamination", without_benchmark), ("tokens", tokens)]
+
+#: SQL cannot express the trained classifier and the tokenizer; tests compare with brute force.
+ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of sf_dir."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
-
-
-ORACLE_SQL = None

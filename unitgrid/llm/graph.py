@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from unitgrid.session import materialize
+from unitgrid.session import discard, materialize
 
 
 def components(edges):
@@ -12,9 +12,10 @@ def components(edges):
     left. Node numbers should be hashes: then the rounds grow with the logarithm of the longest path. The state of a
     round is a table in the shared folder; no node's neighbours are gathered, only their minimum.
     """
-    left, rounds = edges.select("a", "b"), []
+    left, rounds, used = edges.select("a", "b"), [], []
     while True:
         left = materialize(left.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        used.append(left)
         if left.isEmpty():
             break
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -22,14 +23,18 @@ def components(edges):
         near = materialize(near, "near")
         step = near.join(near.select(F.col("a").alias("p"), F.col("p").alias("q")), "p").select("a", F.col("q").alias("p"))
         step = materialize(step, "step")
+        used += [near, step]
         rounds.append(step)
         left = (left.join(step, "a").select(F.col("p").alias("pa"), "b")
                 .join(step.select(F.col("a").alias("b"), F.col("p").alias("pb")), "b").select(F.col("pa").alias("a"), F.col("pb").alias("b")))
     if not rounds:
+        discard(*used)
         return edges.sparkSession.createDataFrame([], "node long, component long")
     label = rounds.pop()
     while rounds:
         below = rounds.pop()
         label = (below.join(label.select(F.col("a").alias("p"), F.col("p").alias("q")), "p", "left")
                  .select("a", F.coalesce("q", "p").alias("p")))
-    return materialize(label.select(F.col("a").alias("node"), F.col("p").alias("component")), "components")
+    found = materialize(label.select(F.col("a").alias("node"), F.col("p").alias("component")), "components")
+    discard(*used)
+    return found

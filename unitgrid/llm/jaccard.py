@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from unitgrid.llm import ballots, common
 from unitgrid.llm.graph import components as connected
 from unitgrid.llm.textpack import SPACE, Words, mixed, window_hashes
-from unitgrid.session import materialize
+from unitgrid.session import discard, materialize
 
 LOW32 = np.uint64(0xFFFFFFFF)
 BLOCK = 256  # nodes of a block, on average
@@ -336,13 +336,14 @@ def components(docs, id="doc_id", text="text", shingle=5, percent=80):
     for seed in (1, 2):
         keyed = _dealt(nodes.select("node", least(seed)).withColumn("seed", F.lit(seed)), "key", "part", BLOCK)
         blocks = keyed if blocks is None else blocks.unionByName(keyed)
-    lone = materialize(blocks, "blocks")
+    lone = placed = materialize(blocks, "blocks")
     meet = lone.groupBy("seed", "key", "part").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     lone = lone.join(meet, ["seed", "key", "part"])
     links = (lone.join(nodes.select("node", "n", "tokens"), "node").select("seed", "key", "part", "node", "n", "tokens")
              .groupBy("seed", "key", "part").applyInArrow(link_block(percent), "a long, b long"))
     links = materialize(links, "links")
     labels = connected(links)
+    discard(placed, links)
 
     mail = labels.select(F.pmod("node", F.lit(batches)).cast("int").alias("batch"), F.lit(1).alias("kind"), F.lit(0).alias("bucket"),
                          F.lit(None).cast("binary").alias("body"), "node", "component")
@@ -354,6 +355,7 @@ def components(docs, id="doc_id", text="text", shingle=5, percent=80):
         foreign_nodes(percent, buckets), "node long, component long, n long, tokens array<long>"), "rest")
     more = materialize(matrix_links(rest, percent), "more")
     joined = connected(more)
+    discard(nodes, rest, more)
     labels = (labels.join(joined.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "full")
               .select(F.coalesce("node", "component").alias("node"), F.coalesce("top", "component").alias("component")))
     final = labels.unionByName(joined).groupBy("node").agg(F.min("component").alias("component"))
@@ -364,4 +366,6 @@ def components(docs, id="doc_id", text="text", shingle=5, percent=80):
     tops = materialize(owners.join(tops, "component").select("node", "component_id"), "tops")
     named = inside.select("id", "n", "node").join(tops, "node").select("id", "n", "component_id")
     alone = rows.filter("node IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return named.unionByName(alone).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")
+    done = materialize(named.unionByName(alone).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id"), "groups")
+    discard(rows, tops)
+    return done

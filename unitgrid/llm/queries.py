@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from unitgrid.llm import bpe, chat, jaccard, linecrf, maintext, nearest_toxic, substrings, wumanber
+from unitgrid.llm import bpe, chat, jaccard, kdsearch, langid, linecrf, maintext, nearest_toxic, substrings, wumanber
 from unitgrid.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -91,3 +91,15 @@ def op10_benchmark_decontamination(spark, sf_dir):
     found = wumanber.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), _sha(F.array_join("items", ",")).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op1_kd_nearest(spark, sf_dir):
+    return kdsearch.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    model = langid.train(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    found = langid.identify(table(spark, sf_dir, "pages").select("page_id", "url", "html"), model)
+    return found.select("page_id", "lang", "confidence", "declared", "suffix", "text_lang")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from unitgrid.llm import ballots, common
-from unitgrid.llm.textpack import Words, member, mixed, window_hashes
+from unitgrid.llm.textpack import Words, member, mixed, strings, window_hashes
 
 HITS, REPEATS = 1, 2
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -79,7 +79,7 @@ def compare(text, window, buckets):
     return run
 
 
-def remove(text, window, buckets):
+def remove(text, window, buckets, layout):
     def run(table, answers):
         words = Words(table.column(text)) if table.num_rows else Words(pa.array([], pa.string()))
         h = words.hashes()
@@ -107,15 +107,28 @@ def remove(text, window, buckets):
                                        ["from", "to"]))
         removed = np.bincount(text_of[gone], minlength=words.texts)
         return pa.table([table.column("row").combine_chunks(), pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()), spans,
-                         words.joined(~gone)], names=["row", "n_words", "n_removed", "spans", "kept_text"])
+                         _cut(words, gone) if layout else words.joined(~gone)], names=["row", "n_words", "n_removed", "spans", "kept_text"])
     return run
 
 
-def dedup(docs, text="text", window=35):
+def _cut(words, gone):
+    """The texts without the removed words and the white space behind them; the rest as it was."""
+    n = len(words.buf)
+    after = np.append(words.start[1:], n)  # where the next word, or the next text, starts
+    after = np.minimum(after, np.repeat(words.offsets[1:], words.counts))
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, words.start[gone], 1)
+    np.add.at(change, after[gone], -1)
+    keep = np.cumsum(change[:-1]) == 0
+    return strings(words.buf[keep], np.concatenate([[0], np.cumsum(keep)])[words.offsets])
+
+
+def dedup(docs, text="text", window=35, layout=False):
     """Remove the words of every repeated window of `window` words.
 
     Returns the other columns of `docs` and: n_words, n_removed (long), spans (removed words as [from, to) word
-    ranges, maximal), kept_text (the words that stay, joined by one space). A column of `docs` with one of these
+    ranges, maximal), kept_text (the words that stay, joined by one space; with `layout` the text as
+    it was without the removed words and the white space behind each). A column of `docs` with one of these
     names is replaced. Words are runs of bytes other than ASCII white space, unchanged. A null or empty text has no
     words, n_removed 0 and kept_text "". Repeated rows are texts like any other: each is the other's repeat. An
     empty table gives an empty one. Batches: two for each of the session's shuffle partitions.
@@ -136,6 +149,6 @@ def dedup(docs, text="text", window=35):
                .groupBy("bucket").applyInArrow(ballots.judge(REPEATS, np.uint64, False), ballots.ANSWER))
     out = packed.schema["row"].dataType.simpleString()
     done = packed.groupBy("batch").cogroup(hits.unionByName(repeats).groupBy("batch")).applyInArrow(
-        remove("text", window, buckets), f"row {out}, n_words long, n_removed long, spans array<struct<from:long,to:long>>, kept_text string")
+        remove("text", window, buckets, layout), f"row {out}, n_words long, n_removed long, spans array<struct<from:long,to:long>>, kept_text string")
     keep = common.others(docs, text, *made)
     return done.select(*[F.col("row").getField(c).alias(c) for c in keep], *made)
