@@ -13,11 +13,10 @@ where they lie, without a shuffle; a task holds one portion of its partition, of
 import heapq
 import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
-import regex
-import unicodedata
 from pyspark.sql import functions as F
 
 from unitgrid.llm import common
@@ -25,7 +24,9 @@ from unitgrid.llm.textpack import slices
 
 WORD_END = "</w>"
 DEAD, EDGE = -2, -1
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0  -     　\p{L}\p{N}]+")
+# Fixed value: how the vocabulary's file cuts normalized text into words; for ASCII the same in `re`.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
 
 def byte_letters():
@@ -139,17 +140,24 @@ class Numbers(dict):
         return value
 
 
-def pieces(chunk, special, splitter):
+def unicode_words():
+    """Normalized words of a text by the library's Unicode tables, which are not those of Python or of `regex`."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+    normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
+    split = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True).pre_tokenize_str
+    return lambda text: [w.encode() for w, _ in split(normal(text))]
+
+
+def pieces(chunk, special, splitter, in_words):
     """A chunk without ASCII white space as words (bytes) and special ids (int)."""
     if chunk.isascii() and b"<" not in chunk:
-        return [p.encode() for p in SPLIT.findall(chunk.lower().decode())]
+        return [p.encode() for p in ASCII_WORDS.findall(chunk.lower().decode())]
     out = []
     for part in splitter.split(chunk.decode()) if splitter else [chunk.decode()]:
         if part in special:
             out.append(special[part])
         elif part:
-            lowered = "".join(c.lower() for c in unicodedata.normalize("NFC", part))
-            out += [p.encode() for p in SPLIT.findall(lowered)]
+            out += in_words(part)
     return out
 
 
@@ -164,11 +172,11 @@ def gather(values, first, which):
 def encode_texts(merger, special, splitter, texts):
     """Packed ids of each text (bytes). Words and merges are found once for each distinct chunk and word."""
     chunks, words = Numbers(), Numbers()
-    number = chunks.__getitem__
+    number, in_words = chunks.__getitem__, unicode_words()
     codes = [np.fromiter(map(number, t.split()), np.int64) for t in texts]
     flat, counts = [], []
     for chunk in chunks:
-        got = pieces(chunk, special, splitter)
+        got = pieces(chunk, special, splitter, in_words)
         counts.append(len(got))
         flat += [words[p] if isinstance(p, bytes) else -1 - p for p in got]
     ids, first = merger.encode(list(words))
@@ -200,7 +208,7 @@ def encoder(tables, portion):
     def run(batches):
         t = tables.value
         merger, special = Merger(t), t["special"]
-        splitter = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        splitter = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         held, size = [], 0
         for batch in slices(batches):
             held.append(batch)

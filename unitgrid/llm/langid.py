@@ -11,7 +11,6 @@ log posterior(language) = log prior(language | host) + log likelihood(text) + lo
   as much as it agrees with the texts here.
 """
 
-import html
 import re
 
 import numpy as np
@@ -123,7 +122,7 @@ def identify(pages, model, html="html", url="url", strength=10.0):
         return hosts.groupBy(*keys).agg(F.array(*[F.sum(F.col("counts")[i]) for i in range(len(languages))]).alias("counts"))
 
     n = len(languages)
-    world = [sum(x) for x in zip(*[(r.counts or [0.0] * n) for r in level().collect()])] or [0.0] * n
+    world = [c or 0.0 for c in level().first().counts]
     world = [(c + 1.0) / (sum(world) + n) for c in world]
     last = _shrunk(level("last").withColumn("above", F.array(*[F.lit(w) for w in world])), "last", None, n, strength)
     domain = _shrunk(level("domain", "last").join(last, "last").withColumnRenamed("last_prior", "above"), "domain", None, n, strength)

@@ -10,6 +10,8 @@ executors in blocks of bounded size, one after the other, each measured before i
 has more blocks, not larger ones. Inside a task the search windows of many segments move on together as one array.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -138,7 +140,7 @@ def load(benchmark, id="item_id", text="text", window=10, block_mb=8):
     spark = benchmark.sparkSession
     items = benchmark.select(common.quoted(id).cast("string").alias("id"), common.quoted(text).alias("text")).filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // (block_mb * 1_000_000)))
+    n = max(1, math.ceil(size / (block_mb * 1_000_000)))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
     return [spark.sparkContext.broadcast([vars(p) for p in build([(r.id, r.text) for r in dealt.filter(F.col("block") == i).select("id", "text").collect()], window)])
             for i in range(n)]
