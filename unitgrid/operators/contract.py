@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from unitgrid import schema as S
 from unitgrid.functions.numbers import as_double, is_bad_number, is_finite, is_numeric
 from unitgrid.functions.text import natural_key, time_stamp
-from unitgrid.operators.keys import drop_exact, duplicate_keys, enrich_admin, month_grid, unknown_keys
+from unitgrid.operators.keys import drop_exact, duplicate_keys, enrich_admin, month_grid, one_per_key, unknown_keys
 
 
 class ContractError(ValueError):
@@ -135,7 +135,7 @@ def guard(bad, message):
 
 
 def _typed(df, kind):
-    """Key and metric columns with their final types."""
+    """Key and metric columns as text and doubles; whole-number metrics get their type after conflicts are looked for."""
     df = unify_aliases(df)
     lacking = set(S.KEY) - set(df.columns)
     if lacking:
@@ -144,7 +144,7 @@ def _typed(df, kind):
     out = strict_double(df.select(*S.KEY, *metrics), [m for m in metrics if m != "TIME"])
     return out.select(F.col("gid_3").cast("string").alias("gid_3"),
                       *[as_double(df, c).cast("long").alias(c) for c in ("year", "month")],
-                      *[(F.col(m) if m in metrics else F.lit(None)).cast(S.metric_type(m)).alias(m)
+                      *[(F.col(m) if m in metrics else F.lit(None)).cast("string" if m == "TIME" else "double").alias(m)
                         for m in S.METRICS[kind]])
 
 
@@ -207,6 +207,7 @@ def normalize(df, admin, kind, year=S.YEAR, complete=True):
     """
     rows = _collapsed(df, kind, year)
     unknown = lambda marker: guard(F.col(marker).isNull(), F.concat(F.lit("unknown gid "), F.col("gid_3")))
+    admin = one_per_key(admin.select(*S.ADMIN_COLUMNS), ["gid_3"], "administrative table")
     if not complete:
         return conform(enrich_admin(rows, admin).filter(unknown("gid_1")), kind)
     grid = month_grid(admin, year, columns=S.ADMIN_COLUMNS)
@@ -233,9 +234,18 @@ def read_source_rules(sources, year=S.YEAR):
 
 
 def _zero_flags(sources):
-    """One row per (gid, month) with a zero-count flag per field; sums combine before the shuffle."""
-    return (sources.groupBy("gid_3", "month")
-            .agg(*[F.max((F.col("field") == f) & (F.col("count") == 0)).alias(f"_zero_{f}") for f in S.FIELDS]))
+    """One row per (gid, month) with a zero-count flag per field; combines before the shuffle.
+
+    Evidence that contradicts itself, counts that are negative or not finite, and unknown fields stop the job.
+    """
+    own = lambda f: F.when(F.col("field") == f, F.col("count"))
+    wrong = F.coalesce(~is_finite("count") | (F.col("count") < 0) | ~F.col("field").isin(*S.FIELDS), F.lit(True))
+    flags = sources.groupBy("gid_3", "month").agg(
+        F.bool_or(wrong).alias("_wrong"), *[F.min(own(f)).alias(f"_lo_{f}") for f in S.FIELDS], *[F.max(own(f)).alias(f"_hi_{f}") for f in S.FIELDS])
+    split = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_lo_{f}") != F.col(f"_hi_{f}"), F.lit(False)) for f in S.FIELDS])
+    where = F.concat_ws("/", "gid_3", F.col("month").cast("string"))
+    return flags.filter(guard(F.col("_wrong") | split, F.concat(F.lit("source evidence at "), where))).select(
+        "gid_3", "month", *[F.coalesce(F.col(f"_lo_{f}") == 0, F.lit(False)).alias(f"_zero_{f}") for f in S.FIELDS])
 
 
 def _state_columns(kind, year):
@@ -378,9 +388,10 @@ def check_images(manifest):
     bad_bands = (F.col("bands") != F.when(day, 10).otherwise(2)) | ~F.coalesce(F.col("epsg") == 4326, F.lit(False))
     bad_grid = ((F.col("step_x") <= 0) | (F.col("step_y") >= 0) | (F.col("rot_x") != 0) | (F.col("rot_y") != 0)
                 | off(F.col("step_x")) | off(-F.col("step_y")))
-    error = (F.when(bad_bands, S.MSG_BANDS_CRS).when(bad_grid, S.MSG_RESOLUTION)
-             .when(~day & (F.col("dtype") != "float64"), S.MSG_NIGHT_DTYPE)
-             .when(day & ~F.col("dtype").startswith("float"), S.MSG_DAY_DTYPE).otherwise(""))
+    known = lambda wrong: F.coalesce(wrong, F.lit(True))  # metadata that cannot be read is a failure
+    error = (F.when(known(bad_bands), S.MSG_BANDS_CRS).when(known(bad_grid), S.MSG_RESOLUTION)
+             .when(~day & known(F.col("dtype") != "float64"), S.MSG_NIGHT_DTYPE)
+             .when(day & known(~F.col("dtype").startswith("float")), S.MSG_DAY_DTYPE).otherwise(""))
     return manifest.withColumn("error", error).withColumn("state", F.when(F.col("error") == "", "done")
                                                           .otherwise("failed"))
 

@@ -3,41 +3,53 @@
 edges: gid, part, ring, x1, y1, x2, y2. In pixel units x is the column and y the row.
 """
 
+import json
+
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from unitgrid.functions.grid import TILE, pixel_window, planar_length
+from unitgrid.operators.ordering import rank_rows
+from unitgrid.session import ship_by_value
+
+ship_by_value(__name__)
 
 # Classes counted as main roads.
 MAIN_ROADS = ["motorway", "trunk", "primary", "secondary", "tertiary", "motorway_link", "trunk_link",
               "primary_link", "secondary_link", "tertiary_link"]
 
-_POINT = "array<array<double>>"
-_GEOMETRY = ("struct<type:string,coordinates:string,"
-             "geometries:array<struct<type:string,coordinates:string,geometries:string>>>")
+def polygons_of(text):
+    """Polygons (lists of rings) of a GeoJSON geometry; collections are opened to any depth."""
+    out, left = [], [json.loads(text)]
+    while left:
+        g = left.pop()
+        if g is None:
+            continue
+        if g["type"] == "Polygon":
+            out.append(g["coordinates"])
+        elif g["type"] == "MultiPolygon":
+            out += g["coordinates"][::-1]
+        elif g["type"] == "GeometryCollection":
+            left += g["geometries"]
+    return [[[[float(v) for v in point[:2]] for point in ring] for ring in rings] for rings in reversed(out)]
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))))
+def _polygons(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: [] if t is None else polygons_of(t))
 
 
 def polygon_edges(features, gid="gid", geometry="geometry"):
     """GeoJSON geometry texts to edges, features of one gid merged.
 
-    Polygon and MultiPolygon are read directly; a GeometryCollection is unfolded one level at a time.
+    Polygons are read at any depth of nested collections; a NULL geometry has no edges, and a text that
+    is not GeoJSON stops the job.
     """
-    g = F.from_json(geometry, _GEOMETRY)
-    flat = features.select(F.col(gid).alias("gid"), g.alias("g"))
-    members = flat.select("gid", F.when(F.col("g.type") == "GeometryCollection", F.col("g.geometries"))
-                          .otherwise(F.array(F.struct(F.col("g.type").alias("type"),
-                                                      F.col("g.coordinates").alias("coordinates"),
-                                                      F.lit(None).cast("string").alias("geometries")))).alias("m"))
-    parts = members.select("gid", F.posexplode("m").alias("_i", "m"))
-    inner = parts.select("gid", "_i", F.when(
-        F.col("m.type") == "GeometryCollection",
-        F.from_json("m.geometries", "array<struct<type:string,coordinates:string,geometries:string>>"))
-        .otherwise(F.array("m")).alias("m")).select("gid", "_i", F.posexplode("m").alias("_j", "m"))
-    shapes = inner.filter(F.col("m.type").isin("Polygon", "MultiPolygon")).select("gid", "_i", "_j", F.when(
-        F.col("m.type") == "Polygon", F.array(F.from_json("m.coordinates", f"array<{_POINT}>")))
-        .otherwise(F.from_json("m.coordinates", f"array<array<{_POINT}>>")).alias("polys"))
-    polys = shapes.select("gid", "_i", "_j", F.posexplode("polys").alias("_k", "rings"))
-    rings = polys.select("gid", F.concat_ws(".", "_i", "_j", "_k").alias("part"),
+    polys = (features.select(F.col(gid).alias("gid"), F.col(geometry).alias("g")).withColumn("_i", F.xxhash64("g"))
+             .select("gid", "_i", F.posexplode(_polygons("g")).alias("_k", "rings")))
+    rings = polys.select("gid", F.concat_ws(".", "_i", "_k").alias("part"),
                          F.posexplode("rings").alias("ring", "pts"))
     pairs = F.arrays_zip(F.slice("pts", 1, F.size("pts") - 1).alias("a"), F.slice("pts", 2, F.size("pts")).alias("b"))
     return (rings.select("gid", "part", "ring", F.explode(pairs).alias("e"))
@@ -128,14 +140,15 @@ def cut_windows(pixels, boxes, spans, bands, bucket=256):
 # --- lines ---------------------------------------------------------------------------------------
 
 def segments(points, key=("way_id",), seq="seq", carry=("class",)):
-    """Consecutive points of a polyline as segments.
+    """Consecutive points of a polyline as segments; `seq` orders the points and may have gaps.
 
-    Vertices are numbered without gaps, so each is joined to its successor by (way, number): no
-    window gathers a long line in one task.
+    Points are ranked by (way, seq) in a global range sort and each is joined to the next rank of its own
+    way: no window gathers a long line in one task.
     """
-    a = points.select(*key, seq, *carry, F.col("x").alias("x1"), F.col("y").alias("y1"))
-    b = points.select(*key, (F.col(seq) - 1).alias(seq), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    return a.join(b, [*key, seq])
+    ranked = rank_rows(points.select(*key, seq, *carry, "x", "y"), [*key, seq, "x", "y"], "_rank")
+    a = ranked.select(*key, "_rank", seq, *carry, F.col("x").alias("x1"), F.col("y").alias("y1"))
+    b = ranked.select(*key, (F.col("_rank") - 1).alias("_rank"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    return a.join(b, [*key, "_rank"]).drop("_rank")
 
 
 def _boxed(df):
@@ -160,8 +173,9 @@ def _meets(a, b, cell):
 def inside_pieces(segs, edges, cell):
     """Parts of segments inside polygons: (gid, way_id, seq, class, t0, t1, x1, y1, x2, y2).
 
-    Candidates and crossings are equi-joins on grid cells. A segment starts inside when a ray from its
-    first point crosses the outline an odd number of times, and every crossing toggles it.
+    Candidates and crossings are equi-joins on grid cells. A segment is cut wherever it meets the outline,
+    touching included, and each piece is in or out by its midpoint: a ray to the right crosses the
+    outline an odd number of times, edges counted half-open in y.
     """
     seg = _boxed(segs)
     box = bounds(edges).select("gid", F.col("minx").alias("_plx"), F.col("miny").alias("_ply"),
@@ -169,18 +183,8 @@ def inside_pieces(segs, edges, cell):
     seg_cells = _on_cells(seg, "_", cell)
     cand = (seg_cells.join(_on_cells(box, "_p", cell), ["_cx", "_cy"]).filter(_meets("_", "_p", cell))
             .select("gid", *segs.columns))
-    # Start status: crossings of the rightward ray, found through y bands of the edges.
-    edge = edges.select("gid", *[F.col(c).alias("e" + c) for c in ("x1", "y1", "x2", "y2")])
-    low, high = F.least("ey1", "ey2"), F.greatest("ey1", "ey2")
-    bands = edge.filter("ey1 <> ey2").withColumn("_band", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
-    at = F.col("ex1") + (F.col("y1") - F.col("ey1")) * (F.col("ex2") - F.col("ex1")) / (F.col("ey2") - F.col("ey1"))
-    hit = (low <= F.col("y1")) & (F.col("y1") < high) & (at > F.col("x1"))
     ids = ["gid", "way_id", "seq"]
-    rays = (cand.withColumn("_band", F.floor(F.col("y1") / cell)).join(bands, ["gid", "_band"])
-            .filter(hit).groupBy(*ids).agg((F.count("*") % 2).alias("_odd")))
-    starts = cand.join(rays, ids, "left").select(
-        *ids, F.lit(0.0).alias("t0"), F.coalesce("_odd", F.lit(0)).alias("_flip"), F.lit(0).alias("_first"))
-    # Crossings of segments and edges, end points classified half-open.
+    edge = edges.select("gid", *[F.col(c).alias("e" + c) for c in ("x1", "y1", "x2", "y2")])
     edge_box = edge.withColumns({"_elx": F.least("ex1", "ex2"), "_ehx": F.greatest("ex1", "ex2"),
                                  "_ely": F.least("ey1", "ey2"), "_ehy": F.greatest("ey1", "ey2")})
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
@@ -188,15 +192,22 @@ def inside_pieces(segs, edges, cell):
     s1, s2 = side("ex1", "ey1"), side("ex2", "ey2")
     ex, ey = F.col("ex2") - F.col("ex1"), F.col("ey2") - F.col("ey1")
     t = F.try_divide((F.col("ex1") - F.col("x1")) * ey - (F.col("ey1") - F.col("y1")) * ex, dx * ey - dy * ex)
-    crossings = (seg_cells.join(_on_cells(edge_box, "_e", cell), ["_cx", "_cy"]).filter(_meets("_", "_e", cell))
-                 .filter((s1 >= 0) != (s2 >= 0)).withColumn("t0", t).filter((F.col("t0") >= 0) & (F.col("t0") < 1))
-                 .select(*ids, "t0", F.lit(1).alias("_flip"), F.lit(1).alias("_first")))
-    w = Window.partitionBy(*ids).orderBy("_first", "t0")
-    turns = starts.unionByName(crossings).withColumns({
-        "_state": F.sum("_flip").over(w.rowsBetween(Window.unboundedPreceding, 0)) % 2,
-        "t1": F.coalesce(F.lead("t0").over(w), F.lit(1.0))})
-    return turns.filter((F.col("_state") == 1) & (F.col("t1") > F.col("t0"))).select(*ids, "t0", "t1").join(
-        segs, ["way_id", "seq"]), cand
+    cuts = (seg_cells.join(_on_cells(edge_box, "_e", cell), ["_cx", "_cy"]).filter(_meets("_", "_e", cell))
+            .filter(F.signum(s1) * F.signum(s2) <= 0).withColumn("t0", t).filter((F.col("t0") > 0) & (F.col("t0") < 1))
+            .select(*ids, "t0").distinct())
+    starts = cand.select(*ids, F.lit(0.0).alias("t0"))
+    w = Window.partitionBy(*ids).orderBy("t0")
+    parts = starts.unionByName(cuts).withColumn("t1", F.coalesce(F.lead("t0").over(w), F.lit(1.0))).filter("t1 > t0")
+    middle = (F.col("t0") + F.col("t1")) / 2
+    parts = parts.join(segs, ["way_id", "seq"]).withColumns({
+        "_mx": F.col("x1") + middle * (F.col("x2") - F.col("x1")), "_my": F.col("y1") + middle * (F.col("y2") - F.col("y1"))})
+    low, high = F.least("ey1", "ey2"), F.greatest("ey1", "ey2")
+    bands = edge.filter("ey1 <> ey2").withColumn("_band", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
+    at = F.col("ex1") + (F.col("_my") - F.col("ey1")) * (F.col("ex2") - F.col("ex1")) / (F.col("ey2") - F.col("ey1"))
+    hit = (low <= F.col("_my")) & (F.col("_my") < high) & (at > F.col("_mx"))
+    inside = (parts.withColumn("_band", F.floor(F.col("_my") / cell)).join(bands, ["gid", "_band"]).filter(hit)
+              .groupBy(*ids, "t0", "t1", *[c for c in segs.columns if c not in ids]).agg((F.count("*") % 2).alias("_odd")))
+    return inside.filter("_odd = 1").drop("_odd"), cand
 
 
 def clip_line_length(segs, edges, cell, main=MAIN_ROADS, length=planar_length, factor=1e-3, digits=4):

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from unitgrid.operators.ordering import rank_rows
 from unitgrid.schema import ADMIN_COLUMNS, FIELDS, TERMINAL
 
 
@@ -40,10 +41,24 @@ def unknown_keys(df, dim, key="gid_3"):
     return df.filter(F.col(key).isNotNull()).select(key).distinct().join(dim.select(key), key, "left_anti")
 
 
+def same_keys(left, right):
+    """Join condition of paired columns in which NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
+
+
+def one_per_key(df, key, what):
+    """The same rows; a key that occurs twice stops the job. One group-by, whose placement serves a join on the key."""
+    rest = [c for c in df.columns if c not in key]
+    rows = df.groupBy(*key).agg(F.count("*").alias("_n"), F.first(F.struct(F.lit(0).alias("_"), *rest)).alias("_r"))
+    message = F.concat(F.lit(f"{what}: repeated key "), F.concat_ws("/", *[F.col(k).cast("string") for k in key]))
+    good = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(good).select(*[F.col(c) if c in key else F.col("_r")[c].alias(c) for c in df.columns])
+
+
 def enrich_admin(df, admin):
-    """Names by gid: incoming name columns are replaced by the dimension's."""
+    """Names by gid: incoming name columns are replaced by the dimension's. A gid twice in `admin` stops the job."""
     own = [c for c in df.columns if c == "gid_3" or c not in ADMIN_COLUMNS]
-    return df.select(*own).join(admin.select(*ADMIN_COLUMNS), "gid_3", "left")
+    return df.select(*own).join(one_per_key(admin.select(*ADMIN_COLUMNS), ["gid_3"], "administrative table"), "gid_3", "left")
 
 
 def month_grid(units, year, months=range(1, 13), columns=("gid_3",)):
@@ -53,8 +68,9 @@ def month_grid(units, year, months=range(1, 13), columns=("gid_3",)):
 
 
 def complete_grid(df, units, year, months=range(1, 13)):
-    """Every unit gets every month; absent months have NULL metrics."""
-    return month_grid(units, year, months).join(df, ["gid_3", "year", "month"], "left")
+    """Every unit gets every month; absent months have NULL metrics. A key twice on either side stops the job."""
+    grid = month_grid(one_per_key(units.select("gid_3"), ["gid_3"], "units"), year, months)
+    return grid.join(one_per_key(df, ["gid_3", "year", "month"], "table"), ["gid_3", "year", "month"], "left")
 
 
 def reconcile_keys(left, right, key):
@@ -118,16 +134,18 @@ def resolve_ids(wanted, known, gid="gid_3"):
 
 
 def listed(df, group, value, chunk=1000, order=None):
-    """Values of each group as sorted lists of at most about `chunk` entries, all values kept.
+    """Values of each group in order, as lists of `chunk` values numbered from 0; the last list of a group may be shorter.
 
-    Chunks are hash slices sized from the group's count, so one large group becomes many rows.
+    All values are ranked in one global range sort and numbered within their group, so a list holds
+    consecutive values whatever the group's size, and a large group becomes many rows.
     """
-    sizes = df.groupBy(*group).agg(F.count("*").alias("_n"))
-    sized = df.join(sizes, group).withColumn(
-        "chunk", F.pmod(F.xxhash64(value), F.ceil(F.col("_n") / F.lit(chunk))))
-    items = F.sort_array(F.collect_list(F.struct((order if order is not None else F.col(value)).alias("_order"), F.col(value))))
-    return (sized.groupBy(*group, "chunk")
-            .agg(F.transform(items, lambda s: s[value]).alias(value + "s"), F.count("*").alias("n")))
+    order = order if order is not None else F.col(value)
+    ranked = rank_rows(df.select(*group, F.col(value), order.alias("_order")), [*group, "_order", value], "_rank")
+    firsts = ranked.groupBy(*group).agg(F.min("_rank").alias("_first")).toDF(*[f"_g{i}" for i in range(len(group))], "_first")
+    numbered = (ranked.join(firsts, same_keys(group, [f"_g{i}" for i in range(len(group))]))
+                .withColumn("chunk", F.floor((F.col("_rank") - F.col("_first")) / chunk)))
+    items = F.sort_array(F.collect_list(F.struct("_rank", F.col(value))))
+    return numbered.groupBy(*group, "chunk").agg(F.transform(items, lambda s: s[value]).alias(value + "s"), F.count("*").alias("n"))
 
 
 def state_counts(progress, fields=FIELDS):

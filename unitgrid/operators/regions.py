@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from unitgrid.functions.numbers import ratio
-from unitgrid.session import materialize, ship_by_value
+from unitgrid.session import discard, materialize, ship_by_value
 
 ship_by_value(__name__)
 
@@ -126,7 +126,7 @@ def _border_edges(runs_, conn, tile):
     return pairs.select(IMG, both.alias("e")).select(IMG, "e.u", "e.v").distinct()
 
 
-def component_runs(mask, conn=8, tile=512, max_rounds=60):
+def component_runs(mask, conn=8, tile=512):
     """Row runs (split at tile borders) with the first run of their component as label.
 
     Tiles are labelled on their own; only labels that touch across tile borders enter the iterative
@@ -140,12 +140,11 @@ def component_runs(mask, conn=8, tile=512, max_rounds=60):
         return labelled
     nodes = edges.select(IMG, F.col("u").alias("id")).distinct()
     state = materialize(nodes.select(IMG, "id", F.col("id").alias("f"), F.col("id").alias("gf")), "labels")
-    for _ in range(max_rounds):
-        state = _hook(state, edges)
+    while True:
+        old, state = state, _hook(state, edges)
+        discard(old)
         if not state.filter("moved").take(1):
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     final = state.select(IMG, F.col("id").alias("label"), F.col("gf").alias("_l"))
     return labelled.join(final, [IMG, "label"], "left").select(
         IMG, "line", "p0", "p1", F.coalesce("_l", "label").alias("label"))
@@ -164,8 +163,10 @@ def _hook(state, edges):
              .select(IMG, "id", F.least("f", F.coalesce("m", "f")).alias("f"), F.col("gf").alias("old")))
     moved = materialize(moved, "hook")
     parent = moved.select(IMG, F.col("id").alias("f"), F.col("f").alias("gf"))
-    return materialize(moved.join(parent, [IMG, "f"])
+    found = materialize(moved.join(parent, [IMG, "f"])
                        .select(IMG, "id", "f", "gf", (F.col("gf") != F.col("old")).alias("moved")), "labels")
+    discard(moved)
+    return found
 
 
 def label_name(label):
@@ -281,7 +282,7 @@ def _thin(grid, passes, core):
     return grid, busy
 
 
-def skeleton(mask, tile=256, passes=16, max_rounds=200):
+def skeleton(mask, tile=256, passes=16):
     """Zhang-Suen skeleton of masks of any size.
 
     Images are cut into tiles with a border wide enough for `passes` passes (two pixels each), so each
@@ -305,13 +306,15 @@ def skeleton(mask, tile=256, passes=16, max_rounds=200):
 
     current = mask.select(F.col(IMG).cast("string").alias(IMG), F.col("row").cast("long").alias("row"),
                           F.col("col").cast("long").alias("col"))
-    for _ in range(max_rounds):
+    written = None
+    while True:
         spread = current.withColumn("_tr", near_tiles("row")).withColumn("_tc", near_tiles("col"))
-        current = materialize(spread.groupBy(IMG, "_tr", "_tc").applyInPandas(thin_tile, schema), "thin")
-        if not current.filter("_open").take(1):
-            return current.select(IMG, "row", "col")
-        current = current.select(IMG, "row", "col")
-    raise RuntimeError(f"skeleton did not settle in {max_rounds} rounds")
+        done = materialize(spread.groupBy(IMG, "_tr", "_tc").applyInPandas(thin_tile, schema), "thin")
+        if written is not None:
+            discard(written)
+        written, current = done, done.select(IMG, "row", "col")
+        if not done.filter("_open").take(1):
+            return current
 
 
 def road_metrics(mask, height, width, pixel_area_m2, res_m):

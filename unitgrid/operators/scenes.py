@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from unitgrid.functions.dates import WIDENINGS, month_end, month_start, window_bounds
 from unitgrid.functions.numbers import col
+from unitgrid.operators.keys import same_keys
 
 # Cloud limits and the sensor used in each block of years.
 CLOUD_LIMIT_INDEX = 85
@@ -30,16 +31,18 @@ def cloud_filter_or_all(scenes, group, cloud="cloud", limit=CLOUD_LIMIT_INDEX):
     group is never gathered in one task.
     """
     clear = F.coalesce(F.col(cloud) < limit, F.lit(False))
-    groups = scenes.groupBy(*group).agg(F.bool_or(clear).alias("_any"))
-    return scenes.join(groups, list(group)).filter(clear | ~F.col("_any")).drop("_any")
+    names = [f"_g{i}" for i in range(len(group))]
+    groups = scenes.groupBy(*group).agg(F.bool_or(clear).alias("_any")).toDF(*names, "_any")
+    return scenes.join(groups, same_keys(group, names)).filter(clear | ~F.col("_any")).drop("_any", *names)
 
 
 def prefer_collection(scenes, group, priority):
     """Scenes of the best-ranked collection present in each group; `priority` lists names, best first."""
     rank = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("collection"))
     ranked = scenes.withColumn("_rank", rank).filter("_rank > 0")
-    best = ranked.groupBy(*group).agg(F.min("_rank").alias("_best"))
-    return ranked.join(best, list(group)).filter("_rank = _best").drop("_rank", "_best")
+    names = [f"_g{i}" for i in range(len(group))]
+    best = ranked.groupBy(*group).agg(F.min("_rank").alias("_best")).toDF(*names, "_best")
+    return ranked.join(best, same_keys(group, names)).filter("_rank = _best").drop("_rank", "_best", *names)
 
 
 def route_sensor(df, year="year"):

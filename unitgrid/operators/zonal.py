@@ -1,5 +1,7 @@
 """Composites, zonal statistics and the night-light index chain."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from unitgrid import schema as S
@@ -9,25 +11,22 @@ from unitgrid.operators.trends import trends_rows
 
 # Fixed value: hectares of one 500 m pixel.
 PIXEL_HA = 25.0
-DN_MAX = 65535
 
 
-def composite(obs, by, bands, how="median"):
+def composite(obs, by, bands, how="median", digital=False):
     """One row per pixel: exact median or mean of each band over its observations.
 
-    A median keeps counts per distinct value and merges them map-side, so medians are taken over
-    integer digital numbers: whatever the number of observations of one pixel, its state never
-    exceeds 65,536 entries per band. Other values go through `composite_wide`.
+    Medians of `tinyint` and `smallint` bands keep counts per distinct value and merge them map-side: a
+    pixel's state never exceeds 65,536 entries per band. With `digital` the caller promises the same of
+    wider integer bands (16-bit digital numbers). All other values go through `composite_wide`.
     """
     if how == "mean":
         return obs.groupBy(*by).agg(*[F.avg(b).alias(b) for b in bands])
     types = dict(obs.dtypes)
-    loose = [b for b in bands if types[b] not in ("tinyint", "smallint", "int")]
-    if loose:
+    narrow = ("tinyint", "smallint", "int", "bigint") if digital else ("tinyint", "smallint")
+    if any(types[b] not in narrow for b in bands):
         return composite_wide(obs, by, bands)
-    inside = lambda b: F.when(F.col(b).between(-DN_MAX - 1, DN_MAX), F.col(b)) \
-        .when(F.col(b).isNotNull(), F.raise_error(F.lit(f"{b}: not a 16-bit digital number")).cast("int"))
-    return obs.groupBy(*by).agg(*[F.median(inside(b)).alias(b) for b in bands])
+    return obs.groupBy(*by).agg(*[F.median(b).alias(b) for b in bands])
 
 
 def composite_wide(obs, by, bands):
@@ -46,12 +45,17 @@ def composite_wide(obs, by, bands):
     end = F.col("_end") - (F.col("_last") - F.col("_n"))
     start = end - F.col("_c")
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    mid = ranked.join(spans, group).groupBy(*group).agg(
+    spans = spans.toDF(*[f"_k{i}" for i in range(len(group))], "_n", "_last")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(group)])
+    mid = ranked.join(spans, same).groupBy(*group).agg(
         F.max(F.when((low > start) & (low <= end), F.col("_x"))).alias("_lo"),
         F.max(F.when((high > start) & (high <= end), F.col("_x"))).alias("_hi"))
     wide = mid.groupBy(*by).agg(*[F.max(F.when(F.col("_band") == b, (F.col("_lo") + F.col("_hi")) / 2)).alias(b)
                                   for b in bands])
-    return obs.select(*by).distinct().join(wide, list(by), "left")
+    every = obs.select(*by).distinct()
+    wide = wide.toDF(*[f"_k{i}" for i in range(len(by))], *bands)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)])
+    return every.join(wide, same, "left").select(*by, *bands)
 
 
 def zonal_stats(pixels, by, bands):
@@ -140,6 +144,8 @@ def night_table(long, year=S.YEAR):
     return trends_rows(night_indices(long, year), "TNL")
 
 
-def empty_images(pixels, by, band):
-    """Images without any valid pixel or with zeros only."""
-    return pixels.groupBy(*by).agg((F.count_if((F.col(band) != 0) & ~F.isnan(band)) == 0).alias("empty"))
+def empty_images(pixels, by, bands):
+    """Images without any valid pixel or with zeros only, over all `bands`."""
+    bands = [bands] if isinstance(bands, str) else list(bands)
+    filled = F.exists(F.array(*[(F.col(b) != 0) & ~F.isnan(b) for b in bands]), lambda x: F.coalesce(x, F.lit(False)))
+    return pixels.groupBy(*by).agg((F.count_if(filled) == 0).alias("empty"))

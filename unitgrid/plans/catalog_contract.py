@@ -1,9 +1,11 @@
 """Queries over tables, keys, contracts and states."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from unitgrid import schema as S
-from unitgrid.functions import text
+from unitgrid.functions import grid, text
 from unitgrid.operators import compare, contract, keys, ordering, scenes, status, trends, zonal
 from unitgrid.plans.night import night_from_export, night_index_table
 from unitgrid.plans.registry import query, rounded
@@ -70,6 +72,17 @@ def _(v):
     return readers.plan_evidence(v.plan, YEAR)
 
 
+@query("a7_rows_per_file", """SELECT 'orders.parquet' AS name, count(*) AS n, TRUE AS sized FROM orders
+    UNION ALL SELECT 'lineitem.parquet', count(*), TRUE FROM lineitem UNION ALL SELECT 'events.parquet', count(*), TRUE FROM events""")
+def _(v):
+    files = readers.read_manifest(v.spark, v.dir, "*.parquet").withColumn("path", F.regexp_replace("path", "^[a-z]+:/+", "/"))
+    rows = [v.spark.read.parquet(f"{v.dir}/{t}.parquet").select(F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/+", "/").alias("path"))
+            for t in ("orders", "lineitem", "events")]
+    counted = reduce(lambda a, b: a.unionByName(b), rows).groupBy("path").agg(F.count("*").alias("n"))
+    return counted.join(files, "path").groupBy(F.regexp_extract("path", r"([^/]+\.parquet)", 1).alias("name")).agg(
+        F.sum("n").alias("n"), F.bool_and(F.col("size") > 0).alias("sized"))
+
+
 @query("a7_read_manifest")
 def _(v):
     return readers.read_manifest(v.spark, v.dir, "*.parquet").select(
@@ -470,10 +483,11 @@ def _(v):
     return keys.latest_by(v.status, ["gid_3"], ["ts", "seq"]).select("gid_3", status.finished().alias("finished"))
 
 
-@query("e17_listed_by_province", """SELECT gid_1, gid_3 FROM v_admin""", ["v_admin"])
+@query("e17_listed_by_province", """SELECT gid_1, chunk, string_agg(gid_3, ',' ORDER BY gid_3) AS gids, count(*) AS n FROM (
+    SELECT gid_1, gid_3, (row_number() OVER (PARTITION BY gid_1 ORDER BY gid_3) - 1) // 7 AS chunk FROM v_admin) GROUP BY gid_1, chunk""", ["v_admin"])
 def _(v):
-    lists = keys.listed(v.admin, ["gid_1"], "gid_3", 100, text.natural_key("gid_3"))
-    return lists.select("gid_1", F.explode("gid_3s").alias("gid_3"))
+    lists = keys.listed(v.admin, ["gid_1"], "gid_3", 7)
+    return lists.select("gid_1", "chunk", F.array_join("gid_3s", ",").alias("gids"), "n")
 
 
 @query("e17_listed_by_window", """SELECT month, CASE WHEN c0 > 0 THEN 0 WHEN c1 > 0 THEN 1 WHEN c2 > 0 THEN 2 END AS "window",
@@ -718,6 +732,17 @@ def _(v):
     return v.images
 
 
+@query("k6_null_metadata", """SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 7 THEN 'failed' ELSE 'done' END AS state FROM orders""")
+def _(v):
+    k = F.col("o_orderkey") % 8
+    keep = lambda i, x: F.when(k != i, x)
+    images = v.table("orders").select(
+        "o_orderkey", F.lit("night").alias("kind"), keep(0, F.lit(2)).alias("bands"), keep(1, F.lit(4326)).alias("epsg"),
+        keep(2, F.lit(grid.STEP_500M)).alias("step_x"), keep(3, F.lit(-grid.STEP_500M)).alias("step_y"), keep(4, F.lit(0.0)).alias("rot_x"),
+        keep(5, F.lit(0.0)).alias("rot_y"), keep(6, F.lit("float64")).alias("dtype"))
+    return contract.check_images(images).select("o_orderkey", "state")
+
+
 @query("k7_apply_updates", _progress_sql() + """ SELECT gid_3, month,
     CASE WHEN night_image NOT IN ('done', 'no_source') THEN CASE WHEN month = 3 THEN 'done' ELSE 'running' END ELSE night_image END AS night_image,
     CASE WHEN night_image NOT IN ('done', 'no_source') THEN CASE WHEN month = 3 THEN '' ELSE 'queued' END ELSE night_image_error END AS night_image_error

@@ -20,10 +20,10 @@ def _r(expr, name, digits=6):
 
 # --- scenes -----------------------------------------------------------------------------------------------
 
-@query("a9_read_scenes", "SELECT event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY event_type")
+@query("a9_read_scenes", "SELECT event_type, count(*) AS n, min(ts) AS first FROM events GROUP BY event_type")
 def _(v):
     found = readers.read_scenes(v.spark, f"{v.dir}/events.parquet", ["event_type", "ts"])
-    return found.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")).groupBy("event_type").agg(F.count("*").alias("n"))
+    return found.groupBy("event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first"))
 
 
 @query("a10_read_pixels", """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax <> 0.05 THEN l_tax * 0.5 END AS l_tax,
@@ -142,7 +142,15 @@ def _(v):
 @query("e3_composite_median", f"SELECT image_id, row, col, {', '.join(f'median({b}) AS {b}' for b in _BANDS)} FROM v_obs GROUP BY ALL",
        ["v_obs"])
 def _(v):
-    return zonal.composite(v.obs, ["image_id", "row", "col"], _BANDS)
+    return zonal.composite(v.obs, ["image_id", "row", "col"], _BANDS, digital=True)
+
+
+@query("e3_composite_large", """SELECT l_suppkey % 50 AS zone, median(CAST(l_extendedprice AS INTEGER) * 10) AS x,
+    median(CAST(l_quantity AS BIGINT) * 4000000000) AS y FROM lineitem GROUP BY ALL""")
+def _(v):
+    obs = v.table("lineitem").select((F.col("l_suppkey") % 50).alias("zone"), (F.rint("l_extendedprice").cast("int") * 10).alias("x"),
+                                     (F.rint("l_quantity").cast("long") * F.lit(4000000000)).alias("y"))
+    return zonal.composite(obs, ["zone"], ["x", "y"])
 
 
 @query("e3_composite_wide", """SELECT image_id, row, col, round(median(x), 9) AS x, round(median(y), 9) AS y FROM (
@@ -179,6 +187,14 @@ def _(v):
     return rounded(compare.diff_summary(pairs, "a", "b", ["image_id"]))
 
 
+@query("e20_empty_bands", """SELECT image_id, row, count(*) FILTER (WHERE z <> 0 OR w <> 0) = 0 AS empty FROM (
+    SELECT image_id, row, CASE WHEN row % 3 = 2 THEN "RED" ELSE 0 END AS z, CASE WHEN row % 3 = 1 THEN "NIR" END AS w FROM v_pixel) GROUP BY image_id, row""", ["v_pixel"])
+def _(v):
+    m = F.col("row") % 3
+    pixels = v.pixel.withColumns({"z": F.when(m == 2, F.col("RED")).otherwise(0.0), "w": F.when(m == 1, F.col("NIR"))})
+    return zonal.empty_images(pixels, ["image_id", "row"], ["z", "w"])
+
+
 @query("e20_empty_images", """SELECT image_id, row, count(*) FILTER (WHERE z <> 0) = 0 AS empty FROM (
     SELECT image_id, row, CASE WHEN row % 3 = 0 THEN 0 WHEN row % 3 = 1 THEN NULL ELSE "RED" END AS z FROM v_pixel) GROUP BY image_id, row""", ["v_pixel"])
 def _(v):

@@ -24,6 +24,7 @@ def _features(v):
     polygon = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array("r").alias("coordinates")))
     multi = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array("r")).alias("coordinates")))
     wrapped = F.concat(F.lit('{"type":"GeometryCollection","geometries":[{"type":"Point","coordinates":[0,0]},'), polygon, F.lit("]}"))
+    wrapped = F.concat(F.lit('{"type":"GeometryCollection","geometries":[{"type":"GeometryCollection","geometries":['), wrapped, F.lit("]}]}"))
     return rings.select("gid", F.when(n == 0, polygon).when(n == 1, multi).otherwise(wrapped).alias("geometry"))
 
 
@@ -94,11 +95,42 @@ def _(v):
     return geometry.clip_line_length(v.seg, v.edge, cell=8.0)
 
 
+@query("d13_lines_on_outlines", """
+    seg0 AS (SELECT way_id, seq, class, floor(x1) AS x1, floor(y1) AS y1, floor(x2) AS x2, floor(y2) AS y2 FROM v_seg),
+    cand AS (SELECT b.gid, s.* FROM seg0 s JOIN v_bounds b ON least(s.x1, s.x2) <= b.maxx AND b.minx <= greatest(s.x1, s.x2)
+             AND least(s.y1, s.y2) <= b.maxy AND b.miny <= greatest(s.y1, s.y2)),
+    cross_t AS (SELECT c.gid, c.way_id, c.seq, ((e.x1 - c.x1) * (e.y2 - e.y1) - (e.y1 - c.y1) * (e.x2 - e.x1)) /
+               ((c.x2 - c.x1) * (e.y2 - e.y1) - (c.y2 - c.y1) * (e.x2 - e.x1)) AS t FROM cand c JOIN v_edge e USING (gid)
+               WHERE (c.x2 - c.x1) * (e.y2 - e.y1) <> (c.y2 - c.y1) * (e.x2 - e.x1)),
+    ts AS (SELECT gid, way_id, seq, 0.0::DOUBLE AS t FROM cand UNION ALL SELECT gid, way_id, seq, 1.0 FROM cand
+           UNION ALL SELECT * FROM cross_t WHERE t > 0 AND t < 1),
+    part AS (SELECT *, lead(t) OVER (PARTITION BY gid, way_id, seq ORDER BY t) AS t2 FROM ts),
+    mid AS (SELECT p.*, c.class, c.x1 + (t + t2) / 2 * (c.x2 - c.x1) AS mx, c.y1 + (t + t2) / 2 * (c.y2 - c.y1) AS my,
+              sqrt((c.x2 - c.x1) ** 2 + (c.y2 - c.y1) ** 2) * (t2 - t) AS len FROM part p JOIN cand c USING (gid, way_id, seq) WHERE t2 > t),
+    ins AS (SELECT m.gid, m.way_id, m.seq, m.class, m.t, m.len FROM mid m JOIN v_edge e ON e.gid = m.gid AND least(e.y1, e.y2) <= m.my AND m.my < greatest(e.y1, e.y2)
+            AND e.x1 + (m.my - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) > m.mx GROUP BY ALL HAVING count(*) % 2 = 1),
+    tot AS (SELECT gid, sum(len) / 1000 AS a, sum(CASE WHEN class IN ('primary', 'trunk') THEN len END) / 1000 AS b, count(DISTINCT way_id) AS n FROM ins GROUP BY gid)
+    SELECT gid, round(CASE WHEN gid IN (SELECT gid FROM cand) THEN coalesce(a, 0) END, 4) AS km_total,
+      round(CASE WHEN gid IN (SELECT gid FROM cand) THEN coalesce(b, 0) END, 4) AS km_main, coalesce(n, 0) AS lines
+    FROM v_bounds LEFT JOIN tot USING (gid)""", ["v_seg", "v_edge", "v_bounds"])
+def _(v):
+    on_grid = v.seg.withColumns({c: F.floor(c).cast("double") for c in ("x1", "y1", "x2", "y2")})
+    return geometry.clip_line_length(on_grid, v.edge, cell=8.0)
+
+
 @query("f7_segments", "SELECT way_id, seq, class, x1, y1, x2, y2 FROM v_seg", ["v_seg"])
 def _(v):
     return v.seg.select("way_id", "seq", "class", "x1", "y1", "x2", "y2")
 
 
+@query("f7_segments_gaps", """
+    kept AS (SELECT * FROM v_point WHERE seq % 3 <> 1),
+    nxt AS (SELECT way_id, seq, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM kept WINDOW w AS (PARTITION BY way_id ORDER BY seq))
+    SELECT * FROM nxt WHERE x2 IS NOT NULL""", ["v_point"])
+def _(v):
+    return geometry.segments(v.point.filter("seq % 3 <> 1")).select("way_id", "seq", "x1", "y1", "x2", "y2")
+
+
 @query("f7_ground_length", """SELECT way_id, round(sum(sqrt((radians(y2 - y1) / 1000 * 6335439.327292464 / w ** 1.5) ** 2 +
       (radians(x2 - x1) / 1000 * 6378137.0 / sqrt(w) * cos(m)) ** 2)), 3) AS metres FROM (
     SELECT *, 1 - 0.0066943799901413165::DOUBLE * sin(m) ** 2 AS w FROM (SELECT *, radians(21 + (y1 + y2) / 2000) AS m FROM v_seg)) GROUP BY way_id""", ["v_seg"])
@@ -122,17 +154,28 @@ def _(v):
 
 @query("j1_mosaic", """
     t AS (SELECT row, col, block, CASE WHEN col % 9 <> 0 OR block % 2 = 0 THEN "RED" END AS "RED",
-            CASE WHEN col % 9 <> 0 OR block % 2 = 0 THEN "NIR" END AS "NIR" FROM v_pixel WHERE row < 8 OR block % 2 = 0)
+            CASE WHEN col % 9 <> 0 OR block % 2 = 0 THEN "NIR" END AS "NIR" FROM v_pixel)
     SELECT row, col, max("RED") AS "RED", max("NIR") AS "NIR", min("RED") IS DISTINCT FROM max("RED") OR min("NIR") IS DISTINCT FROM max("NIR") AS conflict
     FROM (SELECT row + 32 * (block // 3) AS row, col, "RED", "NIR" FROM t) GROUP BY row, col""", ["v_pixel"])
 def _(v):
     odd = (F.col("col") % 9 != 0) | (F.col("block") % 2 == 0)
-    tiles = v.pixel.filter("row < 8 OR block % 2 = 0").select(
+    tiles = v.pixel.select(
         (32 * F.floor(F.col("block") / 3)).alias("row_off"), F.lit(0).alias("col_off"), "row", "col",
         *[F.when(odd, F.col(b)).alias(b) for b in ("RED", "NIR")])
     return regions.mosaic(tiles, ["RED", "NIR"])
 
 
+@query("j2_null_metadata", """SELECT o_orderkey, CASE WHEN o_orderkey % 9 < 2 THEN 'bands_or_crs' WHEN o_orderkey % 9 < 6 THEN 'grid'
+    WHEN o_orderkey % 9 < 8 THEN 'position' END AS problem FROM orders""")
+def _(v):
+    k, s = F.col("o_orderkey") % 9, grid.STEP_500M
+    fields = {"bands": F.lit(2), "epsg": F.lit(4326), "step_x": F.lit(s), "step_y": F.lit(-s), "rot_x": F.lit(0.0), "rot_y": F.lit(0.0),
+              "origin_x": F.lit(105.0), "origin_y": F.lit(21.0)}
+    tiles = v.table("orders").select("o_orderkey", F.lit(0).alias("tile_row"), F.lit(0).alias("tile_col"),
+                                     *[F.when(k != i, x).alias(c) for i, (c, x) in enumerate(fields.items())])
+    return readers.check_tiles(tiles, 105.0, 21.0, s, 2).select("o_orderkey", "problem")
+
+
 @query("j2_check_tiles", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'bands_or_crs' WHEN o_orderkey % 7 = 0 THEN 'grid'
     WHEN o_orderkey % 3 = 0 THEN 'position' END AS problem FROM orders""")
 def _(v):

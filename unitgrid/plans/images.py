@@ -9,12 +9,16 @@ from unitgrid.session import materialize
 
 
 def analyze_images(indexed, height, width, pixel_area_m2, res_m):
-    """Summary row per image; `indexed` has image_id, row, col and the ten day bands."""
+    """Summary row per image, those without a valid pixel included (zero counts, NULL statistics).
+
+    `indexed` has image_id, row, col and the ten day bands.
+    """
     by = [regions.IMG]
     valid = materialize(indexed.filter(spectral.valid_pixel())
                         .select(*by, "row", "col", *S.DAY_BANDS), "valid")
     mask = lambda predicate: valid.filter(predicate).select(*by, "row", "col")
-    out = valid.groupBy(*by).agg(F.count("*").alias("valid_pixels")).withColumn(
+    counted = valid.groupBy(*by).agg(F.count("*").alias("valid_pixels"))
+    out = indexed.select(*by).distinct().join(counted, by, "left").na.fill(0, ["valid_pixels"]).withColumn(
         "valid_area_ha", F.col("valid_pixels") * pixel_area_m2 / 1e4)
     parts = [regions.road_metrics(mask(spectral.road_mask()), height, width, pixel_area_m2, res_m),
              regions.industrial_metrics(mask(spectral.industrial_mask()), pixel_area_m2),

@@ -13,9 +13,13 @@ from unitgrid.operators.keys import drop_exact
 from unitgrid.operators.scenes import first_positive
 
 
+#: Quotes are doubled inside quoted fields; a line with more or fewer fields than the header stops the job.
+CSV = {"escape": '"', "mode": "FAILFAST"}
+
+
 def read_admin(spark, path):
     """Administrative CSV, all text, blanks kept as empty strings, contract names in lower case."""
-    df = spark.read.csv(path, header=True)
+    df = spark.read.csv(path, header=True, **CSV)
     df = df.toDF(*[c.lower() if c.lower() in S.ADMIN_COLUMNS else c for c in df.columns])
     return df.na.fill("")
 
@@ -23,7 +27,7 @@ def read_admin(spark, path):
 def read_index(spark, path, kind):
     """Index CSV as text columns; an absent file is an empty table of the contract's types."""
     try:
-        return spark.read.csv(path, header=True)
+        return spark.read.csv(path, header=True, **CSV)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -37,7 +41,7 @@ def read_exports(spark, folder, prefix, columns):
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
     return (spark.read.option("pathGlobFilter", f"{prefix}*.csv").option("recursiveFileLookup", "true")
-            .csv(folder, header=True, schema=schema, enforceSchema=False)
+            .csv(folder, header=True, schema=schema, enforceSchema=False, **CSV)
             .select("*", F.col("_metadata.file_name").alias("file_name")))
 
 
@@ -49,6 +53,17 @@ def read_log(spark, path, schema=S.STATUS_SCHEMA):
 PLAN_TYPE = "map<string,array<array<double>>>"
 
 
+def _plan_units(texts, column):
+    return texts.select(F.explode(F.from_json(column, PLAN_TYPE)).alias("gid_3", "months"))
+
+
+def _plan_wrong():
+    """Not twelve months, or counts that are not three whole non-negative numbers (NULL counts too)."""
+    bad = lambda v: F.coalesce(~is_finite(v) | (v < 0) | (v != F.floor(v)), F.lit(True))
+    wrong = F.exists("months", lambda c: F.coalesce(F.size(c) != 3, F.lit(True)) | F.exists(c, bad))
+    return F.coalesce((F.size("months") != 12) | wrong, F.lit(True))
+
+
 def plan_rows(texts, column="plan"):
     """Plan JSON texts to one row per (gid_3, month) with the counts of the three windows."""
     units = texts.select(F.explode(F.from_json(column, PLAN_TYPE)).alias("gid_3", "months"))
@@ -58,16 +73,16 @@ def plan_rows(texts, column="plan"):
 
 def plan_violations(texts, column="plan"):
     """Units without twelve months or with counts that are not three whole non-negative numbers."""
-    units = texts.select(F.explode(F.from_json(column, PLAN_TYPE)).alias("gid_3", "months"))
-    bad = lambda v: ~is_finite(v) | (v < 0) | (v != F.floor(v))
-    wrong = F.exists("months", lambda c: (F.size(c) != 3) | F.exists(c, bad))
-    return units.filter((F.size("months") != 12) | F.coalesce(wrong, F.lit(True))).select("gid_3")
+    return _plan_units(texts, column).filter(_plan_wrong()).select("gid_3")
 
 
 def read_plan(texts, column="plan"):
-    """Counts as integers: gid_3, month, c0, c1, c2."""
-    return plan_rows(texts, column).select(
-        "gid_3", "month", *[F.col("c")[i].cast("long").alias(f"c{i}") for i in range(3)])
+    """Counts as integers: gid_3, month, c0, c1, c2. A unit that `plan_violations` would list stops the job."""
+    units = _plan_units(texts, column)
+    stop = F.raise_error(F.concat(F.lit("plan: unit without twelve months of three whole counts: "), F.coalesce("gid_3", F.lit("?"))))
+    rows = units.filter(F.when(_plan_wrong(), stop.cast("boolean")).otherwise(F.lit(True))).select("gid_3", F.posexplode("months").alias("_m", "c"))
+    return rows.select("gid_3", (F.col("_m") + 1).cast("long").alias("month"), "c").select(
+        "gid_3", "month", *[F.get("c", F.lit(i)).cast("long").alias(f"c{i}") for i in range(3)])
 
 
 def plan_evidence(plan, year=S.YEAR):
@@ -95,7 +110,7 @@ def read_manifest(spark, path, glob="*"):
 
 def read_sources(spark, path):
     """Source evidence CSV with exact duplicates dropped; the rules are in operators.contract."""
-    return drop_exact(spark.read.csv(path, header=True, schema=S.SOURCES_SCHEMA))
+    return drop_exact(spark.read.csv(path, header=True, schema=S.SOURCES_SCHEMA, **CSV))
 
 
 def read_scenes(spark, path, columns=None):
@@ -142,9 +157,10 @@ def check_tiles(tiles, left, top, step, bands, tolerance=1e-3):
     """Tiles whose true position, CRS, bands or step disagree with their name."""
     ro = (F.lit(top) - F.col("origin_y")) / F.lit(step)
     co = (F.col("origin_x") - F.lit(left)) / F.lit(step)
-    problem = (F.when((F.col("epsg") != 4326) | (F.col("bands") != bands), "bands_or_crs")
-               .when((F.abs(F.col("step_x") - step) > step * 1e-6) | (F.abs(F.col("step_y") + step) > step * 1e-6)
-                     | (F.col("rot_x") != 0) | (F.col("rot_y") != 0), "grid")
-               .when((F.abs(ro - F.col("tile_row")) > tolerance) | (F.abs(co - F.col("tile_col")) > tolerance),
+    known = lambda wrong: F.coalesce(wrong, F.lit(True))  # metadata that cannot be read is a problem
+    problem = (F.when(known((F.col("epsg") != 4326) | (F.col("bands") != bands)), "bands_or_crs")
+               .when(known((F.abs(F.col("step_x") - step) > step * 1e-6) | (F.abs(F.col("step_y") + step) > step * 1e-6)
+                     | (F.col("rot_x") != 0) | (F.col("rot_y") != 0)), "grid")
+               .when(known((F.abs(ro - F.col("tile_row")) > tolerance) | (F.abs(co - F.col("tile_col")) > tolerance)),
                      "position"))
     return tiles.withColumns({"true_row": ro, "true_col": co, "problem": problem})

@@ -57,7 +57,7 @@ def write_index(df, table, kind, run_id, digits=None):
     df = conform(df, kind)
     if digits is not None:
         df = df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double"})
-    return publish(natural_sorted(df), table, run_id, "csv", header="true")
+    return publish(natural_sorted(df), table, run_id, "csv", header="true", escape='"')
 
 
 def write_by_unit(df, path, columns=("gid_1", "gid_3"), fmt="parquet", max_rows=5_000_000):
