@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from unitgrid.llm import bpe, chat, jaccard, kdsearch, langid, linecrf, maintext, nearest_toxic, substrings, wumanber
+from unitgrid.llm import bpe, chat, jaccard, kdsearch, langid, linecrf, maintext, nearest_toxic, substrings, twins, wumanber
 from unitgrid.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
 
-QUERIES, ORACLES = {}, {}
+QUERIES, ORACLES = {}, dict(twins.ORACLES)
 
 
 def query(fn):
