@@ -97,10 +97,14 @@ def scene_units(scenes, units, cell):
 def count_by_window(pairs, year, unit="gid_3", ts="ts"):
     """Scenes per unit and month in the month and in its two widenings.
 
-    The months a scene can belong to follow from its date, so no range join is needed; counts
-    combine before the shuffle.
+    The at most four months whose windows may hold a scene follow from its date, so no range join is
+    needed; counts combine before the shuffle.
     """
-    months = pairs.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    reach = max(WIDENINGS) + 1
+    at = lambda d: (F.year(d) - year) * 12 + F.month(d)
+    first = F.greatest(at(F.date_sub(F.to_date(ts), reach)), F.lit(1))
+    last = F.least(at(F.date_add(F.to_date(ts), reach)), F.lit(12))
+    months = pairs.filter(first <= last).withColumn("month", F.explode(F.sequence(first, last)))
     inside = []
     for i, days in enumerate(WIDENINGS):
         start, end = window_bounds(F.lit(year), "month", days)
@@ -110,8 +114,13 @@ def count_by_window(pairs, year, unit="gid_3", ts="ts"):
 
 
 def count_scenes(scenes, units, year, cell):
-    """Window counts of every unit and month; months without scenes have zeros."""
-    counts = count_by_window(scene_units(scenes, units, cell), year)
+    """Window counts of every unit and month; months without scenes have zeros.
+
+    Only scenes that some window of the year can hold reach the spatial join; the bounds are constants, so the scan filters.
+    """
+    reach = max(WIDENINGS)
+    near = scenes.filter((F.col("ts") >= window_bounds(F.lit(year), F.lit(1), reach)[0]) & (F.col("ts") < window_bounds(F.lit(year), F.lit(12), reach)[1]))
+    counts = count_by_window(scene_units(near, units, cell), year)
     grid = units.select("gid_3").withColumn("month", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(12).cast("long"))))
     return grid.join(counts, ["gid_3", "month"], "left").select(
         "gid_3", "month", *[F.coalesce(f"c{i}", F.lit(0)).alias(f"c{i}") for i in range(3)])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from unitgrid import schema as S
 from unitgrid.functions import grid, text
 from unitgrid.operators import compare, contract, keys, ordering, scenes, status, trends, zonal
+from unitgrid.plans.exports import evidence_from_exports
 from unitgrid.plans.night import night_from_export, night_index_table
 from unitgrid.plans.registry import query, rounded
 from unitgrid.plans.sqlviews import YEAR, completed, flagged, state_sql
@@ -795,6 +796,14 @@ def night_flagship(v):
     return rounded(night_index_table(v.px, v.admin, YEAR))
 
 
+@query("evidence_from_exports", f"""SELECT gid_3, CAST({YEAR} AS BIGINT) AS year, month, f AS field, n AS "count"
+    FROM v_long, (VALUES ('night_indices'), ('night_image')) AS t(f) WHERE n IS NOT NULL
+    UNION ALL SELECT gid_3, {YEAR}, month, 'day_indices', CAST(c0 AS DOUBLE) FROM v_plan WHERE c0 > 0""", ["v_long", "v_plan"])
+def _(v):
+    day = v.plan.filter("c0 > 0").select("gid_3", "month", F.col("c0").alias("SOURCE_COUNT"))
+    return evidence_from_exports(day, zonal.pivot_months(v.long, ["gid_3", "area_ha"], ["n"]), YEAR)
+
+
 @query("night_from_export", _NIGHT_SQL, ["v_grid", "v_night", "v_admin"])
 def _(v):
     wide = zonal.pivot_months(v.long, ["gid_3", "area_ha"], ["n", *S.NIGHT_EXPORT_KEYS])
