@@ -116,11 +116,12 @@ def _cut(words, gone):
     n = len(words.buf)
     after = np.append(words.start[1:], n)  # where the next word, or the next text, starts
     after = np.minimum(after, np.repeat(words.offsets[1:], words.counts))
-    change = np.zeros(n + 1, np.int64)
+    change = np.zeros(n + 1, np.int8)  # a removed word starts where the one before it ends, or later
     np.add.at(change, words.start[gone], 1)
     np.add.at(change, after[gone], -1)
-    keep = np.cumsum(change[:-1]) == 0
-    return strings(words.buf[keep], np.concatenate([[0], np.cumsum(keep)])[words.offsets])
+    keep = np.cumsum(change[:-1], dtype=np.int8) == 0
+    sizes = np.array([np.count_nonzero(keep[a:b]) for a, b in zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist())], np.int64)
+    return strings(words.buf[keep], np.concatenate([[0], np.cumsum(sizes)]))
 
 
 def dedup(docs, text="text", window=35, layout=False):

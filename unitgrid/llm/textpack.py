@@ -102,11 +102,23 @@ class Words:
         """64-bit hash of each word."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        body, first = self.buf[self.inside], np.cumsum(self.lengths) - self.lengths
-        place = np.arange(len(body)) - np.repeat(first, self.lengths)
-        with np.errstate(over="ignore"):
-            total = np.add.reduceat(BYTE_HASH[body] * powers(BASE, int(self.lengths.max()))[place], first)
-            return mixed(total + self.lengths.astype(np.uint64) * STEP)
+        out, power = np.empty(len(self.start), np.uint64), powers(BASE, int(self.lengths.max()))
+        for i, j, body, first in self._portions():
+            place = np.arange(len(body)) - np.repeat(first, self.lengths[i:j])
+            with np.errstate(over="ignore"):
+                total = np.add.reduceat(BYTE_HASH[body] * power[place], first)
+                out[i:j] = mixed(total + self.lengths[i:j].astype(np.uint64) * STEP)
+        return out
+
+    def _portions(self, size=1_000_000):
+        """Runs of words of about `size` bytes (one word at least): (from, to, their bytes, where each starts in these)."""
+        ends = np.cumsum(self.lengths)
+        body, i = self.buf[self.inside], 0
+        while i < len(ends):
+            done = int(ends[i - 1]) if i else 0
+            j = max(i + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield i, j, body[done:int(ends[j - 1])], ends[i:j] - self.lengths[i:j] - done
+            i = j
 
     def has_window(self, k):
         """For each word: does a window of k words of the same text start there?"""
@@ -114,20 +126,19 @@ class Words:
 
     def joined(self, keep=None):
         """Kept words of each text joined by one space, as an Arrow string array."""
-        lengths = self.lengths if keep is None else self.lengths[keep]
-        text = self.text_of_word() if keep is None else self.text_of_word()[keep]
-        body = self.buf[self.inside]
-        if keep is not None:
-            body = body[np.repeat(keep, self.lengths)]
-        words = np.bincount(text, minlength=self.texts) if len(text) else np.zeros(self.texts, np.int64)
-        sizes = np.bincount(text, weights=lengths, minlength=self.texts).astype(np.int64) if len(text) else np.zeros(self.texts, np.int64)
+        keep = np.ones(len(self.start), bool) if keep is None else keep
+        text = self.text_of_word()[keep]
+        words = np.bincount(text, minlength=self.texts)
+        sizes = np.bincount(text, weights=self.lengths[keep], minlength=self.texts).astype(np.int64)
         offsets = np.concatenate([[0], np.cumsum(sizes + np.maximum(words - 1, 0))])
-        # a word's place: bytes of the words before it, one space for each word before it in its text
-        before = np.arange(len(text)) - np.repeat(np.arange(self.texts), words) if len(text) else np.zeros(0, np.int64)
-        empty = np.cumsum(words == 0)
-        shift = before + (np.repeat(empty, words) if len(text) else 0)
+        # where a kept word starts: the bytes of kept words before it, and one space for each before it in its text
+        start = np.zeros(len(keep), np.int64)
+        start[keep] = np.cumsum(self.lengths[keep]) - self.lengths[keep] + np.arange(len(text)) - np.cumsum(words > 0)[text] + 1
         out = np.full(int(offsets[-1]), 32, np.uint8)
-        out[np.arange(len(body)) + np.repeat(shift, lengths)] = body
+        for i, j, body, first in self._portions():
+            stays = np.repeat(keep[i:j], self.lengths[i:j])
+            place = np.arange(len(body)) + np.repeat(start[i:j] - first, self.lengths[i:j])
+            out[place[stays]] = body[stays]
         return strings(out, offsets)
 
 
