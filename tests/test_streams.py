@@ -69,3 +69,28 @@ def test_broken_log_lines_are_skipped(spark, tmp_path):
     (folder / "a.jsonl").write_text('{"gid_3": "g", "seq": 1, "status": "done"}\n{"gid_3": "h", "se\n[1]\n')
     out = jobs.drain(jobs.stream_log(spark, str(folder), S.STATUS_SCHEMA), "append", "log").collect()
     assert [(r.gid_3, r.seq, r.status) for r in out] == [("g", 1, "done")]
+
+
+def updates_of(stream):
+    return stream.select(F.col("key").alias("gid_3"), F.lit(1).cast("long").alias("month"), F.lit("day_image").alias("field"),
+                         F.when(F.col("ok"), "done").otherwise("failed").alias("state"), F.col("seq").cast("string").alias("error"), "ts", "seq")
+
+
+def test_jobs_go_on_after_a_restart(spark, tmp_path):
+    events, folders = str(tmp_path / "e"), {n: str(tmp_path / n) for n in ("out", "state", "p_out", "p_state")}
+    progress = spark.createDataFrame([("a", 1), ("b", 1)], "gid_3 string, month long").withColumns(
+        {**{c: F.lit("") for c in S.ADMIN_COLUMNS if c != "gid_3"}, "year": F.lit(2024).cast("long"),
+         **{c: F.lit("pending" if c in S.FIELDS else "") for f in S.FIELDS for c in (f, f + "_error")}})
+
+    def run(stream):
+        latest = jobs.drain(jobs.latest_status(stream, ["key"], ["ts", "seq"], ["seq", "ok"]), "complete", "l", output=folders["out"], checkpoint=folders["state"])
+        table = jobs.upsert_progress(progress, updates_of(stream), output=folders["p_out"], checkpoint=folders["p_state"])
+        return {r.key: r.seq for r in latest.collect()}, {r.gid_3: (r.day_image, r.day_image_error) for r in table.collect()}
+
+    first = run(feed(spark, events, BATCHES[:1]))
+    assert first == ({"a": 2}, {"a": ("failed", "2"), "b": ("pending", "")})
+    assert run(jobs.stream_files(spark, events, SCHEMA, "*.parquet", max_files=1)) == first  # nothing new
+    last = run(feed(spark, events, BATCHES[1:]))
+    assert last == ({"a": 6, "b": 4}, {"a": ("done", "5"), "b": ("done", "4")})
+    whole = jobs.upsert_progress(progress, updates_of(jobs.stream_files(spark, events, SCHEMA, "*.parquet", max_files=1)))
+    assert {r.gid_3: r.day_image for r in whole.collect()} == {"a": "done", "b": "done"}

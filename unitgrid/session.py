@@ -73,3 +73,11 @@ def discard(*tables):
             spark = df.sparkSession
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def numbered(spark, folder, prefix):
+    """Numbers of the folders `prefix<number>` in `folder`, ascending; none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from unitgrid.operators.contract import apply_updates
 from unitgrid.operators.keys import keep_last
 from unitgrid.schema import TERMINAL
-from unitgrid.session import scratch_path, ship_by_value
+from unitgrid.session import numbered, scratch_path, ship_by_value
 
 ship_by_value(__name__)
 
@@ -42,33 +42,35 @@ def stream_log(spark, folder, schema, max_files=64):
     return parsed.filter(F.col("r.gid_3").isNotNull()).select("r.*")
 
 
-def drain(stream, mode, label, key=()):
+def drain(stream, mode, label, key=(), output=None, checkpoint=None):
     """Process everything available and return the result as a table.
 
+    With `output` and `checkpoint` given again, a later call goes on where an earlier one ended or broke off; without
+    them a call stands alone.
+
     Complete mode: the last batch carries the whole result. Append mode: the batches add up. Update
     mode: the newest batch of each `key` counts.
     """
     spark = stream.sparkSession
-    out, checkpoint = scratch_path(spark, label), scratch_path(spark, label + "-state")
+    out, checkpoint = output or scratch_path(spark, label), checkpoint or scratch_path(spark, label + "-state")
     if mode == "append":
         query = (stream.writeStream.format("parquet").outputMode("append").option("path", out)
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
-    last = {}
 
     def save(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        last["id"] = batch_id
     query = (stream.writeStream.foreachBatch(save).outputMode(mode)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    if "id" not in last:
+    done = numbered(spark, out, "batch=")
+    if not done:
         return spark.createDataFrame([], stream.schema)
     if mode == "update":
         rows = spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
         return keep_last(rows, list(key), ["batch"]).select(*stream.columns)
-    return spark.read.schema(stream.schema).parquet(f"{out}/batch={last['id']}")
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch={done[-1]}")
 
 
 def ready_sessions(events, key, ts="ts", quiet=QUIET, delay="1 hour"):
@@ -151,22 +153,22 @@ def settle(updates, order=("ts", "seq")):
             .select("gid_3", "month", "field", "r.state", "r.error"))
 
 
-def upsert_progress(progress, updates, label="progress"):
+def upsert_progress(progress, updates, label="progress", output=None, checkpoint=None):
     """Apply a stream of updates to a progress table; trigger n writes version n from version n - 1.
 
-    A restarted or replayed trigger finds its input unchanged and gives the same table.
+    A restarted or replayed trigger finds its input unchanged and gives the same table. With `output` and
+    `checkpoint` given again, a later call goes on from the newest version; `progress` then only gives the schema.
     """
     spark = progress.sparkSession
-    out, checkpoint = scratch_path(spark, label), scratch_path(spark, label + "-state")
+    out, checkpoint = output or scratch_path(spark, label), checkpoint or scratch_path(spark, label + "-state")
     version = lambda n: f"{out}/v={n}"
-    progress.write.parquet(version(-1))
-    newest = {"n": -1}
+    if not numbered(spark, out, "v="):
+        progress.write.parquet(version(-1))
 
     def apply(batch, batch_id):
         table = spark.read.schema(progress.schema).parquet(version(batch_id - 1))
         apply_updates(table, settle(batch)).write.mode("overwrite").parquet(version(batch_id))
-        newest["n"] = batch_id
     query = (updates.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(progress.schema).parquet(version(newest["n"]))
+    return spark.read.schema(progress.schema).parquet(version(numbered(spark, out, "v=")[-1]))
