@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from unitgrid.llm import common
-from unitgrid.llm.linecrf import sample_of
 from unitgrid.llm.maintext import TOKEN, blocks_of
 from unitgrid.llm.textpack import slices
 from unitgrid.session import materialize
@@ -77,10 +76,13 @@ def reader(shared):
 
 def train(docs, labels_column="lang", text="text", id="doc_id", sample=2000, longest=50_000):
     """Trigram model from a bounded sample of labelled texts, those with the least hash of the id; broadcast."""
-    common.ship("unitgrid.llm.common", "unitgrid.llm.maintext", "unitgrid.llm.linecrf", __name__)
+    common.ship("unitgrid.llm.common", "unitgrid.llm.maintext", __name__)
     rows = (docs.select(common.quoted(id).alias("id"), common.quoted(text).alias("text"), common.quoted(labels_column).alias("label"))
-            .filter(F.col("label").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= longest))
-            .orderBy(F.xxhash64("id"), "id", "label", "text").limit(sample).collect())
+            .filter(F.col("label").isNotNull() & F.col("id").isNotNull() & (F.octet_length("text") <= longest)))
+    # ids are chosen first, so that texts other than the sample's never move
+    chosen = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = rows.join(chosen, "id").groupBy("id").agg(F.min(F.struct("label", "text")).alias("r")).select("id", "r.*").collect()
+    rows.sort(key=lambda r: r.id)
     return docs.sparkSession.sparkContext.broadcast(fit_text([r.text for r in rows], [r.label for r in rows]))
 
 
