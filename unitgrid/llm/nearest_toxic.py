@@ -20,6 +20,7 @@ from unitgrid.llm.linecrf import _descend, _sigmoid, sample_of
 from unitgrid.llm.textpack import BASE, BYTE_HASH, NOT_ALNUM, Words, member, mixed, powers, slices
 
 BLOCK = 64
+LEAST_TEXTS = 8
 STEMS = (4, 5, 6, 7, 8)  # bytes of a word's beginning
 EVIDENCE = "array<struct<id:string,label:int,similarity:double>>"
 
@@ -27,8 +28,8 @@ EVIDENCE = "array<struct<id:string,label:int,similarity:double>>"
 def _terms(column):
     """Occurrences of terms: (text, hash, word index, bytes of the word that make the term, or 0 for the whole word), and the words."""
     words = Words(column, NOT_ALNUM, lower=True)
-    text_of, every = words.text_of_word(), np.arange(len(words.start))
-    text, value, word, size = [text_of], [words.hashes()], [every], [np.zeros(len(every), np.int64)]
+    text_of, every = words.text_of_word().astype(np.int32), np.arange(len(words.start), dtype=np.int32)
+    text, value, word, size = [text_of], [words.hashes()], [every], [np.zeros(len(every), np.int8)]
     total, power = np.zeros(len(every), np.uint64), powers(BASE, max(STEMS))
     with np.errstate(over="ignore"):
         for j in range(max(STEMS)):
@@ -38,7 +39,7 @@ def _terms(column):
                 text.append(text_of[every])
                 value.append(mixed(total[every], 100 + j))
                 word.append(every)
-                size.append(np.full(len(every), j + 1))
+                size.append(np.full(len(every), j + 1, np.int8))
     return [np.concatenate(x) for x in (text, value, word, size)] + [words]
 
 
@@ -48,13 +49,20 @@ def _spelling(words, word, size):
     return whole[:size] if size else whole + b" "
 
 
-def choose_terms(text, term, n_terms, labels, most, least_texts=8, error=0.05):
+def often(value, least):
+    """(distinct values, those that occur at least `least` times), the latter ascending."""
+    ordered = np.sort(value)
+    at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+    return len(at), ordered[at[np.diff(np.append(at, len(ordered))) >= least]]
+
+
+def choose_terms(text, term, n_terms, tests, labels, most, least_texts=LEAST_TEXTS, error=0.05):
     """Terms whose presence depends on the label, the strongest `most`.
 
-    A term must be in `least_texts` examples and pass a chi-square test at `error` divided by the number of terms
+    A term must be in `least_texts` examples and pass a chi-square test at `error` divided by the number of `tests`
     (tail bounded by exp(-x / 2)), so that chance hits among many rare terms are left out.
     """
-    pairs = np.unique(text * n_terms + term)
+    pairs = np.unique(text.astype(np.int64) * n_terms + term)
     t, w = pairs // n_terms, pairs % n_terms
     n, pos = len(labels), labels.sum()
     df = np.bincount(w, minlength=n_terms).astype(float)
@@ -63,7 +71,7 @@ def choose_terms(text, term, n_terms, labels, most, least_texts=8, error=0.05):
     with np.errstate(divide="ignore", invalid="ignore"):
         score = n * (np.abs(a * d - b * c) - n / 2).clip(0) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d))
     score = np.nan_to_num(score)
-    ok = np.flatnonzero((df >= least_texts) & (score >= 2 * np.log(n_terms / error)))
+    ok = np.flatnonzero((df >= least_texts) & (score >= 2 * np.log(tests / error)))
     ok = ok[np.lexsort((ok, -score[ok]))][:most]
     return ok, df[ok]
 
@@ -118,8 +126,11 @@ def fit(ids, texts, labels, k=15, terms=512):
     labels = np.asarray(labels, dtype=float)
     rate = float(np.clip(labels.mean(), 0.01, 0.99)) if len(labels) else 0.5
     text, value, word, size, words = _terms(pa.array(texts, pa.string()))
+    tests, common = often(value, LEAST_TEXTS)
+    kept = np.flatnonzero(member(value, common))
+    text, value, word, size = text[kept], value[kept], word[kept], size[kept]
     kinds, first, term = np.unique(value, return_index=True, return_inverse=True)
-    chosen, df = choose_terms(text, term, len(kinds), labels, terms) if len(kinds) and 0 < labels.sum() < len(labels) else (np.zeros(0, np.int64), np.zeros(0))
+    chosen, df = choose_terms(text, term, len(kinds), tests, labels, terms) if len(kinds) and 0 < labels.sum() < len(labels) else (np.zeros(0, np.int64), np.zeros(0))
     place = np.full(len(kinds), -1)
     place[chosen] = np.arange(len(chosen))
     inside = place[term] >= 0 if len(term) else np.zeros(0, bool)
