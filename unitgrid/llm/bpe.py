@@ -173,31 +173,34 @@ def encode_texts(merger, special, splitter, texts):
     """Packed ids of each text (bytes). Words and merges are found once for each distinct chunk and word."""
     chunks, words = Numbers(), Numbers()
     number, in_words = chunks.__getitem__, unicode_words()
-    codes = [np.fromiter(map(number, t.split()), np.int64) for t in texts]
+    codes = [np.fromiter(map(number, t.split()), np.int32) for t in texts]
+    texts.clear()
+    del number
     flat, counts = [], []
     for chunk in chunks:
         got = pieces(chunk, special, splitter, in_words)
         counts.append(len(got))
         flat += [words[p] if isinstance(p, bytes) else -1 - p for p in got]
-    ids, first = merger.encode(list(words))
-    flat = np.array(flat, np.int64)
+    flat, counts = np.array(flat, np.int64), np.array(counts, np.int64)
+    n_words, in_order = len(words), list(words)
+    del chunks, words
+    ids, first = merger.encode(in_order)
+    del in_order
     # special ids stand as one-id words behind the others
     extra = np.unique(flat[flat < 0])
     ids = np.concatenate([ids, (-1 - extra).astype(np.int32)])
     first = np.concatenate([first, first[-1] + 1 + np.arange(len(extra))])
-    flat = np.where(flat < 0, len(words) + np.searchsorted(extra, flat), flat)
+    flat = np.where(flat < 0, n_words + np.searchsorted(extra, flat), flat)
     chunk_ids, lengths = gather(ids, first, flat)
     word_ends = np.concatenate([[0], np.cumsum(lengths)])
-    chunk_first = word_ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+    chunk_first = word_ends[np.concatenate([[0], np.cumsum(counts)])]
     for c in codes:
         yield gather(chunk_ids, chunk_first, c)[0].astype("<u4").tobytes()
 
 
 def encoder(tables, portion):
     def flush(merger, special, splitter, held):
-        texts = [t for batch in held for t in batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()]
-        out = encode_texts(merger, special, splitter, texts)
-        del texts
+        out = encode_texts(merger, special, splitter, [t for batch in held for t in batch.column("text").cast(pa.binary()).fill_null(b"").to_pylist()])
         for batch in held:
             for part in slices([batch], 2_000_000):
                 packed = [next(out) for _ in range(part.num_rows)]
@@ -236,7 +239,7 @@ def vocabulary(spark, path):
     return spark.sparkContext.broadcast(load(path))
 
 
-def encode(docs, tables, text="text", portion_mb=24):
+def encode(docs, tables, text="text", portion_mb=10):
     """All columns of `docs` and: n_tokens (long), ids (binary, little-endian unsigned 32-bit numbers).
 
     `tables` comes from `vocabulary`. White space is dropped, text is normalized (NFC) and lowered, special tokens
