@@ -247,3 +247,32 @@ def test_digests_of_chat_query(spark, sf_dir):
     assert rows[-7].n_turns == 2 and rows[-7].loss_chars == len("</s>[INST] ok [/INST]")
     assert rows[-7].loss_sha256 == hashlib.sha256(b"</s>[INST] ok [/INST]").hexdigest()
     assert json.dumps(rows[-7].turns_sha256)
+
+
+def test_rare_copies_of_toxic_examples_are_found():
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    rng = random.Random(3)
+    texts = ["idiot " + " ".join(rng.choices(words, k=30)) for _ in range(40)] + [" ".join(rng.choices(words, k=30)) for _ in range(300)]
+    texts += ["zzyzx qwyjibo", "same text", "same text"]
+    model = nearest_toxic.fit(list(range(len(texts))), texts, [1] * 40 + [0] * 300 + [1, 0, 0])
+    index = nearest_toxic.Index(*model["vectors"], len(model["idf"]), len(model["labels"]))
+    score, evidence = nearest_toxic.score_texts(model, index, pa.array(["zzyzx qwyjibo", texts[50], "idiot", "neverseen"]))
+    assert evidence[0][0]["id"] == "340" and evidence[0][0]["label"] == 1 and abs(evidence[0][0]["similarity"] - 1) < 1e-9
+    assert evidence[1][0]["id"] == "50" and score[0] > 0.5 > score[1] and score[2] > 0.5
+    assert evidence[3] == [] and score[3] == model["base"]
+
+
+def test_toxicity_neighbours_against_dense_vectors():
+    rng = random.Random(4)
+    words = [f"{a}{b}" for a in ("you", "idiots", "calm", "text", "x", "long words") for b in range(40)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 60))) for _ in range(300)]
+    model = nearest_toxic.fit(list(range(300)), texts, [int("idiots" in t) for t in texts])
+    row, column, weight = model["vectors"]
+    dense = np.zeros((300, len(model["idf"])))
+    dense[row, column] = weight
+    index = nearest_toxic.Index(row, column, weight, len(model["idf"]), 300)
+    assert 0 < len(index.matrix) < len(model["idf"]) and np.allclose(np.linalg.norm(dense, axis=1), 1)
+    _, evidence = nearest_toxic.score_texts(model, index, pa.array(texts[:60]))
+    for i, got in enumerate(evidence):
+        sims = np.sort(np.round(dense @ dense[i], 9))[::-1][:3]
+        assert np.allclose([e["similarity"] for e in got], sims)

@@ -1,14 +1,15 @@
 """Toxicity by the nearest labelled examples.
 
-A text and the labelled examples are TF-IDF vectors over the terms (words, and beginnings of longer words) that tell the label apart; similarity is their exact
-cosine. The examples lie in an inverted index with block maxima: the examples of a term are cut into blocks, and of each
-block the largest weight is stored. A query adds up the block maxima of its terms, opens blocks from the highest
-bound on, and stops when the next bound is below the k-th best cosine found; so the k nearest are exact. Their labels
+A text and the labelled examples are TF-IDF vectors over all terms (words, and beginnings of longer words); terms that tell the label
+apart weigh `boost` times as much. Similarity is their exact cosine; terms that no example holds count in a text's length. The examples lie in an inverted index with block maxima: the examples of a term are cut into blocks, and of each
+block the largest weight is stored. The lists of terms that many examples hold are rows of a matrix, whose product
+with a query is exact. A query adds the block maxima of its other terms, and opens the blocks whose bound reaches the k-th best exact
+part, below which no neighbour can lie; so the k nearest are exact. Their labels
 vote with weights that fall with distance, a logistic curve fitted leave-one-out turns votes into probabilities, and
 the nearest examples are returned as evidence.
 
 The examples are a bounded sample of the labelled documents (`sample`, texts of at most `longest` bytes, least hash
-of the id first), the terms at most `terms`; both are broadcast. Texts are scored where they lie, whole.
+of the id first), and so are the terms that weigh more (at most `terms`). All terms of the sample are indexed and broadcast. Texts are scored where they lie, whole.
 """
 
 import numpy as np
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 
 from unitgrid.llm import common
 from unitgrid.llm.linecrf import _descend, _sigmoid, sample_of
-from unitgrid.llm.textpack import BASE, BYTE_HASH, NOT_ALNUM, Words, member, mixed, powers, slices
+from unitgrid.llm.textpack import BASE, BYTE_HASH, NOT_ALNUM, Words, mixed, powers, slices
 
 BLOCK = 64
 LEAST_TEXTS = 8
+BOOST = 4.0  # weight of a term that tells the label apart, times that of others
 STEMS = (4, 5, 6, 7, 8)  # bytes of a word's beginning
 EVIDENCE = "array<struct<id:string,label:int,similarity:double>>"
 
@@ -43,27 +45,54 @@ def _terms(column):
     return [np.concatenate(x) for x in (text, value, word, size)] + [words]
 
 
-def _spelling(words, word, size):
-    """A term as bytes; a whole word ends with a blank."""
-    whole = words.buf[words.start[word]:words.end[word]].tobytes()
-    return whole[:size] if size else whole + b" "
-
-
-def often(value, least):
-    """(distinct values, those that occur at least `least` times), the latter ascending."""
-    ordered = np.sort(value)
-    at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
-    return len(at), ordered[at[np.diff(np.append(at, len(ordered))) >= least]]
-
-
-def choose_terms(text, term, n_terms, tests, labels, most, least_texts=LEAST_TEXTS, error=0.05):
+def ragged(start, size):
+    """start[0], start[0] + 1, ... of `size[0]` numbers, then those of start[1], and so on."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
+
+
+def _table(columns):
+    """Terms and their occurrences in several columns of texts: (hashes, sizes, spelling of whole words, (row, term, times) ordered by row)."""
+    kinds, sizes, spans, spelled, rows, values, times, done = [], [], [], [], [], [], [], 0
+    for column in columns:
+        text, value, word, size, words = _terms(column)
+        kind, first, number = np.unique(value, return_index=True, return_inverse=True)
+        span = np.where(size[first] == 0, words.lengths[word[first]], 0)
+        key, n = np.unique(text.astype(np.int64) * len(kind) + number, return_counts=True)
+        kinds, sizes, spans = kinds + [kind], sizes + [size[first]], spans + [span]
+        spelled.append(words.buf[ragged(words.start[word[first]], span)])
+        rows, values, times = rows + [(key // max(1, len(kind)) + done).astype(np.int32)], values + [kind[key % max(1, len(kind))]], times + [n.astype(np.int32)]
+        done += words.texts
+    whole, first = np.unique(np.concatenate([*kinds, np.zeros(0, np.uint64)]), return_index=True)
+    span, data = np.concatenate([*spans, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*spelled, np.zeros(0, np.uint8)])
+    data = data[ragged((np.cumsum(span) - span)[first], span[first])]
+    term = np.searchsorted(whole, np.concatenate([*values, np.zeros(0, np.uint64)])).astype(np.int32)
+    return whole, np.concatenate([*sizes, np.zeros(0, np.int8)])[first], (span[first], data), (np.concatenate([*rows, np.zeros(0, np.int32)]), term, np.concatenate([*times, np.zeros(0, np.int32)]))
+
+
+def _found(model, value, word, size, words):
+    """Term of each occurrence, -1 if it is none. The hash finds the term, size and spelling decide (the hash of a beginning is its bytes')."""
+    if not len(model["hash"]):
+        return np.full(len(value), -1)
+    at = np.minimum(np.searchsorted(model["hash"], value), len(model["hash"]) - 1)
+    good = (model["hash"][at] == value) & (model["sizes"][at] == size)
+    span, data = model["spelling"]
+    whole = np.flatnonzero(good & (size == 0))
+    good[whole] = span[at[whole]] == words.lengths[word[whole]]
+    whole = whole[good[whole]]
+    if len(whole):
+        length = span[at[whole]]
+        same = data[ragged((np.cumsum(span) - span)[at[whole]], length)] == words.buf[ragged(words.start[word[whole]], length)]
+        good[whole] = np.logical_and.reduceat(same, np.cumsum(length) - length)
+    return np.where(good, at, -1)
+
+
+def choose_terms(t, w, n_terms, tests, labels, most, least_texts=LEAST_TEXTS, error=0.05):
     """Terms whose presence depends on the label, the strongest `most`.
 
     A term must be in `least_texts` examples and pass a chi-square test at `error` divided by the number of `tests`
-    (tail bounded by exp(-x / 2)), so that chance hits among many rare terms are left out.
+    (tail bounded by exp(-x / 2)), so that chance hits among many rare terms are left out. (t, w) are the distinct pairs of an example and a term.
     """
-    pairs = np.unique(text.astype(np.int64) * n_terms + term)
-    t, w = pairs // n_terms, pairs % n_terms
     n, pos = len(labels), labels.sum()
     df = np.bincount(w, minlength=n_terms).astype(float)
     hit = np.bincount(w, weights=labels[t], minlength=n_terms)
@@ -73,46 +102,82 @@ def choose_terms(text, term, n_terms, tests, labels, most, least_texts=LEAST_TEX
     score = np.nan_to_num(score)
     ok = np.flatnonzero((df >= least_texts) & (score >= 2 * np.log(tests / error)))
     ok = ok[np.lexsort((ok, -score[ok]))][:most]
-    return ok, df[ok]
+    return ok, df
 
 
-def vectors(rows, columns, n_rows, idf):
-    """Sparse unit TF-IDF vectors from (row, column) occurrences: (row, column, weight), ordered by row."""
-    key, tf = np.unique(rows * len(idf) + columns, return_counts=True)
-    row, column = key // max(1, len(idf)), key % max(1, len(idf))
-    weight = (1 + np.log(tf)) * idf[column]
+def vectors(row, column, times, n_rows, idf):
+    """Weights of sparse unit TF-IDF vectors from distinct (row, column) pairs and how often they occur."""
+    weight = (1 + np.log(times)) * idf[column]
     norm = np.sqrt(np.bincount(row, weights=weight ** 2, minlength=n_rows))
-    return row, column, weight / norm[row] if len(row) else weight
+    return weight / norm[row] if len(row) else weight
 
 
 class Index:
-    """Block-max inverted index of unit vectors: by term, weights over examples in blocks, and each block's maximum."""
+    """Block-max inverted index of unit vectors: each term's examples with weights, cut into blocks, and each block's maximum.
+
+    Lists of terms that many examples hold are full rows of a matrix; its product with a query is their exact part of the cosines,
+    and the largest of a block joins the block's bound.
+    """
 
     def __init__(self, row, column, weight, n_terms, n_rows):
-        blocks = -(-max(n_rows, 1) // BLOCK)
-        self.weights = np.zeros((n_terms, blocks, BLOCK))
-        self.weights[column, row // BLOCK, row % BLOCK] = weight
-        self.tops = self.weights.max(axis=2)
-        self.rows = n_rows
-
-    def nearest(self, terms, values, k, skip=-1):
-        """(examples, cosines) of the k nearest with a positive cosine; ties go to the example of less number."""
-        bound = values @ self.tops[terms]
-        order = np.argsort(-bound, kind="stable")
-        ids, sims, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for at in range(0, len(order), 4):
-            part = order[at:at + 4]
-            part = part[bound[part] > 0]
-            if not len(part) or (len(ids) >= k and bound[part[0]] < worst - 1e-12):
-                break
-            got = np.einsum("t,tbi->bi", values, self.weights[terms[:, None], part[None, :]]).ravel()
-            who = (part[:, None] * BLOCK + np.arange(BLOCK)[None, :]).ravel()
-            good = (got > 0) & (who != skip)
-            ids, sims = np.concatenate([ids, who[good]]), np.concatenate([sims, got[good]])
-            best = np.lexsort((ids, -np.round(sims, 12)))[:k]
-            ids, sims = ids[best], sims[best]
-            worst = sims[-1] if len(sims) >= k else 0.0
-        return ids, sims
+        order = np.lexsort((row, column))
+        row, weight, column = np.asarray(row)[order].astype(np.int32), np.asarray(weight)[order], np.asarray(column)[order].astype(np.int64)
+        self.blocks = -(-max(n_rows, 1) // BLOCK)
+        df = np.bincount(column, minlength=n_terms)
+        heavy = np.flatnonzero(df >= max(BLOCK, n_rows // 16))
+        self.full = np.full(n_terms, -1, np.int32)
+        self.full[heavy] = np.arange(len(heavy))
+        self.matrix = np.zeros((len(heavy), self.blocks * BLOCK))
+        at = self.full[column]
+        self.matrix[at[at >= 0], row[at >= 0]] = weight[at >= 0]
+        self.row, self.weight, column = row[at < 0], weight[at < 0], column[at < 0]
+        key = column * self.blocks + self.row // BLOCK
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        self.at, self.block = np.append(at, len(key)), (key[at] % self.blocks).astype(np.int32)
+        self.tops = np.maximum.reduceat(self.weight, at) if len(at) else np.zeros(0)
+        self.lists = np.searchsorted(column[at], np.arange(n_terms + 1))
+
+    def search(self, row, column, weight, n_rows, k, leave=False, at_once=128):
+        """For each query with terms (ordered by row): (its number, examples, cosines); with `leave` query i is example i and not its own neighbour."""
+        cut = np.searchsorted(row, np.arange(n_rows + 1))
+        for i in range(0, n_rows, at_once):
+            j = min(i + at_once, n_rows)
+            here = np.arange(cut[i], cut[j])
+            here = here[self.full[column[here]] >= 0]
+            queries = np.zeros((j - i, len(self.matrix)))
+            queries[row[here] - i, self.full[column[here]]] = weight[here]
+            exact = queries @ self.matrix
+            for q in range(i, j):
+                a, b = cut[q], cut[q + 1]
+                if b > a:
+                    yield q, *self.nearest(column[a:b], weight[a:b], k, q if leave else -1, exact[q - i])
+
+    def nearest(self, terms, values, k, skip=-1, exact=None):
+        """(examples, cosines) of the k nearest with a positive cosine; ties go to the example of less number. `exact`: the matrix' part."""
+        full = self.full[terms]
+        if exact is None:
+            exact = values[full >= 0] @ self.matrix[full[full >= 0]]
+        terms, values, exact = terms[full < 0], values[full < 0], exact.reshape(self.blocks, BLOCK)
+        size = self.lists[terms + 1] - self.lists[terms]
+        part, value = ragged(self.lists[terms], size), np.repeat(values, size)
+        bound = exact.max(axis=1) + np.bincount(self.block[part], weights=value * self.tops[part], minlength=self.blocks)
+        floor, skipped = exact.ravel().copy(), np.arange(self.blocks * BLOCK) == skip
+        floor[skipped] = 0.0
+        # every cosine is at least its exact part: blocks below the k-th best of these hold no neighbour
+        floor = max(0.0, np.partition(floor, -k)[-k]) if len(floor) >= k else 0.0
+        opens = bound >= floor - 1e-12
+        inside = opens[self.block[part]]
+        part, value = part[inside], value[inside]
+        size = self.at[part + 1] - self.at[part]
+        every = ragged(self.at[part], size)
+        got = exact.ravel() + np.bincount(self.row[every], weights=np.repeat(value, size) * self.weight[every], minlength=self.blocks * BLOCK)
+        ids = np.flatnonzero((got >= max(floor - 1e-12, 1e-300)) & np.repeat(opens, BLOCK) & ~skipped)
+        sims = got[ids]
+        if len(ids) > k:
+            near = sims >= np.partition(sims, -k)[-k] - 1e-11
+            ids, sims = ids[near], sims[near]
+        best = np.lexsort((ids, -np.round(sims, 12)))[:k]
+        return ids[best], sims[best]
 
 
 def vote(labels, ids, sims):
@@ -121,51 +186,47 @@ def vote(labels, ids, sims):
     return float((w * labels[ids]).sum() / w.sum())
 
 
-def fit(ids, texts, labels, k=15, terms=512):
+def fit(ids, texts, labels, k=15, terms=512, boost=BOOST):
     """Plain tables of a classifier: terms, their weights, the index's vectors, labels, ids, and the curve."""
     labels = np.asarray(labels, dtype=float)
     rate = float(np.clip(labels.mean(), 0.01, 0.99)) if len(labels) else 0.5
-    text, value, word, size, words = _terms(pa.array(texts, pa.string()))
-    tests, common = often(value, LEAST_TEXTS)
-    kept = np.flatnonzero(member(value, common))
-    text, value, word, size = text[kept], value[kept], word[kept], size[kept]
-    kinds, first, term = np.unique(value, return_index=True, return_inverse=True)
-    chosen, df = choose_terms(text, term, len(kinds), tests, labels, terms) if len(kinds) and 0 < labels.sum() < len(labels) else (np.zeros(0, np.int64), np.zeros(0))
-    place = np.full(len(kinds), -1)
-    place[chosen] = np.arange(len(chosen))
-    inside = place[term] >= 0 if len(term) else np.zeros(0, bool)
+    kinds, sizes, spelling, (row, column, times) = _table(pa.array(texts[i:i + 250], pa.string()) for i in range(0, len(texts), 250))
+    df = np.bincount(column, minlength=len(kinds))
     idf = np.log((1 + len(texts)) / (1 + df)) + 1
-    row, column, weight = vectors(text[inside], place[term[inside]], len(texts), idf)
-    index = Index(row, column, weight, len(chosen), len(texts))
+    if len(kinds) and 0 < labels.sum() < len(labels):
+        held = df[column] >= LEAST_TEXTS
+        idf[choose_terms(row[held], column[held], len(kinds), len(kinds), labels, terms)[0]] *= boost
+    weight = vectors(row, column, times, len(texts), idf)
+    index = Index(row, column, weight, len(kinds), len(texts))
     none = np.ones(len(texts), bool)
     none[row] = False
     base = float((labels[none].sum() + rate) / (none.sum() + 1)) if len(labels) else rate
     share, truth = [], []
-    cut = np.searchsorted(row, np.arange(len(texts) + 1))
-    for i in np.flatnonzero(~none).tolist():
-        a, b = cut[i], cut[i + 1]
-        near, sims = index.nearest(column[a:b], weight[a:b], k, skip=i)
+    for i, near, sims in index.search(row, column, weight, len(texts), k, leave=True):
         share.append(vote(labels, near, sims) if len(near) else base)
         truth.append(labels[i])
     z = np.stack([np.ones(len(share)), 2 * np.array(share) - 1], axis=1) if share else np.zeros((0, 2))
     curve = _descend(np.zeros(2), lambda c: z.T @ (np.array(truth) - _sigmoid(z @ c)) / len(z) - 1e-4 * c, 600) if share else np.zeros(2)
-    return {"terms": {_spelling(words, word[first[c]], size[first[c]]): i for i, c in enumerate(chosen.tolist())}, "hash": kinds[chosen], "idf": idf, "vectors": (row, column, weight), "labels": labels,
+    return {"hash": kinds, "sizes": sizes, "spelling": spelling, "idf": idf, "unseen": float(np.log(1 + len(texts)) + 1), "vectors": (row, column, weight), "labels": labels,
             "ids": [str(i) for i in ids], "base": base, "curve": curve, "k": k}
 
 
 def score_texts(model, index, column):
     """(score, evidence) of each text."""
     text, value, word, size, words = _terms(column)
-    order = np.argsort(model["hash"])
-    maybe = np.flatnonzero(member(value, model["hash"][order]))
-    # the hash finds the term, its spelling decides
-    term = np.array([model["terms"].get(_spelling(words, w, n), -1) for w, n in zip(word[maybe].tolist(), size[maybe].tolist())], np.int64)
-    row, column, weight = vectors(text[maybe[term >= 0]], term[term >= 0], words.texts, model["idf"])
+    term = _found(model, value, word, size, words)
+    n = len(model["idf"])
+    key, times = np.unique(text[term >= 0].astype(np.int64) * max(1, n) + term[term >= 0], return_counts=True)
+    row, column = key // max(1, n), key % max(1, n)
+    # terms of no example: they meet nothing, but lengthen the text's vector
+    kinds, number = np.unique(value[term < 0], return_inverse=True)
+    other, often = np.unique(text[term < 0].astype(np.int64) * max(1, len(kinds)) + number, return_counts=True)
+    weight = (1 + np.log(times)) * model["idf"][column]
+    norm = np.sqrt(np.bincount(row, weights=weight ** 2, minlength=words.texts)
+                   + np.bincount(other // max(1, len(kinds)), weights=((1 + np.log(often)) * model["unseen"]) ** 2, minlength=words.texts))
+    weight = weight / norm[row]
     score, evidence = np.full(words.texts, model["base"]), [[] for _ in range(words.texts)]
-    cut = np.searchsorted(row, np.arange(words.texts + 1))
-    for i in np.unique(row).tolist():
-        a, b = cut[i], cut[i + 1]
-        near, sims = index.nearest(column[a:b], weight[a:b], model["k"])
+    for i, near, sims in index.search(row, column, weight, words.texts, model["k"]):
         if len(near):
             score[i] = _sigmoid(model["curve"][0] + model["curve"][1] * (2 * vote(model["labels"], near, sims) - 1))
             evidence[i] = [{"id": model["ids"][j], "label": int(model["labels"][j]), "similarity": float(s)} for j, s in zip(near[:3].tolist(), sims[:3].tolist())]
@@ -176,25 +237,25 @@ def scorer(shared):
     def run(batches):
         model = shared.value
         index = Index(*model["vectors"], len(model["idf"]), len(model["labels"]))
-        for batch in slices(batches):
+        for batch in slices(batches, 2_000_000):
             score, evidence = score_texts(model, index, batch.column("text"))
             kind = pa.list_(pa.struct([("id", pa.string()), ("label", pa.int32()), ("similarity", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(score), pa.array(evidence, kind)], names=["row", "text", "score", "evidence"])
     return run
 
 
-def train(docs, labels, label="toxic", id="doc_id", text="text", sample=4000, longest=50_000, k=15, terms=512):
-    """Fit on a bounded sample of labelled documents and broadcast the tables (at most sample x terms weights, mostly absent)."""
+def train(docs, labels, label="toxic", id="doc_id", text="text", sample=4000, longest=50_000, k=15, terms=512, boost=BOOST):
+    """Fit on a bounded sample of labelled documents and broadcast the tables (one weight for each distinct term of an example)."""
     common.ship("unitgrid.llm.common", "unitgrid.llm.linecrf", __name__)
     ids, texts, marks = sample_of(docs, labels, label, id, text, sample, longest, with_ids=True)
-    return docs.sparkSession.sparkContext.broadcast(fit(ids, texts, marks, k, terms))
+    return docs.sparkSession.sparkContext.broadcast(fit(ids, texts, marks, k, terms, boost))
 
 
 def score(docs, model, text="text"):
     """All columns of `docs` and: score (0 to 1), evidence (the three nearest examples: id, label, similarity).
 
-    A text without any of the terms (null and empty ones too) has no neighbour: its score is the share of label 1 among
-    such examples, its evidence empty. Repeated rows score alike, an example that is scored finds itself; a column of `docs`
+    A text that shares no term with an example (null and empty ones too) has no neighbour: its score is the share of label 1
+    among examples without a term, its evidence empty. Repeated rows score alike, an example that is scored finds itself; a column of `docs`
     with one of the new names is replaced; an empty table stays empty.
     """
     made = ("score", "evidence")
