@@ -276,3 +276,13 @@ def test_toxicity_neighbours_against_dense_vectors():
     for i, got in enumerate(evidence):
         sims = np.sort(np.round(dense @ dense[i], 9))[::-1][:3]
         assert np.allclose([e["similarity"] for e in got], sims)
+
+
+@pytest.mark.parametrize("inner,text", [
+    ("<svg class='i'/>", ""), ("<svg><style/><title/><path d='M0'/></svg>", ""), ("<svg><title>no</title><path d='M0'>", ""), ("<math/>", ""), ("<video src=x>", ""),
+    ("<title-bar></title-bar>", ""), ("<video-player/>", ""), ("<script-x>y</script-x>", "y"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"),
+    ("<select><option>", ""), ("<object data=x>", ""), ("<script>no</script x>", ""), ("<iframe src=x></iframe>", ""), ("<svg", None)])
+def test_main_text_goes_on_after_drawings_and_custom_elements(inner, text):
+    long = "It is the first of the paragraphs that we have here, and it is long enough."
+    got = maintext.extract(f"<body><article><p>{long} {inner}</p><p>{long}</p></article><footer>no</footer>")[0]
+    assert got == (f"{long}\n{long}" if not text else f"{long} {text}\n{long}")

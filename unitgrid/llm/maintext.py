@@ -17,7 +17,8 @@ from unitgrid.llm import common
 from unitgrid.llm.textpack import slices
 
 # Elements by kind.
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|select|canvas|video|audio"
+RAW = "script|style|noscript|template|textarea|title|iframe"
+FOREIGN = frozenset(["svg", "math"])
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5
 h6 header hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption head""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,7 +36,7 @@ sich sie sind so über um und uns von vor war wie wir zu zum zur al como con del
 por si sin su sus te todo y ya""".split())
 
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*\Z)|<(?P<raw>" + RAW + r")\b[^>]*>(?:.*?</(?P=raw)\s*(?:>|\Z)|.*\Z)"
+    r"<!--(?:.*?-->|.*\Z)|<(?P<raw>" + RAW + r")(?=[\s/>])(?P<start>[^>]*>)(?:.*?</(?P=raw)(?=[\s/>]|\Z)[^>]*(?:>|\Z)|.*\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|<(?P<close2>/?)(?P<name2>[a-z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.I | re.S)
 ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -65,7 +66,7 @@ def is_side(name, attrs, in_main):
 def blocks_of(page):
     """(text, characters inside links, bad by place?, section number, inside article or main?) of each block with text."""
     out, pieces, linked = [], [], 0
-    stack, side, main, links, section = [], 0, 0, 0, 0  # stack: (name, is side, is main)
+    stack, side, main, links, section, foreign = [], 0, 0, 0, 0, 0  # stack: (name, is side, is main)
 
     def text(raw):
         nonlocal linked
@@ -84,17 +85,20 @@ def blocks_of(page):
             linked = 0
 
     def pop():
-        nonlocal side, main, links, section
+        nonlocal side, main, links, section, foreign
         name, was_side, was_main = stack.pop()
         side -= was_side
         main -= was_main
         links -= name == "a"
+        foreign -= name in FOREIGN
         section += was_main
 
     at = 0
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         text(page[at:m.start()])
         at = m.end()
+        if m["raw"] and foreign and m["start"].endswith("/>"):
+            at = m.end("start")  # empty inside a drawing or formula
         name = m["name"] or m["name2"]
         if not name:
             continue
@@ -120,12 +124,18 @@ def blocks_of(page):
                     if stack[k][0] in BLOCK:
                         break
             attrs = m["attrs"] if m["name"] else m["attrs2"]
+            if name in BLOCK:
+                while foreign:  # a block ends an open drawing or formula
+                    pop()
+            if attrs.endswith("/") and (foreign or name in FOREIGN):
+                continue
             is_main = name in MAIN
             section += is_main
             stack.append((name, is_side(name, attrs, main > 0), is_main))
             side += stack[-1][1]
             main += is_main
             links += name == "a"
+            foreign += name in FOREIGN
     text(page[at:])
     flush()
     return out
@@ -181,7 +191,8 @@ def main_text(pages, html="html"):
 
     Character references are decoded once, white space inside a block becomes one space, blocks are joined by a new
     line. A null or empty page, and one without main text, gives "". Markup that breaks off at the end of the page
-    is markup. Repeated rows give repeated results; an empty table gives an empty one; a column of `pages` with one
+    is markup. Scripts, styles, templates and the like end at their closing tag, else at the end of the page; any other element,
+    drawings, formulas and players too, ends at the latest with the block around it, and its text counts. Repeated rows give repeated results; an empty table gives an empty one; a column of `pages` with one
     of the new names is replaced.
     """
     common.ship("unitgrid.llm.common", __name__)
