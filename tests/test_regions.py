@@ -159,3 +159,29 @@ def test_mosaic(spark):
     got = {(r.row, r.col): (r.a, r.b, r.conflict) for r in R.mosaic(df, ["a", "b"]).collect()}
     assert got[(0, 0)] == (1.0, None, False) and got[(0, 1)] == (5.0, 6.0, False)
     assert got[(4, 0)][2] and got[(8, 0)][2]
+
+
+def test_images_of_two_sizes(spark):
+    small, large = np.zeros((8, 8), dtype=bool), np.zeros((20, 20), dtype=bool)
+    small[0:4, 5:8] = True    # touches the right border of the small image only
+    large[5:9, 5:8] = True
+    mask = masks(spark, [small, large])
+    images = spark.createDataFrame([("i0", 8, 8, 900.0, 30.0), ("i1", 20, 20, 100.0, 10.0)], "image_id string, height int, width int, pixel_area_m2 double, res_m double")
+    opened = R.open_lines(mask, images=images)
+    for k, g in enumerate((small, large)):
+        assert np.array_equal(grids_of(opened.filter(f"image_id = 'i{k}'"), g.shape, 2)[k], brute_open(g) | brute_open(g.T).T)
+    both = masks(spark, [np.ones((8, 8), dtype=bool), np.ones((20, 20), dtype=bool)])
+    roads = {r.image_id: r for r in R.road_metrics(both, images=images).collect()}
+    assert roads["i0"].road_area_ha == pytest.approx(64 * 0.09) and roads["i1"].road_area_ha == pytest.approx(400 * 0.01)
+    assert roads["i1"].road_length_km == pytest.approx(roads["i1"].road_centerline_pixels * 0.01)
+    assert {r.image_id: r.water_area_ha for r in R.water_metrics(both, images=images).collect()} == pytest.approx({"i0": 5.76, "i1": 4.0})
+    assert {r.image_id: r.industrial_area_m2 for r in R.industrial_metrics(both, images=images).collect()} == pytest.approx({"i0": 57600.0, "i1": 40000.0})
+    for wrong in (images.limit(1), images.union(images)):
+        with pytest.raises(Exception, match="exactly one description"):
+            R.open_lines(mask, images=wrong).collect()
+
+
+def test_mosaics_keep_apart(spark):
+    df = spark.createDataFrame([("m", 0, 0, 0, 0, 1.0), ("n", 0, 0, 0, 0, 2.0)], "mosaic string, row_off long, col_off long, row long, col long, a double")
+    got = {r.mosaic: (r.a, r.conflict) for r in R.mosaic(df, ["a"], key=["mosaic"]).collect()}
+    assert got == {"m": (1.0, False), "n": (2.0, False)}

@@ -41,20 +41,33 @@ def _pixels(spans, axis="row"):
         IMG, F.col("line").alias(line), F.col("_p").alias(pos)).select(IMG, "row", "col")
 
 
-def open_lines(mask, height, width, length=LINE_LENGTH):
+def described(df, images, **values):
+    """`df` with one column `_name` for each of `values`: the image's own value in `images`, or without `images` the given one.
+
+    images: image_id, height, width, pixel_area_m2, res_m, one row per image; an image that is missing, repeated or has NULL there stops the job.
+    """
+    if images is None:
+        return df.withColumns({f"_{n}": F.lit(v) for n, v in values.items()})
+    one = images.groupBy(IMG).agg(F.count("*").alias("_rows"), *[F.max(n).alias(f"_{n}") for n in values])
+    stop = F.raise_error(F.concat(F.lit("image without exactly one description: "), F.col(IMG).cast("string")))
+    good = F.coalesce(F.col("_rows") == 1, F.lit(False))
+    return df.join(one, IMG, "left").withColumns({f"_{n}": F.when(good & F.col(f"_{n}").isNotNull(), F.col(f"_{n}")).otherwise(stop) for n in values}).drop("_rows")
+
+
+def open_lines(mask, height=None, width=None, length=LINE_LENGTH, images=None):
     """Opening by a horizontal or a vertical line of `length` pixels.
 
     A run survives when it holds the line; beyond the image border pixels count as set, which adds
-    half a line per touched side.
+    half a line per touched side. The border is that of the image's row in `images`, else `height` and `width` for all.
     """
     half = length // 2
 
-    def kept(axis, size):
-        span = runs(mask, axis)
+    def kept(axis, name, size):
+        span = described(runs(mask, axis), images, **{name: size})
         extra = (F.when(F.col("p0") == 0, half).otherwise(0)
-                 + F.when(F.col("p1") == size - 1, half).otherwise(0))
+                 + F.when(F.col("p1") == F.col(f"_{name}") - 1, half).otherwise(0))
         return _pixels(span.filter(F.col("p1") - F.col("p0") + 1 + extra >= length), axis)
-    return kept("row", width).union(kept("col", height)).distinct()
+    return kept("row", "width", width).union(kept("col", "height", height)).distinct()
 
 
 def dilate(mask):
@@ -220,19 +233,19 @@ def region_props(labelled):
         .withColumn("aspect", F.col("major_axis") / (F.col("minor_axis") + ASPECT_EPS)))
 
 
-def classify_water(mask, pixel_area_m2):
+def classify_water(mask, pixel_area_m2=None, images=None):
     """Water bodies of at least four pixels with their class, natural or aquaculture."""
     clean = materialize(remove_small(mask, MIN_WATER, conn=4), "water")
-    props = region_props(component_runs(clean, 8))
-    area = F.col("area") * pixel_area_m2
+    props = described(region_props(component_runs(clean, 8)), images, pixel_area_m2=pixel_area_m2)
+    area = F.col("area") * F.col("_pixel_area_m2")
     natural = (area >= NATURAL_M2) | ((F.col("aspect") >= LONG_ASPECT) & (area >= NATURAL_LONG_M2))
-    return props.withColumns({"area_m2": area, "natural": natural})
+    return props.withColumns({"area_m2": area, "natural": natural}).drop("_pixel_area_m2")
 
 
-def water_metrics(mask, pixel_area_m2):
+def water_metrics(mask, pixel_area_m2=None, images=None):
     """Water pixels, areas and body counts per image."""
-    bodies = classify_water(mask, pixel_area_m2)
-    ha = lambda px: F.coalesce(px, F.lit(0)) * pixel_area_m2 / 1e4
+    bodies = described(classify_water(mask, pixel_area_m2, images), images, pixel_area_m2=pixel_area_m2)
+    ha = lambda px: F.coalesce(px, F.lit(0)) * F.max("_pixel_area_m2") / 1e4
     nat = F.col("natural")
     return bodies.groupBy(IMG).agg(
         F.sum("area").alias("water_pixels"), ha(F.sum("area")).alias("water_area_ha"),
@@ -241,22 +254,22 @@ def water_metrics(mask, pixel_area_m2):
         F.count_if(nat).alias("water_natural_bodies"), F.count_if(~nat).alias("water_aquaculture_bodies"))
 
 
-def industrial_metrics(mask, pixel_area_m2):
+def industrial_metrics(mask, pixel_area_m2=None, images=None):
     """Clusters of at least five 8-connected pixels: count, pixels and areas per image."""
     labelled = component_runs(mask, 8)
     sizes = labelled.groupBy(IMG, "label").agg(F.sum(F.col("p1") - F.col("p0") + 1).alias("n"))
-    m2 = F.sum("n") * pixel_area_m2
-    return sizes.filter(F.col("n") >= MIN_INDUSTRIAL).groupBy(IMG).agg(
+    m2 = F.sum("n") * F.max("_pixel_area_m2")
+    return described(sizes.filter(F.col("n") >= MIN_INDUSTRIAL), images, pixel_area_m2=pixel_area_m2).groupBy(IMG).agg(
         F.count("*").alias("industrial_clusters"), F.sum("n").alias("industrial_pixels"),
         (m2 / 1e4).alias("industrial_area_ha"), m2.alias("industrial_area_m2"))
 
 
 # --- roads -------------------------------------------------------------------------------------------
 
-def road_corridor(mask, height, width):
+def road_corridor(mask, height=None, width=None, images=None):
     """Opened road mask without objects below ten pixels. The mask is read twice, so it is written once."""
     mask = materialize(mask.select(IMG, "row", "col"), "road")
-    return remove_small(materialize(open_lines(mask, height, width), "opened"), MIN_ROAD, conn=4)
+    return remove_small(materialize(open_lines(mask, height, width, images=images), "opened"), MIN_ROAD, conn=4)
 
 
 def _thin(grid, passes, core):
@@ -317,15 +330,15 @@ def skeleton(mask, tile=256, passes=16):
             return current
 
 
-def road_metrics(mask, height, width, pixel_area_m2, res_m):
+def road_metrics(mask, height=None, width=None, pixel_area_m2=None, res_m=None, images=None):
     """Corridor and centre-line pixels, road length and area per image."""
-    corridor = materialize(road_corridor(mask, height, width), "corridor")
+    corridor = materialize(road_corridor(mask, height, width, images), "corridor")
     wide = corridor.groupBy(IMG).agg(F.count("*").alias("road_corridor_pixels"))
     centre = skeleton(corridor).groupBy(IMG).agg(F.count("*").alias("road_centerline_pixels"))
-    return wide.join(centre, IMG, "left").select(
+    return described(wide.join(centre, IMG, "left"), images, pixel_area_m2=pixel_area_m2, res_m=res_m).select(
         IMG, "road_corridor_pixels", "road_centerline_pixels",
-        (F.col("road_centerline_pixels") * res_m / 1000.0).alias("road_length_km"),
-        (F.col("road_corridor_pixels") * pixel_area_m2 / 1e4).alias("road_area_ha"))
+        (F.col("road_centerline_pixels") * F.col("_res_m") / 1000.0).alias("road_length_km"),
+        (F.col("road_corridor_pixels") * F.col("_pixel_area_m2") / 1e4).alias("road_area_ha"))
 
 
 def shares(df):
@@ -337,10 +350,10 @@ def shares(df):
         "water_share_pct": ratio(100.0 * F.col("water_area_ha"), area)})
 
 
-def mosaic(tiles, bands):
-    """Overlapping tiles on one grid: valid values win over nodata, overlaps must agree.
+def mosaic(tiles, bands, key=()):
+    """Overlapping tiles on one grid per `key` (one grid in all without it): valid values win over nodata, overlaps must agree.
 
-    tiles: row_off, col_off, row, col and bands (nodata as NULL). Returns the mosaic and its conflicts.
+    tiles: key, row_off, col_off, row, col and bands (nodata as NULL). Returns the mosaic and its conflicts.
     """
     placed = tiles.withColumns({"row": F.col("row") + F.col("row_off"), "col": F.col("col") + F.col("col_off")})
     valid = F.coalesce(*[F.col(b) for b in bands]).isNotNull()
@@ -348,6 +361,6 @@ def mosaic(tiles, bands):
     for b in bands:
         checks += [F.max(b).alias(b), (~F.min(b).eqNullSafe(F.max(b))
                                        | ((F.count(b) > 0) & (F.count(b) < F.count_if(valid)))).alias(f"_bad_{b}")]
-    merged = placed.groupBy("row", "col").agg(*checks)
+    merged = placed.groupBy(*key, "row", "col").agg(*checks)
     bad = F.exists(F.array(*[F.col(f"_bad_{b}") for b in bands]), lambda x: x)
-    return merged.withColumn("conflict", bad).select("row", "col", *bands, "conflict")
+    return merged.withColumn("conflict", bad).select(*key, "row", "col", *bands, "conflict")

@@ -202,7 +202,7 @@ def _open_sql(mask):
 
 @query("j3_open_lines", _open_sql("v_road") + " SELECT image_id, row, col FROM op", ["v_road"])
 def _(v):
-    return regions.open_lines(v.road, SIZE, SIZE)
+    return regions.open_lines(v.road, images=v.image_size)
 
 
 def _small_sql(mask, conn, size, name="kept"):
@@ -270,7 +270,7 @@ def _(v):
 
 @query("j9_road_metrics")
 def _(v):
-    return regions.road_metrics(v.road, SIZE, SIZE, PIXEL_M2, 30.0)
+    return regions.road_metrics(v.road, images=v.image_size)
 
 
 @query("j10_skeleton")
@@ -285,4 +285,4 @@ def _(v):
 
 @query("j12_analyze_images")
 def _(v):
-    return analyze_images(v.indexed, SIZE, SIZE, PIXEL_M2, 30.0)
+    return analyze_images(v.indexed, images=v.image_size)

@@ -8,21 +8,23 @@ from unitgrid.operators import regions, zonal
 from unitgrid.session import materialize
 
 
-def analyze_images(indexed, height, width, pixel_area_m2, res_m):
+def analyze_images(indexed, height=None, width=None, pixel_area_m2=None, res_m=None, images=None):
     """Summary row per image, those without a valid pixel included (zero counts, NULL statistics).
 
-    `indexed` has image_id, row, col and the ten day bands.
+    `indexed` has image_id, row, col and the ten day bands; `images` the size and resolution of each image
+    (`regions.described`), else those given hold for all.
     """
     by = [regions.IMG]
     valid = materialize(indexed.filter(spectral.valid_pixel())
                         .select(*by, "row", "col", *S.DAY_BANDS), "valid")
     mask = lambda predicate: valid.filter(predicate).select(*by, "row", "col")
     counted = valid.groupBy(*by).agg(F.count("*").alias("valid_pixels"))
-    out = indexed.select(*by).distinct().join(counted, by, "left").na.fill(0, ["valid_pixels"]).withColumn(
-        "valid_area_ha", F.col("valid_pixels") * pixel_area_m2 / 1e4)
-    parts = [regions.road_metrics(mask(spectral.road_mask()), height, width, pixel_area_m2, res_m),
-             regions.industrial_metrics(mask(spectral.industrial_mask()), pixel_area_m2),
-             regions.water_metrics(mask(spectral.water_mask()), pixel_area_m2)]
+    out = indexed.select(*by).distinct().join(counted, by, "left").na.fill(0, ["valid_pixels"])
+    out = regions.described(out, images, pixel_area_m2=pixel_area_m2).withColumn(
+        "valid_area_ha", F.col("valid_pixels") * F.col("_pixel_area_m2") / 1e4).drop("_pixel_area_m2")
+    parts = [regions.road_metrics(mask(spectral.road_mask()), height, width, pixel_area_m2, res_m, images),
+             regions.industrial_metrics(mask(spectral.industrial_mask()), pixel_area_m2, images),
+             regions.water_metrics(mask(spectral.water_mask()), pixel_area_m2, images)]
     for part in parts:
         out = out.join(part, by, "left")
     stats = zonal.zonal_stats(valid, by, S.DAY_BANDS)

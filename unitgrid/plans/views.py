@@ -113,6 +113,12 @@ class Views:
                          F.col("l_shipdate").alias("ts"), "l_orderkey", "l_linenumber", qa.alias("qa"),
                          *[F.expr(f"CAST({e.format(d='div')} AS INT)").alias(b) for b, e in BAND_EXPRESSIONS.items()])
 
+    @cached_property
+    def image_size(self):
+        """Size and resolution of every image."""
+        return self.obs.select("image_id").distinct().select(
+            "image_id", F.lit(SIZE).alias("height"), F.lit(SIZE).alias("width"), F.lit(PIXEL_M2).alias("pixel_area_m2"), F.lit(30.0).alias("res_m"))
+
     @cached_property
     def pixel(self):
         clear = self.obs.filter(spectral.is_clear("qa"))
