@@ -149,3 +149,16 @@ def test_scalars(spark):
     assert (row.a, row.b, row.c, row.d, row.e) == ("thixadongtrieu", "huyen_ea_h_leo", "PhuongDucNghia2", "NA", "Ba")
     assert (row.q, row.q2, row.q3) == (0, 32767, -32768)
     assert row.p is None and row.p2 == -math.inf and row.n is None and row.n2 is None
+
+
+def test_rasters_with_a_hole_in_one_band_differ(spark):
+    schema = "k string, row long, col long, a double, b double"
+    new = spark.createDataFrame([("p", 0, 0, 1.0, 2.0), ("q", 0, 0, 1.0, 2.0), ("r", 0, 0, None, 2.0)], schema)
+    old = spark.createDataFrame([("p", 0, 0, 1.0, None), ("q", 3, 4, 1.0, 2.0), ("r", 0, 0, None, 5.0)], schema)
+    offsets = spark.createDataFrame([("p", 0, 0), ("q", -3, -4), ("r", 0, 0)], "k string, d_row int, d_col int")
+    got = {r.k: r for r in compare.compare_rasters(new, old, ["a", "b"], ["k"], offsets=offsets).collect()}
+    assert (got["p"].null_mismatch, got["p"].verdict) == (1, S.VERDICT_VALUES)
+    assert (got["q"].px_both, got["q"].verdict) == (1, S.VERDICT_SAME)
+    assert (got["r"].px_both, got["r"].max_abs_diff, got["r"].verdict) == (1, 3.0, S.VERDICT_VALUES)
+    with pytest.raises(Exception, match="exactly one offset"):
+        compare.compare_rasters(new, old, ["a", "b"], ["k"], offsets=offsets.limit(1)).collect()

@@ -18,23 +18,29 @@ def diff_summary(pairs, left, right, by=()):
         F.max(F.abs(a - b)).alias("max_abs_diff"))
 
 
-def compare_rasters(a, b, bands, key=(), d_row=0, d_col=0, tolerance=TOLERANCE):
-    """Aligned pixel comparison per key. `b` is shifted by whole pixels onto the grid of `a`.
+def compare_rasters(a, b, bands, key=(), d_row=0, d_col=0, tolerance=TOLERANCE, offsets=None):
+    """Aligned pixel comparison per key. `b` is shifted by whole pixels onto the grid of `a`, by its key's row in `offsets` (key, d_row,
+    d_col; a key that is missing or repeated there stops the job) or by `d_row` and `d_col`.
 
-    Presence is decided by the first band; differences cover all bands of pixels present in both.
+    A pixel is present where any band is; differences and NULL mismatches cover all bands of pixels present in both. A mismatch is a difference.
     """
     at = [*key, "row", "col"]
-    right = b.select(*key, (F.col("row") + d_row).alias("row"), (F.col("col") + d_col).alias("col"),
+    shift = F.lit(d_row), F.lit(d_col)
+    if offsets is not None:
+        one = offsets.groupBy(*key).agg(F.count("*").alias("_rows"), F.max("d_row").alias("_d_row"), F.max("d_col").alias("_d_col"))
+        b = b.join(one, list(key), "left")
+        shift = [F.when(F.coalesce(F.col("_rows") == 1, F.lit(False)) & F.col(d).isNotNull(), F.col(d)).otherwise(F.raise_error(F.lit("key without exactly one offset")))
+                 for d in ("_d_row", "_d_col")]
+    right = b.select(*key, (F.col("row") + shift[0]).alias("row"), (F.col("col") + shift[1]).alias("col"),
                      *[F.col(x).alias(f"_b_{x}") for x in bands])
     both = a.select(*at, *bands).join(right, at, "full")
-    lead, other = F.col(bands[0]), F.col(f"_b_{bands[0]}")
+    new, old = F.coalesce(*bands).isNotNull(), F.coalesce(*[f"_b_{x}" for x in bands]).isNotNull()
     worst = F.array_max(F.array(*[F.abs(F.col(x) - F.col(f"_b_{x}")) for x in bands]))
+    holes = F.size(F.filter(F.array(*[F.col(x).isNull() != F.col(f"_b_{x}").isNull() for x in bands]), lambda x: x))
     out = both.groupBy(*key).agg(
-        F.count_if(lead.isNotNull() & other.isNotNull()).alias("px_both"),
-        F.count_if(lead.isNotNull() & other.isNull()).alias("px_only_new"),
-        F.count_if(lead.isNull() & other.isNotNull()).alias("px_only_old"),
-        F.max(F.when(lead.isNotNull() & other.isNotNull(), worst)).alias("max_abs_diff"))
-    verdict = (F.when(F.col("max_abs_diff").isNull(), S.VERDICT_DISJOINT)
+        F.count_if(new & old).alias("px_both"), F.count_if(new & ~old).alias("px_only_new"), F.count_if(~new & old).alias("px_only_old"),
+        F.max(worst).alias("max_abs_diff"), F.coalesce(F.sum(F.when(new & old, holes)), F.lit(0)).alias("null_mismatch"))
+    verdict = (F.when(F.col("null_mismatch") > 0, S.VERDICT_VALUES).when(F.col("max_abs_diff").isNull(), S.VERDICT_DISJOINT)
                .when(F.col("max_abs_diff") <= tolerance, S.VERDICT_SAME).otherwise(S.VERDICT_VALUES))
     return out.withColumn("verdict", verdict)
 
