@@ -35,6 +35,18 @@ def rank_rows(df, order, name="rank"):
             .withColumn(name, F.col("_offset") + F.col("_pos") + 1).drop("_part", "_pos", "_offset"))
 
 
+def rank_in_groups(df, group, order, name="rank"):
+    """Row number inside each group: one range sort by group and order; a group of any size stays spread over its partitions.
+
+    A partition's share of a group starts where the earlier partitions' shares end, so the join is on (partition, group).
+    """
+    placed = _positions(df, [*group, *order])
+    shares = placed.groupBy("_part", *group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shares = shares.select("_part", *group, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(shares, ["_part", *group]).withColumn(name, F.col("_pos") + F.col("_shift") + 1).drop("_part", "_pos", "_shift")
+
+
 def running_sum(df, order, value, name):
     """Inclusive running sum of an integer column in the global order `order`."""
     placed = _positions(df.withColumn("_v", value), order)
