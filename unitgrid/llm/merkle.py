@@ -10,7 +10,7 @@ task sees more than one block of it. The roots of the groups, in order, go throu
 from pyspark.sql import functions as F
 
 from unitgrid.llm import common
-from unitgrid.operators.ordering import rank_rows
+from unitgrid.operators.ordering import rank_in_groups, rank_rows
 from unitgrid.session import discard, materialize
 
 WIDTH, DEPTH, HEX = 3, 5, 64
@@ -119,9 +119,8 @@ def manifest(rows, leaf, group="source", order="doc_id", carry=()):
     kept = F.struct(q(group).alias("group"), q(order).alias("order"), *[q(c).alias(f"c{i}") for i, c in enumerate(carry)])
     # a null group sorts before all others and is a key like them
     leaves = rows.select(F.coalesce(F.concat(F.lit(":"), q(group).cast("string")), F.lit("")).alias("grp"), leaf.alias("digest"), kept.alias("row"))
-    ranked = rank_rows(leaves, [F.col("grp"), F.col("row.order").asc_nulls_first(), F.col("digest"), F.col("row")], "rank")
-    first = ranked.groupBy("grp").agg(F.min("rank").alias("first"))
-    nodes = ranked.join(first, "grp").select("grp", (F.col("rank") - F.col("first")).alias("pos"), "digest", "row")
+    ranked = rank_in_groups(leaves, ["grp"], [F.col("row.order").asc_nulls_first(), F.col("digest"), F.col("row")])
+    nodes = ranked.select("grp", (F.col("rank") - 1).alias("pos"), "digest", "row")
     rounds = _rounds(nodes)
     subroots = rank_rows(_ends(rounds).withColumnRenamed("top", "subroot"), ["grp"], "rank")
     above = _rounds(subroots.select(F.lit("").alias("grp"), (F.col("rank") - 1).alias("pos"), F.col("subroot").alias("digest"), F.col("grp").alias("row")))
