@@ -13,7 +13,7 @@ def test_rank_and_running_sum(spark):
     ranked = ordering.rank_rows(df, ["same", "k"]).collect()
     assert all(r["rank"] == r.k + 1 for r in ranked) and len(ranked) == 5000
     inside = ordering.rank_in_groups(df.withColumn("g", F.col("k") % 3), ["g"], ["k"]).collect()
-    assert sorted((r.k, r["rank"]) for r in inside) == [(r.k, 1 + sum(o.k % 3 == r.k % 3 and o.k < r.k for o in inside)) for r in sorted(inside, key=lambda r: r.k)]
+    assert all(r["rank"] == r.k // 3 + 1 for r in inside) and len(inside) == 5000
     summed = ordering.running_sum(df, ["same", "k"], F.col("k"), "s").collect()
     assert all(r.s == r.k * (r.k + 1) // 2 for r in summed)
 
