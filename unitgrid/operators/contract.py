@@ -356,11 +356,14 @@ def require_complete(table, year=S.YEAR):
 def apply_updates(table, updates):
     """Set states and errors from (gid_3, month, field, state, error); finished states never change.
 
-    A NULL month stands for every month. Updates must be unique per (gid, month, field).
+    A NULL month stands for every month. Two different updates of one (gid, month, field) stop the job.
     """
     def wide(df, key):
-        return df.groupBy(*key).agg(*[F.max(F.when(F.col("field") == f, F.struct("state", "error")))
-                                      .alias(f"_u_{f}") for f in S.FIELDS])
+        pick = {f: F.when(F.col("field") == f, F.struct("state", "error")) for f in S.FIELDS}
+        rows = df.groupBy(*key).agg(*[F.max(pick[f]).alias(f"_u_{f}") for f in S.FIELDS], *[F.min(pick[f]).alias(f"_v_{f}") for f in S.FIELDS])
+        split = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_u_{f}") != F.col(f"_v_{f}"), F.lit(False)) for f in S.FIELDS])
+        where = F.concat_ws("/", *[F.col(k).cast("string") for k in key])
+        return rows.filter(guard(split, F.concat(F.lit("several updates at "), where))).drop(*[f"_v_{f}" for f in S.FIELDS])
     by_month = wide(updates.filter(F.col("month").isNotNull()), ["gid_3", "month"])
     by_unit = wide(updates.filter(F.col("month").isNull()), ["gid_3"])
     by_unit = by_unit.withColumnsRenamed({f"_u_{f}": f"_a_{f}" for f in S.FIELDS})

@@ -7,7 +7,7 @@ from unitgrid.operators import keys, status
 from unitgrid.plans.registry import query
 from unitgrid.plans.sqlviews import YEAR
 from unitgrid.session import scratch_path
-from unitgrid.streaming import jobs
+from unitgrid.streaming import jobs, streaks
 
 
 def _events(v):
@@ -89,9 +89,11 @@ def _(v):
                                                                    F.count_if("alarm").alias("alarms"))
 
 
-@query("l7_failure_alarms", """SELECT 'run_' || (user_id % 5) AS run, count(*) AS attempts, max(st) AS longest FROM (
+@query("l7_failure_alarms", """SELECT 'run_' || (user_id % 5) AS run, count(*) AS attempts, max(st) AS longest, max(st) >= 10 AS alarm,
+    count(*) FILTER (WHERE i = last_i AND event_type = 'error') AS streak FROM (
+    SELECT *, max(i) OVER (PARTITION BY user_id % 5) AS last_i FROM (
     SELECT *, count(*) FILTER (WHERE event_type = 'error') OVER (PARTITION BY user_id % 5, i ORDER BY ts, event_id) AS st FROM (
-      SELECT *, count(*) FILTER (WHERE event_type <> 'error') OVER (PARTITION BY user_id % 5 ORDER BY ts, event_id) AS i FROM events))
+      SELECT *, count(*) FILTER (WHERE event_type <> 'error') OVER (PARTITION BY user_id % 5 ORDER BY ts, event_id) AS i FROM events)))
     GROUP BY user_id % 5""")
 def _(v):
     log = _events(v).select(F.concat(F.lit("run_"), (F.col("user_id") % 5).cast("string")).alias("run"), "ts",
@@ -100,7 +102,7 @@ def _(v):
     before = v.spark.conf.get(provider)
     v.spark.conf.set(provider, jobs.ROCKSDB)
     try:
-        out = jobs.drain(jobs.failure_alarms(log), "update", "alarms", ["run"])
+        summaries = jobs.drain(jobs.failure_alarms(log), "update", "alarms", ["run", "slice"])
     finally:
         v.spark.conf.set(provider, before)
-    return out.select("run", "attempts", "longest")
+    return streaks.run_streaks(summaries).select("run", "attempts", "longest", "streak", "alarm")

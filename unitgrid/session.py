@@ -75,9 +75,13 @@ def discard(*tables):
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def numbered(spark, folder, prefix):
-    """Numbers of the folders `prefix<number>` in `folder`, ascending; none if it does not exist."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+def numbered(spark, folder, prefix, complete=False):
+    """Numbers of the folders `prefix<number>` in `folder`, ascending; none if it does not exist.
+
+    With `complete` only those whose write has ended (they hold a _SUCCESS file).
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    where = path(folder)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
-    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+    found = [f.getPath() for f in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(int(p.getName()[len(prefix):]) for p in found if p.getName().startswith(prefix) and (not complete or fs.exists(path(p, "_SUCCESS"))))

@@ -4,16 +4,12 @@ Every trigger reads a bounded number of files, so no key can gather more rows at
 trigger holds. Results go to tables, never to the driver.
 """
 
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
-from unitgrid.operators.contract import apply_updates
 from unitgrid.operators.keys import keep_last
-from unitgrid.schema import TERMINAL
-from unitgrid.session import numbered, scratch_path, ship_by_value
-
-ship_by_value(__name__)
+from unitgrid.session import numbered, scratch_path
+from unitgrid.streaming import streaks
+from unitgrid.streaming.logtable import LogTable, settle
 
 # Fixed value: a file untouched for this long is complete.
 QUIET = "15 minutes"
@@ -110,65 +106,32 @@ def without_duplicates(events, key, ts="ts", delay="1 day"):
             .dropDuplicatesWithinWatermark(list(key)).drop("_t"))
 
 
-class StreakProcessor(StatefulProcessor):
-    """Failures since the last success and attempts per key, in event-time order within a trigger."""
-
-    limit = 10
-
-    def init(self, handle):
-        self._state = handle.getValueState("streak", "streak long, attempts long, longest long")
-
-    def handleInputRows(self, key, rows, timer_values):
-        streak, attempts, longest = self._state.get() if self._state.exists() else (0, 0, 0)
-        batch = pd.concat(list(rows)).sort_values(["ts", "seq"])
-        for ok in batch["ok"]:
-            streak = 0 if ok else streak + 1
-            attempts += 1
-            longest = max(longest, streak)
-        self._state.update((int(streak), int(attempts), int(longest)))
-        yield pd.DataFrame({"run": [key[0]], "streak": [streak], "attempts": [attempts], "longest": [longest],
-                            "alarm": [longest >= self.limit]})
-
-    def close(self):
-        pass
-
-
-STREAK_SCHEMA = "run string, streak long, attempts long, longest long, alarm boolean"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def failure_alarms(log):
-    """Running streaks per key. log: run, ts, seq, ok."""
-    return log.groupBy("run").transformWithStateInPandas(
-        StreakProcessor(), outputStructType=STREAK_SCHEMA, outputMode="Update", timeMode="None")
-
-
-def settle(updates, order=("ts", "seq")):
-    """One update per (gid, month, field): the first finished state, else the newest."""
-    done = F.col("state").isin(*TERMINAL)
-    pick = F.struct("state", "error")
-    return (updates.groupBy("gid_3", "month", "field")
-            .agg(F.coalesce(F.min_by(pick, F.when(done, F.struct(*order))),
-                            F.max_by(pick, F.struct(*order))).alias("r"))
-            .select("gid_3", "month", "field", "r.state", "r.error"))
+def failure_alarms(log, ts="ts", width=3600):
+    """Stream of streak summaries per (run, slice of `width` seconds), for `streaks.run_streaks`. log: run, ts, seq, ok."""
+    return streaks.slice_summaries(log, instant(ts), width)
 
 
-def upsert_progress(progress, updates, label="progress", output=None, checkpoint=None):
-    """Apply a stream of updates to a progress table; trigger n writes version n from version n - 1.
+def upsert_progress(progress, updates, label="progress", output=None, checkpoint=None, buckets=32, compact_after=16):
+    """Apply a stream of updates to a progress table kept as a log (see `logtable`).
 
-    A restarted or replayed trigger finds its input unchanged and gives the same table. With `output` and
-    `checkpoint` given again, a later call goes on from the newest version; `progress` then only gives the schema.
+    A trigger appends its settled changes; after `compact_after` triggers the buckets they touched are written anew. A
+    restarted or replayed trigger overwrites its own changes and gives the same table. With `output` and `checkpoint`
+    given again, a later call goes on from there; `progress` then only gives the schema.
     """
     spark = progress.sparkSession
     out, checkpoint = output or scratch_path(spark, label), checkpoint or scratch_path(spark, label + "-state")
-    version = lambda n: f"{out}/v={n}"
-    if not numbered(spark, out, "v="):
-        progress.write.parquet(version(-1))
+    table = LogTable(spark, out, progress.schema, buckets)
+    if not table.exists():
+        table.create(progress)
 
     def apply(batch, batch_id):
-        table = spark.read.schema(progress.schema).parquet(version(batch_id - 1))
-        apply_updates(table, settle(batch)).write.mode("overwrite").parquet(version(batch_id))
+        table.append(settle(batch), batch_id)
+        if max(map(len, table.open_changes().values()), default=0) >= compact_after:
+            table.compact()
     query = (updates.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return spark.read.schema(progress.schema).parquet(version(numbered(spark, out, "v=")[-1]))
+    return table.read()
