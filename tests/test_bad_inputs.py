@@ -136,3 +136,16 @@ def test_thick_region_is_thinned_to_the_end(spark):
     small = regions.skeleton(mask, tile=16, passes=1)
     whole = regions.skeleton(mask, tile=256, passes=64)
     assert set(map(tuple, small.collect())) == set(map(tuple, whole.collect())) and small.count() < 150
+
+
+def test_plan_texts_that_are_no_plan_stop_the_job(spark):
+    good = '{"u": [' + ", ".join(["[1, 0, 2]"] * 12) + "]}"
+    frame = lambda *t: spark.createDataFrame([(x,) for x in t], "plan string")
+    assert readers.read_plan(frame(good)).count() == 12
+    for bad in ("not json", '["u"]', "{"):
+        assert readers.plan_violations(frame(good, bad)).count() == 1
+        with pytest.raises(Exception, match="plan"):
+            readers.read_plan(frame(good, bad)).collect()
+    assert [r.gid_3 for r in readers.plan_violations(frame(good, good)).collect()] == ["u"]
+    with pytest.raises(Exception, match="repeated key u"):
+        readers.read_plan(frame(good, good)).collect()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from unitgrid import schema as S
 from unitgrid.operators import contract, zonal
-from unitgrid.plans.exports import day_from_export, evidence_from_exports, night_merged
+from unitgrid.plans.exports import day_from_export, evidence_from_exports, newest_evidence, night_merged
 
 
 def test_day_export_replaces_what_is_open_and_brings_evidence(spark):
@@ -42,3 +42,23 @@ def test_contradictory_export_stops(spark):
         contract.metric_states(table, "day", evidence_from_exports(day=export)).collect()
     with pytest.raises(ValueError):
         evidence_from_exports()
+
+
+def test_newest_count_wins(spark):
+    """A repeated export: its count replaces an older one, other counts stay, contradictions are not resolved."""
+    old = sources(spark, [(GIDS[0], S.YEAR, 1, "day_indices", 4.0), (GIDS[0], S.YEAR, 2, "day_indices", 0.0), (GIDS[1], S.YEAR, 1, "day_indices", 3.0), (GIDS[1], S.YEAR, 1, "day_indices", 2.0)])
+    found = sources(spark, [(GIDS[0], S.YEAR, 1, "day_indices", 5.0), (GIDS[1], S.YEAR, 9, "day_indices", 1.0), (GIDS[1], S.YEAR, 9, "day_indices", 1.0)])
+    got = sorted((r.gid_3, r.month, r["count"]) for r in newest_evidence(old, found).collect())
+    assert got == sorted([(GIDS[0], 1, 5.0), (GIDS[0], 2, 0.0), (GIDS[1], 1, 2.0), (GIDS[1], 1, 3.0), (GIDS[1], 9, 1.0)])
+    assert newest_evidence(None, found) is found
+    export = records(spark).drop("YEAR").withColumnRenamed("GID_3", "gid_3").withColumnRenamed("MONTH", "month").withColumn("SOURCE_COUNT", F.lit(5.0))
+    none = spark.createDataFrame([], S.index_schema("day"))
+    known = evidence_from_exports(day=export.withColumn("SOURCE_COUNT", F.lit(0.0)))
+    merged = day_from_export(export, none, admin(spark), known)
+    assert merged.filter(F.col(S.DAY_METRICS[0]).isNotNull()).count() == 24
+
+
+def test_export_without_counts(spark):
+    export = records(spark).drop("YEAR").withColumnRenamed("GID_3", "gid_3").withColumnRenamed("MONTH", "month")
+    merged = day_from_export(export, spark.createDataFrame([], S.index_schema("day")), admin(spark))
+    assert at(merged, GIDS[1], 12)[S.DAY_METRICS[3]] == 12.0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from unitgrid.functions import grid
 from unitgrid.operators import geometry as G
-from unitgrid.sources import readers
+from unitgrid.sources import readers, writers
 
 
 def edges_of(spark, polygons):
@@ -112,3 +112,65 @@ def test_cell_area_and_ground_length(spark):
     assert row.a == pytest.approx(12308778361.0, rel=1e-4)
     assert row["all"] == pytest.approx(510065621724000.0, rel=1e-9)
     assert row.l == pytest.approx(1107.2, rel=1e-3)
+
+
+def test_features_that_repeat_count_once(spark, tmp_path):
+    ring = [[1.0, 1.0], [9.0, 1.5], [8.0, 8.0], [1.0, 1.0]]
+    feature = lambda g: {"type": "Feature", "properties": {"GID_3": g}, "geometry": {"type": "Polygon", "coordinates": [ring]}}
+    whole = lambda *f: json.dumps({"type": "FeatureCollection", "features": list(f)})
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.geojson").write_text(whole(feature("twice"), feature("once"), feature("twice")))
+    (tmp_path / "a" / "2.geojson").write_text(whole(feature("twice"), feature("files")))
+    (tmp_path / "a" / "3.geojson").write_text(whole(feature("files")))
+    (tmp_path / "l.geojson").write_text("\n".join(json.dumps(feature(g)) for g in ("twice", "once", "twice", "files", "files")))
+    for edges in (readers.read_polygons(spark, str(tmp_path / "a")), readers.read_polygons(spark, str(tmp_path / "l.geojson"), lines=True)):
+        spans = {}
+        for r in G.polygon_spans(edges).collect():
+            spans.setdefault(r.gid, set()).add((r.row, r.c0, r.c1))
+        assert spans["twice"] == spans["once"] == spans["files"] and len(spans["once"]) > 4
+        segs = spark.createDataFrame([(1, 0, "primary", 0.0, 3.3, 20.0, 3.3)], "way_id long, seq long, class string, x1 double, y1 double, x2 double, y2 double")
+        km = {r.gid: r.km_total for r in G.clip_line_length(segs, edges, cell=4.0, factor=1.0).collect()}
+        assert km["twice"] == km["once"] == km["files"] > 4
+
+
+def test_lines_on_outlines_and_over_parts(spark):
+    """Integer lines through vertices and along edges, of polygons whose parts overlap, against the half-open rule."""
+    rng = np.random.default_rng(5)
+    parts = [[[(2, 2), (12, 2), (12, 12), (2, 12)], [(5, 5), (9, 5), (9, 9), (5, 9)]], [[(8, 8), (16, 8), (12, 16)]], [[(2, 2), (12, 2), (12, 12), (2, 12)]]]
+    polygons = {"one": parts[:1], "two": parts[:2], "all": parts, "star": [[[(0, 6), (6, 7), (7, 14), (8, 7), (14, 6), (8, 5), (7, 0), (6, 5)]]]}
+    ends = [[int(v) for v in rng.integers(0, 17, 4)] for _ in range(60)] + [[2, 2, 12, 2], [12, 2, 2, 2], [2, 12, 2, 2], [0, 12, 16, 12], [5, 0, 5, 16], [7, 0, 7, 14], [3, 3, 3, 3]]
+    segs = spark.createDataFrame([(i, 0, "primary", *map(float, e)) for i, e in enumerate(ends)], "way_id long, seq long, class string, x1 double, y1 double, x2 double, y2 double")
+    pieces, _ = G.inside_pieces(segs, edges_of(spark, polygons), cell=5.0)
+    got = {}
+    for r in pieces.collect():
+        got.setdefault((r.gid, r.way_id), []).append((r.t0, r.t1))
+    for gid, some in polygons.items():
+        for i, (x1, y1, x2, y2) in enumerate(ends):
+            t = (np.arange(997) + 0.5) / 997
+            want = np.array([any(inside(p, x1 + k * (x2 - x1), y1 + k * (y2 - y1)) for p in some) for k in t])
+            mine = np.zeros(997, bool)
+            for a, b in got.get((gid, i), []):
+                assert not mine[(t > a) & (t < b)].any()
+                mine |= (t > a) & (t < b)
+            assert (mine != want).sum() <= 8, (gid, ends[i])  # a sample may fall on a crossing
+
+
+def test_tile_store_is_pruned(spark, tmp_path):
+    px = spark.range(64 * 64).select((F.col("id") / 64).cast("long").alias("row"), (F.col("id") % 64).alias("col"), F.col("id").alias("v"))
+    writers.write_pixel_tiles(px, str(tmp_path / "t"), 8)
+    store = readers.read_pixel_tiles(spark, str(tmp_path / "t"), "row long, col long, v long, tile_row long, tile_col long")
+    edges = edges_of(spark, {"a": [[[(3, 3), (11, 3), (11, 6)]]], "b": [[[(50, 50), (55, 50), (55, 55)]]]})
+    needed = G.needed_tiles(G.required_tiles(G.windows(G.bounds(edges), y_down=True), 8))
+    near = G.pixels_of_tiles(store, needed)
+    assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
+    files = G.pixels_of_tiles(store.withColumn("file", F.col("_metadata.file_path")), needed)
+    assert files.select("file").distinct().count() == 3 and near.count() == 3 * 64
+    cut = lambda p: {(r.gid, r.row, r.col, r.v) for r in G.clip_pixels(p, G.polygon_spans(edges)).select("gid", "row", "col", "v").collect()}
+    assert cut(near) == cut(px) != set()
+
+
+def test_untiled_file_must_cover_the_window(spark):
+    boxes = spark.createDataFrame([("in", 0, 10, 0, 10), ("low", 5, 11, 0, 3), ("left", 0, 2, -1, 3)], "gid string, r0 long, r1 long, c0 long, c1 long")
+    have = spark.createDataFrame([(0, 0)], "tile_row long, tile_col long")
+    missing = G.missing_tiles(G.required_whole(boxes, 10, 10), have).collect()
+    assert {r.gid for r in missing} == {"low", "left"}

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +165,26 @@ def test_rasters_with_a_hole_in_one_band_differ(spark):
     assert (got["r"].px_both, got["r"].max_abs_diff, got["r"].verdict) == (1, 3.0, S.VERDICT_VALUES)
     with pytest.raises(Exception, match="exactly one offset"):
         compare.compare_rasters(new, old, ["a", "b"], ["k"], offsets=offsets.limit(1)).collect()
+
+
+def test_medians_of_large_pixels_by_radix(spark):
+    """Direct and radix medians agree with numpy: signs, zeros, infinities, NaN, NULL keys and values, one and many values."""
+    rng = random.Random(9)
+    special = [0.0, -0.0, math.inf, -math.inf, 5e-324, -1e308, 1.0, None, math.nan]
+    rows = [(g, rng.choice(["a", None]), rng.choice(special) if g == 2 else rng.uniform(-1e3, 1e3) ** 3, rng.choice([None, 1.5, 2.5]) if g else None)
+            for g, n in ((0, 1), (1, 40), (2, 300), (3, 2001), (None, 64)) for _ in range(n)]
+    obs = spark.createDataFrame(rows, "g int, k string, x double, y double").repartition(5)
+    groups = {}
+    for g, k, x, y in rows:
+        groups.setdefault((g, k), ([], []))[0].append(x)
+        groups[g, k][1].append(y)
+
+    def median(values):
+        values = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+        if not values:
+            return None
+        low, high = values[(len(values) - 1) // 2], values[len(values) // 2]
+        return low if low == high else low * 0.5 + high * 0.5
+    for gathered in (10_000, 50, 0):
+        got = {(r.g, r.k): (r.x, r.y) for r in zonal.composite_wide(obs, ["g", "k"], ["x", "y"], gathered).collect()}
+        assert str(sorted(got.items(), key=str)) == str(sorted(((key, (median(x), median(y))) for key, (x, y) in groups.items()), key=str)).replace("-0.0", "0.0")

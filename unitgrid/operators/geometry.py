@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from unitgrid.functions.grid import TILE, pixel_window, planar_length
 from unitgrid.operators.ordering import rank_rows
-from unitgrid.session import ship_by_value
+from unitgrid.session import materialize, ship_by_value
 
 ship_by_value(__name__)
 
@@ -41,13 +41,15 @@ def _polygons(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [] if t is None else polygons_of(t))
 
 
-def polygon_edges(features, gid="gid", geometry="geometry"):
+def polygon_edges(features, gid="gid", geometry="geometry", feature=None):
     """GeoJSON geometry texts to edges, features of one gid merged.
 
-    Polygons are read at any depth of nested collections; a NULL geometry has no edges, and a text that
-    is not GeoJSON stops the job.
+    Each polygon of each feature is a part of its gid, named after the feature: by the column `feature`, or by the row.
+    So a feature that occurs twice is two parts, whose union is that of one. Polygons are read at any depth of nested
+    collections; a NULL geometry has no edges, and a text that is not GeoJSON stops the job.
     """
-    polys = (features.select(F.col(gid).alias("gid"), F.col(geometry).alias("g")).withColumn("_i", F.xxhash64("g"))
+    name = F.monotonically_increasing_id() if feature is None else F.col(feature)
+    polys = (features.select(F.col(gid).alias("gid"), F.col(geometry).alias("g"), name.alias("_i"))
              .select("gid", "_i", F.posexplode(_polygons("g")).alias("_k", "rings")))
     rings = polys.select("gid", F.concat_ws(".", "_i", "_k").alias("part"),
                          F.posexplode("rings").alias("ring", "pts"))
@@ -78,6 +80,23 @@ def required_tiles(boxes, tile=TILE):
             .withColumn("tile_col", F.explode(offsets("c0", "c1"))).select("gid", "tile_row", "tile_col"))
 
 
+def required_whole(boxes, height, width):
+    """Tiles that windows on one untiled file need: (0, 0), and (-1, -1), which never exists, if the file does not cover the window."""
+    outside = (F.col("r0") < 0) | (F.col("c0") < 0) | (F.col("r1") > height) | (F.col("c1") > width)
+    tile = lambda at: F.struct(F.lit(at).cast("long").alias("tile_row"), F.lit(at).cast("long").alias("tile_col"))
+    return boxes.select("gid", F.inline(F.when(outside, F.array(tile(0), tile(-1))).otherwise(F.array(tile(0)))))
+
+
+def needed_tiles(required):
+    """Distinct tiles with the number of units that need them, written, so that their size is known where they are joined."""
+    return materialize(required.groupBy("tile_row", "tile_col").agg(F.count("*").alias("units")), "tiles").filter("units > 0")
+
+
+def pixels_of_tiles(store, needed):
+    """Pixels of the needed tiles. On a store partitioned by tile only the folders of these tiles are read."""
+    return store.join(needed, ["tile_row", "tile_col"], "left_semi")
+
+
 def missing_tiles(required, present):
     """Units whose cut must fail because a tile of their window is absent."""
     return (required.join(present.select("tile_row", "tile_col"), ["tile_row", "tile_col"], "left_anti")
@@ -170,44 +189,63 @@ def _meets(a, b, cell):
             & (F.col("_cx") == corner("x")) & (F.col("_cy") == corner("y")))
 
 
-def inside_pieces(segs, edges, cell):
-    """Parts of segments inside polygons: (gid, way_id, seq, class, t0, t1, x1, y1, x2, y2).
+def _merged(intervals):
+    """Union of sorted (t0, t1) intervals."""
+    def step(done, p):
+        last = F.element_at(done, -1)
+        longer = F.struct(last["t0"].alias("t0"), F.greatest(last["t1"], p["t1"]).alias("t1"))
+        return F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1)["t1"] >= p["t0"]),
+                      F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(p)))
+    return F.aggregate(F.slice(intervals, F.lit(2), F.greatest(F.size(intervals) - 1, F.lit(0))), F.slice(intervals, 1, 1), step)
 
-    Candidates and crossings are equi-joins on grid cells. A segment is cut wherever it meets the outline,
-    touching included, and each piece is in or out by its midpoint: a ray to the right crosses the
-    outline an odd number of times, edges counted half-open in y.
+
+def inside_pieces(segs, edges, cell):
+    """Parts of segments inside polygons, (gid, the segment's columns, t0, t1), and the segments whose box meets a polygon's.
+
+    Segments meet parts by their boxes, in an equi-join on grid cells, and a part's edges by slabs of y of height `cell`.
+    One ray test of its start tells whether a segment begins inside a part: a ray to the right crosses the outline an odd
+    number of times, edges counted half-open in y. From there its crossings take it in and out by turns. The ray rule equals
+    testing the point moved by an infinitesimal (d, e), e much smaller than d; crossings follow the same rule, so vertices on
+    the segment's line, edges along it and starts on the outline need no cases of their own. Pieces inside several parts
+    count once.
     """
-    seg = _boxed(segs)
-    box = bounds(edges).select("gid", F.col("minx").alias("_plx"), F.col("miny").alias("_ply"),
-                               F.col("maxx").alias("_phx"), F.col("maxy").alias("_phy"))
-    seg_cells = _on_cells(seg, "_", cell)
-    cand = (seg_cells.join(_on_cells(box, "_p", cell), ["_cx", "_cy"]).filter(_meets("_", "_p", cell))
-            .select("gid", *segs.columns))
-    ids = ["gid", "way_id", "seq"]
-    edge = edges.select("gid", *[F.col(c).alias("e" + c) for c in ("x1", "y1", "x2", "y2")])
+    seg_cells = _on_cells(_boxed(segs), "_", cell)
+    box = [F.min(F.least("x1", "x2")).alias("_plx"), F.min(F.least("y1", "y2")).alias("_ply"),
+           F.max(F.greatest("x1", "x2")).alias("_phx"), F.max(F.greatest("y1", "y2")).alias("_phy")]
+    # written, so that the size of the boxes is known where they are joined; a box without a part is the gid's
+    boxes = materialize(edges.groupBy("gid", "part").agg(*box).unionByName(edges.groupBy("gid").agg(*box).withColumn("part", F.lit(None).cast("string"))), "boxes")
+    near = lambda own: (seg_cells.join(_on_cells(boxes.filter(own), "_p", cell), ["_cx", "_cy"]).filter(_meets("_", "_p", cell))
+                        .select("gid", "part", *segs.columns))
+    e = {c: F.col("e" + c) for c in ("x1", "y1", "x2", "y2")}
+    edge = edges.select("gid", "part", *[F.col(c).alias("e" + c) for c in e])
     edge_box = edge.withColumns({"_elx": F.least("ex1", "ex2"), "_ehx": F.greatest("ex1", "ex2"),
                                  "_ely": F.least("ey1", "ey2"), "_ehy": F.greatest("ey1", "ey2")})
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    side = lambda px, py: dx * (F.col(py) - F.col("y1")) - dy * (F.col(px) - F.col("x1"))
-    s1, s2 = side("ex1", "ey1"), side("ex2", "ey2")
-    ex, ey = F.col("ex2") - F.col("ex1"), F.col("ey2") - F.col("ey1")
-    t = F.try_divide((F.col("ex1") - F.col("x1")) * ey - (F.col("ey1") - F.col("y1")) * ex, dx * ey - dy * ex)
-    cuts = (seg_cells.join(_on_cells(edge_box, "_e", cell), ["_cx", "_cy"]).filter(_meets("_", "_e", cell))
-            .filter(F.signum(s1) * F.signum(s2) <= 0).withColumn("t0", t).filter((F.col("t0") > 0) & (F.col("t0") < 1))
-            .select(*ids, "t0").distinct())
-    starts = cand.select(*ids, F.lit(0.0).alias("t0"))
-    w = Window.partitionBy(*ids).orderBy("t0")
-    parts = starts.unionByName(cuts).withColumn("t1", F.coalesce(F.lead("t0").over(w), F.lit(1.0))).filter("t1 > t0")
-    middle = (F.col("t0") + F.col("t1")) / 2
-    parts = parts.join(segs, ["way_id", "seq"]).withColumns({
-        "_mx": F.col("x1") + middle * (F.col("x2") - F.col("x1")), "_my": F.col("y1") + middle * (F.col("y2") - F.col("y1"))})
+    ex, ey = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    moved = lambda s, tie: F.when(s == 0, tie).otherwise(F.signum(s))
+    side = lambda n: moved(dx * (e["y" + n] - F.col("y1")) - dy * (e["x" + n] - F.col("x1")), F.when(dy != 0, F.signum(dy)).otherwise(-F.signum(dx)))
+    t = F.try_divide((e["x1"] - F.col("x1")) * ey - (e["y1"] - F.col("y1")) * ex, dx * ey - dy * ex)
+    leaves = F.when(ey != 0, -F.signum(ey)).otherwise(F.signum(ex)) != F.signum(ex * (F.col("y2") - e["y1"]) - ey * (F.col("x2") - e["x1"]))
+    crossed = (seg_cells.join(_on_cells(edge_box, "_e", cell), ["_cx", "_cy"]).filter(_meets("_", "_e", cell)).filter(side("1") != side("2"))
+               .withColumn("_t", t).filter((F.col("_t") >= 0) & (F.col("_t") < 1)).filter((F.col("_t") > 0) | leaves))
+    slab = lambda y: F.floor(y / cell)
     low, high = F.least("ey1", "ey2"), F.greatest("ey1", "ey2")
-    bands = edge.filter("ey1 <> ey2").withColumn("_band", F.explode(F.sequence(F.floor(low / cell), F.floor(high / cell))))
-    at = F.col("ex1") + (F.col("_my") - F.col("ey1")) * (F.col("ex2") - F.col("ex1")) / (F.col("ey2") - F.col("ey1"))
-    hit = (low <= F.col("_my")) & (F.col("_my") < high) & (at > F.col("_mx"))
-    inside = (parts.withColumn("_band", F.floor(F.col("_my") / cell)).join(bands, ["gid", "_band"]).filter(hit)
-              .groupBy(*ids, "t0", "t1", *[c for c in segs.columns if c not in ids]).agg((F.count("*") % 2).alias("_odd")))
-    return inside.filter("_odd = 1").drop("_odd"), cand
+    slabs = edge.filter("ey1 <> ey2").withColumn("_slab", F.explode(F.sequence(slab(low), slab(high))))
+    right = e["x1"] + (F.col("y1") - e["y1"]) * ex / ey > F.col("x1")
+    rays = (near("part IS NOT NULL").withColumn("_slab", slab(F.col("y1"))).join(slabs, ["gid", "part", "_slab"])
+            .filter((low <= F.col("y1")) & (F.col("y1") < high) & right).withColumn("_t", F.lit(None).cast("double")))
+    columns = ["gid", "part", *segs.columns, "_t"]
+    hits = crossed.select(*columns).unionByName(rays.select(*columns))
+    # one shuffle serves both groupings
+    parts = hits.repartition("gid", "way_id", "seq").groupBy("gid", "part", *segs.columns).agg(
+        (F.count_if(F.col("_t").isNull()) % 2).cast("int").alias("_odd"), F.sort_array(F.collect_list("_t")).alias("_ts"))
+    begin = lambda i: F.when(i == 0, 0.0).otherwise(F.get("_ts", i - 1))
+    end = lambda i: F.when(i == F.size("_ts"), 1.0).otherwise(F.get("_ts", i))
+    turns = F.when(F.col("_odd") + F.size("_ts") > 0, F.sequence(1 - F.col("_odd"), F.size("_ts"), F.lit(2)))
+    pieces = F.filter(F.transform(turns, lambda i: F.struct(begin(i).alias("t0"), end(i).alias("t1"))), lambda p: p["t1"] > p["t0"])
+    whole = (parts.select("gid", *segs.columns, F.explode(pieces).alias("_p"))
+             .groupBy("gid", *segs.columns).agg(F.sort_array(F.collect_list("_p")).alias("_in")))
+    return whole.select("gid", *segs.columns, F.inline(_merged(F.col("_in")))), near("part IS NULL").select("gid", *segs.columns)
 
 
 def clip_line_length(segs, edges, cell, main=MAIN_ROADS, length=planar_length, factor=1e-3, digits=4):

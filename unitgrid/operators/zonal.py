@@ -2,12 +2,14 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from unitgrid import schema as S
 from unitgrid.functions.numbers import as_double, null_if_nan, ratio
 from unitgrid.functions.spectral import is_lit
 from unitgrid.operators.trends import trends_rows
+from unitgrid.session import materialize
 
 # Fixed value: hectares of one 500 m pixel.
 PIXEL_HA = 25.0
@@ -29,33 +31,70 @@ def composite(obs, by, bands, how="median", digital=False):
     return obs.groupBy(*by).agg(*[F.median(b).alias(b) for b in bands])
 
 
-def composite_wide(obs, by, bands):
-    """Exact median of arbitrary doubles without gathering a pixel's values in one task.
+# Values of one pixel up to which a median is taken in one task, in a count per value.
+GATHERED = 65_536
 
-    Values are counted per (pixel, band, value), ranked by a running count in a global range sort, and
-    the one or two middle values are averaged.
+
+def composite_wide(obs, by, bands, gathered=GATHERED):
+    """Exact median of arbitrary doubles, NULLs and NaN as in `median`, without gathering a large pixel in one task.
+
+    Pixels of at most `gathered` observations are aggregated directly. The others, usually few, are found by `radix_median`.
     """
-    from unitgrid.operators.ordering import running_sum
-    long = (obs.select(*by, *[F.col(b).cast("double").alias(b) for b in bands])
-            .unpivot(list(by), list(bands), "_band", "_x").filter(F.col("_x").isNotNull()))
-    counts = long.groupBy(*by, "_band", "_x").agg(F.count("*").alias("_c"))
-    group = [*by, "_band"]
-    ranked = running_sum(counts, [*group, "_x"], F.col("_c"), "_end")
-    spans = ranked.groupBy(*group).agg(F.sum("_c").alias("_n"), F.max("_end").alias("_last"))
-    end = F.col("_end") - (F.col("_last") - F.col("_n"))
-    start = end - F.col("_c")
-    low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    spans = spans.toDF(*[f"_k{i}" for i in range(len(group))], "_n", "_last")
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(group)])
-    mid = ranked.join(spans, same).groupBy(*group).agg(
-        F.max(F.when((low > start) & (low <= end), F.col("_x"))).alias("_lo"),
-        F.max(F.when((high > start) & (high <= end), F.col("_x"))).alias("_hi"))
-    wide = mid.groupBy(*by).agg(*[F.max(F.when(F.col("_band") == b, (F.col("_lo") + F.col("_hi")) / 2)).alias(b)
-                                  for b in bands])
-    every = obs.select(*by).distinct()
-    wide = wide.toDF(*[f"_k{i}" for i in range(len(by))], *bands)
+    large = materialize(obs.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > gathered)
+                        .select(*by, F.monotonically_increasing_id().alias("_id")), "large")
+    doubles = obs.select(*by, *[F.col(b).cast("double").alias(b) for b in bands])
+    medians = [F.median(b).alias(b) for b in bands]
+    if not large.take(1):
+        return doubles.groupBy(*by).agg(*medians)
+    keyed = large.toDF(*[f"_k{i}" for i in range(len(by))], "_id")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)])
-    return every.join(wide, same, "left").select(*by, *bands)
+    small = doubles.join(keyed, same, "left_anti").groupBy(*by).agg(*medians)
+    heavy = radix_median(doubles.join(keyed, same).select("_id", *bands), bands)
+    return small.unionByName(large.join(heavy, "_id", "left").select(*by, *bands))
+
+
+def _ordered_bits(x):
+    """Bits of a double as a long of the same order; NaN after all others, -0.0 as 0.0."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x + F.lit(0.0)).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits)
+
+
+def _value_of(key):
+    bits = F.when(key < 0, key.bitwiseXOR(F.lit(2**63 - 1))).otherwise(key)
+    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
+
+
+def radix_median(rows, bands, digit=16):
+    """Median per `_id` and band by radix selection.
+
+    A double's bits, in an order-preserving form, are read `digit` at a time: the values of each (id, band) are counted per
+    prefix, which combines before the shuffle, and only the prefix that holds the middle is opened further. No sort of the
+    values and no copy of them; a window sees at most 2 ** digit counts.
+    """
+    long = (rows.unpivot(["_id"], list(bands), "_band", "_x").filter(F.col("_x").isNotNull())
+            .select("_id", "_band", _ordered_bits(F.col("_x")).alias("_key")))
+    group, targets = ["_id", "_band"], None
+    for shift in range(64 - digit, -1, -digit):
+        prefix = F.shiftright("_key", shift)
+        if targets is None:
+            counts = long.groupBy(*group, prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+            w = Window.partitionBy(*group)
+            n = F.sum("_c").over(w)
+            wanted = F.array(F.struct(F.lit(0).alias("_side"), F.floor((n + 1) / 2).alias("_rank")), F.struct(F.lit(1).alias("_side"), F.floor((n + 2) / 2).alias("_rank")))
+            seen = counts.withColumns({"_end": F.sum("_c").over(w.orderBy("_p")), "_w": wanted}).select(*group, "_p", "_c", "_end", F.inline("_w"))
+        else:
+            opened = targets.select(*group, F.col("_p").alias("_open")).distinct()
+            inside = long.withColumn("_open", F.shiftright("_key", shift + digit)).join(opened, [*group, "_open"], "left_semi")
+            counts = inside.groupBy(*group, "_open", prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+            picked = targets.withColumnRenamed("_p", "_open")
+            w = Window.partitionBy(*group, "_side").orderBy("_p")
+            seen = counts.join(picked, [*group, "_open"]).withColumn("_end", F.sum("_c").over(w))
+        hit = (F.col("_end") - F.col("_c") < F.col("_rank")) & (F.col("_rank") <= F.col("_end"))
+        targets = materialize(seen.filter(hit).select(*group, "_side", "_p", (F.col("_rank") - F.col("_end") + F.col("_c")).alias("_rank")), "median")
+    side = lambda s: F.max(F.when(F.col("_side") == s, F.col("_v")))
+    middle = targets.withColumn("_v", _value_of(F.col("_p"))).groupBy(*group).agg(side(0).alias("_lo"), side(1).alias("_hi"))
+    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_lo") * 0.5 + F.col("_hi") * 0.5)
+    return middle.groupBy("_id").agg(*[F.max(F.when(F.col("_band") == b, value)).alias(b) for b in bands])
 
 
 def zonal_stats(pixels, by, bands):

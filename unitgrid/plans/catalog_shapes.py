@@ -10,7 +10,7 @@ from unitgrid.plans.registry import query, rounded
 from unitgrid.plans.sqlviews import components_sql, pixels_sql
 from unitgrid.plans.views import PIXEL_M2, SIZE
 from unitgrid.session import materialize, scratch_path
-from unitgrid.sources import readers
+from unitgrid.sources import readers, writers
 
 _LABEL = "label // 2147483648 AS label_row, label % 2147483648 AS label_col"
 
@@ -36,6 +36,19 @@ def _(v):
     return readers.read_polygons(v.spark, path, lines=True).select("gid", "x1", "y1", "x2", "y2")
 
 
+@query("a6_repeated_features", 'SELECT gid, row, col, "RED" FROM v_inside JOIN v_world USING (row, col)', ["v_inside", "v_world"])
+def _(v):
+    """Every feature twice in one file and once more in another: the same pixels as once."""
+    path = scratch_path(v.spark, "features")
+    entry = F.concat(F.lit('{"type":"Feature","properties":{"GID_3":"'), "gid", F.lit('"},"geometry":'), "geometry", F.lit("}"))
+    rows = _features(v).select(entry.alias("f"), F.crc32(F.col("gid").cast("binary")).alias("h"))
+    for times, folder in ((2, "a"), (1, "b")):
+        files = rows.select(F.explode(F.array_repeat("f", times)).alias("f"), (F.col("h") % 7).alias("file")).groupBy("file").agg(F.array_join(F.collect_list("f"), ",").alias("fs"))
+        files.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "fs", F.lit("]}")).alias("value")).repartitionByRange(7, "value").write.option("maxRecordsPerFile", 1).text(f"{path}/{folder}")
+    edges = readers.read_polygons(v.spark, [f"{path}/a", f"{path}/b"])
+    return geometry.clip_pixels(v.world, geometry.polygon_spans(edges)).select("gid", "row", "col", "RED")
+
+
 @query("d9_required_tiles", """SELECT gid, CAST(tr * 16 AS BIGINT) AS tile_row, CAST(tc * 16 AS BIGINT) AS tile_col FROM (
     SELECT gid, unnest(range(CAST(miny AS BIGINT) // 16, (CAST(maxy AS BIGINT) - 1) // 16 + 1)) AS tr, minx, maxx FROM v_bounds),
     LATERAL (SELECT unnest(range(CAST(minx AS BIGINT) // 16, (CAST(maxx AS BIGINT) - 1) // 16 + 1)) AS tc)""", ["v_bounds"])
@@ -54,6 +67,23 @@ def _(v):
     return geometry.missing_tiles(need, have)
 
 
+@query("d9_untiled_file", """SELECT gid, t AS tile_row, t AS tile_col FROM v_bounds, LATERAL (SELECT unnest(
+    CASE WHEN miny < 0 OR minx < 0 OR maxy > 300 OR maxx > 50 THEN [0::BIGINT, -1::BIGINT] ELSE [0::BIGINT] END) AS t)""", ["v_bounds"])
+def _(v):
+    return geometry.required_whole(geometry.windows(v.bounds, y_down=True), 300, 50)
+
+
+@query("d10_tiled_store", 'SELECT gid, row, col, "RED", "NIR" FROM v_inside JOIN v_world USING (row, col)', ["v_inside", "v_world"])
+def _(v):
+    """The cut from a store partitioned by tile; only the tiles that the boxes cross are read."""
+    path = scratch_path(v.spark, "pixel-tiles")
+    writers.write_pixel_tiles(v.world, path, 16)
+    store = readers.read_pixel_tiles(v.spark, path, v.world.schema.add("tile_row", "long").add("tile_col", "long"))
+    needed = geometry.needed_tiles(geometry.required_tiles(geometry.windows(v.bounds, y_down=True), 16))
+    cut = geometry.clip_pixels(geometry.pixels_of_tiles(store, needed), geometry.polygon_spans(v.edge))
+    return cut.select("gid", "row", "col", "RED", "NIR")
+
+
 @query("d10_clip_pixels", 'SELECT gid, row, col, "RED", "NIR" FROM v_inside JOIN v_world USING (row, col)', ["v_inside", "v_world"])
 def _(v):
     return geometry.clip_pixels(v.world, geometry.polygon_spans(v.edge)).select("gid", "row", "col", "RED", "NIR")

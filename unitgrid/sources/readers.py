@@ -9,7 +9,7 @@ from unitgrid import schema as S
 from unitgrid.functions.numbers import is_finite, null_if_nan
 from unitgrid.functions.text import IMAGE_NAME
 from unitgrid.operators.geometry import polygon_edges
-from unitgrid.operators.keys import drop_exact
+from unitgrid.operators.keys import drop_exact, one_per_key
 from unitgrid.operators.scenes import first_positive
 
 
@@ -51,10 +51,13 @@ def read_log(spark, path, schema=S.STATUS_SCHEMA):
 
 
 PLAN_TYPE = "map<string,array<array<double>>>"
+NO_PLAN = "(a text that is no plan)"
 
 
 def _plan_units(texts, column):
-    return texts.select(F.explode(F.from_json(column, PLAN_TYPE)).alias("gid_3", "months"))
+    """Units of all texts; a text that is no plan gives one row without a unit."""
+    parsed = texts.select(F.from_json(column, PLAN_TYPE).alias("p")).withColumn("p", F.coalesce("p", F.create_map(F.lit(NO_PLAN), F.lit(None).cast("array<array<double>>"))))
+    return parsed.select(F.explode("p").alias("gid_3", "months"))
 
 
 def _plan_wrong():
@@ -72,13 +75,15 @@ def plan_rows(texts, column="plan"):
 
 
 def plan_violations(texts, column="plan"):
-    """Units without twelve months or with counts that are not three whole non-negative numbers."""
-    return _plan_units(texts, column).filter(_plan_wrong()).select("gid_3")
+    """Units without twelve months or with counts that are not three whole non-negative numbers, units in several texts, and texts that are no plan."""
+    units = _plan_units(texts, column)
+    again = units.groupBy("gid_3").count().filter("count > 1").select("gid_3")
+    return units.filter(_plan_wrong()).select("gid_3").unionByName(again).distinct()
 
 
 def read_plan(texts, column="plan"):
     """Counts as integers: gid_3, month, c0, c1, c2. A unit that `plan_violations` would list stops the job."""
-    units = _plan_units(texts, column)
+    units = one_per_key(_plan_units(texts, column), ["gid_3"], "plan")
     stop = F.raise_error(F.concat(F.lit("plan: unit without twelve months of three whole counts: "), F.coalesce("gid_3", F.lit("?"))))
     rows = units.filter(F.when(_plan_wrong(), stop.cast("boolean")).otherwise(F.lit(True))).select("gid_3", F.posexplode("months").alias("_m", "c"))
     return rows.select("gid_3", (F.col("_m") + 1).cast("long").alias("month"), "c").select(
@@ -94,12 +99,20 @@ def plan_evidence(plan, year=S.YEAR):
 
 def read_polygons(spark, path, gid="GID_3", lines=False):
     """GeoJSON files to edges. `lines` reads one feature per line, which splits large files over tasks."""
+    place = F.col("_metadata.file_path")
     if lines:
-        features = spark.read.json(path, schema="properties map<string,string>, geometry string")
+        features = spark.read.json(path, schema="properties map<string,string>, geometry string").select(
+            "properties", "geometry", F.concat_ws("#", place, F.monotonically_increasing_id()).alias("feature"))
     else:
-        features = (spark.read.json(path, multiLine=True, schema="features array<struct<"
-                                    "properties:map<string,string>,geometry:string>>").select(F.inline("features")))
-    return polygon_edges(features.select(F.col("properties")[gid].alias("gid"), "geometry").filter("gid <> ''"))
+        files = spark.read.json(path, multiLine=True, schema="features array<struct<properties:map<string,string>,geometry:string>>")
+        features = files.select(place.alias("file"), F.posexplode("features").alias("at", "f")).select(
+            "f.properties", "f.geometry", F.concat_ws("#", "file", "at").alias("feature"))
+    return polygon_edges(features.select(F.col("properties")[gid].alias("gid"), "geometry", "feature").filter("gid <> ''"), feature="feature")
+
+
+def read_pixel_tiles(spark, path, schema):
+    """Pixels that `write_pixel_tiles` wrote, with tile_row and tile_col; a join on these reads only the tiles it needs."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_manifest(spark, path, glob="*"):

@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from unitgrid.functions.grid import TILE
 from unitgrid.operators.contract import conform, natural_sorted
 from unitgrid.operators.keys import keep_last, union_all
 
@@ -70,6 +71,13 @@ def write_by_unit(df, path, columns=("gid_1", "gid_3"), fmt="parquet", max_rows=
      .partitionBy(*columns).save(path))
 
 
+def write_pixel_tiles(pixels, path, tile=TILE, max_rows=5_000_000):
+    """Pixels in one folder per tile of `tile` x `tile` pixels, for readers that need few tiles. Large tiles become several files."""
+    at = lambda c: (F.floor(F.col(c) / tile) * tile).cast("long")
+    (pixels.withColumns({"tile_row": at("row"), "tile_col": at("col")}).hint("rebalance", "tile_row", "tile_col").write
+     .option("maxRecordsPerFile", max_rows).partitionBy("tile_row", "tile_col").parquet(path))
+
+
 def append_log(df, path):
     df.write.mode("append").json(path)
 
