@@ -18,6 +18,16 @@ def partitions(spark):
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def portions(docs, text, batch_mb=2, bucket_mb=6):
+    """(batches, buckets) for the texts of `docs`, from their measured bytes.
+
+    A batch holds about `batch_mb` MB of text and a bucket the keys of about `bucket_mb` MB, whatever the session's number of
+    partitions, so what meets in one Python worker does not depend on a setting.
+    """
+    size = docs.agg(F.sum(F.octet_length(quoted(text)))).first()[0] or 0
+    return tuple(max(1, -(-size // (mb * 1_000_000))) for mb in (batch_mb, bucket_mb))
+
+
 def others(df, *taken):
     """Columns of df but for `taken` (exact names)."""
     return [c for c in df.columns if c not in taken]

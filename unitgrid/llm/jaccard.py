@@ -319,7 +319,7 @@ def components(docs, id="doc_id", text="text", shingle=5, percent=80):
     common.ship("unitgrid.llm.ballots", __name__)
     spark = docs.sparkSession
     parts = common.partitions(spark)
-    batches, buckets = 2 * parts, parts
+    batches, buckets = common.portions(docs, text)
     kind = docs.schema[id].dataType
     from pyspark.sql.pandas.types import to_arrow_type
     packed = docs.select(F.pmod(F.xxhash64(common.quoted(text), common.quoted(id)), F.lit(batches)).cast("int").alias("batch"),

@@ -179,11 +179,11 @@ def scorer(model):
 
 
 def sample_of(docs, labels, label, id="doc_id", text="text", sample=4000, longest=50_000, with_ids=False):
-    """(texts, labels): at most `sample` labelled documents, those whose id has the least hash."""
+    """(texts, labels): at most `sample` labelled documents, those whose id has the least hash; of texts with one id the least."""
     rows = labels.select(common.quoted(id).alias("id"), common.quoted(label).cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
     chosen = rows.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample)
     got = (docs.select(common.quoted(id).alias("id"), common.quoted(text).alias("text")).filter(F.octet_length("text") <= longest)
-           .join(chosen, "id").dropDuplicates(["id"]).select("id", "text", "label").collect())
+           .join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect())
     got.sort(key=lambda r: r.id)
     texts, marks = [r.text for r in got], [r.label for r in got]
     return ([r.id for r in got], texts, marks) if with_ids else (texts, marks)

@@ -132,12 +132,12 @@ def dedup(docs, text="text", window=35, layout=False):
     it was without the removed words and the white space behind each). A column of `docs` with one of these
     names is replaced. Words are runs of bytes other than ASCII white space, unchanged. A null or empty text has no
     words, n_removed 0 and kept_text "". Repeated rows are texts like any other: each is the other's repeat. An
-    empty table gives an empty one. Batches: two for each of the session's shuffle partitions.
+    empty table gives an empty one. Batches hold about 2 MB of text each.
     """
     common.ship("unitgrid.llm.ballots", __name__)
     spark = docs.sparkSession
     parts = common.partitions(spark)
-    batches, buckets = 2 * parts, parts
+    batches, buckets = common.portions(docs, text)
     made = ("n_words", "n_removed", "spans", "kept_text")
     row = common.rest_struct(docs, text, *made)
     packed = docs.select(
