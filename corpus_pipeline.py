@@ -8,29 +8,42 @@ window of a benchmark item. Repeated passages go from the texts of the others.
 from pyspark.sql import functions as F
 
 from unitgrid.llm import bpe, jaccard, linecrf, queries, substrings, wumanber
-from unitgrid.llm.common import table
+from unitgrid.llm.common import quoted, table
 from unitgrid.session import materialize
 
 
 def good_quality(spark, docs, sf_dir):
-    """Keep documents with a quality score of 0.7 or more; those without text score like any and are kept or go by it."""
+    """Keep documents with a quality score of 0.7 or more.
+
+    Those without text score like any and are kept or go by it. Ids, null or repeated, and further columns play no part in a
+    score; repeated rows go or stay together; an empty table gives an empty one.
+    """
     scored = linecrf.score(docs, queries.quality_model(spark, docs, sf_dir))
     return scored.filter("score >= 0.7").select(*docs.columns)
 
 
+def row_key(docs):
+    """A text that names a row: its doc_id, in order and null last, then 128 bits of a hash of all its columns."""
+    values = [quoted(c) for c, kind in docs.dtypes if "map<" not in kind]
+    number = F.coalesce(F.lpad(F.hex(F.col("doc_id").cast("long")), 16, "0"), F.lit("null"))
+    return F.concat_ws("-", number, *[F.hex(F.xxhash64(F.lit(seed), *values)) for seed in (1, 2)])
+
+
 def one_of_each_group(spark, docs, sf_dir):
-    """Keep one document of each group of near duplicates: the one whose doc_id names the group.
+    """Keep one document of each group of near duplicates: the one of least doc_id, a null counting last.
 
-    Documents without words are in no group and stay, and so do documents without a doc_id. Rows that repeat a doc_id of a
-    group are one document; one of them stays.
+    Rows are told apart by `row_key`, so two unlinked texts with one doc_id both stay, and near copies without a doc_id
+    go like any. Equal rows are one document; one of them stays. Documents without words are in no group and stay. An empty
+    table gives an empty one.
     """
-    groups = jaccard.components(docs)
-    kept = groups.filter("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    gone = groups.filter("n_shingles > 0 AND doc_id <> component_id").select("doc_id").distinct()
-    again = kept.filter("copies > 1").select("doc_id")
-    rest = docs.join(gone.join(kept, "doc_id", "left_anti").unionByName(again), "doc_id", "left_anti")
-    once = docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.unionByName(once).select(*docs.columns)
+    keyed = docs.select(row_key(docs).alias("row_key"), F.struct(*[quoted(c) for c in docs.columns]).alias("row"))
+    groups = jaccard.components(keyed.select("row_key", "row.text"), id="row_key")
+    first = F.col("row_key") == F.col("component_id")
+    marks = groups.filter("n_shingles > 0").groupBy("row_key").agg(F.max(first).alias("stays"), F.count(F.lit(1)).alias("copies"))
+    marks = marks.filter("NOT stays OR copies > 1")
+    rest = keyed.join(marks, "row_key", "left_anti")
+    once = keyed.join(marks.filter("stays"), "row_key", "left_semi").dropDuplicates(["row_key"])
+    return rest.unionByName(once).select("row.*")
 
 
 def without_repeats(spark, docs, sf_dir):
@@ -43,7 +56,11 @@ def without_repeats(spark, docs, sf_dir):
 
 
 def without_benchmark(spark, docs, sf_dir):
-    """Keep documents that hold no window of a benchmark item."""
+    """Keep documents that hold no window of a benchmark item.
+
+    Texts without words hold none and stay. Ids, null or repeated, and further columns play no part; an empty table of
+    documents or items leaves nothing, or all.
+    """
     return wumanber.find(docs, table(spark, sf_dir, "benchmark")).filter("n_hit = 0").select(*docs.columns)
 
 
