@@ -8,6 +8,8 @@ binary, one row per (batch, bucket), and the answers are packed bits in the orde
 import numpy as np
 import pyarrow as pa
 
+from unitgrid.llm.textpack import release
+
 SENT = "bucket int, batch int, body binary, n long"
 ANSWER = "batch int, kind int, bucket int, body binary"
 
@@ -55,6 +57,7 @@ class Keys:
 def judge(kind, dtype, need_mark):
     """Task function of a bucket: yes to keys seen at least twice in all (and, with need_mark, marked somewhere)."""
     def run(table):
+        release()
         width = np.dtype(dtype).itemsize
         bodies, sizes = table.column("body"), table.column("n").to_numpy()
         parts = []

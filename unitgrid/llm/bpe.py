@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from unitgrid.llm import common
-from unitgrid.llm.textpack import slices
+from unitgrid.llm.textpack import release, slices
 
 WORD_END = "</w>"
 DEAD, EDGE = -2, -1
@@ -209,6 +209,7 @@ def encoder(tables, portion):
                     names=["row", "text", "n_tokens", "ids"])
 
     def run(batches):
+        release()
         t = tables.value
         merger, special = Merger(t), t["special"]
         splitter = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
@@ -219,6 +220,7 @@ def encoder(tables, portion):
             if size >= portion:
                 yield from flush(merger, special, splitter, held)
                 held, size = [], 0
+                release()
         yield from flush(merger, special, splitter, held)
     return run
 
@@ -239,7 +241,7 @@ def vocabulary(spark, path):
     return spark.sparkContext.broadcast(load(path))
 
 
-def encode(docs, tables, text="text", portion_mb=10):
+def encode(docs, tables, text="text", portion_mb=5):
     """All columns of `docs` and: n_tokens (long), ids (binary, little-endian unsigned 32-bit numbers).
 
     `tables` comes from `vocabulary`. White space is dropped, text is normalized (NFC) and lowered, special tokens

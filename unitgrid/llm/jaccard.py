@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from unitgrid.llm import ballots, common
 from unitgrid.llm.graph import components as connected
-from unitgrid.llm.textpack import SPACE, Words, mixed, window_hashes
+from unitgrid.llm.textpack import SPACE, Words, mixed, release, window_hashes
 from unitgrid.session import discard, materialize
 
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -59,6 +59,7 @@ def _bucket(value, buckets):
 
 def send_tokens(size, buckets):
     def run(table):
+        release()
         _, _, value = _shingles(table.column("text"), size)
         return ballots.Keys(*_bucket(value, buckets)).rows(table.column("batch")[0].as_py())
     return run
@@ -67,6 +68,7 @@ def send_tokens(size, buckets):
 def shared_tokens(size, percent, buckets, id_type):
     """Rows of a batch: id, set size, node, and the shared tokens of the first text of each node."""
     def run(table, answers):
+        release()
         if not table.num_rows:
             return pa.table([pa.array([], id_type), pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64()))],
                             names=["id", "n", "node", "tokens"])
@@ -190,6 +192,7 @@ def _distinct_pairs(bucket, key, component):
 def send_components(buckets):
     """Distinct (token, component) of a batch of nodes, packed by bucket."""
     def run(table, labels):
+        release()
         out = []
         if table.num_rows:
             *_, bucket, key, component = _foreign_keys(table, labels, buckets)
@@ -224,6 +227,7 @@ def judge_components(table):
 def foreign_nodes(percent, buckets):
     """Nodes of which enough tokens occur in other components, with these tokens; `answers` holds labels too."""
     def run(table, mail):
+        release()
         names = ["node", "component", "n", "tokens"]
         if not table.num_rows:
             return pa.table([pa.array([], pa.int64())] * 3 + [pa.array([], pa.list_(pa.int64()))], names=names)
@@ -252,6 +256,7 @@ def foreign_nodes(percent, buckets):
 def open_groups(percent):
     """Edges between components from the queries that reach a group: bound on the union first, then its members."""
     def run(queries, members):
+        release()
         names = ["a", "b"]
         if not queries.num_rows or not members.num_rows:
             return pa.table([pa.array([], pa.int64())] * 2, names=names)

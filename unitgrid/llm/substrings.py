@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from unitgrid.llm import ballots, common
-from unitgrid.llm.textpack import Words, member, mixed, strings, window_hashes
+from unitgrid.llm.textpack import Words, member, mixed, release, strings, window_hashes
 
 HITS, REPEATS = 1, 2
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -64,6 +64,7 @@ def _wide(h, window, start, buckets):
 
 def probe(text, window, buckets):
     def run(table):
+        release()
         words = Words(table.column(text))
         bucket, key, indexed, _ = _blocks(words, words.hashes(), (window + 1) // 2, buckets)
         return ballots.Keys(bucket, key, indexed).rows(table.column("batch")[0].as_py())
@@ -72,6 +73,7 @@ def probe(text, window, buckets):
 
 def compare(text, window, buckets):
     def run(table, answers):
+        release()
         words = Words(table.column(text)) if table.num_rows else Words(pa.array([], pa.string()))
         h = words.hashes()
         start = _around_hits(words, h, window, buckets, ballots.by_kind(answers, HITS))
@@ -81,6 +83,7 @@ def compare(text, window, buckets):
 
 def remove(text, window, buckets, layout):
     def run(table, answers):
+        release()
         words = Words(table.column(text)) if table.num_rows else Words(pa.array([], pa.string()))
         h = words.hashes()
         start = _around_hits(words, h, window, buckets, ballots.by_kind(answers, HITS))

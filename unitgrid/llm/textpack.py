@@ -4,6 +4,8 @@ Task helpers; they run inside `applyInArrow` and `mapInArrow` on bounded batches
 of the bytes, so every executor, and a task that runs again, computes the same ones.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,6 +28,14 @@ MIX_B = np.uint64(0x94D049BB133111EB)
 BASE = 0xD6E8FEB86659FD93
 
 
+def release():
+    """Give memory that earlier batches freed back to the system; a Python worker outlives its tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mixed(x, seed=0):
     """Finalizer of splitmix64: a bijection that spreads every input bit over all output bits."""
     with np.errstate(over="ignore"):
