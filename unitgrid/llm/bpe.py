@@ -227,6 +227,7 @@ def encoder(tables, portion):
 
 def decoder(tables):
     def run(batches):
+        release()
         tokens = tables.value["tokens"]
         for batch in slices(batches, 1_000_000, "ids"):
             texts = []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from unitgrid.llm import common
-from unitgrid.llm.textpack import NOT_ALNUM, Words, mixed, slices
+from unitgrid.llm.textpack import NOT_ALNUM, Words, mixed, release, slices
 
 SEGMENT = 512  # search windows of one segment
 SHIFTS = np.uint64(0x2545F4914F6CDD1D)
@@ -106,6 +106,7 @@ def build(items, window):
 
 def scan(blocks):
     def run(batches):
+        release()
         for batch in slices(batches):
             words = Words(batch.column("text"), NOT_ALNUM, lower=True)
             h = words.hashes()
