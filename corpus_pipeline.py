@@ -65,9 +65,13 @@ def without_benchmark(spark, docs, sf_dir):
 
 
 def tokens(spark, docs, sf_dir):
-    """Encode every text; ids are little-endian unsigned 32-bit numbers, and decoded_sha256 tells what they decode to."""
+    """Encode every text; ids are little-endian unsigned 32-bit numbers, and decoded_sha256 tells what they decode to.
+
+    The ids are written before they are decoded, so that a task does not hold the workers of both at once. A null or empty
+    text has no ids; ids of documents, null or repeated, and further columns are carried along; an empty table stays empty.
+    """
     tables = bpe.vocabulary(spark, queries.vocabulary_path())
-    encoded = bpe.encode(docs, tables).drop("text")
+    encoded = materialize(bpe.encode(docs, tables).drop("text"), "ids")
     decoded = bpe.decode(encoded, tables)
     return decoded.withColumn("decoded_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256)).drop("decoded")
 
