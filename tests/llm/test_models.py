@@ -286,3 +286,55 @@ def test_main_text_goes_on_after_drawings_and_custom_elements(inner, text):
     long = "It is the first of the paragraphs that we have here, and it is long enough."
     got = maintext.extract(f"<body><article><p>{long} {inner}</p><p>{long}</p></article><footer>no</footer>")[0]
     assert got == (f"{long}\n{long}" if not text else f"{long} {text}\n{long}")
+
+
+def test_boost_is_chosen_by_the_examples_alone():
+    plain = [f"word{i % 7} thing{i % 5} other{i % 3}" for i in range(120)]
+    texts = plain + [t + " vile" for t in plain[:40]]
+    boost, losses = nearest_toxic.choose_boost(list(range(160)), texts, [0] * 120 + [1] * 40, (1.0, 2.0, 4.0))
+    assert boost in losses and losses[boost] == min(losses.values()) and all(x >= 0 for x in losses.values())
+    assert nearest_toxic.leave_one_out(nearest_toxic.fit([], [], [])) == 0.0
+
+
+def test_language_model_has_every_language_and_none(spark):
+    """A rare language is in the sample, repeated ids count once, no labelled text gives NULL languages, the suffix is the host's last label."""
+    rows = [(i, "the cat sat on the mat and looked", "en") for i in range(60)] + [(60, "der hund und die katze schlafen heute", "de"), (60, "der hund und die katze schlafen heute", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample=4)
+    assert model.value["languages"] == ["de", "en"]
+    pages = spark.createDataFrame([(1, "https://a.example.de/de/x", "<p>der hund und die katze</p>"), (2, "https://b.example.com/", "<p>the cat on the mat</p>"), (3, None, None)],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r for r in langid.identify(pages, model).collect()}
+    assert (got[1].lang, got[1].suffix, got[1].path_lang) == ("de", "de", "de") and (got[2].lang, got[2].suffix, got[2].path_lang) == ("en", "com", "")
+    assert got[3].suffix == "" and got[3].text_lang is None
+    none = {r.page_id: r for r in langid.identify(pages, langid.train(docs.limit(0))).collect()}
+    assert len(none) == 3 and none[1].lang is None and none[1].confidence is None and none[1].suffix == "de"
+
+
+def test_address_tables_by_hand(spark):
+    """The posterior of a page against the sum of its evidence, worked out in plain Python."""
+    docs = spark.createDataFrame([(1, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de")], "doc_id long, text string, lang string")
+    rows = [(i, f"https://h{i % 2}.site.{'de' if i % 3 else 'com'}/{'de' if i % 2 else 'en'}/", f"<p>{'der hund und' if i % 3 else 'the cat sat'}</p>") for i in range(12)]
+    model = langid.train(docs)
+    got = {r.page_id: r for r in langid.identify(spark.createDataFrame(rows, "page_id long, url string, html string"), model).collect()}
+    logs = model.value["log"].astype(float)
+    likely = {i: logs[:, langid.trigrams(langid.page_evidence(h)[0])].sum(axis=1) / max(1.0, len(langid.trigrams(langid.page_evidence(h)[0])) ** 0.5) for i, _, h in rows}
+    guess = {i: int(np.argmax(x)) for i, x in likely.items()}
+    key = {i: (u.split("/")[2], ".".join(u.split("/")[2].split(".")[-2:]), u.split("/")[2].split(".")[-1], u.split("/")[3]) for i, u, _ in rows}
+
+    def counts(at, value):
+        return np.bincount([guess[i] for i in key if key[i][at] == value], minlength=2).astype(float)
+
+    def shrunk(c, above):
+        return (c + 10.0 * above) / (c.sum() + 10.0)
+
+    def table(at, value):
+        whole = np.bincount(list(guess.values()), minlength=2)
+        return np.log((counts(at, value) + 1) / (whole + len({k[at] for k in key.values()}) + 1))
+
+    whole = np.bincount(list(guess.values()), minlength=2)
+    world = (whole + 1.0) / (whole.sum() + 2)
+    for i, (host, domain, last, path) in key.items():
+        prior = shrunk(counts(0, host), shrunk(counts(1, domain), shrunk(counts(2, last), world)))
+        z = np.log(prior) + likely[i] + table(2, last) + table(3, path)
+        assert got[i].lang == ("de", "en")[int(np.argmax(z))] and abs(got[i].confidence - 1 / np.exp(z - z.max()).sum()) < 1e-6

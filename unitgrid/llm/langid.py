@@ -1,20 +1,23 @@
 """Language of web pages by Bayesian evidence fusion.
 
 log posterior(language) = log prior(language | host) + log likelihood(text) + log P(declared markup language | language)
-+ log P(address suffix | language), normalized over the languages.
++ log P(address suffix | language) + log P(path language | language), normalized over the languages.
 
 - Text: character trigrams, multinomial, add-half smoothed, learned from labelled texts (a bounded sample).
 - Host priors: shrunken in steps, world -> last host label -> registered domain -> host: each level's counts of first
   guesses (by text alone) with the level above as `strength` pseudo-counts. Counts are grouped sums over all pages; a
   host with a third of all pages is one row of partial sums for each task.
-- Markup and suffix tables: P(value | language) from the same grouped sums, add-one smoothed, so a declaration weighs
-  as much as it agrees with the texts here.
+- Markup, suffix (the host's last label) and path tables: P(value | language) from the same grouped sums, add-one smoothed, so a
+  declaration weighs as much as it agrees with the texts here. The last label is a level of the host priors too: these speak
+  for hosts, the table for pages.
 """
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unitgrid.llm import common
@@ -46,6 +49,8 @@ def fit_text(texts, labels):
     counts = np.full((len(languages), 1 << HASH_BITS), 0.5)
     for text, label in zip(texts, labels):
         counts[languages.index(label)] += np.bincount(trigrams(text or ""), minlength=1 << HASH_BITS)
+    if not languages:
+        return {"languages": [], "log": np.zeros((0, 1 << HASH_BITS), np.float32)}
     return {"languages": languages, "log": (np.log(counts) - np.log(counts.sum(axis=1, keepdims=True))).astype(np.float32)}
 
 
@@ -66,8 +71,8 @@ def reader(shared):
                 declared.append(code)
                 # trigrams of a text depend on each other: evidence grows with the root of their number
                 t = trigrams(text)
-                scores.append((model["log"][:, t].sum(axis=1) / max(1.0, np.sqrt(len(t)))).astype(float) if len(t) else np.zeros(len(model["languages"])))
-            best = [int(np.argmax(s)) if s.any() else -1 for s in scores]
+                scores.append((model["log"][:, t].sum(axis=1) / max(1.0, np.sqrt(len(t)))).astype(float) if len(t) and model["languages"] else np.zeros(len(model["languages"])))
+            best = [int(np.argmax(s)) if len(s) and s.any() else -1 for s in scores]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(declared), pa.array([s.tolist() for s in scores], pa.list_(pa.float64())),
                                               pa.array([model["languages"][b] if b >= 0 else None for b in best], pa.string())],
                                              names=["row", "declared", "likelihood", "guess"])
@@ -75,13 +80,22 @@ def reader(shared):
 
 
 def train(docs, labels_column="lang", text="text", id="doc_id", sample=2000, longest=50_000):
-    """Trigram model from a bounded sample of labelled texts, those with the least hash of the id; broadcast."""
+    """Trigram model from a bounded sample of labelled texts; broadcast.
+
+    Every language has an equal share of the sample (one text at least), its texts with the least hash of the id; of rows with one id the
+    least (label, text) counts. Without a labelled text the model has no language.
+    """
     common.ship("unitgrid.llm.common", "unitgrid.llm.maintext", __name__)
     rows = (docs.select(common.quoted(id).alias("id"), common.quoted(text).alias("text"), common.quoted(labels_column).alias("label"))
             .filter(F.col("label").isNotNull() & F.col("id").isNotNull() & (F.octet_length("text") <= longest)))
     # ids are chosen first, so that texts other than the sample's never move
-    chosen = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = rows.join(chosen, "id").groupBy("id").agg(F.min(F.struct("label", "text")).alias("r")).select("id", "r.*").collect()
+    kinds = [r.label for r in rows.select("label").distinct().orderBy("label").limit(sample).collect()]
+    ids = rows.groupBy("id").agg(F.min("label").alias("label"))
+    parts = [ids.filter(F.col("label") == x).orderBy(F.xxhash64("id"), "id").limit(max(1, sample // len(kinds))) for x in kinds]
+    if parts:
+        rows = rows.join(reduce(DataFrame.unionByName, parts), ["id", "label"]).groupBy("id", "label").agg(F.min("text").alias("text")).collect()
+    else:
+        rows = []
     rows.sort(key=lambda r: r.id)
     return docs.sparkSession.sparkContext.broadcast(fit_text([r.text for r in rows], [r.label for r in rows]))
 
@@ -108,13 +122,19 @@ def identify(pages, model, html="html", url="url", strength=10.0):
 
     A null or empty page has no text evidence, a page without a declaration or a null address none of that kind; with no evidence
     at all the prior of the world decides; ties go to the language first in order. Repeated rows count as pages. An
-    empty table gives an empty one; a column of `pages` with one of the new names is replaced. Needs a model of at least one language.
+    empty table gives an empty one; a column of `pages` with one of the new names is replaced. `suffix` is the host's last label ("" if there
+    is no host), `path_lang` the two-letter first path part. With a model of no language lang, confidence and text_lang are NULL.
     """
     languages = model.value["languages"]
-    made = ("lang", "confidence", "declared", "suffix", "text_lang")
+    made = ("lang", "confidence", "declared", "suffix", "path_lang", "text_lang")
     rest = common.rest_struct(pages, html, *made)
     packed = pages.select(F.struct(rest.alias("rest"), *[e.alias(n) for n, e in _address(F.coalesce(common.quoted(url), F.lit(""))).items()]).alias("row"), common.quoted(html).alias("html"))
     read = packed.mapInArrow(reader(model), f"row {packed.schema['row'].dataType.simpleString()}, declared string, likelihood array<double>, guess string")
+    if not languages:
+        address = read.select("row.*", "declared")
+        return address.select(*[F.col("rest").getField(c).alias(c) for c in common.others(pages, html, *made)], F.lit(None).cast("string").alias("lang"),
+                              F.lit(None).cast("double").alias("confidence"), "declared", F.col("last").alias("suffix"), F.col("path").alias("path_lang"),
+                              F.lit(None).cast("string").alias("text_lang"))
     read = materialize(read.select("row.*", "declared", "likelihood", "guess"), "evidence")
     one = F.array(*[(F.col("guess") == x).cast("double") for x in languages])
     sums = lambda df, *keys: df.groupBy(*keys).agg(F.array(*[F.coalesce(F.sum((F.col("guess") == x).cast("double")), F.lit(0.0)) for x in languages]).alias("counts"))
@@ -131,23 +151,23 @@ def identify(pages, model, html="html", url="url", strength=10.0):
     host = _shrunk(hosts.join(domain, ["domain", "last"]).withColumnRenamed("domain_prior", "above"), "host", None, n, strength).select("host", "host_prior")
 
     def table_of(key):
-        """log P(value | language) of a declaration or suffix; its rows are the distinct two- and three-letter codes."""
+        """log P(value | language) of a declaration, suffix or path; its rows are the distinct values."""
         counts = sums(read.filter(F.col(key) != ""), key)
         whole = counts.agg(F.count(F.lit(1)).alias("kinds"), F.array(*[F.coalesce(F.sum(F.col("counts")[i]), F.lit(0.0)) for i in range(n)]).alias("whole"))
         return counts.join(whole).select(key, F.zip_with("counts", "whole", lambda c, w: F.log((c + 1) / (w + F.col("kinds") + 1))).alias(key + "_log"))
 
     nothing = F.array(*[F.lit(0.0)] * n)
     joined = read
-    for key in ("declared", "path"):
-        joined = joined.join(F.broadcast(table_of(key)), key, "left").withColumn(key + "_log", F.coalesce(key + "_log", nothing))
+    for key in ("declared", "last", "path"):
+        joined = joined.join(table_of(key), key, "left").withColumn(key + "_log", F.coalesce(key + "_log", nothing))
     joined = joined.join(host, "host", "left")
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    logs = add(add(F.transform("host_prior", lambda p: F.log(p)), F.col("likelihood")), add(F.col("declared_log"), F.col("path_log")))
+    logs = add(add(F.transform("host_prior", lambda p: F.log(p)), F.col("likelihood")), add(F.col("declared_log"), add(F.col("last_log"), F.col("path_log"))))
     ranked = joined.withColumn("logs", logs).withColumn("top", F.array_max("logs"))
     weights = ranked.withColumn("weights", F.transform("logs", lambda x: F.exp(x - F.col("top"))))
     names = F.array(*[F.lit(x) for x in languages])
     out = weights.select(
         *[F.col("rest").getField(c).alias(c) for c in common.others(pages, html, *made)],
         F.element_at(names, F.array_position("logs", F.col("top")).cast("int")).alias("lang"),
-        (1.0 / F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)).alias("confidence"), "declared", F.col("path").alias("suffix"), F.col("guess").alias("text_lang"))
+        (1.0 / F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)).alias("confidence"), "declared", F.col("last").alias("suffix"), F.col("path").alias("path_lang"), F.col("guess").alias("text_lang"))
     return out

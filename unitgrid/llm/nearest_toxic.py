@@ -22,7 +22,7 @@ from unitgrid.llm.textpack import BASE, BYTE_HASH, NOT_ALNUM, Words, mixed, powe
 
 BLOCK = 64
 LEAST_TEXTS = 8
-BOOST = 4.0  # weight of a term that tells the label apart, times that of others
+BOOST = 2.0  # weight of a term that tells the label apart, times that of others; chosen by `choose_boost` on a training fold
 STEMS = (4, 5, 6, 7, 8)  # bytes of a word's beginning
 EVIDENCE = "array<struct<id:string,label:int,similarity:double>>"
 
@@ -211,6 +211,24 @@ def fit(ids, texts, labels, k=15, terms=512, boost=BOOST):
             "ids": [str(i) for i in ids], "base": base, "curve": curve, "k": k}
 
 
+def leave_one_out(model):
+    """Mean log loss of the examples' own labels, each scored by the others. Only the examples are looked at."""
+    row, column, weight = model["vectors"]
+    labels, n = model["labels"], len(model["labels"])
+    index, p = Index(row, column, weight, len(model["idf"]), n), np.full(n, model["base"])
+    for i, near, sims in index.search(row, column, weight, n, model["k"], leave=True):
+        if len(near):
+            p[i] = _sigmoid(model["curve"][0] + model["curve"][1] * (2 * vote(labels, near, sims) - 1))
+    p = np.clip(p, 1e-9, 1 - 1e-9)
+    return float(-np.log(np.where(labels == 1, p, 1 - p)).mean()) if n else 0.0
+
+
+def choose_boost(ids, texts, labels, candidates=(1.0, 2.0, 4.0, 8.0), k=15, terms=512):
+    """(the candidate of least leave-one-out loss, the least of equal ones; the loss of each)."""
+    losses = {b: leave_one_out(fit(ids, texts, labels, k, terms, b)) for b in candidates}
+    return min(candidates, key=lambda b: (losses[b], b)), losses
+
+
 def score_texts(model, index, column):
     """(score, evidence) of each text."""
     text, value, word, size, words = _terms(column)

@@ -103,7 +103,7 @@ def op1_kd_nearest(spark, sf_dir):
 def op3_language_id(spark, sf_dir):
     model = langid.train(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     found = langid.identify(table(spark, sf_dir, "pages").select("page_id", "url", "html"), model)
-    return found.select("page_id", "lang", "confidence", "declared", "suffix", "text_lang")
+    return found.select("page_id", "lang", "confidence", "declared", "suffix", "path_lang", "text_lang")
 
 
 @query
