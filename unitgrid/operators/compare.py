@@ -45,6 +45,51 @@ def compare_rasters(a, b, bands, key=(), d_row=0, d_col=0, tolerance=TOLERANCE,
     return out.withColumn("verdict", verdict)
 
 
+def verify_rasters(a, b, bands, key, tolerances=None, tolerance=TOLERANCE, offsets=None, grids=None):
+    """Verification of rasters per key: both (values present on both sides), max_abs_diff, null_mismatch, level and note.
+
+    `b` is shifted by its key's row in `offsets` (key, d_row, d_col). tolerances: key, tolerance; without a row there `tolerance` holds.
+    grids: key, verdict (`grid_verdict`); a key with one is on another grid. FAIL: another grid, no common value, or a difference above the
+    tolerance; WARN: values agree, but a value is present on one side only, inside the overlap of both extents, or one side has no
+    raster of the key; else PASS. A key whose extents do not overlap has no common value.
+    """
+    moved, key = b, list(key)
+    if offsets is not None:
+        one = offsets.groupBy(*key).agg(F.count("*").alias("_rows"), F.max("d_row").alias("_d_row"), F.max("d_col").alias("_d_col"))
+        good = F.coalesce(F.col("_rows") == 1, F.lit(False)) & F.col("_d_row").isNotNull() & F.col("_d_col").isNotNull()
+        shift = lambda c, d: F.when(good, F.col(c) + F.col(d)).otherwise(F.raise_error(F.lit("key without exactly one offset")).cast("long"))
+        moved = b.join(one, key, "left").withColumns({"row": shift("row", "_d_row"), "col": shift("col", "_d_col")})
+    at = [*key, "row", "col"]
+    both = a.select(*at, F.lit(True).alias("_l"), *bands).join(
+        moved.select(*at, F.lit(True).alias("_r"), *[F.col(x).alias(f"_b_{x}") for x in bands]), at, "full")
+    ends = lambda side: [f(F.when(F.col(side), F.col(c))).alias(f"{side}_{n}_{c}") for n, f in (("lo", F.min), ("hi", F.max)) for c in ("row", "col")]
+    extent = both.groupBy(*key).agg(*ends("_l"), *ends("_r"))
+    # extents are few numbers per key; pixels outside the common window are no mismatch
+    inside = F.lit(True)
+    for c in ("row", "col"):
+        inside &= F.col(c).between(F.greatest(f"_l_lo_{c}", f"_r_lo_{c}"), F.least(f"_l_hi_{c}", f"_r_hi_{c}"))
+    pairs = [(F.col(x), F.col(f"_b_{x}")) for x in bands]
+    counted = lambda test: sum((test(x, y).cast("long") for x, y in pairs), F.lit(0).cast("long"))
+    lone = F.coalesce(F.col("_l_lo_row").isNull() | F.col("_r_lo_row").isNull(), F.lit(True))
+    out = both.join(extent, key).groupBy(*key).agg(
+        F.sum(F.when(inside, counted(lambda x, y: x.isNotNull() & y.isNotNull())).otherwise(0)).alias("both"),
+        F.max(F.when(inside, F.array_max(F.array(*[F.abs(x - y) for x, y in pairs])))).alias("max_abs_diff"),
+        F.sum(F.when(inside, counted(lambda x, y: x.isNull() != y.isNull())).otherwise(0)).alias("null_mismatch"), F.bool_or(lone).alias("_lone"))
+    if tolerances is not None:
+        out = out.join(tolerances.groupBy(*key).agg(F.min("tolerance").alias("_tolerance")), key, "left")
+    else:
+        out = out.withColumn("_tolerance", F.lit(None).cast("double"))
+    if grids is not None:
+        out = out.join(grids.filter(F.col("verdict").isNotNull()).select(*key, F.lit(True).alias("_grid")).distinct(), key, "left")
+    else:
+        out = out.withColumn("_grid", F.lit(None).cast("boolean"))
+    limit = F.coalesce("_tolerance", F.lit(tolerance))
+    note = (F.when(F.col("_lone"), "missing side").when(F.col("_grid"), "grid").when(F.col("both") == 0, "no common value")
+            .when(F.col("max_abs_diff") > limit, "values").when(F.col("null_mismatch") > 0, "nodata").otherwise(""))
+    level = F.when(note.isin("missing side", "nodata"), "WARN").when(note == "", "PASS").otherwise("FAIL")
+    return out.select(*key, "both", "max_abs_diff", "null_mismatch", level.alias("level"), note.alias("note"))
+
+
 def grid_verdict(manifest, left_a, left_b, top_a, top_b, step_a, step_b):
     """Offset of two grids in pixels; a fractional offset or another step is a different grid."""
     dc, dr = grid_offset(left_b, left_a, step_a), grid_offset(top_a, top_b, step_a)
@@ -91,8 +136,3 @@ def to_validate(manifest, cache, fingerprint=("size", "mtime", "hash", "version"
     """Files that have no reusable verdict."""
     known = cache.filter(F.col("state") == "done").select(path, *fingerprint)
     return manifest.join(known, [path, *fingerprint], "left_anti")
-
-
-def report(items):
-    """Verification report rows in contract form: unit, item, level, note."""
-    return items.select("gid_3", "item", "level", F.coalesce("note", F.lit("")).alias("note"))

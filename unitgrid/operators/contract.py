@@ -426,6 +426,50 @@ def verify_units(table, kind, sources, admin, year=S.YEAR):
     return out.withColumn("level", F.when(good, "PASS").otherwise("FAIL"))
 
 
+def verify_notes(table, kind, sources, admin, files, year=S.YEAR):
+    """Everything wrong with a unit's outputs, one row per note: gid_3, item, month (0: whole table), note.
+
+    table: index table as it was read, its columns in contract order; files: one row per image file (kind, gid_3, month, state,
+    error). A month needs exactly one file that is good, or none where evidence counts zero scenes. Units come from the admin table;
+    rows of other units are not looked at.
+    """
+    schema_good = list(table.columns) == S.COLUMNS[kind]
+    zeros, units = _zero_flags(sources), admin.select("gid_3").distinct()
+    csv, image = F.lit(f"CSV/{kind}_indices.csv"), F.lit(f"Ảnh {kind}")
+    label = F.concat(F.lit("tháng "), F.col("month").cast("string"), F.lit(": "))
+    rows = _with_states(_typed(table, kind).join(units, "gid_3", "left_semi"), kind, zeros, year)
+    keys_of = rows.groupBy("gid_3", "year", "month").agg(F.count("*").alias("n"))
+    in_year = F.coalesce(F.col("month").between(1, 12), F.lit(False))
+    counted = keys_of.groupBy("gid_3").agg(
+        F.sum("n").alias("rows"), F.count_distinct(F.when(in_year, F.col("month"))).alias("months"),
+        F.count_if((F.col("n") > 1) | ~F.coalesce(F.col("year") == year, F.lit(False))).alias("bad"))
+    counted = units.join(counted, "gid_3", "left").na.fill(0, ["rows", "months", "bad"])
+    note = lambda df, item, month, text: df.select("gid_3", item.alias("item"), month.cast("long").alias("month"), text.alias("note"))
+    parts = [note(counted.filter((F.col("rows") != 12) | (F.col("months") != 12)), csv, F.lit(0), F.lit(S.NOTE_MONTHS)),
+             note(counted.filter("bad > 0"), csv, F.lit(0), F.lit(S.NOTE_KEY)),
+             note(rows.filter(~F.col("state").isin(*S.TERMINAL)), csv, F.col("month"), F.concat(label, F.col("state"), F.lit(" "), F.coalesce("error", F.lit("")))).distinct()]
+    if not schema_good:
+        parts.append(note(units, csv, F.lit(0), F.lit(S.NOTE_SCHEMA)))
+    found = files.filter(F.col("kind") == kind).groupBy("gid_3", "month").agg(
+        F.count("*").alias("n"), F.max(F.struct((F.col("state") != "done").alias("bad"), "error")).alias("worst"))
+    months = month_grid(units, year).join(found, ["gid_3", "month"], "left").join(zeros, ["gid_3", "month"], "left")
+    n, excused = F.coalesce("n", F.lit(0)), F.coalesce(f"_zero_{kind}_image", F.lit(False))
+    wrong = (F.when((n == 0) & excused, None).when(n != 1, F.concat(label, n.cast("string"), F.lit(" file")))
+             .when(F.coalesce(F.col("worst")["bad"], F.lit(True)), F.concat(label, F.coalesce(F.col("worst")["error"], F.lit("")))))
+    parts.append(note(months.withColumn("_w", wrong).filter("_w IS NOT NULL"), image, F.col("month"), F.col("_w")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def verify_report(notes, kind, admin):
+    """Report rows per unit and item: gid_3, item, level (FAIL with any note, else PASS), note (the notes by month, joined)."""
+    good = F.create_map(F.lit(f"CSV/{kind}_indices.csv"), F.lit(S.NOTE_CSV_GOOD), F.lit(f"Ảnh {kind}"), F.lit(S.NOTE_IMAGES_GOOD))
+    items = admin.select("gid_3").distinct().select("gid_3", F.explode(F.map_keys(good)).alias("item"))
+    said = notes.groupBy("gid_3", "item").agg(F.sort_array(F.collect_set(F.struct("month", "note"))).alias("said"))
+    return items.join(said, ["gid_3", "item"], "left").select(
+        "gid_3", "item", F.when(F.col("said").isNull(), "PASS").otherwise("FAIL").alias("level"),
+        F.coalesce(F.array_join(F.transform("said", lambda x: x["note"]), "; "), good[F.col("item")]).alias("note"))
+
+
 def worst(df, group, level="level"):
     """Worst level per group: FAIL over WARN over PASS."""
     order = F.when(F.col(level) == "FAIL", 2).when(F.col(level) == "WARN", 1).otherwise(0)

@@ -72,19 +72,19 @@ def windows(boxes, left=0.0, top=0.0, step=1.0, y_down=False):
     return boxes.withColumns(pixel_window("minx", miny, "maxx", maxy, left, top, step))
 
 
-def required_tiles(boxes, tile=TILE):
-    """Tile offsets crossing each pixel window."""
+def required_tiles(boxes, tile=TILE, by=("gid",)):
+    """Tile offsets crossing each pixel window, with the columns `by`."""
     offsets = lambda lo, hi: F.sequence((F.floor(F.col(lo) / tile) * tile).cast("long"), F.col(hi).cast("long") - 1,
                                         F.lit(tile).cast("long"))
     return (boxes.withColumn("tile_row", F.explode(offsets("r0", "r1")))
-            .withColumn("tile_col", F.explode(offsets("c0", "c1"))).select("gid", "tile_row", "tile_col"))
+            .withColumn("tile_col", F.explode(offsets("c0", "c1"))).select(*by, "tile_row", "tile_col"))
 
 
-def required_whole(boxes, height, width):
+def required_whole(boxes, height, width, by=("gid",)):
     """Tiles that windows on one untiled file need: (0, 0), and (-1, -1), which never exists, if the file does not cover the window."""
     outside = (F.col("r0") < 0) | (F.col("c0") < 0) | (F.col("r1") > height) | (F.col("c1") > width)
     tile = lambda at: F.struct(F.lit(at).cast("long").alias("tile_row"), F.lit(at).cast("long").alias("tile_col"))
-    return boxes.select("gid", F.inline(F.when(outside, F.array(tile(0), tile(-1))).otherwise(F.array(tile(0)))))
+    return boxes.select(*by, F.inline(F.when(outside, F.array(tile(0), tile(-1))).otherwise(F.array(tile(0)))))
 
 
 def needed_tiles(required):
@@ -127,16 +127,16 @@ def polygon_spans(edges):
             .drop("_island"))
 
 
-def clip_pixels(pixels, spans, bucket=256):
-    """Pixels whose centre lies in a polygon, tagged with its gid.
+def clip_pixels(pixels, spans, bucket=256, key=()):
+    """Pixels whose centre lies in a polygon, tagged with its gid. With `key` pixels meet spans of equal key only.
 
     Spans are cut at bucket borders and joined on (row, bucket); the column test is the residual.
     Pixels move once, and the optimizer broadcasts the spans when their measured size allows.
     """
     cut = (spans.withColumn("_b", F.explode(F.sequence(F.floor(F.col("c0") / bucket), F.floor(F.col("c1") / bucket))))
-           .select("gid", "row", "_b", "c0", "c1"))
+           .select("gid", *key, "row", "_b", "c0", "c1"))
     keyed = pixels.withColumn("_b", F.floor(F.col("col") / bucket))
-    return (keyed.join(cut, ["row", "_b"]).filter(F.col("col").between(F.col("c0"), F.col("c1")))
+    return (keyed.join(cut, [*key, "row", "_b"]).filter(F.col("col").between(F.col("c0"), F.col("c1")))
             .select("gid", *pixels.columns))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from unitgrid import schema as S
 from unitgrid.functions import grid, text
 from unitgrid.operators import compare, contract, keys, ordering, scenes, status, trends, zonal
-from unitgrid.plans.exports import evidence_from_exports
+from unitgrid.plans.exports import day_from_export, evidence_from_exports, night_merged
 from unitgrid.plans.night import night_from_export, night_index_table
 from unitgrid.plans.registry import query, rounded
 from unitgrid.plans.sqlviews import YEAR, completed, flagged, state_sql
@@ -766,6 +766,37 @@ def _(v):
     return contract.verify_units(v.day_full, "day", v.evidence, v.admin, YEAR)
 
 
+_OUTPUTS_SQL = f"""f AS ({flagged('v_day', 'day_indices')}), s0 AS ({state_sql('day', 'SELECT * FROM f', 'z0')}),
+    s AS (SELECT * FROM s0 WHERE NOT (month = 7 AND length(gid_3) % 3 = 0) UNION ALL SELECT * FROM s0 WHERE month = 3 AND length(gid_3) % 4 = 0),
+    u AS (SELECT gid_3, (SELECT count(*) FROM s WHERE s.gid_3 = a.gid_3) AS n, (SELECT count(DISTINCT month) FROM s WHERE s.gid_3 = a.gid_3) AS m FROM v_admin a),
+    i AS (SELECT g.gid_3, g.month, count(v.state) AS n, max(v.error) AS e, max(v.state) AS st FROM v_grid g LEFT JOIN v_checked v ON v.kind = 'day' AND v.gid_3 = g.gid_3 AND v.month = g.month GROUP BY ALL),
+    notes AS (SELECT gid_3, 'CSV/day_indices.csv' AS item, 0::BIGINT AS month, '{S.NOTE_MONTHS}' AS note FROM u WHERE n <> 12 OR m <> 12
+      UNION ALL SELECT gid_3, 'CSV/day_indices.csv', 0, '{S.NOTE_KEY}' FROM u WHERE n > m
+      UNION ALL SELECT DISTINCT gid_3, 'CSV/day_indices.csv', month, 'tháng ' || month || ': ' || state || ' ' || error FROM s WHERE state NOT IN ('done', 'no_source')
+      UNION ALL SELECT i.gid_3, 'Ảnh day', i.month, 'tháng ' || i.month || ': ' || CASE WHEN n <> 1 THEN n || ' file' ELSE e END FROM i
+        JOIN v_evidence v ON v.gid_3 = i.gid_3 AND v.month = i.month AND v.field = 'day_image' WHERE NOT (n = 0 AND v."count" = 0) AND (n <> 1 OR st <> 'done'))"""
+_OUTPUTS_VIEWS = ["v_grid", "v_day", "v_evidence", "v_admin", "v_checked"]
+
+
+def _output_notes(v):
+    """Outputs with an absent month, a repeated one, open states, absent, several and bad images."""
+    size = F.length("gid_3")
+    table = v.day_full.filter(~((F.col("month") == 7) & (size % 3 == 0))).unionByName(v.day_full.filter((F.col("month") == 3) & (size % 4 == 0)))
+    return contract.verify_notes(table, "day", v.evidence, v.admin, v.checked, YEAR)
+
+
+@query("k8_verify_notes", _OUTPUTS_SQL + " SELECT gid_3, item, month, note FROM notes", _OUTPUTS_VIEWS)
+def _(v):
+    return _output_notes(v)
+
+
+@query("k8_verify_report", _OUTPUTS_SQL + f""" SELECT gid_3, item, CASE WHEN count(note) = 0 THEN 'PASS' ELSE 'FAIL' END AS level,
+    CASE WHEN count(note) > 0 THEN string_agg(note, '; ' ORDER BY month, note) WHEN item = 'Ảnh day' THEN '{S.NOTE_IMAGES_GOOD}' ELSE '{S.NOTE_CSV_GOOD}' END AS note
+    FROM (SELECT gid_3, unnest(['CSV/day_indices.csv', 'Ảnh day']) AS item FROM v_admin) LEFT JOIN notes USING (gid_3, item) GROUP BY gid_3, item""", _OUTPUTS_VIEWS)
+def _(v):
+    return contract.verify_report(_output_notes(v), "day", v.admin)
+
+
 @query("k9_group_state", """
     g AS (SELECT 'img_' || month || '_' || c0 AS prefix, gid_3, CASE WHEN c1 = 0 THEN 'pending' ELSE 'done' END AS image_state,
             length(gid_3) % 9 <> 0 AS has_polygon, c2 <> 4 AS tiles_present FROM v_plan),
@@ -808,3 +839,32 @@ def _(v):
 def _(v):
     wide = zonal.pivot_months(v.long, ["gid_3", "area_ha"], ["n", *S.NIGHT_EXPORT_KEYS])
     return rounded(night_from_export(wide, v.admin, YEAR))
+
+
+def _merged_sql(kind, new, evidence):
+    """Twin of a merge: rows of `old` that are finished under `evidence` stay, others give way to `new`."""
+    field = f"{kind}_indices"
+    prior = flagged("old", field).replace("v_evidence", "ev")
+    pick = ", ".join(f'CASE WHEN keep THEN o."{m}" ELSE n."{m}" END AS "{m}"' for m in S.METRICS[kind])
+    return f"""old AS (SELECT * FROM v_{kind} WHERE month % 3 <> 0), new AS ({new}), ev AS ({evidence}), prior AS ({prior}),
+    st AS ({state_sql(kind, 'SELECT * FROM prior', 'z0')})
+    SELECT {_PFX}, {pick} FROM (SELECT p.*, s.state IN ('done', 'no_source') OR n0.gid_3 IS NULL AS keep FROM prior p JOIN st s USING (gid_3, year, month)
+      LEFT JOIN new n0 USING (gid_3, year, month)) o LEFT JOIN new n USING (gid_3, year, month) JOIN v_admin USING (gid_3)"""
+
+
+@query("day_from_export", _merged_sql("day", "SELECT * REPLACE (" + ", ".join(f"{m} * 10 AS {m}" for m in S.DAY_METRICS) + ") FROM v_day WHERE month <> 5",
+       """SELECT e.* REPLACE (CASE WHEN e.field = 'day_indices' AND e.month <> 5 AND m.n IS NOT NULL THEN CAST(m.n % 2 AS DOUBLE) ELSE e."count" END AS "count")
+          FROM v_evidence e LEFT JOIN v_month m USING (gid_3, month)"""), ["v_day", "v_month", "v_admin", "v_evidence"])
+def _(v):
+    export = v.month.select("gid_3", "month", "n").join(v.day.drop("year"), ["gid_3", "month"]).filter("month <> 5")
+    export = export.withColumns({m: F.col(m) * 10 for m in S.DAY_METRICS}).withColumn("SOURCE_COUNT", F.col("n") % 2).drop("n")
+    return day_from_export(export, v.day.filter("month % 3 <> 0"), v.admin, v.evidence, YEAR)
+
+
+@query("night_merged", _merged_sql("night", "SELECT * FROM v_night", """SELECT e.* REPLACE (CASE WHEN e.field IN ('night_indices', 'night_image') AND l.n IS NOT NULL THEN l.n ELSE e."count" END AS "count")
+          FROM v_evidence e LEFT JOIN v_long l USING (gid_3, month)""").replace("old AS (SELECT * FROM v_night", 'old AS (SELECT * REPLACE (round("TNL" * 10, 6) AS "TNL") FROM v_night'),
+       ["v_night", "v_long", "v_admin", "v_evidence"])
+def _(v):
+    wide = zonal.pivot_months(v.long, ["gid_3", "area_ha"], ["n", *S.NIGHT_EXPORT_KEYS])
+    old = v.night.filter("month % 3 <> 0").withColumn("TNL", F.col("TNL") * 10)
+    return rounded(night_merged(wide, old, v.admin, v.evidence, YEAR))

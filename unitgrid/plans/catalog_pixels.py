@@ -217,6 +217,34 @@ def _(v):
     return rounded(compare.compare_rasters(a, b, ["RED", "NIR"], ["image_id"], d_row=2, d_col=-1).drop("null_mismatch"))
 
 
+@query("d12_verify_rasters", f"""
+    a AS (SELECT * FROM v_pixel WHERE block % 7 <> 6), b AS (SELECT image_id, block, row, col, "RED" + CASE block % 4 WHEN 0 THEN 0.001::DOUBLE WHEN 3 THEN 0.01::DOUBLE ELSE 0 END AS "RED",
+      CASE WHEN block % 4 <> 1 OR (row + col) % 9 <> 0 THEN "NIR" END AS "NIR" FROM v_pixel WHERE block % 4 <> 2 OR (row * 5 + col) % 11 <> 0),
+    e AS (SELECT image_id, greatest(min(a.row), min(b.row)) AS r0, least(max(a.row), max(b.row)) AS r1, greatest(min(a.col), min(b.col)) AS c0, least(max(a.col), max(b.col)) AS c1
+      FROM (SELECT image_id, row, col FROM a) a FULL JOIN (SELECT image_id, row, col FROM b) b USING (image_id, row, col) GROUP BY image_id),
+    j AS (SELECT image_id, coalesce(a.block, b.block) AS block, row, col, a."RED" AS ar, a."NIR" AS an, b."RED" AS br, b."NIR" AS bn FROM a FULL JOIN b USING (image_id, row, col)),
+    s AS (SELECT image_id, max(block) AS block, CAST(coalesce(sum((ar IS NOT NULL AND br IS NOT NULL)::INT + (an IS NOT NULL AND bn IS NOT NULL)::INT) FILTER (WHERE row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1), 0) AS BIGINT) AS both,
+      max(greatest(abs(ar - br), abs(an - bn))) AS d, count(ar) = 0 OR count(br) = 0 AS lone,
+      CAST(coalesce(sum(((ar IS NULL) <> (br IS NULL))::INT + ((an IS NULL) <> (bn IS NULL))::INT) FILTER (WHERE row BETWEEN r0 AND r1 AND col BETWEEN c0 AND c1), 0) AS BIGINT) AS holes
+      FROM j JOIN e USING (image_id) GROUP BY image_id),
+    n AS (SELECT *, CASE WHEN lone THEN 'missing side' WHEN block % 11 = 8 THEN 'grid' WHEN "both" = 0 THEN 'no common value'
+      WHEN d > CASE WHEN block % 2 = 0 THEN 0.0015 ELSE 0.000001 END THEN 'values' WHEN holes > 0 THEN 'nodata' ELSE '' END AS note FROM s)
+    SELECT image_id, "both", {_r('d', 'max_abs_diff')}, holes AS null_mismatch,
+      CASE WHEN note = '' THEN 'PASS' WHEN note IN ('missing side', 'nodata') THEN 'WARN' ELSE 'FAIL' END AS level, note FROM n""", ["v_pixel"])
+def _(v):
+    """Units that pass, warn and fail: shifted copies with other values, holes and absent sides."""
+    at, block = (F.col("row"), F.col("col")), F.col("block")
+    a = v.pixel.filter(block % 7 != 6)
+    b = v.pixel.filter((block % 4 != 2) | ((at[0] * 5 + at[1]) % 11 != 0)).select(
+        "image_id", (at[0] - block % 5).alias("row"), (at[1] + 1).alias("col"), (F.col("RED") + F.when(block % 4 == 0, 0.001).when(block % 4 == 3, 0.01).otherwise(0.0)).alias("RED"),
+        F.when((block % 4 != 1) | ((at[0] + at[1]) % 9 != 0), F.col("NIR")).alias("NIR"))
+    image = v.pixel.select("image_id", "block").distinct()
+    offsets = image.select("image_id", (block % 5).alias("d_row"), F.lit(-1).alias("d_col"))
+    grids = image.select("image_id", F.when(block % 11 == 8, S.VERDICT_GRID).alias("verdict"))
+    tolerances = image.filter(block % 2 == 0).select("image_id", F.lit(0.0015).alias("tolerance"))
+    return rounded(compare.verify_rasters(a, b, ["RED", "NIR"], ["image_id"], tolerances, 1e-6, offsets, grids))
+
+
 @query("d12_grid_verdict", f"""SELECT o_orderkey, {_r('(ay - yb) / s', 'd_row')}, {_r('(bx - ax) / s', 'd_col')},
     CASE WHEN abs((ay - yb) / s - round((ay - yb) / s)) > 1e-3 OR abs((bx - ax) / s - round((bx - ax) / s)) > 1e-3 OR t <> s THEN '{S.VERDICT_GRID}' END AS verdict
     FROM (SELECT o_orderkey, 0.5::DOUBLE AS s, CASE WHEN o_orderkey % 7 = 0 THEN 0.6 ELSE 0.5 END::DOUBLE AS t, 105::DOUBLE AS ax, 21::DOUBLE AS ay,

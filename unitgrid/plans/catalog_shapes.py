@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from unitgrid import schema as S
-from unitgrid.functions import grid
-from unitgrid.operators import geometry, regions
+from unitgrid.functions import grid, spectral
+from unitgrid.operators import contract, geometry, regions
+from unitgrid.plans import imagecut
 from unitgrid.plans.images import analyze_images
 from unitgrid.plans.registry import query, rounded
-from unitgrid.plans.sqlviews import components_sql, pixels_sql
+from unitgrid.plans.sqlviews import VALID, components_sql, pixels_sql
 from unitgrid.plans.views import PIXEL_M2, SIZE
 from unitgrid.session import materialize, scratch_path
 from unitgrid.sources import readers, writers
@@ -104,6 +105,59 @@ def _(v):
     return out.select("gid", "row", "col", "inside", "RED")
 
 
+_CUT_SQL = f"""
+    store AS (SELECT 'p_' || (l_linenumber % 3) AS prefix, row, col, avg("RED") AS red FROM (SELECT * REPLACE (block * 64 + row AS row) FROM v_obs WHERE (qa & 3072) = 0) GROUP BY ALL),
+    present AS (SELECT DISTINCT prefix, row // 16 AS tr, col // 16 AS tc FROM store WHERE (row // 16 * 3 + col // 16 * 5 + l(prefix)) % 17 <> 0),
+    need AS (SELECT 'p_' || p AS prefix, gid, CAST(substr(gid, 3) AS BIGINT) AS k, (CAST(substr(gid, 3) AS BIGINT) + p) % 7 = 0 AS had FROM v_bounds, (VALUES (0), (1), (2)) AS t(p)),
+    tiles AS (SELECT gid, tr, tc FROM (SELECT gid, unnest(range(CAST(miny AS BIGINT) // 16, (CAST(maxy AS BIGINT) - 1) // 16 + 1)) AS tr, minx, maxx FROM v_bounds),
+      LATERAL (SELECT unnest(range(CAST(minx AS BIGINT) // 16, (CAST(maxx AS BIGINT) - 1) // 16 + 1)) AS tc)),
+    gaps AS (SELECT prefix, gid, count(*) FILTER (WHERE (prefix, tr, tc) NOT IN (SELECT prefix, tr, tc FROM present)) AS gaps FROM need JOIN tiles USING (gid) GROUP BY ALL),
+    states AS (SELECT prefix, gid, had, CASE WHEN had THEN '' WHEN k % 13 = 5 THEN '{S.MSG_NO_GEOMETRY}' WHEN gaps > 0 THEN '{S.MSG_TILES_MISSING}'
+      WHEN prefix = 'p_2' THEN '{S.MSG_RESOLUTION}' ELSE '' END AS error FROM need JOIN gaps USING (prefix, gid))""".replace("l(prefix)", "CAST(substr(prefix, 3) AS BIGINT)")
+
+
+def _cut_inputs(v):
+    """Three exports over one grid, the third of wrong resolution; some tiles, boundaries and images are absent or there already."""
+    number = F.substring("gid", 3, 20).cast("long")
+    clear = v.obs.filter(spectral.is_clear("qa")).withColumns({"row": F.col("block") * SIZE + F.col("row"), "prefix": F.concat(F.lit("p_"), (F.col("l_linenumber") % 3).cast("string"))})
+    tile = {f"tile_{c}": F.floor(F.col(c) / 16) * 16 for c in ("row", "col")}
+    store = clear.groupBy("prefix", "row", "col").agg(F.avg("RED").alias("red")).withColumns(tile)
+    gone = (F.col("tile_row") / 16 * 3 + F.col("tile_col") / 16 * 5 + F.substring("prefix", 3, 20).cast("long")) % 17 == 0
+    present = store.filter(~gone).select("prefix", "tile_row", "tile_col").distinct()
+    need = v.bounds.select("gid", F.explode(F.array(*[F.lit(p) for p in range(3)])).alias("p")).select(
+        F.concat(F.lit("p_"), F.col("p").cast("string")).alias("prefix"), "gid", ((number + F.col("p")) % 7 == 0).alias("had"))
+    boxes = geometry.windows(v.bounds.filter(number % 13 != 5), y_down=True)
+    step = grid.STEP_500M * F.when(F.col("prefix") == "p_2", 1.5).otherwise(1.0)
+    images = contract.check_images(store.select("prefix").distinct().select(
+        "prefix", F.lit("night").alias("kind"), F.lit(2).alias("bands"), F.lit(4326).alias("epsg"), step.alias("step_x"), (-step).alias("step_y"),
+        F.lit(0.0).alias("rot_x"), F.lit(0.0).alias("rot_y"), F.lit("float64").alias("dtype")))
+    return need, boxes, present, images, store
+
+
+@query("k9_cut_states", _CUT_SQL + """ SELECT prefix, gid, had, CASE WHEN error = '' THEN 'done' ELSE 'failed' END AS state, error, NOT had AND error = '' AS cut FROM states""",
+       ["v_obs", "v_bounds"])
+def _(v):
+    need, boxes, present, images, _ = _cut_inputs(v)
+    return imagecut.cut_states(need, boxes, present, images, 16)
+
+
+@query("k9_cut_images", _CUT_SQL + """ SELECT prefix, gid, count(*) AS pixels, round(avg(red), 6) AS red FROM states JOIN v_inside USING (gid) JOIN store USING (prefix, row, col)
+    WHERE NOT had AND error = '' GROUP BY prefix, gid""", ["v_obs", "v_inside"])
+def _(v):
+    need, boxes, present, images, store = _cut_inputs(v)
+    states = imagecut.cut_states(need, boxes, present, images, 16)
+    cut = imagecut.cut_pixels(states, boxes, geometry.polygon_spans(v.edge), store, 16)
+    return rounded(cut.groupBy("prefix", "gid").agg(F.count("*").alias("pixels"), F.avg("red").alias("red")))
+
+
+@query("k9_cut_outcomes", _CUT_SQL + f""" SELECT prefix, count(*) AS units, count(*) FILTER (WHERE had) AS had, count(*) FILTER (WHERE NOT had AND error = '') AS cut,
+    count(*) FILTER (WHERE error <> '') AS failed, CASE WHEN count(*) FILTER (WHERE error = '{S.MSG_NO_GEOMETRY}') > 0 THEN 'failed' WHEN count(*) FILTER (WHERE error <> '') > 0
+    THEN 'partial' ELSE 'done' END AS state FROM states GROUP BY prefix""", ["v_obs", "v_bounds"])
+def _(v):
+    need, boxes, present, images, _ = _cut_inputs(v)
+    return imagecut.group_outcomes(imagecut.cut_states(need, boxes, present, images, 16))
+
+
 @query("d13_clip_line_length", """
     cand AS (SELECT b.gid, s.* FROM v_seg s JOIN v_bounds b ON least(s.x1, s.x2) <= b.maxx AND b.minx <= greatest(s.x1, s.x2)
              AND least(s.y1, s.y2) <= b.maxy AND b.miny <= greatest(s.y1, s.y2)),
@@ -316,3 +370,14 @@ def _(v):
 @query("j12_analyze_images")
 def _(v):
     return analyze_images(v.indexed, images=v.image_size)
+
+
+@query("j12_image_summary", f"""SELECT image_id, {SIZE}::BIGINT AS img_height, {SIZE}::BIGINT AS img_width, 10::BIGINT AS n_bands, 30.0::DOUBLE AS pixel_size_m,
+    count(*) FILTER (WHERE {VALID}) AS valid_pixels, round(count(*) FILTER (WHERE {VALID}) * {PIXEL_M2} / 1e4, 6)::DOUBLE AS valid_area_ha,
+    round(avg("RED") FILTER (WHERE {VALID}), 6) AS "RED_mean", round(stddev_pop("RED") FILTER (WHERE {VALID}), 6) AS "RED_stdDev" FROM v_indexed GROUP BY image_id""", ["v_indexed"])
+def _(v):
+    """The columns of the summary that SQL can count; labelled regions have queries of their own."""
+    out = analyze_images(v.indexed, images=v.image_size).select(
+        "image_id", "img_height", "img_width", "n_bands", "pixel_size_m", "valid_pixels", F.round("valid_area_ha", 6).alias("valid_area_ha"),
+        "RED_mean", "RED_stdDev")
+    return out

@@ -162,15 +162,17 @@ VIEWS = {
         FROM v_manifest m JOIN v_admin a
           ON regexp_extract(m.path, '([^/]+)_(day|night)_{YEAR}(0[1-9]|1[0-2])\\.tif$', 1) = replace(a.gid_3, '.', '_')
         WHERE lower(split_part(m.path, '/', 1)) = regexp_extract(m.path, '_(day|night)_{YEAR}', 1)"""),
-    "v_images": (("v_named",), f"""
-        SELECT kind, gid_3, month, CASE WHEN count(*) > 1 THEN 'failed' ELSE max(state) END AS state,
-               CASE WHEN count(*) > 1 THEN '{S.MSG_SEVERAL_FILES}' ELSE max(error) END AS error
-        FROM (SELECT *, CASE WHEN error = '' THEN 'done' ELSE 'failed' END AS state FROM (
+    "v_checked": (("v_named",), f"""
+        SELECT *, CASE WHEN error = '' THEN 'done' ELSE 'failed' END AS state FROM (
             SELECT *, CASE WHEN bands <> (CASE kind WHEN 'day' THEN 10 ELSE 2 END) OR epsg <> 4326 THEN '{S.MSG_BANDS_CRS}'
                 WHEN abs(step * 111319.49079327357 - (CASE kind WHEN 'day' THEN 20 ELSE 500 END))
                      > (CASE kind WHEN 'day' THEN 20 ELSE 500 END) * 0.01 THEN '{S.MSG_RESOLUTION}'
                 WHEN kind = 'night' AND dtype <> 'float64' THEN '{S.MSG_NIGHT_DTYPE}'
-                WHEN kind = 'day' AND dtype NOT LIKE 'float%' THEN '{S.MSG_DAY_DTYPE}' ELSE '' END AS error FROM v_named))
+                WHEN kind = 'day' AND dtype NOT LIKE 'float%' THEN '{S.MSG_DAY_DTYPE}' ELSE '' END AS error FROM v_named)"""),
+    "v_images": (("v_checked",), f"""
+        SELECT kind, gid_3, month, CASE WHEN count(*) > 1 THEN 'failed' ELSE max(state) END AS state,
+               CASE WHEN count(*) > 1 THEN '{S.MSG_SEVERAL_FILES}' ELSE max(error) END AS error
+        FROM v_checked
         GROUP BY kind, gid_3, month"""),
     "v_grid": (("v_admin",), f"""SELECT gid_3, CAST({YEAR} AS BIGINT) AS year, m AS month
         FROM v_admin, (SELECT unnest(range(1, 13)) AS m)"""),

@@ -38,6 +38,8 @@ MSG_NIGHT_DTYPE = "Ảnh đêm cần float64"
 MSG_DAY_DTYPE = "Ảnh ngày cần dữ liệu float, 10 kênh"
 MSG_NO_GEOMETRY = "Không có ranh giới trong asset"
 MSG_TILES_MISSING = "Không đủ ô export phủ ranh giới xã"
+NOTE_SCHEMA, NOTE_MONTHS, NOTE_KEY = "Sai schema/thứ tự cột", "Phải có đúng 12 tháng", "Năm sai hoặc trùng khóa"
+NOTE_CSV_GOOD, NOTE_IMAGES_GOOD = "12 tháng, đủ cột", "đọc được, đúng kênh/CRS/độ phân giải"
 VERDICT_GRID, VERDICT_SAME = "KHÁC LƯỚI", "KHỚP"
 VERDICT_VALUES, VERDICT_DISJOINT = "LỆCH GIÁ TRỊ", "KHÔNG CHỒNG"
 
