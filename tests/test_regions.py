@@ -115,6 +115,52 @@ def test_skeleton_is_independent_of_tiles(spark, tile, passes):
         assert np.array_equal(k, slow_thin(g))
 
 
+def test_skeleton_thins_only_the_frontier_again(spark, monkeypatch):
+    """A thick block far from a thin line: the line's tile is thinned in the first round only; a block that moves late wakes others."""
+    grid = np.zeros((24, 64), dtype=bool)
+    grid[5, 40:63] = True
+    grid[2:18, 1:19] = True
+    written = []
+    keep = R.materialize
+
+    def watched(df, label="step"):
+        out = keep(df, label)
+        if label == "thin":
+            written.append(out.select("_tr", "_tc").distinct().count())
+        return out
+    monkeypatch.setattr(R, "materialize", watched)
+    got = grids_of(R.skeleton(masks(spark, [grid]), tile=8, passes=1), grid.shape, 1)[0]
+    assert np.array_equal(got, slow_thin(grid))
+    assert len(written) > 3 and written[-1] < written[0] / 2
+
+
+def test_skeleton_of_nothing(spark):
+    assert R.skeleton(masks(spark, [])).count() == 0
+    square = np.zeros((20, 20), dtype=bool)
+    square[7:9, 7:9] = True   # vanishes, and crosses four tiles
+    assert np.array_equal(grids_of(R.skeleton(masks(spark, [square]), tile=8, passes=1), (20, 20), 1)[0], slow_thin(square))
+
+
+@pytest.mark.parametrize("tile", [4, 64])
+def test_diagonal_contacts_unite_labels(spark, tile):
+    grids = random_grids()
+    runs = R.join_diagonals(R.component_runs(masks(spark, grids), 4, tile=tile))
+    got = runs.withColumn("col", F.explode(F.sequence("p0", "p1"))).collect()
+    want = [flood(g, 8) for g in grids]
+    assert len(got) == sum(int(g.sum()) for g in grids)
+    for r in got:
+        first = want[int(r.image_id[1:])][(r.line, r.col)]
+        assert r.label == first[0] * R.LABEL_BASE + first[1]
+
+
+def test_water_is_tiled_once(spark, monkeypatch):
+    calls = []
+    tiles = R._tile_runs
+    monkeypatch.setattr(R, "_tile_runs", lambda *a: calls.append(a) or tiles(*a))
+    R.classify_water(masks(spark, random_grids(3)), 900.0).collect()
+    assert len(calls) == 1
+
+
 def test_region_props_match_pixels(spark):
     grids = random_grids(3, (20, 20), 9)
     props = R.region_props(R.component_runs(masks(spark, grids), 8, tile=8)).collect()

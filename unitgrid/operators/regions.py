@@ -148,7 +148,27 @@ def component_runs(mask, conn=8, tile=512):
     after each round; only a changed-rows flag reaches the driver.
     """
     labelled = materialize(_tile_runs(mask, conn, tile), "runs")
-    edges = materialize(_border_edges(labelled, conn, tile), "edges")
+    return _united(labelled, _border_edges(labelled, conn, tile))
+
+
+def join_diagonals(labelled):
+    """8-connected components from runs that carry 4-connected labels of whole components, as `component_runs` gives them.
+
+    Pixels that touch at a corner belong to different 4-connected components only if both pixels beside that corner are
+    clear, so one run starts there and the other ends: contacts are found by joining ends with starts of the next line.
+    Nothing is cut into tiles or expanded again; only the labels in contact enter the iteration.
+    """
+    ends = labelled.select(IMG, "line", F.col("p1").alias("at"), F.col("label").alias("u"))
+    step = lambda k: F.struct((F.col("line") + k).alias("line"), (F.col("p0") - 1).alias("at"))
+    starts = labelled.select(IMG, F.col("label").alias("v"), F.explode(F.array(step(1), step(-1))).alias("n")).select(IMG, "v", "n.line", "n.at")
+    pairs = ends.join(starts, [IMG, "line", "at"]).filter("u <> v")
+    both = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")
+    return _united(labelled, pairs.select(IMG, both).select(IMG, "e.u", "e.v").distinct())
+
+
+def _united(labelled, edges):
+    """`labelled` with the smallest label that its own is connected with; edges: image_id, u, v in both directions."""
+    edges = materialize(edges, "edges")
     if not edges.take(1):
         return labelled
     nodes = edges.select(IMG, F.col("u").alias("id")).distinct()
@@ -195,12 +215,17 @@ def components(mask, conn=8):
         IMG, F.col("line").alias("row"), "col", *label_name(F.col("label")))
 
 
-def remove_small(mask, min_size, conn=4):
-    """Drop components below `min_size` pixels."""
+def large_runs(mask, min_size, conn=4):
+    """Labelled runs of the components of at least `min_size` pixels."""
     labelled = materialize(component_runs(mask, conn), "small")
     sizes = labelled.groupBy(IMG, "label").agg(F.sum(F.col("p1") - F.col("p0") + 1).alias("_n"))
     keep = sizes.filter(F.col("_n") >= min_size).select(IMG, "label")
-    return _pixels(labelled.join(keep, [IMG, "label"], "left_semi"))
+    return labelled.join(keep, [IMG, "label"], "left_semi")
+
+
+def remove_small(mask, min_size, conn=4):
+    """Drop components below `min_size` pixels."""
+    return _pixels(large_runs(mask, min_size, conn))
 
 
 def region_props(labelled):
@@ -234,9 +259,12 @@ def region_props(labelled):
 
 
 def classify_water(mask, pixel_area_m2=None, images=None):
-    """Water bodies of at least four pixels with their class, natural or aquaculture."""
-    clean = materialize(remove_small(mask, MIN_WATER, conn=4), "water")
-    props = described(region_props(component_runs(clean, 8)), images, pixel_area_m2=pixel_area_m2)
+    """Water bodies of at least four pixels with their class, natural or aquaculture.
+
+    The mask is cut into tiles once: bodies (8-connected) are united from the 4-connected parts that are large enough.
+    """
+    clean = materialize(large_runs(mask, MIN_WATER, conn=4), "water")
+    props = described(region_props(join_diagonals(clean)), images, pixel_area_m2=pixel_area_m2)
     area = F.col("area") * F.col("_pixel_area_m2")
     natural = (area >= NATURAL_M2) | ((F.col("aspect") >= LONG_ASPECT) & (area >= NATURAL_LONG_M2))
     return props.withColumns({"area_m2": area, "natural": natural}).drop("_pixel_area_m2")
@@ -298,13 +326,18 @@ def _thin(grid, passes, core):
 def skeleton(mask, tile=256, passes=16):
     """Zhang-Suen skeleton of masks of any size.
 
-    Images are cut into tiles with a border wide enough for `passes` passes (two pixels each), so each
-    task thins a bounded block exactly; rounds repeat until no tile changes. Only a flag reaches the driver.
+    Images are cut into tiles with a border wide enough for `passes` passes (two pixels each), so each task thins a
+    bounded block exactly. A tile whose core and border stood still in the last pass of a round cannot change in the next
+    one, so only tiles near one that moved (the frontier) are thinned again, with the pixels around them; all others stay
+    in the table in which they were written. Only a flag reaches the driver.
     """
     halo = 2 * passes
-    schema = f"{IMG} string, row long, col long, _open boolean"
+    reach = -(-halo // tile)
+    tile_key = [IMG, "_tr", "_tc"]
+    schema = f"{IMG} string, _tr long, _tc long, row long, col long"
 
     def thin_tile(key, pdf):
+        """The tile's own pixels, and one row without a pixel if its last pass changed them."""
         image, tr, tc = key
         r0, c0, side = int(tr) * tile - halo, int(tc) * tile - halo, tile + 2 * halo
         grid = np.zeros((side, side), dtype=bool)
@@ -312,22 +345,37 @@ def skeleton(mask, tile=256, passes=16):
         core = (slice(halo, halo + tile), slice(halo, halo + tile))
         grid, busy = _thin(grid, passes, core)
         rows, cols = np.nonzero(grid[core])
-        return pd.DataFrame({IMG: image, "row": rows + r0 + halo, "col": cols + c0 + halo, "_open": busy})
+        mark = [None] * busy
+        return pd.DataFrame({IMG: image, "_tr": int(tr), "_tc": int(tc), "row": pd.array([*(rows + r0 + halo), *mark], "Int64"),
+                             "col": pd.array([*(cols + c0 + halo), *mark], "Int64")})
+
+    def around(tiles):
+        """The tiles and those that a border can reach from them."""
+        near = F.sequence(F.lit(-reach), F.lit(reach))
+        spread = tiles.withColumn("_dr", F.explode(near)).withColumn("_dc", F.explode(near))
+        return spread.select(IMG, (F.col("_tr") + F.col("_dr")).alias("_tr"), (F.col("_tc") + F.col("_dc")).alias("_tc")).distinct()
 
     def near_tiles(pos):
         return F.explode(F.sequence(F.floor((F.col(pos) - halo) / tile), F.floor((F.col(pos) + halo) / tile)))
 
-    current = mask.select(F.col(IMG).cast("string").alias(IMG), F.col("row").cast("long").alias("row"),
-                          F.col("col").cast("long").alias("col"))
-    written = None
+    own = lambda pos: F.floor(F.col(pos) / tile).alias("_tr" if pos == "row" else "_tc")
+    current = mask.select(F.col(IMG).cast("string").alias(IMG), own("row"), own("col"), F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"))
+    frontier, rounds = None, 0
     while True:
-        spread = current.withColumn("_tr", near_tiles("row")).withColumn("_tc", near_tiles("col"))
-        done = materialize(spread.groupBy(IMG, "_tr", "_tc").applyInPandas(thin_tile, schema), "thin")
-        if written is not None:
-            discard(written)
-        written, current = done, done.select(IMG, "row", "col")
-        if not done.filter("_open").take(1):
-            return current
+        source = current if frontier is None else current.join(around(frontier), tile_key, "left_semi")
+        spread = source.select(IMG, "row", "col", near_tiles("row").alias("_tr")).withColumn("_tc", near_tiles("col"))
+        if frontier is not None:
+            spread = spread.join(frontier, tile_key, "left_semi")
+        done = materialize(spread.groupBy(*tile_key).applyInPandas(thin_tile, schema), "thin")
+        pixels = done.filter("row IS NOT NULL")
+        current = pixels if frontier is None else pixels.unionByName(current.join(frontier, tile_key, "left_anti"))
+        moved = done.filter("row IS NULL").select(*tile_key)
+        if not moved.take(1):
+            return current.select(IMG, "row", "col")
+        rounds += 1
+        if rounds % 8 == 0:  # the list of tables that a pixel may lie in stays short
+            current = materialize(current, "thinned")
+        frontier = materialize(around(moved), "frontier")
 
 
 def road_metrics(mask, height=None, width=None, pixel_area_m2=None, res_m=None, images=None):

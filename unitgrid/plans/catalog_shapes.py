@@ -8,8 +8,8 @@ from unitgrid.operators import contract, geometry, regions
 from unitgrid.plans import imagecut
 from unitgrid.plans.images import analyze_images
 from unitgrid.plans.registry import query, rounded
-from unitgrid.plans.sqlviews import VALID, components_sql, pixels_sql
-from unitgrid.plans.views import PIXEL_M2, SIZE
+from unitgrid.plans.sqlviews import VALID, components_sql, pixels_sql, thinning_sql
+from unitgrid.plans.views import SIZE
 from unitgrid.session import materialize, scratch_path
 from unitgrid.sources import readers, writers
 
@@ -277,14 +277,14 @@ def _open_sql(mask):
     return f"""
     op AS (
       SELECT image_id, line AS row, unnest(range(p0, p1 + 1)) AS col FROM (SELECT image_id, row AS line, min(col) AS p0, max(col) AS p1 FROM (
-        SELECT *, col - row_number() OVER (PARTITION BY image_id, row ORDER BY col) AS g FROM {mask}) GROUP BY image_id, row, g)
-        WHERE p1 - p0 + 1 + (CASE WHEN p0 = 0 THEN 2 ELSE 0 END) + (CASE WHEN p1 = 63 THEN 2 ELSE 0 END) >= 5
+        SELECT *, col - row_number() OVER (PARTITION BY image_id, row ORDER BY col) AS g FROM {mask}) GROUP BY image_id, row, g) JOIN v_image_size USING (image_id)
+        WHERE p1 - p0 + 1 + (CASE WHEN p0 = 0 THEN 2 ELSE 0 END) + (CASE WHEN p1 = width - 1 THEN 2 ELSE 0 END) >= 5
       UNION SELECT image_id, unnest(range(p0, p1 + 1)), line FROM (SELECT image_id, col AS line, min(row) AS p0, max(row) AS p1 FROM (
-        SELECT *, row - row_number() OVER (PARTITION BY image_id, col ORDER BY row) AS g FROM {mask}) GROUP BY image_id, col, g)
-        WHERE p1 - p0 + 1 + (CASE WHEN p0 = 0 THEN 2 ELSE 0 END) + (CASE WHEN p1 = 63 THEN 2 ELSE 0 END) >= 5)"""
+        SELECT *, row - row_number() OVER (PARTITION BY image_id, col ORDER BY row) AS g FROM {mask}) GROUP BY image_id, col, g) JOIN v_image_size USING (image_id)
+        WHERE p1 - p0 + 1 + (CASE WHEN p0 = 0 THEN 2 ELSE 0 END) + (CASE WHEN p1 = height - 1 THEN 2 ELSE 0 END) >= 5)"""
 
 
-@query("j3_open_lines", _open_sql("v_road") + " SELECT image_id, row, col FROM op", ["v_road"])
+@query("j3_open_lines", _open_sql("v_road") + " SELECT image_id, row, col FROM op", ["v_road", "v_image_size"])
 def _(v):
     return regions.open_lines(v.road, images=v.image_size)
 
@@ -324,40 +324,47 @@ def _(v):
 
 
 _WATER = (_small_sql("v_water", 4, 4, "clean") + "," + components_sql("clean", 8) + "," + _PROPS.format(comp="comp")
-          + f""", body AS (SELECT *, area * {PIXEL_M2} >= 12000 OR (major / (minor + 1e-6) >= 4 AND area * {PIXEL_M2} >= 8000) AS is_natural FROM props)""")
+          + """, body AS (SELECT *, area * pixel_area_m2 >= 12000 OR (major / (minor + 1e-6) >= 4 AND area * pixel_area_m2 >= 8000) AS is_natural
+            FROM props JOIN v_image_size USING (image_id))""")
 
 
-@query("j7_classify_water", _WATER + f" SELECT image_id, {_LABEL}, area, is_natural AS \"natural\" FROM body", ["v_water"])
+@query("j7_classify_water", _WATER + f" SELECT image_id, {_LABEL}, area, is_natural AS \"natural\" FROM body", ["v_water", "v_image_size"])
 def _(v):
-    return regions.classify_water(v.water, PIXEL_M2).select("image_id", "label_row", "label_col", "area", "natural")
+    return regions.classify_water(v.water, images=v.image_size).select("image_id", "label_row", "label_col", "area", "natural")
 
 
-@query("j7_water_metrics", _WATER + f""" SELECT image_id, CAST(sum(area) AS BIGINT) AS water_pixels, round(sum(area) * {PIXEL_M2} / 1e4, 6) AS water_area_ha,
-    round(coalesce(sum(area) FILTER (WHERE is_natural), 0) * {PIXEL_M2} / 1e4, 6) AS water_natural_ha,
-    round(coalesce(sum(area) FILTER (WHERE NOT is_natural), 0) * {PIXEL_M2} / 1e4, 6) AS water_aquaculture_ha,
-    count(*) FILTER (WHERE is_natural) AS water_natural_bodies, count(*) FILTER (WHERE NOT is_natural) AS water_aquaculture_bodies FROM body GROUP BY image_id""", ["v_water"])
+@query("j7_water_metrics", _WATER + f""" SELECT image_id, CAST(sum(area) AS BIGINT) AS water_pixels, round(sum(area) * max(pixel_area_m2) / 1e4, 6) AS water_area_ha,
+    round(coalesce(sum(area) FILTER (WHERE is_natural), 0) * max(pixel_area_m2) / 1e4, 6) AS water_natural_ha,
+    round(coalesce(sum(area) FILTER (WHERE NOT is_natural), 0) * max(pixel_area_m2) / 1e4, 6) AS water_aquaculture_ha,
+    count(*) FILTER (WHERE is_natural) AS water_natural_bodies, count(*) FILTER (WHERE NOT is_natural) AS water_aquaculture_bodies FROM body GROUP BY image_id""", ["v_water", "v_image_size"])
 def _(v):
-    return rounded(regions.water_metrics(v.water, PIXEL_M2))
+    return rounded(regions.water_metrics(v.water, images=v.image_size))
 
 
-@query("j8_industrial_metrics", components_sql("v_industrial", 8) + f""", s AS (SELECT image_id, label, sum(p1 - p0 + 1) AS n FROM comp GROUP BY image_id, label HAVING sum(p1 - p0 + 1) >= 5)
-    SELECT image_id, count(*) AS industrial_clusters, CAST(sum(n) AS BIGINT) AS industrial_pixels, round(sum(n) * {PIXEL_M2} / 1e4, 6) AS industrial_area_ha,
-    round(sum(n) * {PIXEL_M2}, 6)::DOUBLE AS industrial_area_m2 FROM s GROUP BY image_id""", ["v_industrial"])
+@query("j8_industrial_metrics", components_sql("v_industrial", 8) + """, s AS (SELECT image_id, label, sum(p1 - p0 + 1) AS n FROM comp GROUP BY image_id, label HAVING sum(p1 - p0 + 1) >= 5)
+    SELECT image_id, count(*) AS industrial_clusters, CAST(sum(n) AS BIGINT) AS industrial_pixels, round(sum(n) * max(pixel_area_m2) / 1e4, 6) AS industrial_area_ha,
+    round(sum(n) * max(pixel_area_m2), 6)::DOUBLE AS industrial_area_m2 FROM s JOIN v_image_size USING (image_id) GROUP BY image_id""", ["v_industrial", "v_image_size"])
 def _(v):
-    return rounded(regions.industrial_metrics(v.industrial, PIXEL_M2))
+    return rounded(regions.industrial_metrics(v.industrial, images=v.image_size))
 
 
-@query("j9_road_corridor", _open_sql("v_road") + "," + _small_sql("op", 4, 10) + " SELECT image_id, row, col FROM kept", ["v_road"])
+_CORRIDOR = _open_sql("v_road") + "," + _small_sql("op", 4, 10)
+
+
+@query("j9_road_corridor", _CORRIDOR + " SELECT image_id, row, col FROM kept", ["v_road", "v_image_size"])
 def _(v):
-    return regions.road_corridor(v.road, SIZE, SIZE)
+    return regions.road_corridor(v.road, images=v.image_size)
 
 
-@query("j9_road_metrics")
+@query("j9_road_metrics", _CORRIDOR + "," + thinning_sql("kept", "thin") + """ SELECT image_id, road_corridor_pixels, road_centerline_pixels,
+    round(road_centerline_pixels * res_m / 1000.0, 6)::DOUBLE AS road_length_km, round(road_corridor_pixels * pixel_area_m2 / 1e4, 6)::DOUBLE AS road_area_ha
+    FROM (SELECT image_id, count(*) AS road_corridor_pixels FROM kept GROUP BY image_id)
+    JOIN (SELECT image_id, count(*) AS road_centerline_pixels FROM thin GROUP BY image_id) USING (image_id) JOIN v_image_size USING (image_id)""", ["v_road", "v_image_size"])
 def _(v):
-    return regions.road_metrics(v.road, images=v.image_size)
+    return rounded(regions.road_metrics(v.road, images=v.image_size))
 
 
-@query("j10_skeleton")
+@query("j10_skeleton", thinning_sql("v_industrial", "thin") + " SELECT image_id, row, col FROM thin", ["v_industrial"])
 def _(v):
     return regions.skeleton(v.industrial)
 
@@ -372,9 +379,9 @@ def _(v):
     return analyze_images(v.indexed, images=v.image_size)
 
 
-@query("j12_image_summary", f"""SELECT image_id, {SIZE}::BIGINT AS img_height, {SIZE}::BIGINT AS img_width, 10::BIGINT AS n_bands, 30.0::DOUBLE AS pixel_size_m,
-    count(*) FILTER (WHERE {VALID}) AS valid_pixels, round(count(*) FILTER (WHERE {VALID}) * {PIXEL_M2} / 1e4, 6)::DOUBLE AS valid_area_ha,
-    round(avg("RED") FILTER (WHERE {VALID}), 6) AS "RED_mean", round(stddev_pop("RED") FILTER (WHERE {VALID}), 6) AS "RED_stdDev" FROM v_indexed GROUP BY image_id""", ["v_indexed"])
+@query("j12_image_summary", f"""SELECT image_id, max(height) AS img_height, max(width) AS img_width, 10::BIGINT AS n_bands, max(res_m) AS pixel_size_m,
+    count(*) FILTER (WHERE {VALID}) AS valid_pixels, round(count(*) FILTER (WHERE {VALID}) * max(pixel_area_m2) / 1e4, 6)::DOUBLE AS valid_area_ha,
+    round(avg("RED") FILTER (WHERE {VALID}), 6) AS "RED_mean", round(stddev_pop("RED") FILTER (WHERE {VALID}), 6) AS "RED_stdDev" FROM v_indexed JOIN v_image_size USING (image_id) GROUP BY image_id""", ["v_indexed", "v_image_size"])
 def _(v):
     """The columns of the summary that SQL can count; labelled regions have queries of their own."""
     out = analyze_images(v.indexed, images=v.image_size).select(

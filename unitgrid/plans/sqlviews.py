@@ -97,6 +97,8 @@ VIEWS = {
               "l_orderkey, l_linenumber, CASE WHEN l_linenumber = 7 THEN 1024 WHEN l_linenumber = 6 THEN 2048 ELSE 0 END AS qa, "
               + ", ".join(f"CAST({e.format(d='//')} AS INT) AS {b}" for b, e in BAND_EXPRESSIONS.items())
               + " FROM (SELECT *, l_orderkey % 64 AS row, l_partkey % 64 AS col FROM lineitem)"),
+    "v_image_size": (("v_obs",), """SELECT DISTINCT image_id, 64::BIGINT AS height, CASE WHEN block % 2 = 1 THEN 80 ELSE 64 END::BIGINT AS width,
+        CASE WHEN block % 2 = 1 THEN 100.0 ELSE 900.0 END::DOUBLE AS pixel_area_m2, CASE WHEN block % 2 = 1 THEN 10.0 ELSE 30.0 END::DOUBLE AS res_m FROM v_obs"""),
     "v_pixel": (("v_obs",), "SELECT image_id, block, row, col, "
                 + ", ".join(f"median({b}) / 10000.0 AS {b}" for b in S.REFLECTANCE_BANDS)
                 + f" FROM v_obs WHERE {CLEAR} GROUP BY image_id, block, row, col"),
@@ -231,6 +233,30 @@ def components_sql(mask, conn, name="comp"):
     {name} AS (SELECT r.image_id, r.line, r.p0, r.p1, m.label FROM {name}_runs r JOIN {name}_min m USING (image_id, id))"""
 
 
+def thinning_sql(mask, name):
+    """CTEs that thin a mask of 64 x 64 pixels: {name}(image_id, row, col). The state is one list of cells per image, with a clear border."""
+    side = 66
+    near = [f"g[i {d:+d}]" for d in (-side, -side + 1, 1, side + 1, side, side - 1, -1, -side - 1)]
+    turns = " + ".join(f"(1 - {a}) * {b}" for a, b in zip(near, near[1:] + near[:1]))
+    north, east, south, west = near[0], near[2], near[4], near[6]
+
+    def half(sides):
+        open_side = " AND ".join("{} * {} * {} = 0".format(*s) for s in sides)
+        return (f"list_transform(g, lambda v, i: CASE WHEN v = 1 AND {' + '.join(near)} BETWEEN 2 AND 6 AND {turns} = 1 AND {open_side} THEN 0 ELSE v END)")
+    first, second = half([(north, east, south), (east, south, west)]), half([(north, east, west), (north, south, west)])
+    return f"""
+    {name}_walk AS (
+        SELECT image_id, 0 AS step, list(coalesce(n, 0) ORDER BY i) AS g
+        FROM (SELECT image_id, unnest(range({side * side})) AS i FROM (SELECT DISTINCT image_id FROM {mask}))
+        LEFT JOIN (SELECT image_id, (row + 1) * {side} + col + 1 AS i, 1 AS n FROM {mask}) USING (image_id, i) GROUP BY image_id
+        UNION ALL
+        SELECT image_id, step + 1, g FROM (SELECT image_id, step, old, {second} AS g FROM (SELECT image_id, step, g AS old, {first} AS g FROM {name}_walk))
+        WHERE g <> old),
+    {name} AS (
+        SELECT image_id, (i - 1) // {side} - 1 AS row, (i - 1) % {side} - 1 AS col FROM (
+            SELECT image_id, arg_max(g, step) AS g FROM {name}_walk GROUP BY image_id), LATERAL (SELECT unnest(range(1, {side * side} + 1)) AS i) WHERE g[i] = 1)"""
+
+
 def pixels_sql(runs, name):
     return f"{name} AS (SELECT image_id, line AS row, unnest(range(p0, p1 + 1)) AS col FROM {runs})"
 

@@ -18,6 +18,7 @@ from unitgrid.sources.readers import parse_image_names
 
 SIZE = 64
 PIXEL_M2 = 900.0
+WIDE, FINE_M2 = 80, 100.0     # width and pixel area of images of odd blocks
 
 
 def _text(*parts):
@@ -115,9 +116,11 @@ class Views:
 
     @cached_property
     def image_size(self):
-        """Size and resolution of every image."""
-        return self.obs.select("image_id").distinct().select(
-            "image_id", F.lit(SIZE).alias("height"), F.lit(SIZE).alias("width"), F.lit(PIXEL_M2).alias("pixel_area_m2"), F.lit(30.0).alias("res_m"))
+        """Size and resolution of every image; those of odd blocks are wider than their pixels and finer."""
+        odd = F.col("block") % 2 == 1
+        pick = lambda a, b, name: F.when(odd, a).otherwise(b).alias(name)
+        return self.obs.select("image_id", "block").distinct().select(
+            "image_id", F.lit(SIZE).alias("height"), pick(WIDE, SIZE, "width"), pick(FINE_M2, PIXEL_M2, "pixel_area_m2"), pick(10.0, 30.0, "res_m"))
 
     @cached_property
     def pixel(self):
