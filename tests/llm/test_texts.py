@@ -110,8 +110,8 @@ def test_search_equals_brute_force(spark, docs, rows):
     items = [(1, texts[9].upper()[:400]), (2, "w1"), (3, texts[80]), (10, texts[80]), (4, None), (5, ".,"), (None, texts[20]), (6, "w2  w3"), (6, texts[30]), (3, texts[80])]
     bench = spark.createDataFrame(items, "item_id int, text string")
     expected = sorted(((r[0], *b) for r, b in zip(rows, brute.contaminated(texts, items))), key=str)
-    for block_mb in (8, 0.0005):  # one block, and several
-        out = wumanber.find(spark.createDataFrame(rows, CLASH), bench, block_mb=block_mb)
+    for block_mb, pass_mb in ((8, 16), (0.0005, 16), (0.0005, 0.001)):  # one block, several in one pass, several passes
+        out = wumanber.find(spark.createDataFrame(rows, CLASH), bench, block_mb=block_mb, pass_mb=pass_mb)
         assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in out.collect()), key=str) == expected
     assert "text" in out.columns and "batch" in out.columns
 

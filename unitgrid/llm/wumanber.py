@@ -6,8 +6,9 @@ it can move on without missing a test string; most positions are skipped. Where
 the block's hash (and of the first block's) selects test strings, and their bytes are compared directly.
 
 Texts are searched where they lie, without a shuffle. The test strings are a stated query set: the items go to the
-executors in blocks of bounded size, one after the other, each measured before it is broadcast; a larger benchmark
-has more blocks, not larger ones. Inside a task the search windows of many segments move on together as one array.
+executors in blocks of bounded size, each measured before it is broadcast; a larger benchmark has more blocks, not larger
+ones. A pass over the texts holds the blocks of `pass_mb` MB of items; what further passes find is united with what the
+passes before them wrote, so neither driver nor executors ever hold more than the blocks of one pass. Inside a task the search windows of many segments move on together as one array.
 """
 
 import math
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from unitgrid.llm import common
 from unitgrid.llm.textpack import NOT_ALNUM, Words, mixed, release, slices
+from unitgrid.session import materialize
 
 SEGMENT = 512  # search windows of one segment
 SHIFTS = np.uint64(0x2545F4914F6CDD1D)
@@ -112,6 +114,12 @@ def scan(blocks):
             h = words.hashes()
             change = np.zeros(len(h) + 1, np.int64)
             text_of, seen = words.text_of_word(), {}
+            if "spans" in batch.schema.names:  # of the passes before
+                earlier = batch.column("spans")
+                owner = np.repeat(np.arange(words.texts), np.diff(earlier.offsets.to_numpy()))
+                for name, step in (("from", 1), ("to", -1)):
+                    np.add.at(change, words.first[owner] + earlier.flatten().field(name).to_numpy(), step)
+                seen = {i: set(found) for i, found in enumerate(batch.column("items").to_pylist()) if found}
             for block in blocks:
                 for patterns in map(Patterns.of, block.value):
                     for at, p in patterns.search(words, h):
@@ -135,19 +143,27 @@ def scan(blocks):
     return run
 
 
-def load(benchmark, id="item_id", text="text", window=10, block_mb=8):
-    """Broadcast search tables of the items, in blocks of about block_mb MB of text. The driver holds one block at a time."""
+def load(benchmark, id="item_id", text="text", window=10, block_mb=8, pass_mb=16):
+    """Yields, for each pass, the broadcast search tables of its items, in blocks of about block_mb MB of text.
+
+    The driver builds one block at a time. Where one block does not do, items are written once, sorted by block, and each
+    block reads its own part.
+    """
     common.ship("unitgrid.llm.common", __name__)
     spark = benchmark.sparkSession
     items = benchmark.select(common.quoted(id).cast("string").alias("id"), common.quoted(text).alias("text")).filter("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / (block_mb * 1_000_000)))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
-    return [spark.sparkContext.broadcast([vars(p) for p in build([(r.id, r.text) for r in dealt.filter(F.col("block") == i).select("id", "text").collect()], window)])
-            for i in range(n)]
+    if n > 1:
+        dealt = materialize(dealt.repartitionByRange("block").sortWithinPartitions("block"), "items")
+    together = max(1, int(pass_mb // block_mb))
+    for at in range(0, n, together):
+        yield [spark.sparkContext.broadcast([vars(p) for p in build([(r.id, r.text) for r in dealt.filter(F.col("block") == i).select("id", "text").collect()], window)])
+               for i in range(at, min(n, at + together))]
 
 
-def find(docs, benchmark, text="text", item_id="item_id", item_text="text", window=10, block_mb=8):
+def find(docs, benchmark, text="text", item_id="item_id", item_text="text", window=10, block_mb=8, pass_mb=16):
     """Mark words inside windows of benchmark items.
 
     Words are runs of 0-9, a-z (A-Z lowered) and non-ASCII bytes. A window is `window` consecutive words of an item,
@@ -158,9 +174,16 @@ def find(docs, benchmark, text="text", item_id="item_id", item_text="text", wind
     empty tables give no rows or no hits.
     """
     made = ("n_words", "n_hit", "spans", "items")
-    blocks = load(benchmark, item_id, item_text, window, block_mb)
     rest = common.rest_struct(docs, text, *made)
-    packed = docs.select(rest.alias("row"), common.quoted(text).alias("text"))
-    done = packed.mapInArrow(scan(blocks), f"row {packed.schema['row'].dataType.simpleString()}, text string, n_words long, n_hit long, "
-                                           "spans array<struct<from:long,to:long>>, items array<string>")
-    return done.select(*[F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in common.others(docs, *made)], *made)
+    state = docs.select(rest.alias("row"), common.quoted(text).alias("text"))
+    schema = (f"row {state.schema['row'].dataType.simpleString()}, text string, n_words long, n_hit long, "
+              "spans array<struct<from:long,to:long>>, items array<string>")
+    before = None
+    for blocks in load(benchmark, item_id, item_text, window, block_mb, pass_mb):
+        if before is not None:  # the tables of the last pass are given up once its result is written
+            written = materialize(state, "searched")
+            for block in before:
+                block.destroy()
+            state = written.select("row", "text", "spans", "items")
+        state, before = state.mapInArrow(scan(blocks), schema), blocks
+    return state.select(*[F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in common.others(docs, *made)], *made)
