@@ -90,18 +90,19 @@ def best_of(ids, scores, k):
     return ids[:k], scores[:k]
 
 
-def search_shard(ids, vectors, extended, tree, queries, k, g, limit, biggest):
+def search_shard(ids, vectors, tree, queries, k, g, limit, biggest, scale):
     """Neighbours of each query (id, vector, bound so far or -inf) in one shard: lists of (ids, scores)."""
     for qid, q, floor in queries:
-        norm = float(q @ q)
-        gap = tree.gaps(q @ g[:-1])
+        scaled = q * scale
+        norm = float(scaled @ scaled)
+        gap = tree.gaps(scaled @ g[:-1])
         order = np.argsort(gap, kind="stable")
         got_ids, got = np.zeros(0, np.int64), np.zeros(0)
         step = 2
         at = 0
         while at < len(order):
             worst = max(floor, got[-1] if len(got) >= k else -np.inf)
-            reach = max(0.0, biggest + norm - 2 * worst)  # squared distance of the k-th best
+            reach = max(0.0, biggest + norm - 2 * (worst * scale * scale))  # squared distance of the k-th best
             if gap[order[at]] > limit * reach:
                 break
             part = order[at:at + step]
@@ -119,21 +120,21 @@ def _matrix(column, dim):
 
 
 def _extended(vectors, biggest):
+    """Vectors, scaled, with the coordinate that makes all norms equal."""
     return np.concatenate([vectors, np.sqrt(np.maximum(0, biggest - np.einsum("ij,ij->i", vectors, vectors)))[:, None]], axis=1)
 
 
-def shard_task(dim, m, k, limit, biggest):
+def shard_task(dim, m, k, limit, biggest, scale):
     def run(queries, members):
         names = ["query_id", "vec_id", "score"]
         if not queries.num_rows or not members.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
         g = directions(dim, m)
         ids, vectors = members.column("vec_id").to_numpy(), _matrix(members.column("m_vector"), dim)
-        extended = _extended(vectors, biggest)
-        tree = Tree(extended @ g)
+        tree = Tree(_extended(vectors * scale, biggest) @ g)
         q = zip(queries.column("query_id").to_pylist(), _matrix(queries.column("q_vector"), dim), queries.column("floor").to_pylist())
         out_q, out_i, out_s = [], [], []
-        for (qid, (found, score)) in zip(queries.column("query_id").to_pylist(), search_shard(ids, vectors, extended, tree, q, k, g, limit, biggest)):
+        for (qid, (found, score)) in zip(queries.column("query_id").to_pylist(), search_shard(ids, vectors, tree, q, k, g, limit, biggest, scale)):
             out_q.append(np.full(len(found), qid))
             out_i.append(found)
             out_s.append(score)
@@ -141,12 +142,12 @@ def shard_task(dim, m, k, limit, biggest):
     return run
 
 
-def place_task(dim, m, biggest, top):
+def place_task(dim, m, biggest, top, scale):
     """Cell of each vector (as a candidate and as a query) in the top tree: the cell whose box is nearest."""
     def run(batches):
         g = directions(dim, m)
         for batch in batches:
-            v = _matrix(batch.column("vector"), dim)
+            v = _matrix(batch.column("vector"), dim) * scale
             cells = []
             for points in (_extended(v, biggest) @ g, v @ g[:-1]):
                 d = np.maximum(top["low"][None] - points[:, None], 0) + np.maximum(points[:, None] - top["high"][None], 0)
@@ -155,10 +156,10 @@ def place_task(dim, m, biggest, top):
     return run
 
 
-def box_task(dim, m, biggest):
+def box_task(dim, m, biggest, scale):
     """Projected bounding box of each shard."""
     def run(table):
-        p = _extended(_matrix(table.column("vector"), dim), biggest) @ directions(dim, m)
+        p = _extended(_matrix(table.column("vector"), dim) * scale, biggest) @ directions(dim, m)
         return pa.table([table.column("shard")[:1].combine_chunks(), pa.array([p.min(axis=0).tolist()]), pa.array([p.max(axis=0).tolist()])], names=["shard", "low", "high"])
     return run
 
@@ -168,29 +169,32 @@ def nearest(vectors, queries_where, k=20, id="vec_id", vector="embedding", m=10,
 
     Queries are the rows for which the SQL condition `queries_where` holds; candidates are all rows with another id.
     Rows with a null id, or with a vector that is null, zero, of another length than most, or holds null or non-finite components take no
-    part. Rows that repeat an id are one vector, the first in order. Fewer than k candidates give fewer rows; an empty
+    part; huge and tiny ones do (their products are those of double precision). Rows that repeat an id are one vector, the first in order. Fewer than k candidates give fewer rows; an empty
     table gives none. Ties go to the smaller id. Other columns are not looked at.
     """
     common.ship("unitgrid.llm.common", __name__)
     v = F.transform(common.quoted(vector), lambda x: x.cast("double"))
     rows = vectors.select(common.quoted(id).alias("vec_id"), v.alias("vector"), F.expr(queries_where).alias("asks"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(~bad).withColumn("square", square).filter("square > 0")
-    rows = rows.groupBy("vec_id").agg(F.min(F.struct("vector", "asks", "square")).alias("r")).select("vec_id", "r.*")
+    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).filter(~bad).filter(F.exists("vector", lambda x: x != 0))
+    rows = rows.groupBy("vec_id").agg(F.min(F.struct("vector", "asks")).alias("r")).select("vec_id", "r.*")
     rows = materialize(rows, "vectors")
-    widths = rows.groupBy(F.size("vector").alias("w")).agg(F.count(F.lit(1)).alias("c"), F.max("square").alias("s")).orderBy(F.desc("c"), "w").limit(1).collect()
+    peak = F.max(F.array_max(F.transform("vector", F.abs)))
+    widths = rows.groupBy(F.size("vector").alias("w")).agg(F.count(F.lit(1)).alias("c"), peak.alias("peak")).orderBy(F.desc("c"), "w").limit(1).collect()
     empty = "query_id long, rank int, vec_id long, score double"
     if not widths:
         return vectors.sparkSession.createDataFrame([], empty)
-    dim, biggest = widths[0].w, float(widths[0].s)
+    dim = widths[0].w
     rows = rows.filter(F.size("vector") == dim)
+    # trees and tests see the vectors times a power of two that brings the greatest component near one; scores are of the originals
+    scale = 2.0 ** -max(-1000, np.frexp(widths[0].peak)[1])
+    biggest = float(rows.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x * scale) * (x * scale)))).first()[0])
     # a vector nearer than the k-th best has a projection within limit times its distance with this confidence
     limit = chi_square_quantile(m, confidence)
     picked = rows.select("vec_id", "vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    tops = Tree(_extended(np.array([r.vector for r in picked]), biggest) @ directions(dim, m), max(64, sample // 64))
+    tops = Tree(_extended(np.array([r.vector for r in picked]) * scale, biggest) @ directions(dim, m), max(64, sample // 64))
     top = {"low": tops.low, "high": tops.high}
-    placed = rows.select("vec_id", "vector").mapInArrow(place_task(dim, m, biggest, top), "vec_id long, vector array<double>, cell int, q_cell int")
+    placed = rows.select("vec_id", "vector").mapInArrow(place_task(dim, m, biggest, top, scale), "vec_id long, vector array<double>, cell int, q_cell int")
     placed = materialize(placed.join(rows.select("vec_id", "asks"), "vec_id"), "placed")
     # neighbouring small cells share a shard; a large one is dealt by the hash of the id
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).orderBy("cell").collect()  # at most 64 or so
@@ -206,7 +210,7 @@ def nearest(vectors, queries_where, k=20, id="vec_id", vector="embedding", m=10,
     shards = F.broadcast(vectors.sparkSession.createDataFrame(plan, "cell int, first int, parts int"))
     members = placed.join(shards, "cell").select((F.col("first") + F.pmod(F.xxhash64("vec_id"), "parts")).cast("int").alias("shard"), "vec_id", "vector")
     members = materialize(members, "members")
-    boxes = members.groupBy("shard").applyInArrow(box_task(dim, m, biggest), "shard int, low array<double>, high array<double>")
+    boxes = members.groupBy("shard").applyInArrow(box_task(dim, m, biggest, scale), "shard int, low array<double>, high array<double>")
     boxes = materialize(boxes, "boxes")
     asked = placed.filter("asks").join(shards.withColumnRenamed("cell", "q_cell"), "q_cell", "left").select(
         F.col("vec_id").alias("query_id"), F.col("vector").alias("q_vector"), F.coalesce("first", F.lit(0)).cast("int").alias("home"))
@@ -217,36 +221,37 @@ def nearest(vectors, queries_where, k=20, id="vec_id", vector="embedding", m=10,
         sent = sent.join(counts, "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
         copies = members.join(counts, "shard").select(F.col("shard").alias("m_shard"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("m_block"), "vec_id", F.col("vector").alias("m_vector"))
         return (sent.select(F.col("shard").alias("q_shard"), F.col("block").alias("q_block"), "query_id", "q_vector", "floor").groupBy("q_shard", "q_block")
-                .cogroup(copies.groupBy("m_shard", "m_block")).applyInArrow(shard_task(dim, m, k, limit, biggest), "query_id long, vec_id long, score double"))
+                .cogroup(copies.groupBy("m_shard", "m_block")).applyInArrow(shard_task(dim, m, k, limit, biggest, scale), "query_id long, vec_id long, score double"))
 
     home = materialize(answered(asked.select(F.col("home").alias("shard"), "query_id", "q_vector", F.lit(float("-inf")).alias("floor"))), "home")
     floors = home.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(F.lit(float("-inf"))).alias("floor"))
     told = asked.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    routed = told.mapInArrow(route_task(dim, m, limit, biggest, boxes.collect()), "shard int, query_id long, q_vector array<double>, floor double")
+    routed = told.mapInArrow(route_task(dim, m, limit, biggest, boxes.collect(), scale), "shard int, query_id long, q_vector array<double>, floor double")
     found = home.unionByName(answered(routed))
     # of a query's lists only the best k stay: a bounded sorted array for each
     best = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id")))), 1, k).alias("best"))
     return best.select("query_id", F.posexplode("best").alias("at", "r")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("r.vec_id").alias("vec_id"), (-F.col("r.s")).alias("score"))
 
 
-def route_task(dim, m, limit, biggest, boxes):
-    """Sends each query to the shards, other than its home, whose box passes the chi-square test."""
-    number = [b.shard for b in boxes]
+def route_task(dim, m, limit, biggest, boxes, scale, cells=1 << 20):
+    """Sends each query to the shards, other than its home, whose box passes the chi-square test; at most `cells` pairs are looked at together."""
+    number = np.array([b.shard for b in boxes], np.int32)
     low, high = np.array([b.low for b in boxes]), np.array([b.high for b in boxes])
+    step = max(1, cells // max(1, len(number)))
 
     def run(batches):
         g = directions(dim, m)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            q = _matrix(batch.column("q_vector"), dim)
-            p, norm, floor = q @ g[:-1], np.einsum("ij,ij->i", q, q), batch.column("floor").to_numpy(zero_copy_only=False)
-            gap = np.zeros((len(q), len(number)))
-            for x in range(m):
-                gap += (np.maximum(low[None, :, x] - p[:, x, None], 0) + np.maximum(p[:, x, None] - high[None, :, x], 0)) ** 2
-            goes = gap <= limit * np.maximum(0, biggest + norm - 2 * floor)[:, None]
-            goes &= np.array(number)[None] != batch.column("home").to_numpy()[:, None]
-            i, j = np.nonzero(goes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(number, np.int32)[j]), *(batch.column(c).take(pa.array(i)) for c in ("query_id", "q_vector", "floor"))],
-                                             names=["shard", "query_id", "q_vector", "floor"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                q = _matrix(batch.column("q_vector"), dim) * scale
+                p, norm, floor = q @ g[:-1], np.einsum("ij,ij->i", q, q), batch.column("floor").to_numpy(zero_copy_only=False)
+                gap = np.zeros((len(q), len(number)))
+                for x in range(m):
+                    gap += (np.maximum(low[None, :, x] - p[:, x, None], 0) + np.maximum(p[:, x, None] - high[None, :, x], 0)) ** 2
+                goes = gap <= limit * np.maximum(0, biggest + norm - 2 * (floor * scale * scale))[:, None]
+                goes &= number[None] != batch.column("home").to_numpy()[:, None]
+                i, j = np.nonzero(goes)
+                yield pa.RecordBatch.from_arrays([pa.array(number[j]), *(batch.column(c).take(pa.array(i)) for c in ("query_id", "q_vector", "floor"))],
+                                                 names=["shard", "query_id", "q_vector", "floor"])
     return run
