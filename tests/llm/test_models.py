@@ -229,6 +229,25 @@ def test_search_against_brute_force(spark):
     assert [r["rank"] for r in few] == [1, 2]
 
 
+def test_search_with_extreme_norms(spark):
+    """A huge vector (its square overflows) hides no other, tiny ones (their squares underflow) take part."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 8))
+    x[7], x[11], x[13] = x[7] * 1e200, x[11] * 1e-200, x[13] * 1e-170
+    df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in kdsearch.nearest(df, "vec_id % 40 = 0 OR vec_id IN (7, 11)", shard=128, sample=200, block=16).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    assert set(got) == set(range(0, 600, 40)) | {7, 11}
+    hit = 0
+    for q in got:
+        order = [i for i in np.lexsort((np.arange(600), -(x @ x[q]))).tolist() if i != q][:20]
+        hit += len(set(got[q].values()) & set(order))
+    assert hit / (20 * len(got)) >= 0.9
+    tiny = spark.createDataFrame([(0, [1e-320, 0.0]), (1, [2e-320, 0.0])], "vec_id long, embedding array<double>")
+    assert [(r.vec_id, r.score) for r in kdsearch.nearest(tiny, "vec_id = 0").collect()] == [(1, 0.0)]
+
+
 def test_recall_on_embeddings(spark):
     x = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
     ids, v = np.array([r.vec_id for r in x]), np.array([r.embedding for r in x], float)
@@ -288,6 +307,24 @@ def test_main_text_goes_on_after_drawings_and_custom_elements(inner, text):
     assert got == (f"{long}\n{long}" if not text else f"{long} {text}\n{long}")
 
 
+@pytest.mark.parametrize("inner", [
+    '<header class="entry-header"><h1>What is it that we see here</h1></header>', '<p class="share-price">The price of it is as high as it was.</p>',
+    '<div class="related-work"><p>It is the work that they have of us.</p></div>'])
+def test_compound_names_inside_an_article_are_text(inner):
+    long = "It is the first of the paragraphs that we have here, and it is long enough."
+    kept = maintext.extract(f"<body><article>{inner}<p>{long}</p></article></body>")[0].split("\n")
+    assert len(kept) == 2 and kept[1] == long
+    for name in ("share-box", "ad-slot", "comment-list", "related-links top", "ads"):
+        assert maintext.extract(f'<body><article><div class="{name}"><p>{long}</p></div><p>{long}</p></article></body>')[0] == long
+
+
+def test_main_text_in_a_language_without_stop_words():
+    swedish = "Regeringen meddelade under torsdagen att skolor landet runt kommer öppna igen efter sommaren trots brist på lärare, lokaler och böcker."
+    page = f'<body><div class="menu"><a href=x>Hem</a></div><div><h1>Skolor öppnar</h1><p>{swedish}</p><p>{swedish}</p></div><footer>© {swedish}</footer></body>'
+    assert maintext.extract(page)[0] == f"Skolor öppnar\n{swedish}\n{swedish}"
+    assert maintext.extract("<body><p>Hem</p><p>Kontakt</p></body>")[0] == ""
+
+
 def test_boost_is_chosen_by_the_examples_alone():
     plain = [f"word{i % 7} thing{i % 5} other{i % 3}" for i in range(120)]
     texts = plain + [t + " vile" for t in plain[:40]]

@@ -3,7 +3,8 @@
 A page is cut into blocks at block-level tags. First pass: a block is *good* or *bad* by its place (menus, headers,
 footers, forms, adverts and the like are bad), its link density, and its length and stop-word density; a short block, or
 a long one that the densities don't settle, stays *open*. Second pass: an open block takes the label of the nearest
-decided block of its own section (article, main, or the rest of the body), good on a tie between unequal labels; in a section without a decided block, open blocks are good inside article or main, else bad.
+decided block of its own section (article, main, or the rest of the body), good on a tie between unequal labels. Where no block of a page has enough stop words, as in languages without a list, long
+blocks of few links are good. In a section without a decided block, open blocks are good inside article or main, else bad.
 Pages are independent; each is read once, where it lies.
 """
 
@@ -28,6 +29,9 @@ SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form
 SIDE_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation breadcrumb
 breadcrumbs sidebar footer header masthead cookie cookies consent gdpr notice notification popup modal overlay newsletter subscribe signup login share sharing
 social related recommended comment comments disqus replies respond widget toolbar pagination pager copyright disclaimer""".split())
+# Words that only say what kind of box a name stands for.
+BOX_NAMES = frozenset("""area bar block bottom box button buttons container content form group holder icons inner item items left link links list panel right section
+slot text title top unit wrap wrapper""".split())
 # Frequent words of English, French, German and Spanish.
 STOP = frozenset("""a an and are as at be by for from has have he her his i in is it its not of on or she that the their there they this to was we were which
 will with you au aux avec ce ces dans de des du elle en est et il ils je la le les leur lui ma mais ne nous on ou par pas pour qu que qui sa se ses son sur un
@@ -46,6 +50,16 @@ SHORT, LONG, LINKS, LOW, HIGH = 8, 20, 0.5, 0.15, 0.25
 GOOD, BAD, OPEN = 1, -1, 0
 
 
+def is_side_name(value, in_main):
+    """Does a class or id name a part beside the article?
+
+    Around the article one word of a compound name is enough; inside it, all its words have to speak of such parts or of
+    boxes ("share-box", but not "share-price" or "entry-header").
+    """
+    words = [w for w in re.split(r"[_-]+", value) if w]
+    return not SIDE_NAMES.isdisjoint(words) and (not in_main or all(w in SIDE_NAMES or w in BOX_NAMES for w in words))
+
+
 def is_side(name, attrs, in_main):
     """Does this element hold no article text?"""
     if name in SIDE or (name == "header" and not in_main):
@@ -58,7 +72,7 @@ def is_side(name, attrs, in_main):
             return True
         if key == "role" and value in SIDE_ROLES:
             return True
-        if key in ("class", "id") and name not in MAIN and not SIDE_NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
+        if key in ("class", "id") and name not in MAIN and any(is_side_name(x, in_main) for x in value.split()):
             return True
     return False
 
@@ -152,6 +166,8 @@ def labels_of(blocks):
             first.append(GOOD)
         else:
             first.append(OPEN)
+    if GOOD not in first:  # no stop words: a language without a list here, in which length and link density decide
+        first = [GOOD if label == OPEN and len(WORD.findall(b[0])) >= LONG else label for b, label in zip(blocks, first)]
     n = len(blocks)
     before, after, seen = [None] * n, [None] * n, {}
     for i in range(n):  # a block that is bad by its place decides nothing about its neighbours
