@@ -51,6 +51,16 @@ def is_finite(c):
     return F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(INF)), F.lit(False))
 
 
+def round_half(c, digits):
+    """Round half away from zero after scaling by a power of ten, the way SQL engines round doubles.
+
+    Spark's `round` reads the shortest decimal form instead, so -67.1078125, whose scaled double lies below the tie, differs.
+    """
+    c = col(c).cast("double")
+    scaled = c * F.lit(10.0 ** digits)
+    return F.when(F.abs(scaled) < F.lit(INF), F.round(scaled) / F.lit(10.0 ** digits)).otherwise(c)
+
+
 def ratio(a, b):
     """a / b, NULL when b is zero or NULL."""
     return F.try_divide(col(a).cast("double"), col(b).cast("double"))

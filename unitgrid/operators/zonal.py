@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from unitgrid import schema as S
-from unitgrid.functions.numbers import as_double, null_if_nan, ratio
+from unitgrid.functions.numbers import as_double, null_if_nan, ratio, round_half
 from unitgrid.functions.spectral import is_lit
 from unitgrid.operators.trends import trends_rows
 from unitgrid.session import materialize
@@ -131,12 +131,12 @@ def night_summary(pixels, by, area_m2, radiance="avg_rad", coverage="cf_cvg", se
         F.count_if(lit).alias("lit_pixels"), F.sum(F.when(lit, area_m2)).alias("a"),
         F.sum(F.when(lit, F.col(radiance))).alias("p"), F.avg(coverage).alias("c"))
     return agg.select(
-        *by, "valid_pixel_count", F.round("s", 4).alias("ntl_sum"), F.round("m", 4).alias("ntl_mean"),
-        F.round("d", 4).alias("ntl_std"), F.round("lo", 4).alias("ntl_min"), F.round("hi", 4).alias("ntl_max"),
-        F.when(F.col("m") > 0, F.round(ratio("d", "m"), 4)).otherwise(0.0).alias("spatial_cv"), "lit_pixels",
-        F.round(F.coalesce("a", F.lit(0.0)) / 1e4, 2).alias("lit_area_ha"),
-        F.round(100.0 * F.col("lit_pixels") / F.col("valid_pixel_count"), 2).alias("lit_ratio_pct"),
-        F.round(F.coalesce("p", F.lit(0.0)), 4).alias("lit_pop_proxy"), F.round("c", 2).alias("cloud_free_obs"))
+        *by, "valid_pixel_count", round_half("s", 4).alias("ntl_sum"), round_half("m", 4).alias("ntl_mean"),
+        round_half("d", 4).alias("ntl_std"), round_half("lo", 4).alias("ntl_min"), round_half("hi", 4).alias("ntl_max"),
+        F.when(F.col("m") > 0, round_half(ratio("d", "m"), 4)).otherwise(0.0).alias("spatial_cv"), "lit_pixels",
+        round_half(F.coalesce("a", F.lit(0.0)) / 1e4, 2).alias("lit_area_ha"),
+        round_half(100.0 * F.col("lit_pixels") / F.col("valid_pixel_count"), 2).alias("lit_ratio_pct"),
+        round_half(F.coalesce("p", F.lit(0.0)), 4).alias("lit_pop_proxy"), round_half("c", 2).alias("cloud_free_obs"))
 
 
 def pivot_months(long, keys, values, months=range(1, 13)):
@@ -169,13 +169,13 @@ def night_indices(long, year=S.YEAR):
     return rows.select(
         "gid_3", F.lit(year).cast("long").alias("year"), "month",
         F.concat(F.lit(f"{year}-"), F.lpad(F.col("month").cast("string"), 2, "0")).alias("TIME"),
-        F.round(num("area_ha"), 2).alias("COMMUNE_AREA_HA"), F.round(num("avg_rad_sum"), 4).alias("TNL"),
-        F.round(mean, 4).alias("MEAN_RAD"), F.round(std, 4).alias("STD_RAD"),
-        F.round(num("avg_rad_min"), 4).alias("MIN_RAD"), F.round(num("avg_rad_max"), 4).alias("MAX_RAD"),
-        F.round(F.when(mean > 0, ratio(std, mean)).otherwise(0.0), 4).alias("SPATIAL_CV"),
-        lit.cast("long").alias("LIT_PIXELS"), F.round(lit * PIXEL_HA, 2).alias("LIT_AREA_HA"),
-        F.round(share, 2).alias("ELECTRIFICATION_RATIO_PCT"), F.round(num("lit_rad"), 4).alias("LIT_POP_PROXY"),
-        F.round(num("cf_cvg"), 1).alias("CLOUD_FREE_OBS"))
+        round_half(num("area_ha"), 2).alias("COMMUNE_AREA_HA"), round_half(num("avg_rad_sum"), 4).alias("TNL"),
+        round_half(mean, 4).alias("MEAN_RAD"), round_half(std, 4).alias("STD_RAD"),
+        round_half(num("avg_rad_min"), 4).alias("MIN_RAD"), round_half(num("avg_rad_max"), 4).alias("MAX_RAD"),
+        round_half(F.when(mean > 0, ratio(std, mean)).otherwise(0.0), 4).alias("SPATIAL_CV"),
+        lit.cast("long").alias("LIT_PIXELS"), round_half(lit * PIXEL_HA, 2).alias("LIT_AREA_HA"),
+        round_half(share, 2).alias("ELECTRIFICATION_RATIO_PCT"), round_half(num("lit_rad"), 4).alias("LIT_POP_PROXY"),
+        round_half(num("cf_cvg"), 1).alias("CLOUD_FREE_OBS"))
 
 
 def night_table(long, year=S.YEAR):

@@ -1,8 +1,6 @@
 """Registry of the queries over the driver tables and their SQL twins."""
 
-
-from pyspark.sql import functions as F
-
+from unitgrid.functions.numbers import round_half
 from unitgrid.plans import sqlviews
 
 QUERIES = {}
@@ -25,6 +23,6 @@ def query(name, sql=None, views=()):
 
 def rounded(df, digits=6):
     """Round every double column, so that sums taken in another order compare equal."""
-    return df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double"})
+    return df.withColumns({c: round_half(c, digits) for c, t in df.dtypes if t == "double"})
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from unitgrid import schema as S
 from unitgrid.functions import spectral
 from unitgrid.functions.grid import METRES_PER_DEGREE
+from unitgrid.functions.numbers import round_half
 from unitgrid.operators import contract, geometry, keys, zonal
 from unitgrid.plans.night import night_long
 from unitgrid.plans.sqlviews import BAND_EXPRESSIONS, DAY_FACTORS, HEXAGON, YEAR
@@ -64,7 +65,7 @@ class Views:
     @cached_property
     def month(self):
         return (self.unit_orders.groupBy("gid_3", "month")
-                .agg(F.round(F.avg("o_totalprice") / 73331.0, 6).alias("val"), F.count("*").alias("n"))
+                .agg(round_half(F.avg("o_totalprice") / 73331.0, 6).alias("val"), F.count("*").alias("n"))
                 .select("gid_3", F.lit(YEAR).cast("long").alias("year"), "month", "val", "n"))
 
     @cached_property
@@ -86,7 +87,7 @@ class Views:
     @cached_property
     def night(self):
         night = zonal.night_table(self.long, YEAR)
-        return night.withColumns({c: F.round(c, 6) for c in ("TNL_MA3", S.GROWTH)})
+        return night.withColumns({c: round_half(c, 6) for c in ("TNL_MA3", S.GROWTH)})
 
     @cached_property
     def scene(self):
