@@ -228,3 +228,24 @@ def test_resolve_ids(spark):
     got = {r.wanted: (r.resolved, r.rank) for r in keys.resolve_ids(wanted, known).collect()}
     assert got == {"A.1.2_1": ("A.1.2_1", 1), "A.1.2": ("A.1.2_1", 3), "A.1.2_7": ("A.1.2_1", 3), "A.1.3": ("A.1.3_2", 4),
                    "B": (None, None)}
+
+
+def test_states_join_no_metrics_and_evidence_is_spread(spark, sf_dir, tmp_path):
+    """Units of one file are spread before their months are made; the states' joins carry no metric."""
+    import os
+
+    from unitgrid.operators import keys
+    from unitgrid.plans import catalog
+    from unitgrid.plans.views import Views
+    for t in os.listdir(sf_dir):
+        if t != "customer.parquet":
+            os.symlink(f"{sf_dir}/{t}", tmp_path / t)
+    one = spark.read.parquet(f"{sf_dir}/customer.parquet").crossJoin(spark.range(200).toDF("k"))
+    one.withColumn("c_custkey", F.col("c_custkey") + F.col("k") * 1000).drop("k").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    v = Views(spark, str(tmp_path))
+    sizes = [r["n"] for r in v.evidence.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 48 * v.admin.count() and max(sizes) < 48 * 2 * keys.SPREAD_ROWS and len(sizes) >= 3
+    states = catalog.QUERIES["k3_day_states"](spark, str(tmp_path))
+    text = states._jdf.queryExecution().optimizedPlan().toString()
+    top = text.split("Join LeftOuter")[0]
+    assert "Join LeftOuter" in text and "BLUE_mean" not in top

@@ -248,8 +248,8 @@ def _zero_flags(sources):
         "gid_3", "month", *[F.coalesce(F.col(f"_lo_{f}") == 0, F.lit(False)).alias(f"_zero_{f}") for f in S.FIELDS])
 
 
-def _state_columns(kind, year):
-    """(state, error) columns of an index table that carries its _zero_* flag."""
+def _facts(kind, year):
+    """What a row's state depends on besides its evidence: whether it is empty, has holes, has another TIME."""
     def hole(m):
         plain = f"`{m}` IS NULL"
         if S.metric_type(m).typeName() != "double":
@@ -257,26 +257,37 @@ def _state_columns(kind, year):
         return f"{plain} OR isnan(`{m}`) OR abs(`{m}`) = double('inf')"
     all_empty = F.expr(" AND ".join(f"`{m}` IS NULL" for m in S.METRICS[kind]))
     broken = F.expr(" OR ".join(hole(m) for m in S.METRICS[kind] if m != S.GROWTH))
+    wrong_time = ~F.col("TIME").eqNullSafe(time_stamp(F.lit(year), "month")) if kind == "night" else F.lit(False)
+    return {"_empty": all_empty, "_broken": broken, "_late": wrong_time}
+
+
+def _state_columns(kind, facts):
+    """(state, error) columns of a table that carries its _zero_* flag, from its facts."""
     zero = F.coalesce(F.col(f"_zero_{kind}_indices"), F.lit(False))
-    wrong_time = F.lit(False)
-    if kind == "night":
-        wrong_time = ~F.col("TIME").eqNullSafe(time_stamp(F.lit(year), "month"))
-    cases = [(zero & all_empty, "no_source", ""), (zero, "failed", S.MSG_ZERO_SOURCE),
-             (all_empty, "pending", S.MSG_NO_METRICS), (wrong_time, "failed", S.MSG_TIME),
-             (broken, "failed", S.MSG_MISSING)]
+    cases = [(zero & facts["_empty"], "no_source", ""), (zero, "failed", S.MSG_ZERO_SOURCE),
+             (facts["_empty"], "pending", S.MSG_NO_METRICS), (facts["_late"], "failed", S.MSG_TIME),
+             (facts["_broken"], "failed", S.MSG_MISSING)]
     chain = lambda pick, last: reduce(lambda acc, c: F.when(c[0], F.lit(c[pick])).otherwise(acc),
                                       reversed(cases), F.lit(last))
     return chain(1, "done"), chain(2, "")
 
 
 def _with_states(table, kind, zeros, year):
-    state, error = _state_columns(kind, year)
+    state, error = _state_columns(kind, _facts(kind, year))
     return table.join(zeros, ["gid_3", "month"], "left").withColumns({"state": state, "error": error})
 
 
+def _key_states(table, kind, zeros, year):
+    """Key, state and error per row. The facts are taken first, so that no metric goes through the join."""
+    facts = _facts(kind, year)
+    narrow = table.select(*S.KEY, *[c.alias(name) for name, c in facts.items()])
+    state, error = _state_columns(kind, {name: F.col(name) for name in facts})
+    return narrow.join(zeros.select("gid_3", "month", f"_zero_{kind}_indices"), ["gid_3", "month"], "left").select(*S.KEY, state.alias("state"), error.alias("error"))
+
+
 def metric_states(table, kind, sources, year=S.YEAR):
     """State and error per row of a normalised table, given source evidence."""
-    return _with_states(table, kind, _zero_flags(sources), year).select(*S.KEY, "state", "error")
+    return _key_states(table, kind, _zero_flags(sources), year)
 
 
 def merge_valid(old, incoming, admin, kind, sources, year=S.YEAR):
@@ -313,7 +324,7 @@ def progress(admin, day, night, images, sources, previous=None, year=S.YEAR):
             guard(F.col("gid_1").isNull(), F.concat(F.lit("unknown gid "), F.col("gid_3"))))
     states = {}
     for kind in ("day", "night"):
-        states[f"{kind}_indices"], states[f"{kind}_indices_error"] = _state_columns(kind, year)
+        states[f"{kind}_indices"], states[f"{kind}_indices_error"] = _state_columns(kind, _facts(kind, year))
         field, image = f"{kind}_image", F.col(f"_img_{kind}")
         waiting = F.coalesce(image["state"], F.lit("pending")) == "pending"
         empty = waiting & F.coalesce(F.col(f"_zero_{field}"), F.lit(False))
@@ -413,7 +424,7 @@ def verify_units(table, kind, sources, admin, year=S.YEAR):
 
     Units come from the admin table, so a unit without rows is reported as well.
     """
-    rows = _with_states(table, kind, _zero_flags(sources), year)
+    rows = _key_states(table, kind, _zero_flags(sources), year)
     per_key = rows.groupBy("gid_3", "year", "month").agg(
         F.count("*").alias("n"), F.count_if(~F.col("state").isin(*S.TERMINAL)).alias("open"))
     units = per_key.groupBy("gid_3").agg(
@@ -437,7 +448,7 @@ def verify_notes(table, kind, sources, admin, files, year=S.YEAR):
     zeros, units = _zero_flags(sources), admin.select("gid_3").distinct()
     csv, image = F.lit(f"CSV/{kind}_indices.csv"), F.lit(f"Ảnh {kind}")
     label = F.concat(F.lit("tháng "), F.col("month").cast("string"), F.lit(": "))
-    rows = _with_states(_typed(table, kind).join(units, "gid_3", "left_semi"), kind, zeros, year)
+    rows = _key_states(_typed(table, kind), kind, zeros, year).join(units, "gid_3", "left_semi")
     keys_of = rows.groupBy("gid_3", "year", "month").agg(F.count("*").alias("n"))
     in_year = F.coalesce(F.col("month").between(1, 12), F.lit(False))
     counted = keys_of.groupBy("gid_3").agg(

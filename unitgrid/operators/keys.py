@@ -61,6 +61,18 @@ def enrich_admin(df, admin):
     return df.select(*own).join(one_per_key(admin.select(*ADMIN_COLUMNS), ["gid_3"], "administrative table"), "gid_3", "left")
 
 
+# Rows of a task that is about to write each of them many times.
+SPREAD_ROWS = 10_000
+
+
+def spread(df, key, rows=SPREAD_ROWS):
+    """The same rows, placed by `key` in tasks of about `rows` rows each; counts `df` once.
+
+    For rows that are multiplied next: a small file is one task, however many rows it grows into.
+    """
+    return df.repartition(max(1, -(-df.count() // rows)), *key)
+
+
 def month_grid(units, year, months=range(1, 13), columns=("gid_3",)):
     """Every unit with every month of a year."""
     every = F.explode(F.array(*[F.lit(m).cast("long") for m in months]))

@@ -232,13 +232,14 @@ class Views:
     @cached_property
     def evidence(self):
         fields = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("field")) for i, f in enumerate(S.FIELDS)])
-        return keys.month_grid(self.admin, YEAR).select("gid_3", "year", "month", F.inline(fields)).select(
+        units = keys.spread(self.admin.select("gid_3"), ["gid_3"])
+        return keys.month_grid(units, YEAR).select("gid_3", "year", "month", F.inline(fields)).select(
             "gid_3", "year", "month", "field",
             ((F.length("gid_3") + F.col("month") + F.col("i")) % 4).cast("double").alias("count"))
 
     @cached_property
     def plan(self):
-        grid = self.unit.withColumn("month", F.explode(F.array(*[F.lit(m).cast("long") for m in range(1, 13)])))
+        grid = keys.spread(self.unit.select("custkey", "gid_3"), ["gid_3"]).withColumn("month", F.explode(F.array(*[F.lit(m).cast("long") for m in range(1, 13)])))
         k, m = F.col("custkey"), F.col("month")
         return grid.select("gid_3", "month", ((k + m) % 3).alias("c0"), ((k * 3 + m) % 4).alias("c1"),
                            ((k + m * 5) % 5).alias("c2"))
