@@ -188,3 +188,16 @@ def test_medians_of_large_pixels_by_radix(spark):
     for gathered in (10_000, 50, 0):
         got = {(r.g, r.k): (r.x, r.y) for r in zonal.composite_wide(obs, ["g", "k"], ["x", "y"], gathered).collect()}
         assert str(sorted(got.items(), key=str)) == str(sorted(((key, (median(x), median(y))) for key, (x, y) in groups.items()), key=str)).replace("-0.0", "0.0")
+
+
+def test_scenes_of_one_footprint_meet_a_unit_once(spark, monkeypatch):
+    found = spark.createDataFrame([(i, f"2024-0{1 + i % 3}-10 00:00:00", 0.0, 0.0, 4.0, 4.0) for i in range(60)] + [(99, "2024-05-05 00:00:00", 90.0, 90.0, 94.0, 94.0)],
+                                  "scene_id long, t string, minx double, miny double, maxx double, maxy double").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    units = spark.createDataFrame([(f"g{i}", 1.0, 1.0, 2.0, 2.0) for i in range(40)] + [("far", 50.0, 50.0, 51.0, 51.0), ("none", None, None, None, None)],
+                                  "gid_3 string, minx double, miny double, maxx double, maxy double")
+    pairs, plain = [], scenes.scene_units
+    monkeypatch.setattr(scenes, "scene_units", lambda *a: pairs.append(plain(*a)) or pairs[-1])
+    got = {(r.gid_3, r.month): (r.c0, r.c1, r.c2) for r in scenes.count_scenes(found, units, 2024, 4.0).collect()}
+    assert len(got) == 42 * 12 and sum(p.count() for p in pairs) == 1     # 2400 pairs of scenes and units
+    assert {got[f"g{i}", 2] for i in range(40)} == {(20, 40, 60)}
+    assert got["far", 5] == got["none", 2] == (0, 0, 0)

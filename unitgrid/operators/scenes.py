@@ -94,33 +94,49 @@ def scene_units(scenes, units, cell):
     return pairs.select("gid_3", *[c for c in scenes.columns if c != "gid_3"])
 
 
-def count_by_window(pairs, year, unit="gid_3", ts="ts"):
-    """Scenes per unit and month in the month and in its two widenings.
-
-    The at most four months whose windows may hold a scene follow from its date, so no range join is
-    needed; counts combine before the shuffle.
-    """
+def _window_hits(scenes, year, ts="ts"):
+    """Rows of scenes once per month whose windows may hold them, with `month` and _in0, _in1, _in2, for those inside a widening."""
     reach = max(WIDENINGS) + 1
     at = lambda d: (F.year(d) - year) * 12 + F.month(d)
     first = F.greatest(at(F.date_sub(F.to_date(ts), reach)), F.lit(1))
     last = F.least(at(F.date_add(F.to_date(ts), reach)), F.lit(12))
-    months = pairs.filter(first <= last).withColumn("month", F.explode(F.sequence(first, last)))
-    inside = []
+    months = scenes.filter(first <= last).withColumn("month", F.explode(F.sequence(first, last)))
+    inside = {}
     for i, days in enumerate(WIDENINGS):
         start, end = window_bounds(F.lit(year), "month", days)
-        inside.append(((F.col(ts) >= start) & (F.col(ts) < end)).alias(f"_in{i}"))
-    hits = months.select(unit, F.col("month").cast("long").alias("month"), *inside).filter("_in2")
-    return hits.groupBy(unit, "month").agg(*[F.count_if(F.col(f"_in{i}")).alias(f"c{i}") for i in range(3)])
+        inside[f"_in{i}"] = (F.col(ts) >= start) & (F.col(ts) < end)
+    return months.withColumns({"month": F.col("month").cast("long"), **inside}).filter("_in2")
+
+
+def count_by_window(pairs, year, unit="gid_3", ts="ts"):
+    """Scenes per unit and month in the month and in its two widenings.
+
+    The at most four months whose windows may hold a scene follow from its date, so no range join is
+    needed; counts combine before the shuffle.
+    """
+    return _window_hits(pairs, year, ts).groupBy(unit, "month").agg(*[F.count_if(F.col(f"_in{i}")).alias(f"c{i}") for i in range(3)])
+
+
+BOX = ["minx", "miny", "maxx", "maxy"]
 
 
 def count_scenes(scenes, units, year, cell):
     """Window counts of every unit and month; months without scenes have zeros.
 
     Only scenes that some window of the year can hold reach the spatial join; the bounds are constants, so the scan filters.
+    Footprints recur: scenes of one box are counted per month before they meet a unit, and units of one box meet them once, so
+    the pairs grow with the distinct boxes, not with scenes times units.
     """
     reach = max(WIDENINGS)
     near = scenes.filter((F.col("ts") >= window_bounds(F.lit(year), F.lit(1), reach)[0]) & (F.col("ts") < window_bounds(F.lit(year), F.lit(12), reach)[1]))
-    counts = count_by_window(scene_units(near, units, cell), year)
+    c = [f"c{i}" for i in range(3)]
+    hits = _window_hits(near.select("ts", *BOX), year).groupBy(*BOX, "month").agg(*[F.count_if(F.col(f"_in{i}")).alias(n) for i, n in enumerate(c)])
+    # one row per footprint, with its at most twelve months
+    prints = hits.groupBy(*BOX).agg(F.collect_list(F.struct("month", *c)).alias("_months"))
+    places = units.select(*BOX).distinct().withColumn("gid_3", F.struct(*BOX))
+    met = scene_units(prints, places, cell).select("gid_3", F.inline("_months")).groupBy("gid_3", "month").agg(*[F.sum(n).alias(n) for n in c])
+    placed = met.select(*[F.col("gid_3")[b].alias(b) for b in BOX], "month", *c)
+    counts = units.select("gid_3", *BOX).join(placed, BOX).groupBy("gid_3", "month").agg(*[F.sum(n).alias(n) for n in c])
     grid = units.select("gid_3").withColumn("month", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(12).cast("long"))))
     return grid.join(counts, ["gid_3", "month"], "left").select(
-        "gid_3", "month", *[F.coalesce(f"c{i}", F.lit(0)).alias(f"c{i}") for i in range(3)])
+        "gid_3", "month", *[F.coalesce(n, F.lit(0)).alias(n) for n in c])
