@@ -249,3 +249,16 @@ def test_states_join_no_metrics_and_evidence_is_spread(spark, sf_dir, tmp_path):
     text = states._jdf.queryExecution().optimizedPlan().toString()
     top = text.split("Join LeftOuter")[0]
     assert "Join LeftOuter" in text and "BLUE_mean" not in top
+
+
+def test_long_month_tables_are_not_merged_into_few_tasks(spark, monkeypatch, adm):
+    """Joins of units by month keep tasks of a bounded number of rows, though keys and flags shrink to few bytes."""
+    kept = keys.placed.__defaults__
+    monkeypatch.setattr(keys.placed, "__defaults__", (2,))
+    full = C.normalize(records(spark), adm, "day")
+    assert "REPARTITION_BY_NUM" in full._jdf.queryExecution().executedPlan().toString()
+    notes = C.verify_notes(full, "day", sources(spark), adm, images(spark))
+    assert "REPARTITION_BY_NUM" in notes._jdf.queryExecution().executedPlan().toString()
+    placed = sorted(map(tuple, notes.collect()), key=str)
+    monkeypatch.setattr(keys.placed, "__defaults__", kept)
+    assert placed == sorted(map(tuple, C.verify_notes(full, "day", sources(spark), adm, images(spark)).collect()), key=str)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from unitgrid import schema as S
 from unitgrid.functions.numbers import as_double, is_bad_number, is_finite, is_numeric
 from unitgrid.functions.text import natural_key, time_stamp
-from unitgrid.operators.keys import drop_exact, duplicate_keys, enrich_admin, month_grid, one_per_key, unknown_keys
+from unitgrid.operators.keys import drop_exact, duplicate_keys, enrich_admin, month_grid, one_per_key, placed, unknown_keys
+from unitgrid.session import materialize
 
 
 class ContractError(ValueError):
@@ -203,20 +204,24 @@ def normalize(df, admin, kind, year=S.YEAR, complete=True):
     """Contract table: names by gid, exact duplicates collapsed, twelve rows per unit if `complete`.
 
     Broken rows, conflicting duplicates and unknown gids stop the job while it runs: all rules are part
-    of the one plan. `normalize_violations` lists them instead.
+    of the one plan. `normalize_violations` lists them instead. Units are counted once, for the placement of their months.
     """
     rows = _collapsed(df, kind, year)
     unknown = lambda marker: guard(F.col(marker).isNull(), F.concat(F.lit("unknown gid "), F.col("gid_3")))
+    units = admin.count() if complete else 0
     admin = one_per_key(admin.select(*S.ADMIN_COLUMNS), ["gid_3"], "administrative table")
     if not complete:
         return conform(enrich_admin(rows, admin).filter(unknown("gid_1")), kind)
-    grid = month_grid(admin, year, columns=S.ADMIN_COLUMNS)
+    grid = placed(month_grid(admin, year, columns=S.ADMIN_COLUMNS), ["gid_3", "month"], 12 * units)
     return conform(grid.join(rows.drop("year"), ["gid_3", "month"], "full").filter(unknown("gid_1")), kind)
 
 
-def natural_sorted(df):
-    """Contract row order: natural gid, name, year, month (a range sort)."""
-    return (df.withColumn("_key", natural_key("gid_3")).orderBy("_key", "name_3", "year", "month").drop("_key"))
+def natural_sorted(df, tasks=None):
+    """Contract row order: natural gid, name, year, month (a range sort, into `tasks` ranges if given)."""
+    order, keyed = ["_key", "name_3", "year", "month"], df.withColumn("_key", natural_key("gid_3"))
+    if tasks is not None:
+        return keyed.repartitionByRange(tasks, *order).sortWithinPartitions(*order).drop("_key")
+    return keyed.orderBy(*order).drop("_key")
 
 
 # --- states ----------------------------------------------------------------------------------------
@@ -277,12 +282,12 @@ def _with_states(table, kind, zeros, year):
     return table.join(zeros, ["gid_3", "month"], "left").withColumns({"state": state, "error": error})
 
 
-def _key_states(table, kind, zeros, year):
-    """Key, state and error per row. The facts are taken first, so that no metric goes through the join."""
+def _key_states(table, kind, zeros, year, rows=0):
+    """Key, state and error per row. The facts are taken first, so that no metric goes through the join; `rows`, about their number, places them."""
     facts = _facts(kind, year)
     narrow = table.select(*S.KEY, *[c.alias(name) for name, c in facts.items()])
     state, error = _state_columns(kind, {name: F.col(name) for name in facts})
-    return narrow.join(zeros.select("gid_3", "month", f"_zero_{kind}_indices"), ["gid_3", "month"], "left").select(*S.KEY, state.alias("state"), error.alias("error"))
+    return placed(narrow, ["gid_3", "month"], rows).join(zeros.select("gid_3", "month", f"_zero_{kind}_indices"), ["gid_3", "month"], "left").select(*S.KEY, state.alias("state"), error.alias("error"))
 
 
 def metric_states(table, kind, sources, year=S.YEAR):
@@ -448,7 +453,10 @@ def verify_notes(table, kind, sources, admin, files, year=S.YEAR):
     zeros, units = _zero_flags(sources), admin.select("gid_3").distinct()
     csv, image = F.lit(f"CSV/{kind}_indices.csv"), F.lit(f"Ảnh {kind}")
     label = F.concat(F.lit("tháng "), F.col("month").cast("string"), F.lit(": "))
-    rows = _key_states(_typed(table, kind), kind, zeros, year).join(units, "gid_3", "left_semi")
+    total = 12 * units.count()
+    # read twice below, so written once; gid_3 alone places them, which serves every grouping that follows
+    states = materialize(_key_states(_typed(table, kind), kind, zeros, year, total), "states")
+    rows = placed(states, ["gid_3"], total).join(units, "gid_3", "left_semi")
     keys_of = rows.groupBy("gid_3", "year", "month").agg(F.count("*").alias("n"))
     in_year = F.coalesce(F.col("month").between(1, 12), F.lit(False))
     counted = keys_of.groupBy("gid_3").agg(
@@ -463,7 +471,7 @@ def verify_notes(table, kind, sources, admin, files, year=S.YEAR):
         parts.append(note(units, csv, F.lit(0), F.lit(S.NOTE_SCHEMA)))
     found = files.filter(F.col("kind") == kind).groupBy("gid_3", "month").agg(
         F.count("*").alias("n"), F.max(F.struct((F.col("state") != "done").alias("bad"), "error")).alias("worst"))
-    months = month_grid(units, year).join(found, ["gid_3", "month"], "left").join(zeros, ["gid_3", "month"], "left")
+    months = placed(month_grid(units, year), ["gid_3", "month"], total).join(found, ["gid_3", "month"], "left").join(zeros, ["gid_3", "month"], "left")
     n, excused = F.coalesce("n", F.lit(0)), F.coalesce(f"_zero_{kind}_image", F.lit(False))
     wrong = (F.when((n == 0) & excused, None).when(n != 1, F.concat(label, n.cast("string"), F.lit(" file")))
              .when(F.coalesce(F.col("worst")["bad"], F.lit(True)), F.concat(label, F.coalesce(F.col("worst")["error"], F.lit("")))))
@@ -474,7 +482,8 @@ def verify_notes(table, kind, sources, admin, files, year=S.YEAR):
 def verify_report(notes, kind, admin):
     """Report rows per unit and item: gid_3, item, level (FAIL with any note, else PASS), note (the notes by month, joined)."""
     good = F.create_map(F.lit(f"CSV/{kind}_indices.csv"), F.lit(S.NOTE_CSV_GOOD), F.lit(f"Ảnh {kind}"), F.lit(S.NOTE_IMAGES_GOOD))
-    items = admin.select("gid_3").distinct().select("gid_3", F.explode(F.map_keys(good)).alias("item"))
+    units = admin.select("gid_3").distinct()
+    items = placed(units.select("gid_3", F.explode(F.map_keys(good)).alias("item")), ["gid_3", "item"], 12 * units.count())
     said = notes.groupBy("gid_3", "item").agg(F.sort_array(F.collect_set(F.struct("month", "note"))).alias("said"))
     return items.join(said, ["gid_3", "item"], "left").select(
         "gid_3", "item", F.when(F.col("said").isNull(), "PASS").otherwise("FAIL").alias("level"),

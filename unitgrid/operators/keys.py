@@ -73,6 +73,16 @@ def spread(df, key, rows=SPREAD_ROWS):
     return df.repartition(max(1, -(-df.count() // rows)), *key)
 
 
+def placed(df, key, rows, per_task=6 * SPREAD_ROWS):
+    """The same rows, placed by `key` in tasks that are not merged by their compressed bytes, if `rows`, their number, is large.
+
+    For rows that are joined next: long tables of keys and flags shrink so much that one task of merged partitions would sort
+    millions of them. A small table is left as it is.
+    """
+    tasks = -(-rows // per_task)
+    return df.repartition(tasks, *key) if tasks > 8 else df
+
+
 def month_grid(units, year, months=range(1, 13), columns=("gid_3",)):
     """Every unit with every month of a year."""
     every = F.explode(F.array(*[F.lit(m).cast("long") for m in months]))
