@@ -262,3 +262,12 @@ def test_long_month_tables_are_not_merged_into_few_tasks(spark, monkeypatch, adm
     placed = sorted(map(tuple, notes.collect()), key=str)
     monkeypatch.setattr(keys.placed, "__defaults__", kept)
     assert placed == sorted(map(tuple, C.verify_notes(full, "day", sources(spark), adm, images(spark)).collect()), key=str)
+
+
+def test_index_table_is_sorted_in_ranges_of_bounded_rows(spark, adm, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "SORT_ROWS", 5)
+    full = C.normalize(records(spark), adm, "day")
+    version = writers.write_index(full, str(tmp_path / "t"), "day", "r1")
+    parts = [p.read_text(encoding="utf-8").splitlines()[1:] for p in sorted((tmp_path / "t" / version.split("/")[-1]).glob("part-*"))]
+    lines = [line.split(",")[0] + "/" + line.split(",")[8] for part in parts for line in part]
+    assert len(parts) > 1 and lines == [f"{g}/{m}" for g in GIDS[:2] for m in range(1, 13)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from unitgrid.functions.grid import TILE
 from unitgrid.operators.contract import conform, natural_sorted
 from unitgrid.operators.keys import keep_last, union_all
+from unitgrid.session import discard, materialize
 
 POINTER_SCHEMA = "version string, rows long, published timestamp"
 
@@ -53,12 +54,20 @@ def read_published(spark, table, schema, fmt="parquet", **options):
     return spark.read.format(fmt).options(**options).schema(schema).load(f"{table}/v={version}")
 
 
+# Rows of a range of the sorted index table.
+SORT_ROWS = 100_000
+
+
 def write_index(df, table, kind, run_id, digits=None):
     """Index table as CSV in contract column and row order, published as a new version."""
     df = conform(df, kind)
     if digits is not None:
         df = df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double"})
-    return publish(natural_sorted(df), table, run_id, "csv", header="true", escape='"')
+    # written before it is sorted: the sort samples its input, and ranges of a known number of rows fit a task
+    rows = materialize(df, "index")
+    version = publish(natural_sorted(rows, max(1, -(-rows.count() // SORT_ROWS))), table, run_id, "csv", header="true", escape='"')
+    discard(rows)
+    return version
 
 
 def write_by_unit(df, path, columns=("gid_1", "gid_3"), fmt="parquet", max_rows=5_000_000):
