@@ -271,3 +271,14 @@ def test_index_table_is_sorted_in_ranges_of_bounded_rows(spark, adm, tmp_path, m
     parts = [p.read_text(encoding="utf-8").splitlines()[1:] for p in sorted((tmp_path / "t" / version.split("/")[-1]).glob("part-*"))]
     lines = [line.split(",")[0] + "/" + line.split(",")[8] for part in parts for line in part]
     assert len(parts) > 1 and lines == [f"{g}/{m}" for g in GIDS[:2] for m in range(1, 13)]
+
+
+def test_newest_evidence_takes_one_pass(spark):
+    from unitgrid.plans import exports
+    row = lambda month, count: ("g", 2024, month, "day_indices", count)
+    old = spark.createDataFrame([row(1, 5.0), row(2, 1.0), row(2, 4.0), row(3, None), row(4, 9.0)], S.SOURCES_SCHEMA)
+    found = spark.createDataFrame([row(1, 0.0), row(4, 2.0), row(4, 3.0)], S.SOURCES_SCHEMA)
+    out = exports.newest_evidence(old, found)
+    assert sorted(((r.month, r["count"]) for r in out.collect()), key=str) == [(1, 0.0), (2, 1.0), (2, 4.0), (3, None), (4, 2.0), (4, 3.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan and "SortAggregate" not in plan

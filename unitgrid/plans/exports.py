@@ -35,10 +35,11 @@ def newest_evidence(sources, found):
     if sources is None:
         return found
     key = ["gid_3", "year", "month", "field"]
-    rows = sources.withColumn("_new", F.lit(0)).unionByName(found.withColumn("_new", F.lit(1)))
-    sides = rows.groupBy(*key, "_new").agg(F.min("count").alias("lo"), F.max("count").alias("hi"))
-    last = sides.groupBy(*key).agg(F.max_by(F.struct("lo", "hi"), "_new").alias("v"))
-    return last.select(*key, F.explode(F.array_distinct(F.array("v.lo", "v.hi"))).alias("count"))
+    rows = sources.withColumn("_new", F.lit(False)).unionByName(found.withColumn("_new", F.lit(True)))
+    ends = lambda own, side: [f(F.when(own, F.col("count"))).alias(f"{side}_{n}") for n, f in (("lo", F.min), ("hi", F.max))]
+    sides = rows.groupBy(*key).agg(F.bool_or("_new").alias("_new"), *ends(F.col("_new"), "new"), *ends(~F.col("_new"), "old"))
+    last = [F.when(F.col("_new"), F.col(f"new_{n}")).otherwise(F.col(f"old_{n}")) for n in ("lo", "hi")]
+    return sides.select(*key, F.explode(F.array_distinct(F.array(*last))).alias("count"))
 
 
 def day_from_export(export, old, admin, sources=None, year=S.YEAR):
