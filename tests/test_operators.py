@@ -1,5 +1,6 @@
 import math
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,6 +191,20 @@ def test_medians_of_large_pixels_by_radix(spark):
         assert str(sorted(got.items(), key=str)) == str(sorted(((key, (median(x), median(y))) for key, (x, y) in groups.items()), key=str)).replace("-0.0", "0.0")
 
 
+def test_median_of_few_values_keeps_no_count_per_value(spark):
+    """Up to four values the median comes from sums; more in any band, NULLs and NULL keys go the same way as before."""
+    rng = random.Random(5)
+    rows = [(None if k == 7 else k, rng.randrange(2), rng.choice([None, rng.randrange(-300, 9000)]), rng.randrange(65536))
+            for k in range(60) for _ in range(rng.randrange(1, 10))]
+    obs = spark.createDataFrame(rows, "g int, k int, x int, y int")
+    got = {(r.g, r.k): (r.x, r.y) for r in zonal.composite(obs, ["g", "k"], ["x", "y"], digital=True, few=True).collect()}
+    median = lambda v: statistics.median(v) if v else None
+    groups = {(g, k) for g, k, _, _ in rows}
+    assert got == {p: (median([x for g, k, x, _ in rows if (g, k) == p and x is not None]), median([y for g, k, _, y in rows if (g, k) == p])) for p in groups}
+    small = zonal.composite(obs.limit(3), ["g", "k"], ["x", "y"], digital=True, few=True)
+    assert "percentile" not in small._jdf.queryExecution().toString() and "median" not in small._jdf.queryExecution().toString()
+
+
 def test_scenes_of_one_footprint_meet_a_unit_once(spark, monkeypatch):
     found = spark.createDataFrame([(i, f"2024-0{1 + i % 3}-10 00:00:00", 0.0, 0.0, 4.0, 4.0) for i in range(60)] + [(99, "2024-05-05 00:00:00", 90.0, 90.0, 94.0, 94.0)],
                                   "scene_id long, t string, minx double, miny double, maxx double, maxy double").withColumn("ts", F.col("t").cast("timestamp_ntz"))

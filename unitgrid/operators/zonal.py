@@ -15,12 +15,13 @@ from unitgrid.session import materialize
 PIXEL_HA = 25.0
 
 
-def composite(obs, by, bands, how="median", digital=False):
+def composite(obs, by, bands, how="median", digital=False, few=False):
     """One row per pixel: exact median or mean of each band over its observations.
 
     Medians of `tinyint` and `smallint` bands keep counts per distinct value and merge them map-side: a
     pixel's state never exceeds 65,536 entries per band. With `digital` the caller promises the same of
-    wider integer bands (16-bit digital numbers). All other values go through `composite_wide`.
+    wider integer bands (16-bit digital numbers); with `few` as well that pixels have few observations, which
+    `composite_few` then moves as they are. All other values go through `composite_wide`.
     """
     if how == "mean":
         return obs.groupBy(*by).agg(*[F.avg(b).alias(b) for b in bands])
@@ -28,9 +29,37 @@ def composite(obs, by, bands, how="median", digital=False):
     narrow = ("tinyint", "smallint", "int", "bigint") if digital else ("tinyint", "smallint")
     if any(types[b] not in narrow for b in bands):
         return composite_wide(obs, by, bands)
+    if few:
+        return composite_few(obs, by, bands)
     return obs.groupBy(*by).agg(*[F.median(b).alias(b) for b in bands])
 
 
+def composite_few(obs, by, bands):
+    """Exact median of integer bands of pixels that mostly have few observations; the table is written.
+
+    Of up to four values the median follows from their number, least, greatest and sum, which are exact. Partial results of
+    so few are larger than the observations, so these are moved, and a task keeps four numbers per pixel and band whatever
+    their number. Only pixels with more values in some band are counted per distinct value, merged map-side.
+    """
+    aggs, medians, many = [], [], F.lit(False)
+    for i, b in enumerate(bands):
+        x = F.col(b).cast("long")
+        aggs += [F.count(x).alias(f"_n{i}"), F.min(x).alias(f"_lo{i}"), F.max(x).alias(f"_hi{i}"), F.sum(x).alias(f"_sum{i}")]
+        n, lo, hi = F.col(f"_n{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        inner = F.col(f"_sum{i}") - lo - hi
+        medians.append(F.when(n <= 2, (lo + hi) / 2).when(n == 3, inner.cast("double")).when(n == 4, inner / 2).alias(b))
+        many |= n > 4
+    close = materialize(obs.select(*by, *bands).repartition(*by).groupBy(*by).agg(*aggs).select(*by, *medians, many.alias("_many")), "pixels")
+    short = close.filter("NOT _many").drop("_many")
+    # written, so that its size is known where it is joined
+    crowded = materialize(close.filter("_many").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]), "crowded")
+    if not crowded.take(1):
+        return short
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)])
+    counted = obs.join(crowded, same, "left_semi").groupBy(*by).agg(*[F.median(b).alias(b) for b in bands])
+    return short.unionByName(materialize(counted, "counted"))
+
+
 # Values of one pixel up to which a median is taken in one task, in a count per value.
 GATHERED = 65_536
 

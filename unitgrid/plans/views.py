@@ -126,7 +126,7 @@ class Views:
     @cached_property
     def pixel(self):
         clear = self.obs.filter(spectral.is_clear("qa"))
-        dn = zonal.composite(clear, ["image_id", "block", "row", "col"], S.REFLECTANCE_BANDS, digital=True)
+        dn = zonal.composite(clear, ["image_id", "block", "row", "col"], S.REFLECTANCE_BANDS, digital=True, few=True)
         return spectral.scale_reflectance(dn, S.REFLECTANCE_BANDS)
 
     @cached_property
