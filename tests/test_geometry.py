@@ -133,6 +133,22 @@ def test_features_that_repeat_count_once(spark, tmp_path):
         assert km["twice"] == km["once"] == km["files"] > 4
 
 
+def test_lines_of_one_course_are_cut_once(spark, monkeypatch):
+    """Lines that run the same course meet the polygons as one segment; each of them counts, also one that is there twice."""
+    met = []
+    cut = G.inside_pieces
+    monkeypatch.setattr(G, "inside_pieces", lambda segs, *rest, **more: met.append(segs.count()) or cut(segs, *rest, **more))
+    rows = [(w, s, ["primary", "residential", None][w % 3], 0.0, 3.0, 20.0, 3.0) for w in range(30) for s in range(2)]
+    rows += [(w, 2, "primary", 20.0, 3.0, 0.0, 3.0) for w in range(5)] + [(99, 0, "primary", -0.0, 3.0, 20.0, 3.0), (50, 0, "primary", 90.0, 90.0, 91.0, 91.0), (51, 0, "primary", None, 3.0, 20.0, 3.0)]
+    segs = spark.createDataFrame(rows, "way_id long, seq long, class string, x1 double, y1 double, x2 double, y2 double")
+    edges = edges_of(spark, {"box": [[[(2, 1), (6, 1), (6, 5), (2, 5)]]], "near": [[[(7, 3.5), (9, 3.5), (7, 2.9)]], [[(7, 3.5), (9, 3.5), (7, 2.9)]]], "far": [[[(200, 200), (210, 200), (205, 209)]]]})
+    got = {r.gid: r for r in G.clip_line_length(segs, edges, cell=4.0, factor=1.0).collect()}
+    assert met == [4]
+    assert (got["box"].km_total, got["box"].km_main, got["box"].lines) == (4.0 * 66, 4.0 * 26, 31)
+    assert got["near"].lines == 31 and got["near"].km_total == pytest.approx(66 * 1 / 3, abs=1e-3)
+    assert tuple(got["far"])[1:] == (None, None, 0)
+
+
 def test_lines_on_outlines_and_over_parts(spark):
     """Integer lines through vertices and along edges, of polygons whose parts overlap, against the half-open rule."""
     rng = np.random.default_rng(5)

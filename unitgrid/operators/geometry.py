@@ -199,10 +199,10 @@ def _merged(intervals):
     return F.aggregate(F.slice(intervals, F.lit(2), F.greatest(F.size(intervals) - 1, F.lit(0))), F.slice(intervals, 1, 1), step)
 
 
-def inside_pieces(segs, edges, cell):
+def inside_pieces(segs, edges, cell, key=("way_id", "seq")):
     """Parts of segments inside polygons, (gid, the segment's columns, t0, t1), and the segments whose box meets a polygon's.
 
-    Segments meet parts by their boxes, in an equi-join on grid cells, and a part's edges by slabs of y of height `cell`.
+    `key` names a segment. Segments meet parts by their boxes, in an equi-join on grid cells, and a part's edges by slabs of y of height `cell`.
     One ray test of its start tells whether a segment begins inside a part: a ray to the right crosses the outline an odd
     number of times, edges counted half-open in y. From there its crossings take it in and out by turns. The ray rule equals
     testing the point moved by an infinitesimal (d, e), e much smaller than d; crossings follow the same rule, so vertices on
@@ -237,7 +237,7 @@ def inside_pieces(segs, edges, cell):
     columns = ["gid", "part", *segs.columns, "_t"]
     hits = crossed.select(*columns).unionByName(rays.select(*columns))
     # one shuffle serves both groupings
-    parts = hits.repartition("gid", "way_id", "seq").groupBy("gid", "part", *segs.columns).agg(
+    parts = hits.repartition("gid", *key).groupBy("gid", "part", *segs.columns).agg(
         (F.count_if(F.col("_t").isNull()) % 2).cast("int").alias("_odd"), F.sort_array(F.collect_list("_t")).alias("_ts"))
     begin = lambda i: F.when(i == 0, 0.0).otherwise(F.get("_ts", i - 1))
     end = lambda i: F.when(i == F.size("_ts"), 1.0).otherwise(F.get("_ts", i))
@@ -251,14 +251,20 @@ def inside_pieces(segs, edges, cell):
 def clip_line_length(segs, edges, cell, main=MAIN_ROADS, length=planar_length, factor=1e-3, digits=4):
     """Line length inside each polygon, total and main classes, and the number of lines inside.
 
-    A polygon whose box meets no line has NULL lengths; one met only outside its outline has 0.0.
+    A polygon whose box meets no line has NULL lengths; one met only outside its outline has 0.0. Segments of one course
+    (the same two ends in the same order) are cut once, however many lines run there, and each of them counts.
     """
-    pieces, cand = inside_pieces(segs, edges, cell)
+    ends = ["x1", "y1", "x2", "y2"]
+    segs = materialize(segs.select("way_id", "class", *ends), "segments")  # read twice below, so written once
+    courses = materialize(segs.select(*ends).distinct().withColumn("course", F.monotonically_increasing_id()), "courses")
+    pieces, cand = inside_pieces(courses, edges, cell, key=("course",))
     cut = lambda t, a, b: F.col(a) + F.col(t) * (F.col(b) - F.col(a))
     measured = pieces.withColumns({"_ax": cut("t0", "x1", "x2"), "_ay": cut("t0", "y1", "y2"),
                                    "_bx": cut("t1", "x1", "x2"), "_by": cut("t1", "y1", "y2")}
                                   ).withColumn("_len", length("_ax", "_ay", "_bx", "_by") * factor)
-    totals = measured.groupBy("gid").agg(
+    # written, so that its size is known where the segments meet it
+    within = materialize(measured.groupBy("gid", *ends).agg(F.sum("_len").alias("_len")), "within")
+    totals = segs.join(within, ends).groupBy("gid").agg(
         F.sum("_len").alias("total"), F.sum(F.when(F.col("class").isin(*main), F.col("_len"))).alias("main"),
         F.count_distinct("way_id").alias("lines"))
     met = cand.groupBy("gid").agg(F.count("*").alias("met"))
