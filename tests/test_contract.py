@@ -251,6 +251,28 @@ def test_states_join_no_metrics_and_evidence_is_spread(spark, sf_dir, tmp_path):
     assert "Join LeftOuter" in text and "BLUE_mean" not in top
 
 
+def many_units(spark, sf_dir, folder):
+    """The tables of `sf_dir` with 200 times its units, in one file."""
+    import os
+
+    for t in os.listdir(sf_dir):
+        if t != "customer.parquet":
+            os.symlink(f"{sf_dir}/{t}", folder / t)
+    one = spark.read.parquet(f"{sf_dir}/customer.parquet").crossJoin(spark.range(200).toDF("k"))
+    one.withColumn("c_custkey", F.col("c_custkey") + F.col("k") * 1000).drop("k").coalesce(1).write.parquet(str(folder / "customer.parquet"))
+    return str(folder)
+
+
+def test_sources_of_one_file_of_units_are_written_by_several_tasks(spark, sf_dir, tmp_path):
+    from unitgrid.plans import catalog
+    folder = many_units(spark, sf_dir, tmp_path)
+    out = catalog.QUERIES["a8_read_sources"](spark, folder)
+    lines = spark.read.text(out.inputFiles()).filter("value NOT LIKE 'gid_3,%'").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()
+    units = spark.read.parquet(folder + "/customer.parquet").count()
+    assert sum(r["n"] for r in lines) == 52 * units and max(r["n"] for r in lines) < 48 * 20_000
+    assert out.count() == 48 * units
+
+
 def test_long_month_tables_are_not_merged_into_few_tasks(spark, monkeypatch, adm):
     """Joins of units by month keep tasks of a bounded number of rows, though keys and flags shrink to few bytes."""
     kept = keys.placed.__defaults__
