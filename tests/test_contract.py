@@ -273,6 +273,16 @@ def test_sources_of_one_file_of_units_are_written_by_several_tasks(spark, sf_dir
     assert out.count() == 48 * units
 
 
+def test_night_states_hold_no_metric_and_evidence_of_many_tasks(spark, sf_dir, tmp_path):
+    """Where states meet their evidence, rows carry three facts; the evidence of one file of units comes from several tasks."""
+    from unitgrid.plans import catalog
+    states = catalog.QUERIES["k3_night_states"](spark, many_units(spark, sf_dir, tmp_path))
+    text = states._jdf.queryExecution().optimizedPlan().toString()
+    top, evidence = text.split("Join LeftOuter", 1)
+    assert "TNL" not in top and "_zero_night_indices" in evidence
+    assert evidence.rindex("Generate inline") < evidence.rindex("Generate explode") < evidence.rindex("RepartitionByExpression")
+
+
 def test_long_month_tables_are_not_merged_into_few_tasks(spark, monkeypatch, adm):
     """Joins of units by month keep tasks of a bounded number of rows, though keys and flags shrink to few bytes."""
     kept = keys.placed.__defaults__
