@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from helpers import GIDS, admin, at, evidence, images, records, sources
 from pyspark.sql import functions as F
@@ -296,6 +298,20 @@ def test_long_month_tables_are_not_merged_into_few_tasks(spark, monkeypatch, adm
     assert placed == sorted(map(tuple, C.verify_notes(full, "day", sources(spark), adm, images(spark)).collect()), key=str)
 
 
+@pytest.mark.parametrize("complete", [True, False])
+def test_units_are_placed_before_their_keys_are_checked(spark, monkeypatch, complete):
+    """Units of a large table are sorted in tasks of a bounded number of rows, not in one task of their file or of few bytes."""
+    gids = [f"VNM.1.{i}_1" for i in range(1, 21)]
+    units, table = admin(spark, gids), records(spark, gids=gids)
+    plain = sorted(map(tuple, C.normalize(table, units, "day", complete=complete).collect()), key=str)
+    monkeypatch.setattr(keys.placed, "__defaults__", (2,))
+    full = C.normalize(table, units, "day", complete=complete)
+    assert re.search(r"RepartitionByExpression \[gid_3#\d+\], 10", full._jdf.queryExecution().optimizedPlan().toString())
+    assert sorted(map(tuple, full.collect()), key=str) == plain and len(plain) == 240
+    with pytest.raises(Exception, match="administrative table: repeated key VNM.1.7_1"):
+        C.normalize(table, units.union(units.filter("gid_3 = 'VNM.1.7_1'")), "day", complete=complete).collect()
+
+
 def test_index_table_is_sorted_in_ranges_of_bounded_rows(spark, adm, tmp_path, monkeypatch):
     monkeypatch.setattr(writers, "SORT_ROWS", 5)
     full = C.normalize(records(spark), adm, "day")

@@ -204,12 +204,12 @@ def normalize(df, admin, kind, year=S.YEAR, complete=True):
     """Contract table: names by gid, exact duplicates collapsed, twelve rows per unit if `complete`.
 
     Broken rows, conflicting duplicates and unknown gids stop the job while it runs: all rules are part
-    of the one plan. `normalize_violations` lists them instead. Units are counted once, for the placement of their months.
+    of the one plan. `normalize_violations` lists them instead. Units are counted once, for their placement and that of their months.
     """
     rows = _collapsed(df, kind, year)
     unknown = lambda marker: guard(F.col(marker).isNull(), F.concat(F.lit("unknown gid "), F.col("gid_3")))
-    units = admin.count() if complete else 0
-    admin = one_per_key(admin.select(*S.ADMIN_COLUMNS), ["gid_3"], "administrative table")
+    units = admin.count()
+    admin = one_per_key(placed(admin.select(*S.ADMIN_COLUMNS), ["gid_3"], units), ["gid_3"], "administrative table")
     if not complete:
         return conform(enrich_admin(rows, admin).filter(unknown("gid_1")), kind)
     grid = placed(month_grid(admin, year, columns=S.ADMIN_COLUMNS), ["gid_3", "month"], 12 * units)
