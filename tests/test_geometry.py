@@ -185,6 +185,28 @@ def test_tile_store_is_pruned(spark, tmp_path):
     assert cut(near) == cut(px) != set()
 
 
+def test_store_of_many_small_tiles_has_few_folders(spark, tmp_path):
+    """2,500 tiles of 4 pixels: squares of tiles share a folder; tiles needed are read exactly, from the folders that hold them."""
+    px = spark.range(100 * 100).select((F.col("id") / 100).cast("long").alias("row"), (F.col("id") % 100 - 50).alias("col"), F.col("id").alias("v"))
+    writers.write_pixel_tiles(px, str(tmp_path / "t"), 2)
+    store = readers.read_pixel_tiles(spark, str(tmp_path / "t"), "row long, col long, v long, tile_row long, tile_col long")
+    assert len(list(tmp_path.glob("t/**/*.parquet"))) <= 1000
+    whole = sorted(tuple(r) for r in px.collect())
+    assert sorted(tuple(r) for r in store.select("row", "col", "v").collect()) == whole
+    needed = G.needed_tiles(spark.createDataFrame([(0, 0), (2, -4), (2, -4), (98, 48), (500, 0)], "tile_row long, tile_col long"))
+    near = G.pixels_of_tiles(store, needed)
+    assert "dynamicpruning" in near._jdf.queryExecution().executedPlan().toString()
+    at = {(0, 0), (2, -4), (98, 48)}
+    assert sorted(tuple(r) for r in near.select("row", "col", "v").collect()) == [p for p in whole if (p[0] // 2 * 2, p[1] // 2 * 2) in at]
+
+
+def test_store_without_pixels(spark, tmp_path):
+    writers.write_pixel_tiles(spark.createDataFrame([], "row long, col long, v long"), str(tmp_path / "t"), 8)
+    store = readers.read_pixel_tiles(spark, str(tmp_path / "t"), "row long, col long, v long, tile_row long, tile_col long")
+    needed = G.needed_tiles(spark.createDataFrame([(0, 0)], "tile_row long, tile_col long"))
+    assert G.pixels_of_tiles(store, needed).count() == 0
+
+
 def test_untiled_file_must_cover_the_window(spark):
     boxes = spark.createDataFrame([("in", 0, 10, 0, 10), ("low", 5, 11, 0, 3), ("left", 0, 2, -1, 3)], "gid string, r0 long, r1 long, c0 long, c1 long")
     have = spark.createDataFrame([(0, 0)], "tile_row long, tile_col long")

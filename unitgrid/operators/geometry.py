@@ -93,8 +93,13 @@ def needed_tiles(required):
 
 
 def pixels_of_tiles(store, needed):
-    """Pixels of the needed tiles. On a store partitioned by tile only the folders of these tiles are read."""
-    return store.join(needed, ["tile_row", "tile_col"], "left_semi")
+    """Pixels of the needed tiles. On a store of `read_pixel_tiles` only the folders that hold these tiles are read."""
+    key = ["tile_row", "tile_col"]
+    if "folder_row" in store.columns:
+        side = store.schema["folder_row"].metadata["side"]
+        needed = needed.withColumns({f"folder_{c}": (F.floor(F.col(f"tile_{c}") / side) * side).cast("long") for c in ("row", "col")})
+        key += ["folder_row", "folder_col"]
+    return store.join(needed, key, "left_semi")
 
 
 def missing_tiles(required, present):

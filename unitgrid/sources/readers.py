@@ -11,6 +11,7 @@ from unitgrid.functions.text import IMAGE_NAME
 from unitgrid.operators.geometry import polygon_edges
 from unitgrid.operators.keys import drop_exact, one_per_key
 from unitgrid.operators.scenes import first_positive
+from unitgrid.session import numbered
 
 
 #: Quotes are doubled inside quoted fields; a line with more or fewer fields than the header stops the job.
@@ -111,8 +112,16 @@ def read_polygons(spark, path, gid="GID_3", lines=False):
 
 
 def read_pixel_tiles(spark, path, schema):
-    """Pixels that `write_pixel_tiles` wrote, with tile_row and tile_col; a join on these reads only the tiles it needs."""
-    return spark.read.schema(schema).parquet(path)
+    """Pixels that `write_pixel_tiles` wrote, with tile_row and tile_col; `geometry.pixels_of_tiles` reads only the folders it needs.
+
+    folder_row and folder_col name a pixel's folder and carry the side of folders as metadata. A store without pixels has neither.
+    """
+    sides = numbered(spark, path, "folder_side=")
+    store = spark.read.schema(schema)
+    if not sides:
+        return store.parquet(path)
+    store = store.parquet(f"{path}/folder_side={sides[0]}")
+    return store.withColumns({c: F.col(c).cast("long").alias(c, metadata={"side": sides[0]}) for c in ("folder_row", "folder_col")})
 
 
 def read_manifest(spark, path, glob="*"):

@@ -80,11 +80,31 @@ def write_by_unit(df, path, columns=("gid_1", "gid_3"), fmt="parquet", max_rows=
      .partitionBy(*columns).save(path))
 
 
+# Folders that a pixel store has at most, unless it has more rows than this many per folder; and how often the side of a folder may double.
+FOLDERS, FOLDER_ROWS, DOUBLINGS = 1_000, 1_000_000, 24
+
+
+def _folder_side(tiles, tile):
+    """Side of the least folders, `tile` times a power of two, of which there are not too many. Folders are counted approximately, which moves the layout only."""
+    sides = [tile << k for k in range(DOUBLINGS)]
+    folders = [F.approx_count_distinct(F.xxhash64(F.floor(F.col("tile_row") / s), F.floor(F.col("tile_col") / s))) for s in sides]
+    rows, *counts = tiles.groupBy("tile_row", "tile_col").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), *folders).first()
+    return next((s for s, n in zip(sides, counts) if n <= max(FOLDERS, rows // FOLDER_ROWS)), sides[-1])
+
+
 def write_pixel_tiles(pixels, path, tile=TILE, max_rows=5_000_000):
-    """Pixels in one folder per tile of `tile` x `tile` pixels, for readers that need few tiles. Large tiles become several files."""
-    at = lambda c: (F.floor(F.col(c) / tile) * tile).cast("long")
-    (pixels.withColumns({"tile_row": at("row"), "tile_col": at("col")}).hint("rebalance", "tile_row", "tile_col").write
-     .option("maxRecordsPerFile", max_rows).partitionBy("tile_row", "tile_col").parquet(path))
+    """Pixels by tile of `tile` x `tile` pixels, for readers that need few tiles. Large tiles become several files.
+
+    A tile has a folder to itself unless these were too many small ones: then squares of tiles share a folder, in the order of
+    tiles. Reads `pixels` twice, first to count.
+    """
+    at = lambda c, side: (F.floor(F.col(c) / side) * side).cast("long")
+    tiles = pixels.withColumns({"tile_row": at("row", tile), "tile_col": at("col", tile)})
+    side = _folder_side(tiles, tile)
+    folder = ["folder_side", "folder_row", "folder_col"]
+    (tiles.withColumns({"folder_side": F.lit(side), "folder_row": at("row", side), "folder_col": at("col", side)})
+     .hint("rebalance", "folder_row", "folder_col").sortWithinPartitions(*folder, "tile_row", "tile_col").write
+     .option("maxRecordsPerFile", max_rows).partitionBy(*folder).parquet(path))
 
 
 def append_log(df, path):
